@@ -4,24 +4,32 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import ORDER_SQL, calc_frame, direct_rows, module_frame, order_columns, r, rs
+from catalog.common import (
+    ORDER_SQL, calc_frame, direct_rows, fund_facts, module_frame, order_columns, r, rs,
+)
 from fixtures import sql, views
 from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
 
 
 def tpt_calc_type(spark, sf_dir):
-    return hold.with_calculation_type(views.holdings(spark, sf_dir)).select(
+    typed = hold.with_calculation_type(views.holdings(spark, sf_dir), fund_facts(spark, sf_dir))
+    return typed.select(
         *order_columns(), "portfolio_id", "underlying_asset_category", "calculation_type",
         r("valuation_weight", 8),
     )
 
 
-def _findings(checks, code=None):
-    """Report rows of some checks, counted because copies give equal rows."""
+def _all_findings(spark, sf_dir, facts=None):
+    return hold.holding_findings(views.holdings(spark, sf_dir), facts or fund_facts(spark, sf_dir))
+
+
+def _findings(checks, code=None, by_fund=False):
+    """Report rows of some checks."""
 
     def query(spark, sf_dir):
-        found = hold.holding_findings(views.holdings(spark, sf_dir), checks=checks)
+        facts = fund_facts(spark, sf_dir) if by_fund else None
+        found = hold.holding_findings(views.holdings(spark, sf_dir), facts, checks=checks)
         if code is not None:
             found = found.filter(F.col("error_code") == code)
         return found.select(
@@ -33,12 +41,12 @@ def _findings(checks, code=None):
 
 
 def tpt_validation_report(spark, sf_dir):
-    validation, _ = hold.split_report(hold.holding_findings(views.holdings(spark, sf_dir)))
+    validation, _ = hold.split_report(_all_findings(spark, sf_dir))
     return validation
 
 
 def tpt_critical_report(spark, sf_dir):
-    _, critical = hold.split_report(hold.holding_findings(views.holdings(spark, sf_dir)))
+    _, critical = hold.split_report(_all_findings(spark, sf_dir))
     return critical
 
 
@@ -49,7 +57,7 @@ def lookthrough_join(spark, sf_dir):
 
 
 def unmatched_positions(spark, sf_dir):
-    facts = hold.fund_facts(views.holdings(spark, sf_dir))
+    facts = fund_facts(spark, sf_dir)
     return pos.unmatched_positions(views.positions(spark, sf_dir), facts).select(
         "position_ord", "portfolio_id", "security_name"
     )
@@ -108,11 +116,12 @@ def position_mandatory_missing(spark, sf_dir):
     )
 
 
-def _position_findings(spark, sf_dir, kind, rules=pos.PositionRules()):
+def _position_findings(spark, sf_dir, kind, rules=pos.PositionRules(), facts=None):
+    facts = facts or fund_facts(spark, sf_dir)
     return pos.position_findings(
         views.positions(spark, sf_dir, kind),
-        module_frame(spark, sf_dir, kind),
-        direct_rows(spark, sf_dir, kind, rules),
+        module_frame(spark, sf_dir, kind, facts),
+        direct_rows(spark, sf_dir, kind, rules, facts),
         rules,
     )
 
@@ -136,22 +145,24 @@ def strict_missing_rating(spark, sf_dir):
 
 def validation_report(spark, sf_dir):
     """All findings of holdings and both lists, counted by kind."""
-    parts = [hold.holding_findings(views.holdings(spark, sf_dir)).select(F.lit("holdings").alias("list"), "severity", "error_code")]
+    facts = fund_facts(spark, sf_dir)
+    shown = ["severity", "error_code"]
+    counted = _all_findings(spark, sf_dir, facts).select(F.lit("holdings").alias("list"), *shown)
     for kind in ("asset", "ul"):
-        parts.append(_position_findings(spark, sf_dir, kind).select(F.lit(kind).alias("list"), "severity", "error_code"))
-    both = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return both.groupBy("list", "severity", "error_code").agg(F.count(F.lit(1)).alias("n_rows"))
+        found = _position_findings(spark, sf_dir, kind, facts=facts)
+        counted = counted.unionByName(found.select(F.lit(kind).alias("list"), *shown))
+    return counted.groupBy("list", *shown).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 QUERIES = {
     "tpt_calc_type": tpt_calc_type,
     "tpt_cic_length_errors": _findings(["cic"], "CIC_LENGTH"),
     "tpt_cic_mismatch": _findings(["cic"], "CIC_MISMATCH"),
-    "tpt_weight_sum_critical": _findings(["weight_sum"]),
+    "tpt_weight_sum_critical": _findings(["weight_sum"], by_fund=True),
     "tpt_mandatory_missing": _findings(["mandatory"]),
     "tpt_duplicates": _findings(["duplicates"]),
     "tpt_type_report": _findings(["data_types"]),
-    "tpt_mod_dur_mismatch": _findings(["portfolio_duration"]),
+    "tpt_mod_dur_mismatch": _findings(["portfolio_duration"], by_fund=True),
     "tpt_validation_report": tpt_validation_report,
     "tpt_critical_report": tpt_critical_report,
     "lookthrough_join": lookthrough_join,

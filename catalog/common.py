@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
 
+from shockwell.plans.storage import settled
+
 from fixtures import views
 
 
@@ -38,22 +40,29 @@ ORDER_SQL = ("l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenu
              "l_partkey::BIGINT AS l_partkey, l_suppkey::BIGINT AS l_suppkey, copy::BIGINT AS copy")
 
 
-def module_frame(spark, sf_dir, kind):
+def fund_facts(spark, sf_dir):
+    """Facts per fund, stored because each query reads them several times."""
+    return settled(hold.fund_facts(views.holdings(spark, sf_dir)), "fund_facts")
+
+
+def module_frame(spark, sf_dir, kind, facts=None):
     """The frame the stress modules run on."""
     return pos.module_frame(
-        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind
+        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind,
+        facts or fund_facts(spark, sf_dir),
     )
 
 
-def calc_frame(spark, sf_dir, kind):
+def calc_frame(spark, sf_dir, kind, facts=None):
     """The full look-through frame."""
     return pos.calc_frame(
-        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind
+        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind,
+        facts or fund_facts(spark, sf_dir),
     )
 
 
-def direct_rows(spark, sf_dir, kind, rules=pos.PositionRules()):
-    facts = hold.fund_facts(views.holdings(spark, sf_dir))
+def direct_rows(spark, sf_dir, kind, rules=pos.PositionRules(), facts=None):
+    facts = facts or fund_facts(spark, sf_dir)
     return pos.direct_rows(
         pos.unmatched_positions(views.positions(spark, sf_dir, kind), facts), kind, rules
     )

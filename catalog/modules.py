@@ -141,7 +141,7 @@ def curve_interpolate(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         (F.col("l_quantity") * 4 - 10 + (F.col("l_partkey") % 8) / 8).alias("years"),
-        views.code_at(views.HOLDING_CURRENCIES, F.col("l_suppkey") % 8).alias("currency"),
+        F.expr(views.code_at(views.HOLDING_CURRENCIES, "l_suppkey % 8")).alias("currency"),
     )
     rated = interest.with_rates(lines, views.curves(spark), P, "currency", "years")
     return rated.select(

@@ -94,7 +94,7 @@ def curve_long(spark, sf_dir):
     """Wide sheets of top prices by term and curve, turned to long rows."""
     lines = views.table(spark, sf_dir, "lineitem").select(
         (F.col("l_partkey") % 150 + 1).cast("int").alias("term"),
-        views.code_at(views.CURVE_NAMES, F.col("l_suppkey") % 15).alias("code"),
+        F.expr(views.code_at(views.CURVE_NAMES, "l_suppkey % 15")).alias("code"),
         "l_extendedprice",
     )
     base = lines.groupBy("term").pivot("code", views.CURVE_NAMES).agg(

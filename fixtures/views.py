@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shockwell import CalculationMatrix, Parameters, ReportingPeriod
@@ -41,56 +41,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def code_at(codes: list, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(c) for c in codes]), index.cast("int") + 1)
+def code_at(codes: list, index: str) -> str:
+    """SQL text: the code at a position counted from zero."""
+    return f"element_at(array({', '.join(map(repr, codes))}), cast({index} AS INT) + 1)"
 
 
-def every(c: str | Column, n: int, at: int = 0) -> Column:
-    return (F.col(c) if isinstance(c, str) else c) % n == at
+def letter_at(text: str, index: str) -> str:
+    return f"substring('{text}', cast({index} AS INT) + 1, 1)"
 
 
 def positions(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
     """One position per order; the UL list is the orders with status P."""
     orders = table(spark, sf_dir, "orders")
     if kind is not None:
-        orders = orders.filter(F.col("o_orderstatus").isin(["P"] if kind == "ul" else ["F", "O"]))
+        orders = orders.filter("o_orderstatus = 'P'" if kind == "ul" else "o_orderstatus IN ('F', 'O')")
     rows = orders.join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
-    ).select("*", F.col("o_orderkey").alias("k"), F.col("c_nationkey").alias("n"))
-    k, n = F.col("k"), F.col("n")
-    rating = (
-        F.when(F.col("o_orderpriority").startswith("1"), "AAA")
-        .when(F.col("o_orderpriority").startswith("2"), "AA-")
-        .when(F.col("o_orderpriority").startswith("3"), "BBB +")
-        .when(F.col("o_orderpriority").startswith("4"), "NR")
-        .when(every(k, 2), "CCC")
-    )
-    letter = F.substring(F.lit("1234567833ABCDEF09"), (k % 18).cast("int") + 1, F.lit(1))
-    allocation = (
-        F.when(every(k, 11, 0), "645 FX")
-        .when(every(k, 11, 1), "996 Deposit")
-        .when(every(k, 11, 2), "950 Strategic")
-        .when(every(k, 11, 3), "995 Other")
-        .otherwise("100 General")
-    )
-    years = F.date_add(F.col("o_orderdate").cast("date"), ((k % 40) * 365).cast("int"))
-    return rows.select(
-        F.col("c_mktsegment").alias("portfolio_group"),
-        F.concat(F.lit("S"), F.floor(k / 2).cast("string")).alias("portfolio_id"),
-        F.lit(ANALYSIS_DATE).alias("analysis_date"),
-        F.concat(F.when(every(k, 7), "HGB ").otherwise("SEC "), k.cast("string")).alias("security_name"),
-        code_at(COUNTRIES, n).alias("country"),
-        rating.alias("rating"),
-        F.when(every(k, 97), "X1")
-        .otherwise(F.concat(code_at(COUNTRIES, n), letter, F.lit("1")))
-        .alias("cic_of_instrument"),
-        allocation.alias("asset_allocation"),
-        code_at(CURRENCIES, n).alias("currency"),
-        F.when(~every(k, 13), years).alias("exp_maturity_date"),
-        (F.col("o_totalprice") / 100).alias("balance_nominal"),
-        F.when(~every(k, 19), (k % 250) / 10.0).alias("modified_duration"),
-        F.when(~every(k, 101), F.col("o_totalprice")).alias("dirty_value_pc"),
-        k.alias("position_ord"),
+    ).withColumnsRenamed({"o_orderkey": "k", "c_nationkey": "n"})
+    return rows.selectExpr(
+        "c_mktsegment AS portfolio_group",
+        "concat('S', k div 2) AS portfolio_id",
+        f"DATE '{ANALYSIS_DATE}' AS analysis_date",
+        "concat(if(k % 7 = 0, 'HGB ', 'SEC '), k) AS security_name",
+        f"{code_at(COUNTRIES, 'n')} AS country",
+        """CASE left(o_orderpriority, 1) WHEN '1' THEN 'AAA' WHEN '2' THEN 'AA-' WHEN '3' THEN 'BBB +'
+           WHEN '4' THEN 'NR' ELSE if(k % 2 = 0, 'CCC', NULL) END AS rating""",
+        f"""if(k % 97 = 0, 'X1', concat({code_at(COUNTRIES, 'n')},
+            {letter_at('1234567833ABCDEF09', 'k % 18')}, '1')) AS cic_of_instrument""",
+        """CASE k % 11 WHEN 0 THEN '645 FX' WHEN 1 THEN '996 Deposit' WHEN 2 THEN '950 Strategic'
+           WHEN 3 THEN '995 Other' ELSE '100 General' END AS asset_allocation""",
+        f"{code_at(CURRENCIES, 'n')} AS currency",
+        "if(k % 13 = 0, NULL, date_add(cast(o_orderdate AS DATE), cast(k % 40 * 365 AS INT))) AS exp_maturity_date",
+        "o_totalprice / 100 AS balance_nominal",
+        "if(k % 19 = 0, NULL, (k % 250) / 10.0D) AS modified_duration",
+        "if(k % 101 = 0, NULL, o_totalprice) AS dirty_value_pc",
+        "k AS position_ord",
     )
 
 
@@ -100,73 +85,50 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     Fourteen orders in a row make seven securities and share five funds, so
     that two securities in seven have no holdings.
     """
-    place = code_at([0, 1, 3, 4, 6], F.col("l_orderkey") % 5).cast("bigint")
-    lines = table(spark, sf_dir, "lineitem").withColumn(
-        "f", 7 * F.floor(F.col("l_orderkey") / 14) + place
+    lines = table(spark, sf_dir, "lineitem").selectExpr(
+        "*", f"7 * (l_orderkey div 14) + {code_at([0, 1, 3, 4, 6], 'l_orderkey % 5')} AS f"
     )
     sums = lines.groupBy("f").agg(F.sum("l_extendedprice").alias("fund_sum"))
-    rows = lines.join(sums, "f").withColumn("p", F.col("l_partkey"))
-    f, p, s = F.col("f"), F.col("p"), F.col("l_suppkey")
-    rows = rows.withColumn(
-        "c1",
-        F.when(every(p, 60, 7), F.substring(F.lit("ABCDEF"), (s % 6).cast("int") + 1, F.lit(1)))
-        .when(every(p, 61, 5), "L")
-        .when(every(p, 67, 5), "0")
-        .otherwise(F.substring(F.lit("122456783333331278"), (p % 18).cast("int") + 1, F.lit(1))),
-    ).withColumn("zone", F.when(~every(p, 23), (F.col("l_linenumber") % 5).cast("int")))
-    listed = F.coalesce(F.col("zone").isin(1, 2), F.lit(False))
-    category = (
-        F.when(every(p, 83), "9")
-        .when(F.col("c1") == "3", F.when(listed, "3L").otherwise("3X"))
-        .otherwise(F.col("c1"))
+    coded = lines.join(sums, "f").withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"}).selectExpr(
+        "*",
+        f"""CASE WHEN p % 60 = 7 THEN {letter_at('ABCDEF', 's % 6')}
+            WHEN p % 61 = 5 THEN 'L' WHEN p % 67 = 5 THEN '0'
+            ELSE {letter_at('122456783333331278', 'p % 18')} END AS c1""",
+        "if(p % 23 = 0, NULL, cast(l_linenumber % 5 AS INT)) AS economic_zone",
+    )
+    rows = coded.selectExpr(
+        "concat('S', f) AS portfolio_id",
+        f"DATE '{ANALYSIS_DATE}' AS valuation_date",
+        "if(f % 19 = 0, NULL, cast(f % 10 AS DOUBLE)) AS portfolio_mod_dur",
+        "if(f % 5 = 0, 'N', 'Y') AS scr_delivery",
+        f"if(p % 71 = 0, 'HU1', concat({code_at(COUNTRIES, 's % 25')}, c1, '1')) AS cic_of_underlying",
+        "economic_zone",
+        "concat('U', p % 40) AS id_of_underlying",
+        "concat(if(p % 9 = 0, 'EIB ', 'UND '), p) AS name_of_underlying",
+        f"{code_at(HOLDING_CURRENCIES, 's % 8')} AS qc_of_underlying",
+        "if(p % 211 = 0, NULL, l_extendedprice / fund_sum * if(f % 29 = 0, 0.9D, 1.0D)) AS valuation_weight",
+        "if(p % 37 = 0, NULL, date_add(cast(l_shipdate AS DATE), cast(p % 40 * 365 AS INT))) AS maturity_date",
+        "if(p % 41 = 0, NULL, cast(cast(l_quantity % 8 AS INT) AS STRING)) AS cqs",
+        "l_quantity / 2 AS mod_dur_of_underlying",
+        """CASE WHEN p % 83 = 0 THEN '9'
+           WHEN c1 = '3' THEN if(coalesce(economic_zone IN (1, 2), false), '3L', '3X')
+           ELSE c1 END AS underlying_asset_category""",
+        "explode(if(f % 31 = 0 AND p % 2 = 0, array(0, 1), array(0))) AS copy",
+        "l_orderkey", "l_linenumber", "p AS l_partkey", "s AS l_suppkey", "l_quantity", "l_extendedprice",
     )
-    weight = F.col("l_extendedprice") / F.col("fund_sum") * F.when(every(f, 29), 0.9).otherwise(1.0)
-    matures = F.date_add(F.col("l_shipdate").cast("date"), ((p % 40) * 365).cast("int"))
-    doubled = every(f, 31) & every(p, 2)
-    return rows.select(
-        F.concat(F.lit("S"), f.cast("string")).alias("portfolio_id"),
-        F.lit(ANALYSIS_DATE).alias("valuation_date"),
-        F.when(~every(f, 19), (f % 10).cast("double")).alias("portfolio_mod_dur"),
-        F.when(every(f, 5), "N").otherwise("Y").alias("scr_delivery"),
-        F.when(every(p, 71), "HU1")
-        .otherwise(F.concat(code_at(COUNTRIES, s % 25), F.col("c1"), F.lit("1")))
-        .alias("cic_of_underlying"),
-        F.col("zone").alias("economic_zone"),
-        F.concat(F.lit("U"), (p % 40).cast("string")).alias("id_of_underlying"),
-        F.concat(F.when(every(p, 9), "EIB ").otherwise("UND "), p.cast("string")).alias("name_of_underlying"),
-        code_at(HOLDING_CURRENCIES, s % 8).alias("qc_of_underlying"),
-        F.when(~every(p, 211), weight).alias("valuation_weight"),
-        F.when(~every(p, 37), matures).alias("maturity_date"),
-        F.when(~every(p, 41), (F.col("l_quantity") % 8).cast("int").cast("string")).alias("cqs"),
-        (F.col("l_quantity") / 2).alias("mod_dur_of_underlying"),
-        category.alias("underlying_asset_category"),
-        F.explode(F.when(doubled, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-    ).withColumn(
-        "holding_ord",
-        F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-                 "l_extendedprice", "copy"),
-    ).drop("copy", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "copy"]
+    return rows.withColumn("holding_ord", F.struct(*order)).drop(*order)
 
 
 def curves(spark: SparkSession) -> DataFrame:
     """Closed-form curves of the three sheets, 15 codes, terms 1..150."""
-    sheets = spark.range(1, 151).select(
-        F.col("id").cast("int").alias("term"),
-        F.explode(F.array(*[
-            F.struct(F.lit(i).alias("pos"), F.lit(f"{c}_31_12_2001_SWP").alias("curve_code"))
-            for i, c in enumerate(CURVE_NAMES)
-        ])).alias("c"),
-    )
-    base = 0.02 + 0.0001 * F.col("term") + 0.001 * F.col("c.pos")
-    shocks = F.explode(F.array(
-        F.struct(F.lit("base").alias("shock"), base.alias("rate")),
-        F.struct(F.lit("up").alias("shock"), (1.5 * base + 0.01).alias("rate")),
-        F.struct(F.lit("down").alias("shock"), (0.6 * base).alias("rate")),
-    ))
-    return sheets.select("c.pos", "c.curve_code", "term", shocks.alias("s")).select(
-        "s.shock", "pos", "curve_code", "term", "s.rate"
+    names = ", ".join(map(repr, CURVE_NAMES))
+    points = spark.range(1, 151).selectExpr("cast(id AS INT) AS term", f"posexplode(array({names})) AS (pos, name)")
+    rates = points.selectExpr("*", "0.02D + 0.0001D * term + 0.001D * pos AS b").selectExpr(
+        "pos", "term", "concat(name, '_31_12_2001_SWP') AS curve_code",
+        "explode(map('base', b, 'up', 1.5D * b + 0.01D, 'down', 0.6D * b)) AS (shock, rate)",
     )
+    return rates.select("shock", "pos", "curve_code", "term", "rate")
 
 
 def fx_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,22 +136,17 @@ def fx_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing where that is small."""
     rows = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
+    ).selectExpr(
+        "cast(o_orderdate AS DATE) AS rate_date",
+        f"{code_at(CURRENCIES, 'c_nationkey')} AS currency",
+        "o_totalprice / 1000 AS m",
     )
-    return (
-        rows.groupBy(
-            F.col("o_orderdate").cast("date").alias("rate_date"),
-            code_at(CURRENCIES, F.col("c_nationkey")).alias("currency"),
-        )
-        .agg((F.max("o_totalprice") / 1000).alias("m"))
-        .select("rate_date", "currency", F.when(F.col("m") > 60, F.col("m")).alias("rate"))
-    )
+    top = rows.groupBy("rate_date", "currency").agg(F.max("m").alias("m"))
+    return top.selectExpr("rate_date", "currency", "if(m > 60, m, NULL) AS rate")
 
 
 def fx_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unit per currency: 100 for the yen, otherwise 1."""
-    return (
-        table(spark, sf_dir, "customer")
-        .select(code_at(CURRENCIES, F.col("c_nationkey")).alias("currency"))
-        .distinct()
-        .withColumn("unit", F.when(F.col("currency") == "JPY", 100.0).otherwise(1.0))
-    )
+    customers = table(spark, sf_dir, "customer")
+    codes = customers.selectExpr(f"{code_at(CURRENCIES, 'c_nationkey')} AS currency").distinct()
+    return codes.selectExpr("currency", "if(currency = 'JPY', 100.0D, 1.0D) AS unit")

@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
+from shockwell.functions.lookups import text_list
 
 CONTROL_CHARACTERS = r"[\x00-\x1F\x7F]"
 
@@ -52,6 +53,6 @@ def starts_with(c: Column, prefix: str) -> Column:
     return F.coalesce(c.startswith(prefix), F.lit(False))
 
 
-def is_in(c: Column, values: list[str]) -> Column:
+def is_in(column: str, values) -> Column:
     """Membership test in which a missing value simply is not a member."""
-    return F.coalesce(c.isin(list(values)), F.lit(False))
+    return F.expr(f"coalesce({column} IN ({text_list(list(values))}), false)")

@@ -1,4 +1,8 @@
-"""Literal lookups: matrices and vectors that live inside the expression."""
+"""Literal lookups: matrices and vectors that live inside the expression.
+
+Literals are written as SQL text, which crosses to the JVM in one call however
+many values there are.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +12,26 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def sql_text(value: str) -> str:
+    """A string as an SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def text_list(values: Sequence[str]) -> str:
+    return ", ".join(sql_text(v) for v in values)
+
+
+def _vector_text(values: Sequence[float]) -> str:
+    return f"array({', '.join(f'{float(v)!r}D' for v in values)})"
+
+
 def vector(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    return F.expr(_vector_text(values))
 
 
 def matrix(rows: Sequence[Sequence[float]]) -> Column:
-    return F.array(*[vector(r) for r in rows])
+    return F.expr(f"array({', '.join(_vector_text(r) for r in rows)})")
 
 
 def pick(values: Sequence[float], index: Column) -> Column:
@@ -32,5 +50,5 @@ def pick2(rows: Sequence[Sequence[float]], i: Column, j: Column) -> Column:
 
 def translate(c: Column, mapping: Mapping[str, str]) -> Column:
     """Map a code to another; NULL for codes that are not listed."""
-    pairs = [F.lit(x) for kv in mapping.items() for x in kv]
-    return F.when(c.isNotNull(), F.try_element_at(F.create_map(*pairs), c))
+    pairs = text_list([x for kv in mapping.items() for x in kv])
+    return F.when(c.isNotNull(), F.try_element_at(F.expr(f"map({pairs})"), c))

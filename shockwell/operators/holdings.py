@@ -4,6 +4,9 @@ Rules fall in two groups.  Row rules need one holding only and are plain
 expressions.  Fund rules need sums over a fund; they come from one aggregation
 (`fund_facts`) with a single row per fund, which is joined back to the
 holdings.  No window is used: a window would bring a whole fund into one task.
+
+Functions that take ``facts`` read it more than once; pass a stored table
+(`shockwell.plans.storage.settled`) to have the holdings aggregated only once.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
 from shockwell.functions.cleaning import is_in, starts_with
-from shockwell.operators.skew import SkewPolicy, hot_keys, row_counts, split_join
+from shockwell.operators.skew import SkewPolicy, hot_keys, split_join
 
 VALIDATION = "validation"
 CRITICAL = "critical"
@@ -110,19 +113,19 @@ def own_type() -> Column:
         F.when((category() == "1") & not_sovereign, "1X")
         .when(category() == "0", "3X")
         .when(category() == "L", "7")
-        .when(~is_in(category(), fv.VALID_CATEGORIES) | wrong_cic_length(), "3X")
+        .when(~is_in("underlying_asset_category", fv.VALID_CATEGORIES) | wrong_cic_length(), "3X")
         .otherwise(category())
     )
 
 
 def row_overrides(df: DataFrame, rules: HoldingRules) -> Column:
     """True when a rule on the holding itself turns it into other equity."""
-    rate = is_in(category(), rules.rate_types)
+    rate = is_in("underlying_asset_category", rules.rate_types)
     conditions = {
-        "cqs": is_in(category(), fv.RATED_CATEGORIES) & F.col("cqs").isNull(),
-        "economic_zone": is_in(category(), fv.EQUITY_CATEGORIES) & F.col("economic_zone").isNull(),
+        "cqs": is_in("underlying_asset_category", fv.RATED_CATEGORIES) & F.col("cqs").isNull(),
+        "economic_zone": is_in("underlying_asset_category", fv.EQUITY_CATEGORIES) & F.col("economic_zone").isNull(),
         "maturity": rate & F.col("maturity_date").isNull(),
-        "currency": rate & ~is_in(F.col("qc_of_underlying"), fv.CURVE_CURRENCIES),
+        "currency": rate & ~is_in("qc_of_underlying", fv.CURVE_CURRENCIES),
     }
     result = F.lit(False)
     for check, condition in conditions.items():
@@ -160,12 +163,12 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
     undelivered = (
         (F.col("scr_delivery") == "N")
         & F.col("portfolio_mod_dur").isNull()
-        & is_in(category(), rules.rate_types)
+        & is_in("underlying_asset_category", rules.rate_types)
     )
     sums = holdings.groupBy("portfolio_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.coalesce(F.sum(w), F.lit(0.0)).alias("weight_sum"),
-        F.sum(F.when(is_in(category(), fv.STRUCTURED_CATEGORIES), w)).alias("structured_sum"),
+        F.sum(F.when(is_in("underlying_asset_category", fv.STRUCTURED_CATEGORIES), w)).alias("structured_sum"),
         F.max(F.coalesce(undelivered, F.lit(False))).alias("undelivered"),
         F.coalesce(
             F.sum(weight_after_fill(rules) * F.col("mod_dur_of_underlying")), F.lit(0.0)
@@ -197,8 +200,8 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
     )
 
 
-def hot_funds(holdings: DataFrame, policy: SkewPolicy) -> DataFrame:
-    return hot_keys(row_counts(holdings, "portfolio_id"), "portfolio_id", policy)
+def hot_funds(facts: DataFrame, policy: SkewPolicy) -> DataFrame:
+    return hot_keys(facts, "portfolio_id", policy)
 
 
 def with_fund_facts(
@@ -207,7 +210,7 @@ def with_fund_facts(
     """Put the facts of its fund on every holding."""
     return split_join(
         holdings, facts.drop("n_rows"), "portfolio_id", "inner",
-        F.col("holding_ord"), hot_funds(holdings, policy), policy,
+        F.col("holding_ord"), hot_funds(facts, policy), policy,
     )
 
 

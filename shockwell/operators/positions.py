@@ -83,7 +83,7 @@ def classify(kind: str, oecd_countries=PositionRules.oecd_countries) -> Column:
     by_allocation = F.lit(kind == ASSET)
     equity = (
         F.when(by_allocation & starts_with(allocation, fv.ALLOCATION_STRATEGIC), "3S")
-        .when(F.substring(cic, 1, 2).isin(list(oecd_countries)), "3L")
+        .when(is_in("substring(cic_of_instrument, 1, 2)", oecd_countries), "3L")
         .otherwise("3X")
     )
     base = (
@@ -126,7 +126,7 @@ def direct_rows(
         | F.col("analysis_date").isNull()
     )
     typed = unmatched.withColumn("classified_type", classify(kind, rules.oecd_countries))
-    rated = is_in(F.col("classified_type"), fv.RATED_CATEGORIES)
+    rated = is_in("classified_type", fv.RATED_CATEGORIES)
     missing_rating = rated & F.col("rating").isNull() & F.lit(rules.strict_missing_rating)
     typed = typed.withColumn("missing_rating", missing_rating)
     return typed.select(
@@ -141,7 +141,7 @@ def direct_rows(
         F.lit(True).alias("is_direct"),
         F.lit(None).cast("string").alias("id_of_underlying"),
         (
-            is_in(F.col("classified_type"), list(rules.rate_types))
+            is_in("classified_type", rules.rate_types)
             & irr_missing
             & ~F.col("missing_rating")
             & F.lit(rules.on("irr"))
@@ -191,7 +191,7 @@ def look_through(
     are salted and the position repeated per salt.
     """
     flags = facts.select("portfolio_id", "fund_is_other_equity")
-    hot = hot_funds(typed_holdings, policy)
+    hot = hot_funds(facts, policy)
     left = per_salt(positions.join(flags, "portfolio_id"), "portfolio_id", hot)
     right = with_salt(typed_holdings, "portfolio_id", F.col("holding_ord"), hot, policy)
     return (

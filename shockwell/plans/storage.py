@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
+_local_folders: dict[str, str] = {}
+
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares for intermediate tables.
@@ -20,7 +22,9 @@ def work_folder(spark: SparkSession) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="shockwell-")
+        application = spark.sparkContext.applicationId
+        shared = _local_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="shockwell-")
+        _local_folders[application] = shared
     return f"{shared.rstrip('/')}/shockwell-{uuid.uuid4().hex}"
 
 
@@ -33,3 +37,8 @@ def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> Dat
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
+
+
+def settled(df: DataFrame, name: str = "table") -> DataFrame:
+    """The table, computed once and kept in the work folder for several uses."""
+    return written(df, f"{work_folder(df.sparkSession)}/{name}")
