@@ -36,10 +36,9 @@ def matrix(rows: Sequence[Sequence[float]]) -> Column:
 
 def pick(values: Sequence[float], index: Column) -> Column:
     """Element at ``index``: positions past the end give the last element,
-    -1 counts from the end, anything further back gives NULL."""
+    -1 counts from the end, anything further back (or no index) gives NULL."""
     n = len(values)
-    capped = F.least(index, F.lit(n - 1))
-    position = F.when(capped >= 0, capped + 1).when(capped >= -n, capped)
+    position = F.when(index >= n, n).when(index >= 0, index + 1).when(index >= -n, index)
     return F.when(position.isNotNull(), F.try_element_at(vector(values), position.cast("int")))
 
 

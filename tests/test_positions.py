@@ -1,0 +1,145 @@
+import pytest
+from pyspark.sql import functions as F
+
+from shockwell.operators import holdings as hold
+from shockwell.operators import positions as pos
+from shockwell.operators.positions import PositionRules
+from shockwell.operators.skew import SkewPolicy
+from tests.conftest import D, holdings, positions, rows
+
+TINY = SkewPolicy(rows_per_split=2, max_hot_keys=4, max_splits=4, null_splits=3)
+
+
+def classified(spark, kind, *given):
+    df = positions(spark, *given).select("position_ord", pos.classify(kind).alias("t"))
+    return [r[1] for r in rows(df)]
+
+
+def test_classification(spark):
+    given = [
+        {"cic_of_instrument": None},
+        {"cic_of_instrument": "0"},
+        {"cic_of_instrument": "DE3"},
+        {"cic_of_instrument": "DE31", "asset_allocation": "645 FX"},
+        {"cic_of_instrument": "DE31", "asset_allocation": "996 x"},
+        {"cic_of_instrument": "DE31", "asset_allocation": "950 x"},
+        {"cic_of_instrument": "DE31"},
+        {"cic_of_instrument": "CN31"},
+        {"cic_of_instrument": "DE41", "asset_allocation": "950 x"},
+        {"cic_of_instrument": "DE11"},
+        {"cic_of_instrument": "DE11", "security_name": "Eib 2030"},
+        {"cic_of_instrument": "HU11"},
+        {"cic_of_instrument": "DE11", "security_name": None},
+        {"cic_of_instrument": "DE91", "asset_allocation": None},
+        {"cic_of_instrument": "XX", "asset_allocation": "645"},
+    ]
+    assert classified(spark, "asset", *given) == [
+        "3X", "3X", "3X", "FX", "2", "3S", "3L", "3X", "4", "1X", "1", "1", "1X", "9", "3X"]
+    assert classified(spark, "ul", *given)[3:8] == ["3L", "3L", "3L", "3L", "3X"]
+
+
+def test_ratings(spark):
+    given = ["AAA", "A A-", "aaa", "BBB +", "NR", None, "CCC", "B-"]
+    df = positions(spark, *[{"rating": g} for g in given])
+    got = rows(df.select("position_ord", pos.rating_to_step(F.col("rating")).alias("s")))
+    assert [g[1] for g in got] == ["0", "1", "6", "3", "NR", "6", "6", "5"]
+
+
+def frames(spark, given_positions, given_holdings, kind="asset", **kw):
+    p, h = positions(spark, *given_positions), holdings(spark, *given_holdings)
+    return pos.calc_frame(p, h, kind, **kw)
+
+
+def test_look_through_and_direct_rows(spark):
+    calc = frames(
+        spark,
+        [{}, {"portfolio_id": "X", "currency": "USD", "rating": "BB"}, {"portfolio_id": None}, {"dirty_value_pc": None}],
+        [{"valuation_weight": 0.25, "maturity_date": None}, {"valuation_weight": 0.75, "id_of_underlying": "U2"},
+         {"portfolio_id": "unused"}],
+    )
+    got = rows(calc, "position_ord", "id_of_underlying", "is_direct", "qc_of_underlying", "maturity_date", "cqs", "value")
+    assert got == [
+        (0, "U1", False, "EUR", None, "2", 25.0),
+        (0, "U2", False, "EUR", D(2005, 12, 31), "2", 75.0),
+        (1, None, True, "USD", D(2005, 12, 31), "4", 100.0),
+        (2, None, True, "HUF", D(2005, 12, 31), "1", 100.0),
+        (3, "U1", False, "EUR", None, "2", None),
+        (3, "U2", False, "EUR", D(2005, 12, 31), "2", None),
+    ]
+    assert set(calc.columns) >= set(pos.CALC_COLUMNS)
+
+
+def test_missing_inputs_of_rate_sensitive_direct_rows(spark):
+    given = [
+        {"portfolio_id": "a", "modified_duration": None}, {"portfolio_id": "b", "exp_maturity_date": None},
+        {"portfolio_id": "c", "analysis_date": None}, {"portfolio_id": "d"},
+        {"portfolio_id": "e", "cic_of_instrument": "DE11", "modified_duration": None},
+        {"portfolio_id": "f", "cic_of_instrument": "DE91", "modified_duration": None},
+    ]
+    direct = pos.direct_rows(positions(spark, *given), "asset")
+    assert rows(direct, "portfolio_id", "calculation_type", "missing_irr") == [
+        ("a", "3X", True), ("b", "3X", True), ("c", "3X", True), ("d", "1", False), ("e", "1X", False), ("f", "9", False)]
+    off = pos.direct_rows(positions(spark, *given), "asset", PositionRules(disabled=frozenset({"irr"})))
+    assert rows(off, "calculation_type")[:4] == [("1",)] * 4
+
+
+def test_strict_missing_rating(spark):
+    given = [{"rating": None}, {"rating": None, "cic_of_instrument": "DE91"}, {}]
+    lax = pos.direct_rows(positions(spark, *given), "asset")
+    assert rows(lax, "position_ord", "calculation_type", "cqs") == [(0, "1", "6"), (1, "9", "6"), (2, "1", "1")]
+    strict = pos.direct_rows(positions(spark, *given), "asset", PositionRules(strict_missing_rating=True))
+    assert rows(strict, "position_ord", "calculation_type") == [(0, "3X"), (1, "9"), (2, "1")]
+
+
+def test_report(spark):
+    p = positions(
+        spark, {"portfolio_id": "a", "dirty_value_pc": None}, {"portfolio_id": "b", "modified_duration": None},
+        {"portfolio_id": "S1", "dirty_value_pc": 5e6})
+    h = holdings(spark, {"valuation_weight": 0.5})
+    facts = hold.fund_facts(h)
+    calc = pos.module_frame(p, h, "asset")
+    direct = pos.direct_rows(pos.unmatched_positions(p, facts), "asset")
+    validation, critical = pos.split_position_report(pos.position_findings(p, calc, direct))
+    assert rows(validation, "error_code", "portfolio_id") == [("MISSING_IRR_INPUT", "b")]
+    assert rows(critical, "error_code", "portfolio_id", "total_dirty_value_pc", "total_value") == [
+        ("CONTROL_TOTAL", None, 5000100.0, 2500100.0), ("MISSING_MANDATORY", "a", None, None)]
+
+
+def test_control_total_tolerance_is_strict(spark):
+    p = positions(spark, {"dirty_value_pc": 2e6})
+    for weight, found in ((0.5, 0), (0.499, 1)):
+        calc = pos.module_frame(p, holdings(spark, {"valuation_weight": weight}), "asset")
+        assert pos.value_totals(p, calc).filter(pos.totals_differ()).count() == found
+
+
+def test_value_is_conserved_when_weights_sum_to_one(spark):
+    p = positions(spark, *[{"portfolio_id": f"S{i % 4}", "dirty_value_pc": 10.0 * i} for i in range(20)])
+    h = holdings(spark, *[{"portfolio_id": f"S{i % 3}", "valuation_weight": 0.25} for i in range(12)])
+    total = pos.value_totals(p, pos.calc_frame(p, h, "asset")).first()
+    assert total.total_value == pytest.approx(total.total_dirty_value_pc)
+
+
+def test_hot_keys_on_both_sides(spark):
+    """One security holds most positions and most holdings; splitting it gives
+    the same rows as a plain join."""
+    p = positions(spark, *[
+        {"portfolio_id": k, "portfolio_group": f"G{i % 2}", "dirty_value_pc": float(i)}
+        for k, n in (("hot", 17), ("cash", 14), ("S1", 2), (None, 9)) for i in range(n)])
+    h = holdings(spark, *[
+        {"portfolio_id": k, "id_of_underlying": f"U{i}", "valuation_weight": 1 / 64}
+        for k, n in (("hot", 31), ("S1", 3)) for i in range(n)])
+    shown = ["position_ord", "holding_ord", "id_of_underlying", "calculation_type", "value"]
+    plain, split = pos.calc_frame(p, h, "asset"), pos.calc_frame(p, h, "asset", policy=TINY)
+    assert rows(plain, *shown) == rows(split, *shown)
+    assert plain.count() == 17 * 31 + 2 * 3 + 14 + 9
+    pm, sm = pos.module_frame(p, h, "asset"), pos.module_frame(p, h, "asset", policy=TINY)
+    assert rows(pm) == rows(sm)
+    assert pm.filter("NOT is_direct").count() == 2 * 31 + 2 * 3
+
+
+def test_fold_keeps_the_first_position(spark):
+    p = positions(
+        spark, {"security_name": None, "dirty_value_pc": None}, {"security_name": "B", "dirty_value_pc": 2.0},
+        {"portfolio_group": "G2", "dirty_value_pc": 3.0}, {"asset_allocation": "995 x", "dirty_value_pc": 4.0})
+    got = rows(pos.fold_positions(p), "position_ord", "portfolio_group", "security_name", "dirty_value_pc")
+    assert got == [(0, "G1", None, 2.0), (2, "G2", "SEC", 3.0), (3, "G1", "SEC", 4.0)]
