@@ -12,6 +12,7 @@ holdings x portfolio groups instead of holdings x positions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -231,12 +232,21 @@ def module_frame(
     holding_rules: HoldingRules = HoldingRules(),
     position_rules: PositionRules = PositionRules(),
     policy: SkewPolicy = SkewPolicy(),
+    only_types: Sequence[str] | None = None,
 ) -> DataFrame:
     """The calc frame as the stress modules need it: positions folded before
-    the join, only the columns that modules read."""
+    the join, only the columns that modules read.
+
+    With ``only_types``, holdings that cannot get one of these types stay out
+    of the join; other rows of the result may still have any type.
+    """
     facts = fund_facts(holdings, holding_rules) if facts is None else facts
     folded = fold_positions(positions)
-    matched = look_through(folded, with_row_type(holdings, holding_rules), facts, policy)
+    typed = with_row_type(holdings, holding_rules)
+    if only_types is not None and "3X" not in only_types:
+        # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
+        typed = typed.filter(F.col("row_type").isin(list(only_types)))
+    matched = look_through(folded, typed, facts, policy)
     direct = direct_rows(unmatched_positions(positions, facts, policy), kind, position_rules)
     return matched.select(*MODULE_COLUMNS).unionByName(direct.select(*MODULE_COLUMNS))
 
