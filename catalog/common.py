@@ -13,15 +13,13 @@ from shockwell.plans.storage import settled
 from fixtures import views
 
 
-def r(column: str | Column, digits: int = 4) -> Column:
+def r(column: str, digits: int = 4) -> Column:
     """Rounded so that two engines agree although they add in another order.
 
     A nudge far below the last digit moves exact halves off the rounding
     boundary; adding zero turns a negative zero into zero.
     """
-    c = F.col(column) if isinstance(column, str) else column
-    rounded = F.round(c.cast("double") + F.lit(10.0 ** -(digits + 3)), digits) + F.lit(0.0)
-    return rounded.alias(column) if isinstance(column, str) else rounded
+    return F.expr(f"round(cast(`{column}` AS DOUBLE) + 1e-{digits + 3}D, {digits}) + 0.0D AS `{column}`")
 
 
 def rs(expression: str, name: str | None = None, digits: int = 4) -> str:

@@ -133,8 +133,8 @@ def years_to_maturity(spark, sf_dir):
     start = F.date_sub(day, (F.col("l_partkey") % 9000 - 500).cast("int"))
     return lines.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        r(years_between(start, day), 8).alias("years"),
-    )
+        years_between(start, day).alias("years"),
+    ).withColumn("years", r("years", 8))
 
 
 def curve_interpolate(spark, sf_dir):
@@ -160,15 +160,16 @@ def curve_for_currency(spark, sf_dir):
 
 
 def spread_buckets(spark, sf_dir):
-    lines = views.table(spark, sf_dir, "lineitem")
-    duration = F.when(F.col("l_partkey") % 29 != 0, F.col("l_quantity") / 2 - 0.25 * (F.col("l_suppkey") % 3))
-    step = (F.col("l_partkey") % 8).cast("int")
+    lines = views.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cast(l_partkey % 8 AS INT) AS step",
+        "if(l_partkey % 29 = 0, NULL, l_quantity / 2 - 0.25D * (l_suppkey % 3)) AS duration",
+    )
     return lines.select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        spread.duration_bucket(duration).cast("bigint").alias("bucket"),
-        r(spread.duration_in_bucket(duration), 6).alias("years_in_bucket"),
-        r(spread.spread_shock(step, duration, P), 6).alias("shock"),
-    )
+        spread.duration_bucket("duration").cast("bigint").alias("bucket"),
+        spread.duration_in_bucket("duration").alias("years_in_bucket"),
+        spread.spread_shock(F.col("step"), "duration", P).alias("shock"),
+    ).withColumns({"years_in_bucket": r("years_in_bucket", 6), "shock": r("shock", 6)})
 
 
 def cqs_normalise(spark, sf_dir):

@@ -58,7 +58,7 @@ def param_matrix_rows(spark, sf_dir):
     step = step_number(F.col("cqs"))
     used = (
         views.holdings(spark, sf_dir)
-        .select(step.alias("step"), duration_bucket(F.col("mod_dur_of_underlying")).alias("duration_row"))
+        .select(step.alias("step"), duration_bucket("mod_dur_of_underlying").alias("duration_row"))
         .filter("step IS NOT NULL")
         .groupBy("step", "duration_row")
         .agg(F.count(F.lit(1)).alias("n"))

@@ -10,28 +10,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def total(c) -> Column:
+def total(c: str) -> Column:
     """Sum that skips missing values and is 0 when there is nothing to add."""
-    return F.coalesce(F.sum(c), F.lit(0.0))
+    return F.expr(f"coalesce(sum({c}), 0.0D)")
 
 
-def first_by(c, order) -> Column:
+def first_by(c: str, order: str) -> Column:
     """Value on the row with the smallest order key, missing values included."""
     return F.min_by(c, order)
 
 
-def uniform(c) -> Column:
+def uniform(c: str) -> Column:
     """The value when every row has it, NULL when rows differ or some lack it."""
-    return F.when((F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)), F.min(c))
+    return F.expr(f"if(count({c}) = count(1) AND min({c}) = max({c}), min({c}), NULL)")
 
 
-def dominant(category, amount) -> Column:
+def dominant(category: str, amount: str) -> Column:
     """Category with the largest amount, the alphabetically first on a tie.
 
     Expects one row per category, i.e. amounts already summed.
     """
-    rank = F.struct(-F.col(amount), F.coalesce(F.col(category), F.lit("nan")))
-    return F.min_by(category, rank)
+    return F.expr(f"min_by({category}, struct(-{amount}, coalesce({category}, 'nan')))")
 
 
 def weighted_step(weighted: Column, weight: Column, tolerance: float) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
-from shockwell.functions.lookups import text_list
+from shockwell.functions.lookups import sql_text, text_list
 
 CONTROL_CHARACTERS = r"[\x00-\x1F\x7F]"
 
@@ -48,11 +48,18 @@ def serial_or_date(c: Column) -> Column:
     return F.coalesce(F.date_add(F.lit("1899-12-30").cast("date"), days), year_first_date(c))
 
 
-def starts_with(c: Column, prefix: str) -> Column:
-    """Prefix test in which a missing text simply does not match."""
-    return F.coalesce(c.startswith(prefix), F.lit(False))
+# Conditions as SQL text, for use in larger expressions.  A missing value makes
+# them false, never NULL.
 
 
-def is_in(column: str, values) -> Column:
-    """Membership test in which a missing value simply is not a member."""
-    return F.expr(f"coalesce({column} IN ({text_list(list(values))}), false)")
+def starts_with(column: str, *prefixes: str) -> str:
+    tests = " OR ".join(f"startswith({column}, {sql_text(p)})" for p in prefixes)
+    return f"coalesce({tests}, false)"
+
+
+def is_in(column: str, values) -> str:
+    return f"coalesce({column} IN ({text_list(list(values))}), false)"
+
+
+def matches(column: str, pattern: str) -> str:
+    return f"coalesce({column} RLIKE {sql_text(pattern)}, false)"

@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
-from shockwell.functions.cleaning import is_in, starts_with
+from shockwell.functions.cleaning import is_in, matches, starts_with
+from shockwell.functions.lookups import sql_text
 from shockwell.operators.skew import SkewPolicy, hot_keys, split_join
 
 VALIDATION = "validation"
@@ -37,7 +38,8 @@ DUPLICATE_CHUNK = 100_000
 class HoldingRules:
     """Switches and lists of the holding checks.
 
-    A check named in ``disabled`` neither reports nor changes a type.
+    A check named in ``disabled`` neither reports nor changes a type; only the
+    type a holding has by category, CIC and name is always assigned.
     """
 
     rate_types: tuple = tuple(fv.RATE_SENSITIVE_TYPES)
@@ -74,27 +76,24 @@ def require_rows(df: DataFrame, what: str) -> DataFrame:
 
 # ---------------------------------------------------------------- row rules
 
-def category() -> Column:
-    return F.col("underlying_asset_category")
+WRONG_CIC_LENGTH = "coalesce(length(cic_of_underlying) <> 4, true)"
 
+# Category the third CIC character stands for; equity splits by zone.
+CATEGORY_FROM_CIC = """CASE substring(cic_of_underlying, 3, 1) WHEN '' THEN NULL
+    WHEN '3' THEN if(coalesce(economic_zone IN (1, 2), false), '3L', '3X')
+    ELSE substring(cic_of_underlying, 3, 1) END"""
 
-def cic() -> Column:
-    return F.col("cic_of_underlying")
+CIC_MISMATCH = f"coalesce(({CATEGORY_FROM_CIC}) <> underlying_asset_category, true)"
 
 
-def wrong_cic_length() -> Column:
-    return F.coalesce(F.length(cic()) != 4, F.lit(True))
+def sovereign_like(cic: str, name: str) -> str:
+    """Condition: a government bond by its CIC country or a word in its name."""
+    by_cic = starts_with(cic, fv.SOVEREIGN_CIC_PREFIX)
+    return f"({by_cic} OR {matches(name, fv.SOVEREIGN_NAME_PATTERN)})"
 
 
-def category_from_cic() -> Column:
-    """Category the third CIC character stands for; equity splits by zone."""
-    third = F.nullif(F.substring(cic(), 3, 1), F.lit(""))
-    listed = F.coalesce(F.col("economic_zone").isin(1, 2), F.lit(False))
-    return F.when(third == "3", F.when(listed, "3L").otherwise("3X")).otherwise(third)
-
-
-def cic_mismatch() -> Column:
-    return F.coalesce(category_from_cic() != category(), F.lit(True))
+def category_in(values) -> str:
+    return is_in("underlying_asset_category", values)
 
 
 def missing_mandatory(df: DataFrame, rules: HoldingRules) -> list[str]:
@@ -106,40 +105,31 @@ def missing_mandatory(df: DataFrame, rules: HoldingRules) -> list[str]:
 
 def own_type() -> Column:
     """Calculation type by category, CIC and name alone."""
-    not_sovereign = ~starts_with(cic(), fv.SOVEREIGN_CIC_PREFIX) & ~F.coalesce(
-        F.col("name_of_underlying").rlike(fv.SOVEREIGN_NAME_PATTERN), F.lit(False)
-    )
-    return (
-        F.when((category() == "1") & not_sovereign, "1X")
-        .when(category() == "0", "3X")
-        .when(category() == "L", "7")
-        .when(~is_in("underlying_asset_category", fv.VALID_CATEGORIES) | wrong_cic_length(), "3X")
-        .otherwise(category())
-    )
+    return F.expr(f"""CASE
+        WHEN underlying_asset_category = '1'
+          AND NOT {sovereign_like('cic_of_underlying', 'name_of_underlying')} THEN '1X'
+        WHEN underlying_asset_category = '0' THEN '3X'
+        WHEN underlying_asset_category = 'L' THEN '7'
+        WHEN NOT {category_in(fv.VALID_CATEGORIES)} OR {WRONG_CIC_LENGTH} THEN '3X'
+        ELSE underlying_asset_category END""")
 
 
 def row_overrides(df: DataFrame, rules: HoldingRules) -> Column:
     """True when a rule on the holding itself turns it into other equity."""
-    rate = is_in("underlying_asset_category", rules.rate_types)
+    rate = category_in(rules.rate_types)
     conditions = {
-        "cqs": is_in("underlying_asset_category", fv.RATED_CATEGORIES) & F.col("cqs").isNull(),
-        "economic_zone": is_in("underlying_asset_category", fv.EQUITY_CATEGORIES) & F.col("economic_zone").isNull(),
-        "maturity": rate & F.col("maturity_date").isNull(),
-        "currency": rate & ~is_in("qc_of_underlying", fv.CURVE_CURRENCIES),
+        "cqs": f"{category_in(fv.RATED_CATEGORIES)} AND cqs IS NULL",
+        "economic_zone": f"{category_in(fv.EQUITY_CATEGORIES)} AND economic_zone IS NULL",
+        "maturity": f"{rate} AND maturity_date IS NULL",
+        "currency": f"{rate} AND NOT {is_in('qc_of_underlying', fv.CURVE_CURRENCIES)}",
+        "mandatory": " OR ".join(f"{c} IS NULL" for c in missing_mandatory(df, rules)) or "false",
     }
-    result = F.lit(False)
-    for check, condition in conditions.items():
-        if rules.on(check):
-            result = result | condition
-    if rules.on("mandatory"):
-        for c in missing_mandatory(df, rules):
-            result = result | F.col(c).isNull()
-    return result
+    active = [f"({condition})" for check, condition in conditions.items() if rules.on(check)]
+    return F.expr(" OR ".join(active) or "false")
 
 
-def weight_after_fill(rules: HoldingRules) -> Column:
-    w = F.col("valuation_weight")
-    return F.coalesce(w, F.lit(0.0)) if rules.on("mandatory") else w
+def weight_after_fill(rules: HoldingRules) -> str:
+    return "coalesce(valuation_weight, 0.0D)" if rules.on("mandatory") else "valuation_weight"
 
 
 def with_row_type(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> DataFrame:
@@ -147,7 +137,7 @@ def with_row_type(holdings: DataFrame, rules: HoldingRules = HoldingRules()) ->
     require_columns(holdings, rules.mandatory)
     typed = F.when(row_overrides(holdings, rules), "3X").otherwise(own_type())
     return holdings.withColumn("row_type", typed).withColumn(
-        "valuation_weight", weight_after_fill(rules)
+        "valuation_weight", F.expr(weight_after_fill(rules))
     )
 
 
@@ -159,44 +149,29 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
     All buffers are numbers, so this is a hash aggregation with map-side
     partial results: a fund of any size shuffles one row per task.
     """
-    w = F.col("valuation_weight")
-    undelivered = (
-        (F.col("scr_delivery") == "N")
-        & F.col("portfolio_mod_dur").isNull()
-        & is_in("underlying_asset_category", rules.rate_types)
-    )
+    undelivered = f"""coalesce(scr_delivery = 'N' AND portfolio_mod_dur IS NULL
+        AND {category_in(rules.rate_types)}, false)"""
+    structured = category_in(fv.STRUCTURED_CATEGORIES)
     sums = holdings.groupBy("portfolio_id").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(w), F.lit(0.0)).alias("weight_sum"),
-        F.sum(F.when(is_in("underlying_asset_category", fv.STRUCTURED_CATEGORIES), w)).alias("structured_sum"),
-        F.max(F.coalesce(undelivered, F.lit(False))).alias("undelivered"),
-        F.coalesce(
-            F.sum(weight_after_fill(rules) * F.col("mod_dur_of_underlying")), F.lit(0.0)
-        ).alias("weighted_duration"),
-        F.min("portfolio_mod_dur").alias("stated_low"),
-        F.max("portfolio_mod_dur").alias("stated_high"),
-    )
-    structured = F.coalesce(
-        F.col("structured_sum") > fv.STRUCTURED_WEIGHT_LIMIT, F.lit(False)
-    ) & F.lit(rules.on("structured_weight"))
-    undelivered = F.col("undelivered") & F.lit(rules.on("scr_delivery"))
-    outside = (F.col("weight_sum") < fv.WEIGHT_SUM_LOW) | (F.col("weight_sum") > fv.WEIGHT_SUM_HIGH)
-    off = F.coalesce(
-        F.greatest(
-            F.abs(F.col("stated_low") - F.col("weighted_duration")),
-            F.abs(F.col("stated_high") - F.col("weighted_duration")),
-        )
-        > rules.duration_tolerance,
-        F.lit(False),
+        F.expr("count(1) AS n_rows"),
+        F.expr("coalesce(sum(valuation_weight), 0.0D) AS weight_sum"),
+        F.expr(f"coalesce(sum(if({structured}, valuation_weight, NULL)), 0.0D) AS structured_sum"),
+        F.expr(f"max({undelivered}) AS undelivered"),
+        F.expr(f"coalesce(sum({weight_after_fill(rules)} * mod_dur_of_underlying), 0.0D) AS weighted_duration"),
+        F.expr("min(portfolio_mod_dur) AS stated_low"),
+        F.expr("max(portfolio_mod_dur) AS stated_high"),
     )
-    return sums.select(
+    too_structured = f"structured_sum > {fv.STRUCTURED_WEIGHT_LIMIT}D" if rules.on("structured_weight") else "false"
+    undelivered = "undelivered" if rules.on("scr_delivery") else "false"
+    return sums.selectExpr(
         "portfolio_id",
         "n_rows",
         "weight_sum",
         "weighted_duration",
-        (structured | undelivered).alias("fund_is_other_equity"),
-        outside.alias("weight_sum_outside"),
-        off.alias("duration_differs"),
+        f"({too_structured} OR {undelivered}) AS fund_is_other_equity",
+        f"(weight_sum < {fv.WEIGHT_SUM_LOW}D OR weight_sum > {fv.WEIGHT_SUM_HIGH}D) AS weight_sum_outside",
+        f"""coalesce(greatest(abs(stated_low - weighted_duration), abs(stated_high - weighted_duration))
+            > {rules.duration_tolerance!r}D, false) AS duration_differs""",
     )
 
 
@@ -210,12 +185,12 @@ def with_fund_facts(
     """Put the facts of its fund on every holding."""
     return split_join(
         holdings, facts.drop("n_rows"), "portfolio_id", "inner",
-        F.col("holding_ord"), hot_funds(facts, policy), policy,
+        "holding_ord", hot_funds(facts, policy), policy,
     )
 
 
 def final_type() -> Column:
-    return F.when(F.col("fund_is_other_equity"), "3X").otherwise(F.col("row_type"))
+    return F.expr("if(fund_is_other_equity, '3X', row_type)")
 
 
 def with_calculation_type(
@@ -234,60 +209,55 @@ def with_calculation_type(
 
 # ------------------------------------------------------------------ reports
 
-def _finding(when, severity, code, text, from_cic=False) -> Column:
-    nothing = F.lit(None).cast("string")
-    return F.struct(
-        when.alias("found"),
-        F.lit(severity).alias("severity"),
-        F.lit(code).alias("error_code"),
-        F.lit(text).alias("Error"),
-        (cic() if from_cic else nothing).alias("cic_code"),
-        (category_from_cic() if code == "CIC_MISMATCH" else nothing).alias("type_from_cic_code"),
-        (category() if from_cic else nothing).alias("original_type"),
-    )
-
-
-def row_findings(df: DataFrame, rules: HoldingRules) -> dict[str, list[Column]]:
-    """Candidate report rows of each check that looks at one holding."""
-    found: dict[str, list[Column]] = {}
-    if rules.on("cic"):
-        found["cic"] = [
-            _finding(wrong_cic_length(), VALIDATION, "CIC_LENGTH", "CIC code length is not 4", True),
-            _finding(cic_mismatch(), VALIDATION, "CIC_MISMATCH",
-                     "CIC code and underlying asset type mismatch", True),
-        ]
-    if rules.on("mandatory"):
-        found["mandatory"] = [
+def _finding(when: str, severity: str, code: str, text: str) -> str:
+    """SQL struct of one possible report row."""
+    with_cic = code.startswith("CIC")
+    nothing = "cast(NULL AS STRING)"
+    return f"""named_struct('found', {when}, 'severity', {sql_text(severity)},
+        'error_code', {sql_text(code)}, 'Error', {sql_text(text)},
+        'cic_code', {"cic_of_underlying" if with_cic else nothing},
+        'type_from_cic_code', {CATEGORY_FROM_CIC if code == "CIC_MISMATCH" else nothing},
+        'original_type', {"underlying_asset_category" if with_cic else nothing})"""
+
+
+def row_findings(df: DataFrame, rules: HoldingRules) -> dict[str, list[str]]:
+    """Possible report rows of each check that looks at one holding."""
+    found = {
+        "cic": [
+            _finding(WRONG_CIC_LENGTH, VALIDATION, "CIC_LENGTH", "CIC code length is not 4"),
+            _finding(CIC_MISMATCH, VALIDATION, "CIC_MISMATCH",
+                     "CIC code and underlying asset type mismatch"),
+        ],
+        "mandatory": [
             _finding(
-                F.col(c).isNull(),
+                f"{c} IS NULL",
                 CRITICAL if c == "valuation_weight" else VALIDATION,
                 "MISSING_MANDATORY",
                 f"Missing value in mandatory column: {c}",
             )
             for c in missing_mandatory(df, rules)
-        ]
-    if rules.on("data_types"):
-        found["data_types"] = [
-            _finding(F.col("economic_zone").isNull(), VALIDATION, "DATA_TYPE",
+        ],
+        "data_types": [
+            _finding("economic_zone IS NULL", VALIDATION, "DATA_TYPE",
                      "Column economic_zone is not of type int"),
-        ]
-    return found
+        ],
+    }
+    return {check: rows for check, rows in found.items() if rules.on(check)}
 
 
-def fund_findings(rules: HoldingRules) -> dict[str, list[Column]]:
-    """Candidate report rows of each check that looks at a fund."""
-    found: dict[str, list[Column]] = {}
-    if rules.on("weight_sum"):
-        found["weight_sum"] = [
-            _finding(F.col("weight_sum_outside"), CRITICAL, "WEIGHT_SUM",
+def fund_findings(rules: HoldingRules) -> dict[str, list[str]]:
+    """Possible report rows of each check that looks at a fund."""
+    found = {
+        "weight_sum": [
+            _finding("weight_sum_outside", CRITICAL, "WEIGHT_SUM",
                      "Valuation weight sum of the fund is not between 0.999 and 1.001"),
-        ]
-    if rules.on("portfolio_duration"):
-        found["portfolio_duration"] = [
-            _finding(F.col("duration_differs"), VALIDATION, "PORTFOLIO_DURATION",
+        ],
+        "portfolio_duration": [
+            _finding("duration_differs", VALIDATION, "PORTFOLIO_DURATION",
                      "Weighted duration of the holdings differs from the fund's duration"),
-        ]
-    return found
+        ],
+    }
+    return {check: rows for check, rows in found.items() if rules.on(check)}
 
 
 def duplicate_findings(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> DataFrame:
@@ -298,27 +268,25 @@ def duplicate_findings(holdings: DataFrame, rules: HoldingRules = HoldingRules()
     the group counts; group members never meet in one task.  A large group is
     cut into chunks that are dealt out to tasks before they are unrolled.
     """
-    keyed = holdings.withColumn("valuation_weight", weight_after_fill(rules))
-    for c in missing_mandatory(holdings, rules):
-        keyed = keyed.filter(F.col(c).isNotNull())
-    last = F.col("n") - 1
-    chunk = F.lit(DUPLICATE_CHUNK)
-    groups = keyed.groupBy(*rules.mandatory).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    chunks = groups.select(
+    filled = [f"{c} IS NOT NULL" for c in missing_mandatory(holdings, rules)]
+    keyed = holdings.withColumn("valuation_weight", F.expr(weight_after_fill(rules))).filter(
+        " AND ".join(filled) or "true"
+    )
+    groups = keyed.groupBy(*rules.mandatory).agg(F.expr("count(1) AS n")).filter("n > 1")
+    chunks = groups.selectExpr(
         "portfolio_id", "id_of_underlying", "n",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / chunk))).alias("chunk"),
-    ).repartition(F.xxhash64("portfolio_id", "id_of_underlying", "chunk"))
-    size = F.least(chunk.cast("bigint"), F.col("n") - F.col("chunk") * chunk)
-    nothing = F.lit(None).cast("string")
-    return chunks.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), size))).select(
-        F.lit(VALIDATION).alias("severity"),
-        F.lit("DUPLICATE").alias("error_code"),
-        F.lit("Duplicate rows found").alias("Error"),
+        f"explode(sequence(0L, (n - 1) div {DUPLICATE_CHUNK})) AS chunk",
+    ).repartition(F.expr("xxhash64(portfolio_id, id_of_underlying, chunk)"))
+    size = f"least({DUPLICATE_CHUNK}L, n - chunk * {DUPLICATE_CHUNK})"
+    return chunks.selectExpr("*", f"explode(sequence(1L, {size})) AS copy").selectExpr(
+        f"'{VALIDATION}' AS severity",
+        "'DUPLICATE' AS error_code",
+        "'Duplicate rows found' AS Error",
         "portfolio_id",
         "id_of_underlying",
-        nothing.alias("cic_code"),
-        nothing.alias("type_from_cic_code"),
-        nothing.alias("original_type"),
+        "cast(NULL AS STRING) AS cic_code",
+        "cast(NULL AS STRING) AS type_from_cic_code",
+        "cast(NULL AS STRING) AS original_type",
     )
 
 
@@ -343,9 +311,9 @@ def holding_findings(
         if by_fund:
             facts = fund_facts(holdings, rules) if facts is None else facts
             rows = with_fund_facts(holdings, facts, policy)
-        found = F.filter(F.array(*by_row, *by_fund), lambda f: f["found"])
+        found = f"inline(filter(array({', '.join(by_row + by_fund)}), x -> x.found))"
         parts.append(
-            rows.select("portfolio_id", "id_of_underlying", F.inline(found)).select(
+            rows.selectExpr("portfolio_id", "id_of_underlying", found).select(
                 "severity", "error_code", "Error", "portfolio_id", "id_of_underlying",
                 "cic_code", "type_from_cic_code", "original_type",
             )

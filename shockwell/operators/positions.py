@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
 from shockwell.functions.cleaning import is_in, starts_with
-from shockwell.functions.lookups import translate
-from shockwell.operators.holdings import CRITICAL, VALIDATION, final_type, hot_funds, with_row_type
-from shockwell.operators.holdings import HoldingRules, fund_facts
+from shockwell.functions.lookups import sql_text, translate
+from shockwell.operators.holdings import (
+    CRITICAL, VALIDATION, HoldingRules, final_type, fund_facts, hot_funds, sovereign_like, with_row_type,
+)
 from shockwell.operators.skew import SALT, SkewPolicy, hot_keys, per_salt, row_counts, split_join, with_salt
 
 ASSET = "asset"
@@ -79,25 +80,21 @@ def classify(kind: str, oecd_countries=PositionRules.oecd_countries) -> Column:
 
     The allocation rules hold for the asset list only.
     """
-    cic, allocation = F.col("cic_of_instrument"), F.col("asset_allocation")
-    third = F.substring(cic, 3, 1)
-    by_allocation = F.lit(kind == ASSET)
-    equity = (
-        F.when(by_allocation & starts_with(allocation, fv.ALLOCATION_STRATEGIC), "3S")
-        .when(is_in("substring(cic_of_instrument, 1, 2)", oecd_countries), "3L")
-        .otherwise("3X")
+    fx, deposit, strategic = (
+        starts_with("asset_allocation", prefix) if kind == ASSET else "false"
+        for prefix in (fv.ALLOCATION_FX, fv.ALLOCATION_DEPOSIT, fv.ALLOCATION_STRATEGIC)
     )
-    base = (
-        F.when(F.coalesce(F.length(cic) != 4, F.lit(True)), "3X")
-        .when(by_allocation & starts_with(allocation, fv.ALLOCATION_FX), "FX")
-        .when(by_allocation & starts_with(allocation, fv.ALLOCATION_DEPOSIT), "2")
-        .when(third == "3", equity)
-        .otherwise(third)
-    )
-    sovereign = starts_with(cic, fv.SOVEREIGN_CIC_PREFIX) | F.coalesce(
-        F.col("security_name").rlike(fv.SOVEREIGN_NAME_PATTERN), F.lit(False)
-    )
-    return F.when((base == "1") & ~sovereign, "1X").otherwise(base)
+    sovereign = sovereign_like("cic_of_instrument", "security_name")
+    return F.expr(f"""CASE
+        WHEN coalesce(length(cic_of_instrument) <> 4, true) THEN '3X'
+        WHEN {fx} THEN 'FX'
+        WHEN {deposit} THEN '2'
+        WHEN substring(cic_of_instrument, 3, 1) = '3' THEN CASE
+          WHEN {strategic} THEN '3S'
+          WHEN {is_in("substring(cic_of_instrument, 1, 2)", oecd_countries)} THEN '3L'
+          ELSE '3X' END
+        WHEN substring(cic_of_instrument, 3, 1) = '1' AND NOT {sovereign} THEN '1X'
+        ELSE substring(cic_of_instrument, 3, 1) END""")
 
 
 # ------------------------------------------------------------- direct rows
@@ -109,7 +106,7 @@ def unmatched_positions(
     hot = hot_keys(row_counts(positions, "portfolio_id"), "portfolio_id", policy)
     return split_join(
         positions, facts.select("portfolio_id"), "portfolio_id", "left_anti",
-        F.col("position_ord"), hot, policy,
+        "position_ord", hot, policy,
     )
 
 
@@ -121,35 +118,26 @@ def direct_rows(
     Holding columns are taken over from the position where it has them;
     ``missing_rating`` and ``missing_irr`` say which correction applies.
     """
-    irr_missing = (
-        F.col("modified_duration").isNull()
-        | F.col("exp_maturity_date").isNull()
-        | F.col("analysis_date").isNull()
-    )
+    missing_rating = f"{is_in('classified_type', fv.RATED_CATEGORIES)} AND rating IS NULL"
+    missing_irr = f"""{is_in('classified_type', rules.rate_types)} AND NOT missing_rating AND (
+        modified_duration IS NULL OR exp_maturity_date IS NULL OR analysis_date IS NULL)"""
     typed = unmatched.withColumn("classified_type", classify(kind, rules.oecd_countries))
-    rated = is_in("classified_type", fv.RATED_CATEGORIES)
-    missing_rating = rated & F.col("rating").isNull() & F.lit(rules.strict_missing_rating)
-    typed = typed.withColumn("missing_rating", missing_rating)
+    typed = typed.selectExpr("*", f"({missing_rating if rules.strict_missing_rating else 'false'}) AS missing_rating")
+    typed = typed.selectExpr("*", f"({missing_irr if rules.on('irr') else 'false'}) AS missing_irr")
     return typed.select(
         "*",
-        F.col("currency").alias("qc_of_underlying"),
-        F.col("exp_maturity_date").alias("maturity_date"),
-        F.col("analysis_date").alias("valuation_date"),
         rating_to_step(F.col("rating")).alias("cqs"),
-        F.col("modified_duration").alias("mod_dur_of_underlying"),
-        F.lit(1.0).alias("valuation_weight"),
-        F.col("dirty_value_pc").alias("value"),
-        F.lit(True).alias("is_direct"),
-        F.lit(None).cast("string").alias("id_of_underlying"),
-        (
-            is_in("classified_type", rules.rate_types)
-            & irr_missing
-            & ~F.col("missing_rating")
-            & F.lit(rules.on("irr"))
-        ).alias("missing_irr"),
-    ).withColumn(
-        "calculation_type",
-        F.when(F.col("missing_rating") | F.col("missing_irr"), "3X").otherwise(F.col("classified_type")),
+        *[F.expr(e) for e in (
+            "currency AS qc_of_underlying",
+            "exp_maturity_date AS maturity_date",
+            "analysis_date AS valuation_date",
+            "modified_duration AS mod_dur_of_underlying",
+            "1.0D AS valuation_weight",
+            "dirty_value_pc AS value",
+            "true AS is_direct",
+            "cast(NULL AS STRING) AS id_of_underlying",
+            "if(missing_rating OR missing_irr, '3X', classified_type) AS calculation_type",
+        )],
     )
 
 
@@ -161,9 +149,7 @@ def fold_positions(positions: DataFrame) -> DataFrame:
     Same security, portfolio group and analysis date, and the same answer to
     "counts in the portfolio total".  The texts are those of the first position.
     """
-    outside = F.lit(False)
-    for prefix in fv.ALLOCATIONS_OUTSIDE_TOTAL:
-        outside = outside | starts_with(F.col("asset_allocation"), prefix)
+    outside = F.expr(starts_with("asset_allocation", *fv.ALLOCATIONS_OUTSIDE_TOTAL))
     texts = ["security_name", "country", "currency", "cic_of_instrument", "asset_allocation"]
     return (
         positions.filter(F.col("portfolio_id").isNotNull())
@@ -194,13 +180,15 @@ def look_through(
     flags = facts.select("portfolio_id", "fund_is_other_equity")
     hot = hot_funds(facts, policy)
     left = per_salt(positions.join(flags, "portfolio_id"), "portfolio_id", hot)
-    right = with_salt(typed_holdings, "portfolio_id", F.col("holding_ord"), hot, policy)
+    right = with_salt(typed_holdings, "portfolio_id", "holding_ord", hot, policy)
     return (
         left.join(right, ["portfolio_id", SALT])
-        .withColumn("calculation_type", final_type())
-        .withColumn("valuation_weight", F.coalesce("valuation_weight", F.lit(1.0)))
-        .withColumn("value", F.col("valuation_weight") * F.col("dirty_value_pc"))
-        .withColumn("is_direct", F.lit(False))
+        .withColumns({
+            "calculation_type": final_type(),
+            "valuation_weight": F.expr("coalesce(valuation_weight, 1.0D)"),
+            "value": F.expr("coalesce(valuation_weight, 1.0D) * dirty_value_pc"),
+            "is_direct": F.expr("false"),
+        })
         .drop(SALT, "row_type", "fund_is_other_equity")
     )
 
@@ -274,44 +262,35 @@ def position_findings(
 
     ``direct`` comes from `direct_rows`; ``calc`` is either form of calc frame.
     """
-    no_total = F.lit(None).cast("double")
-
-    def finding(rows, severity, code, text):
-        return rows.select(
-            F.lit(severity).alias("severity"),
-            F.lit(code).alias("error_code"),
-            F.lit(text).alias("Error"),
-            "portfolio_id",
-            no_total.alias("total_dirty_value_pc"),
-            no_total.alias("total_value"),
-        )
+    shown = ["severity", "error_code", "Error", "portfolio_id", "total_dirty_value_pc", "total_value"]
+
+    def finding(rows, severity, code, text, *columns):
+        empty = {"portfolio_id": "cast(NULL AS STRING)", "total_dirty_value_pc": "cast(NULL AS DOUBLE)",
+                 "total_value": "cast(NULL AS DOUBLE)"}
+        values = {"severity": sql_text(severity), "error_code": sql_text(code), "Error": sql_text(text),
+                  **empty, **{c: c for c in columns}}
+        return rows.selectExpr(*[f"{values[c]} AS {c}" for c in shown])
 
     parts = []
     if rules.on("mandatory"):
         parts.append(finding(
-            positions.filter(F.col("dirty_value_pc").isNull()), CRITICAL,
-            "MISSING_MANDATORY", "Missing value in mandatory column: dirty_value_pc",
+            positions.filter("dirty_value_pc IS NULL"), CRITICAL,
+            "MISSING_MANDATORY", "Missing value in mandatory column: dirty_value_pc", "portfolio_id",
         ))
     if rules.strict_missing_rating:
         parts.append(finding(
             direct.filter("missing_rating"), VALIDATION,
-            "MISSING_RATING", "Missing rating for calculation type 1, 2 or 8",
+            "MISSING_RATING", "Missing rating for calculation type 1, 2 or 8", "portfolio_id",
         ))
     if rules.on("irr"):
         parts.append(finding(
             direct.filter("missing_irr"), VALIDATION, "MISSING_IRR_INPUT",
-            "Missing duration, maturity or analysis date for a rate-sensitive type",
+            "Missing duration, maturity or analysis date for a rate-sensitive type", "portfolio_id",
         ))
-    parts.append(
-        value_totals(positions, calc).filter(totals_differ()).select(
-            F.lit(CRITICAL).alias("severity"),
-            F.lit("CONTROL_TOTAL").alias("error_code"),
-            F.lit("Total value is not within 1000000 of the control total").alias("Error"),
-            F.lit(None).cast("string").alias("portfolio_id"),
-            "total_dirty_value_pc",
-            "total_value",
-        )
-    )
+    parts.append(finding(
+        value_totals(positions, calc).filter(totals_differ()), CRITICAL, "CONTROL_TOTAL",
+        "Total value is not within 1000000 of the control total", "total_dirty_value_pc", "total_value",
+    ))
     report = parts[0]
     for part in parts[1:]:
         report = report.unionByName(part)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shockwell.functions.aggregates import dominant, first_by, total
+from shockwell.functions.aggregates import dominant
 
 SECURITY = ["portfolio_id", "portfolio_group"]
 
@@ -34,36 +34,30 @@ def roll_up(
     differ; must be numbers.  ``category``: the one with the largest sum of
     ``category_by``.
     """
-    by_position = [*keys, "position_ord", *texts] + ([category] if category else [])
-    measures = [total(c).alias(c) for c in sums]
-    for c in uniform:
-        measures += [
-            F.min(c).alias(f"{c}_low"),
-            F.max(c).alias(f"{c}_high"),
-            F.max(F.col(c).isNull()).alias(f"{c}_gap"),
-        ]
-    level = rows.groupBy(*by_position).agg(*measures)
-
-    picks = [F.min(F.struct("position_ord", *texts)).alias("_first")]
-    picks += [F.sum(c).alias(c) for c in sums]
-    for c in uniform:
-        low, high = F.min(f"{c}_low"), F.max(f"{c}_high")
-        picks.append(F.when((low == high) & ~F.max(f"{c}_gap"), low).alias(c))
+    first = f"min(struct(position_ord, {', '.join(texts)})) AS _first"
+    added = [F.expr(f"sum({c}) AS {c}") for c in sums]
+    bounds = [
+        F.expr(f"{f}({c}_{bound}) AS {c}_{bound}")
+        for c in uniform for f, bound in (("min", "low"), ("max", "high"), ("max", "gap"))
+    ]
+    common = [
+        F.expr(f"if(min({c}_low) = max({c}_high) AND NOT max({c}_gap), min({c}_low), NULL) AS {c}")
+        for c in uniform
+    ]
+    categories = [category] if category else []
+    level = rows.groupBy(*keys, "position_ord", *texts, *categories).agg(
+        *[F.expr(f"coalesce(sum({c}), 0.0D) AS {c}") for c in sums],
+        *[F.expr(f"min({c}) AS {c}_low") for c in uniform],
+        *[F.expr(f"max({c}) AS {c}_high") for c in uniform],
+        *[F.expr(f"max({c} IS NULL) AS {c}_gap") for c in uniform],
+    )
     if category is None:
-        result = level.groupBy(*keys).agg(*picks)
+        result = level.groupBy(*keys).agg(F.expr(first), *added, *common)
     else:
         # Categories add up over positions before they compete.
-        per_category = level.groupBy(*keys, category).agg(
-            F.min(F.struct("position_ord", *texts)).alias("_first"),
-            *[F.sum(c).alias(c) for c in sums],
-            *[F.min(f"{c}_low").alias(f"{c}_low") for c in uniform],
-            *[F.max(f"{c}_high").alias(f"{c}_high") for c in uniform],
-            *[F.max(f"{c}_gap").alias(f"{c}_gap") for c in uniform],
-        )
-        picks[0] = F.min("_first").alias("_first")
+        per_category = level.groupBy(*keys, category).agg(F.expr(first), *added, *bounds)
         result = per_category.groupBy(*keys).agg(
-            *picks, dominant(category, category_by).alias("_category")
+            F.expr("min(_first) AS _first"), *added, *common,
+            dominant(category, category_by).alias("_category"),
         ).withColumnRenamed("_category", category)
-    flat = [F.col("_first")[t].alias(t) for t in texts]
-    rest = [c for c in [*sums, *uniform, *([category] if category else [])]]
-    return result.select(*keys, *flat, *rest)
+    return result.select(*keys, *[f"_first.{t}" for t in texts], *sums, *uniform, *categories)

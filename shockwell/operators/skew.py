@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
@@ -36,43 +36,34 @@ def hot_keys(counts: DataFrame, key: str, policy: SkewPolicy) -> DataFrame:
     At most ``max_hot_keys`` rows whatever the data size, so it is safe to
     broadcast.
     """
-    splits = F.ceil(F.col("n_rows") / F.lit(policy.rows_per_split))
+    splits = f"cast(least(ceil(n_rows / {policy.rows_per_split}), {policy.max_splits}) AS INT)"
     return (
-        counts.filter(F.col("n_rows") > policy.rows_per_split)
-        .filter(F.col(key).isNotNull())
+        counts.filter(f"n_rows > {policy.rows_per_split} AND {key} IS NOT NULL")
         .orderBy(F.desc("n_rows"), key)
         .limit(policy.max_hot_keys)
-        .select(key, F.least(splits, F.lit(policy.max_splits)).cast("int").alias(SPLITS))
+        .selectExpr(key, f"{splits} AS {SPLITS}")
     )
 
 
 def row_counts(rows: DataFrame, key: str) -> DataFrame:
     """Rows per key; partial sums leave one row per key and task to shuffle."""
-    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.groupBy(key).agg(F.expr("count(1) AS n_rows"))
 
 
-def with_salt(rows: DataFrame, key: str, order: Column, hot: DataFrame, policy: SkewPolicy) -> DataFrame:
+def with_salt(rows: DataFrame, key: str, order: str, hot: DataFrame, policy: SkewPolicy) -> DataFrame:
     """Give each row of a split key one of its salts, any other row salt 0.
 
     Rows without a key match nothing, so they are spread freely.
     """
-    spread = F.xxhash64(order)
-    salt = (
-        F.when(F.col(key).isNull(), F.pmod(spread, F.lit(policy.null_splits)))
-        .when(F.col(SPLITS).isNotNull(), F.pmod(spread, F.col(SPLITS)))
-        .otherwise(F.lit(0))
-    )
-    return rows.join(F.broadcast(hot), key, "left").withColumn(SALT, salt.cast("int")).drop(SPLITS)
+    salts = f"if({key} IS NULL, {policy.null_splits}, {SPLITS})"
+    salt = f"cast(coalesce(pmod(xxhash64({order}), {salts}), 0) AS INT)"
+    return rows.join(F.broadcast(hot), key, "left").withColumn(SALT, F.expr(salt)).drop(SPLITS)
 
 
 def per_salt(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     """Repeat each row once per salt of its key."""
-    salts = F.sequence(F.lit(0), F.coalesce(F.col(SPLITS), F.lit(1)) - 1)
-    return (
-        rows.join(F.broadcast(hot), key, "left")
-        .withColumn(SALT, F.explode(salts))
-        .drop(SPLITS)
-    )
+    salts = f"explode(sequence(0, coalesce({SPLITS}, 1) - 1))"
+    return rows.join(F.broadcast(hot), key, "left").withColumn(SALT, F.expr(salts)).drop(SPLITS)
 
 
 def split_join(
@@ -80,7 +71,7 @@ def split_join(
     few: DataFrame,
     key: str,
     how: str,
-    order: Column,
+    order: str,
     hot: DataFrame,
     policy: SkewPolicy,
 ) -> DataFrame:

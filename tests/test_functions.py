@@ -87,14 +87,14 @@ def test_quarter_end(spark):
 
 
 def test_term_clamp(spark):
-    assert column(spark, [0.5, -2.0, 150.5, 10.0, 149.5, None], "double", clamped_term) == [
+    assert column(spark, [0.5, -2.0, 150.5, 10.0, 149.5, None], "double", lambda _: clamped_term("c")) == [
         1.0, 1.0, 150.0, 10.0, 149.5, None]
 
 
 def test_duration_buckets(spark):
     durations = [0.5, 1.0, 4.999, 5.0, 10.0, 15.0, 20.0, 35.0, None]
-    assert column(spark, durations, "double", duration_bucket) == [0, 0, 0, 1, 2, 3, 4, 4, 4]
-    inside = column(spark, durations, "double", duration_in_bucket)
+    assert column(spark, durations, "double", lambda _: duration_bucket("c")) == [0, 0, 0, 1, 2, 3, 4, 4, 4]
+    inside = column(spark, durations, "double", lambda _: duration_in_bucket("c"))
     assert inside[:2] == [1.0, 1.0] and inside[3:] == [0.0, 0.0, 0.0, 0.0, 15.0, None]
 
 
@@ -109,7 +109,7 @@ def test_spread_shock_reads_the_matrices(spark):
     cases = [(2, 3.0, 0.014 * 3), (6, 7.0, 0.225 + 0.025 * 2), (7, 12.0, 0.235 + 0.012 * 2),
              (5, 19.0, 0.610 + 0.005 * 4), (0, 25.0, 0.120 + 0.005 * 5), (5, 300.0, 1.0), (1, None, None)]
     df = spark.createDataFrame([(s, d) for s, d, _ in cases], "s int, d double")
-    got = [r[0] for r in df.select(spread_shock(F.col("s"), F.col("d"), p)).collect()]
+    got = [r[0] for r in df.select(spread_shock(F.col("s"), "d", p)).collect()]
     for have, (_, _, want) in zip(got, cases):
         assert have == want if want is None else math.isclose(have, want)
 
@@ -130,7 +130,7 @@ def test_first_uniform_dominant(spark):
     )
     got = {r.k: r for r in df.groupBy("k").agg(
         aggregates.first_by("c", "o").alias("first"), aggregates.uniform("c").alias("uniform"),
-        aggregates.total(F.when(F.col("k") == "b", F.col("v"))).alias("total"),
+        aggregates.total("if(k = 'b', v, NULL)").alias("total"),
     ).collect()}
     assert got["a"].first is None and got["a"].uniform is None and got["a"].total == 0.0
     assert got["b"].uniform == "y" and got["b"].total == 4.0
