@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import (
-    ORDER_SQL, calc_frame, direct_rows, fund_facts, module_frame, order_columns, r, rs,
+    ORDER_SQL, calc_frame, direct_rows, fund_facts, order_columns, r, rs,
 )
 from fixtures import sql, views
 from shockwell.operators import holdings as hold
@@ -94,9 +94,7 @@ def position_value(spark, sf_dir):
 
 def _reconciliation(kind):
     def query(spark, sf_dir):
-        totals = pos.value_totals(
-            views.positions(spark, sf_dir, kind), module_frame(spark, sf_dir, kind)
-        )
+        totals = pos.value_totals(views.positions(spark, sf_dir, kind), fund_facts(spark, sf_dir))
         return totals.select(
             r("total_dirty_value_pc", 1), r("total_value", 1), pos.totals_differ().alias("differs")
         )
@@ -120,7 +118,7 @@ def _position_findings(spark, sf_dir, kind, rules=pos.PositionRules(), facts=Non
     facts = facts or fund_facts(spark, sf_dir)
     return pos.position_findings(
         views.positions(spark, sf_dir, kind),
-        module_frame(spark, sf_dir, kind, facts),
+        facts,
         direct_rows(spark, sf_dir, kind, rules, facts),
         rules,
     )

@@ -43,11 +43,11 @@ def fund_facts(spark, sf_dir):
     return settled(hold.fund_facts(views.holdings(spark, sf_dir)), "fund_facts")
 
 
-def module_frame(spark, sf_dir, kind, facts=None):
+def module_frame(spark, sf_dir, kind, facts=None, only_types=None):
     """The frame the stress modules run on."""
     return pos.module_frame(
         views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind,
-        facts or fund_facts(spark, sf_dir),
+        facts or fund_facts(spark, sf_dir), only_types=only_types,
     )
 
 

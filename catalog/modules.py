@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import calc_frame, module_frame, r, rs
+from catalog.common import calc_frame, fund_facts, module_frame, r, rs
 from fixtures import sql, views
 from shockwell import fixed_values as fv
 from shockwell.functions import aggregates
@@ -28,45 +28,57 @@ def _shown(df, digits=4):
     return df.select(*[r(c, digits) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
+def _frame(spark, sf_dir, kind, module, full=False):
+    """The full look-through frame, or what one module needs of it."""
+    if full:
+        return calc_frame(spark, sf_dir, kind)
+    return module_frame(spark, sf_dir, kind, only_types=M.types_for(module))
+
+
 def _equity(kind):
     def query(spark, sf_dir):
-        return _shown(equity.equity_risk(module_frame(spark, sf_dir, kind), P, M, views.SYMMETRIC_ADJUSTMENT))
+        frame = _frame(spark, sf_dir, kind, "equity")
+        return _shown(equity.equity_risk(frame, P, M, views.SYMMETRIC_ADJUSTMENT))
 
     return query
 
 
-def _interest(kind, part):
+def _interest(kind, rejects=False):
     def query(spark, sf_dir):
-        frame = module_frame(spark, sf_dir, kind) if part == 0 else calc_frame(spark, sf_dir, kind)
-        return _shown(interest.interest_rate_risk(frame, P, M, views.curves(spark))[part])
+        frame = _frame(spark, sf_dir, kind, "interest", full=rejects)
+        return _shown(interest.interest_rate_risk(frame, P, M, views.curves(spark))[rejects])
 
     return query
 
 
-def _spread(kind, part):
+def _spread(kind, rejects=False):
     def query(spark, sf_dir):
-        frame = module_frame(spark, sf_dir, kind) if part == 0 else calc_frame(spark, sf_dir, kind)
-        return _shown(spread.spread_risk(frame, P, M)[part])
+        frame = _frame(spark, sf_dir, kind, "spread", full=rejects)
+        return _shown(spread.spread_risk(frame, P, M)[rejects])
 
     return query
 
 
 def _currency(kind):
     def query(spark, sf_dir):
-        return _shown(currency.currency_risk(module_frame(spark, sf_dir, kind), P, M, _rates(spark, sf_dir)))
+        frame = _frame(spark, sf_dir, kind, "currency")
+        return _shown(currency.currency_risk(frame, P, M, _rates(spark, sf_dir)))
 
     return query
 
 
 def _property(kind):
     def query(spark, sf_dir):
-        return _shown(prop.property_risk(module_frame(spark, sf_dir, kind), P, M))
+        return _shown(prop.property_risk(_frame(spark, sf_dir, kind, "property"), P, M))
 
     return query
 
 
 def concentration_risk(spark, sf_dir):
-    return _shown(concentration.concentration_risk(module_frame(spark, sf_dir, "asset"), P, M)[0], 2)
+    facts = fund_facts(spark, sf_dir)
+    frame = module_frame(spark, sf_dir, "asset", facts, M.types_for("concentration"))
+    totals = pos.value_totals(views.positions(spark, sf_dir, "asset"), facts)
+    return _shown(concentration.concentration_risk(frame, P, M, totals)[0], 2)
 
 
 def _by_country(spark, sf_dir):
@@ -204,17 +216,17 @@ QUERIES = {
     "spread_buckets": spread_buckets,
     "cqs_normalise": cqs_normalise,
     "equity_risk": _equity("asset"),
-    "interest_rate_risk": _interest("asset", 0),
-    "interest_rate_rejects": _interest("asset", 1),
-    "spread_risk": _spread("asset", 0),
-    "spread_rejects": _spread("asset", 1),
+    "interest_rate_risk": _interest("asset"),
+    "interest_rate_rejects": _interest("asset", rejects=True),
+    "spread_risk": _spread("asset"),
+    "spread_rejects": _spread("asset", rejects=True),
     "currency_risk": _currency("asset"),
     "concentration_risk": concentration_risk,
     "concentration_by_country": concentration_by_country,
     "property_risk": _property("asset"),
     "ul_equity_risk": _equity("ul"),
-    "ul_interest_rate_risk": _interest("ul", 0),
-    "ul_spread_risk": _spread("ul", 0),
+    "ul_interest_rate_risk": _interest("ul"),
+    "ul_spread_risk": _spread("ul"),
     "ul_currency_risk": _currency("ul"),
     "ul_property_risk": _property("ul"),
 }

@@ -1,6 +1,9 @@
 """Domain tables derived from the driver tables (see FIXTURES.md).
 
-`sql.py` next to this file states the same derivations for DuckDB.
+Positions and holdings are input files in real use, so they are derived once
+per session and folder, over the whole driver tables, and stored; queries read
+the stored table.  `sql.py` next to this file states the same derivations for
+DuckDB.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shockwell import CalculationMatrix, Parameters, ReportingPeriod
+from shockwell.plans.storage import settled
 
 ANALYSIS_DATE = datetime.date(2001, 12, 31)
 FX_PERIOD = ReportingPeriod(2001, 6)
@@ -50,12 +54,37 @@ def letter_at(text: str, index: str) -> str:
     return f"substring('{text}', cast({index} AS INT) + 1, 1)"
 
 
+_stored: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The derived table from the work folder, written on first use.
+
+    The driver files may hold all rows in one block, so the rows are dealt out
+    to at least as many files as there are cores.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        rows, cores = build(spark, sf_dir), spark.sparkContext.defaultParallelism
+        if len(table(spark, sf_dir, "lineitem").inputFiles()) < cores:
+            rows = rows.repartition(cores)
+        _stored[key] = settled(rows, name)
+    return _stored[key]
+
+
 def positions(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    """All positions, or those of the ``asset`` or ``ul`` list."""
+    rows = stored(spark, sf_dir, "positions", derive_positions)
+    return (rows if kind is None else rows.filter(F.col("list") == kind)).drop("list")
+
+
+def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "holdings", derive_holdings)
+
+
+def derive_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per order; the UL list is the orders with status P."""
-    orders = table(spark, sf_dir, "orders")
-    if kind is not None:
-        orders = orders.filter("o_orderstatus = 'P'" if kind == "ul" else "o_orderstatus IN ('F', 'O')")
-    rows = orders.join(
+    rows = table(spark, sf_dir, "orders").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).withColumnsRenamed({"o_orderkey": "k", "c_nationkey": "n"})
     return rows.selectExpr(
@@ -76,10 +105,11 @@ def positions(spark: SparkSession, sf_dir: str, kind: str | None = None) -> Data
         "if(k % 19 = 0, NULL, (k % 250) / 10.0D) AS modified_duration",
         "if(k % 101 = 0, NULL, o_totalprice) AS dirty_value_pc",
         "k AS position_ord",
+        "if(o_orderstatus = 'P', 'ul', 'asset') AS list",
     )
 
 
-def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One holding per lineitem, some of them twice.
 
     Fourteen orders in a row make seven securities and share five funds, so

@@ -146,6 +146,7 @@ def with_row_type(holdings: DataFrame, rules: HoldingRules = HoldingRules()) ->
 def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> DataFrame:
     """One row per fund: size, sums, and the verdict of each fund rule.
 
+    ``applied_weight`` is the sum of the weights that positions are valued with.
     All buffers are numbers, so this is a hash aggregation with map-side
     partial results: a fund of any size shuffles one row per task.
     """
@@ -155,6 +156,7 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
     sums = holdings.groupBy("portfolio_id").agg(
         F.expr("count(1) AS n_rows"),
         F.expr("coalesce(sum(valuation_weight), 0.0D) AS weight_sum"),
+        F.expr(f"sum(coalesce({weight_after_fill(rules)}, 1.0D)) AS applied_weight"),
         F.expr(f"coalesce(sum(if({structured}, valuation_weight, NULL)), 0.0D) AS structured_sum"),
         F.expr(f"max({undelivered}) AS undelivered"),
         F.expr(f"coalesce(sum({weight_after_fill(rules)} * mod_dur_of_underlying), 0.0D) AS weighted_duration"),
@@ -167,6 +169,7 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
         "portfolio_id",
         "n_rows",
         "weight_sum",
+        "applied_weight",
         "weighted_duration",
         f"({too_structured} OR {undelivered}) AS fund_is_other_equity",
         f"(weight_sum < {fv.WEIGHT_SUM_LOW}D OR weight_sum > {fv.WEIGHT_SUM_HIGH}D) AS weight_sum_outside",

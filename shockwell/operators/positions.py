@@ -241,12 +241,25 @@ def module_frame(
 
 # ------------------------------------------------------------------ reports
 
-def value_totals(positions: DataFrame, calc: DataFrame) -> DataFrame:
-    """One row: value before and after the look-through."""
-    before = positions.agg(F.coalesce(F.sum("dirty_value_pc"), F.lit(0.0)))
-    after = F.coalesce(F.sum("value"), F.lit(0.0))
-    return calc.agg(after.alias("total_value")).select(
-        before.scalar().alias("total_dirty_value_pc"), "total_value"
+def value_totals(positions: DataFrame, facts: DataFrame) -> DataFrame:
+    """One row: value before (``total_dirty_value_pc``) and after (``total_value``)
+    the look-through, and the part of the latter that counts in the portfolio
+    total (``portfolio_total``).
+
+    A fund's holdings share out the position's value by weight, so the sum over
+    the look-through is the position's value times the fund's weight sum.  The
+    holdings themselves are not read, and both sides have one row per security.
+    """
+    outside = starts_with("asset_allocation", *fv.ALLOCATIONS_OUTSIDE_TOTAL)
+    per_security = positions.groupBy("portfolio_id").agg(
+        F.expr("sum(dirty_value_pc) AS before"),
+        F.expr(f"sum(if({outside}, NULL, dirty_value_pc)) AS counted"),
+    )
+    weighted = per_security.join(facts.select("portfolio_id", "applied_weight"), "portfolio_id", "left")
+    return weighted.agg(
+        F.expr("coalesce(sum(before), 0.0D) AS total_dirty_value_pc"),
+        F.expr("coalesce(sum(before * coalesce(applied_weight, 1.0D)), 0.0D) AS total_value"),
+        F.expr("coalesce(sum(counted * coalesce(applied_weight, 1.0D)), 0.0D) AS portfolio_total"),
     )
 
 
@@ -256,12 +269,9 @@ def totals_differ() -> Column:
 
 
 def position_findings(
-    positions: DataFrame, calc: DataFrame, direct: DataFrame, rules: PositionRules = PositionRules()
+    positions: DataFrame, facts: DataFrame, direct: DataFrame, rules: PositionRules = PositionRules()
 ) -> DataFrame:
-    """Report rows of one position list.
-
-    ``direct`` comes from `direct_rows`; ``calc`` is either form of calc frame.
-    """
+    """Report rows of one position list; ``direct`` comes from `direct_rows`."""
     shown = ["severity", "error_code", "Error", "portfolio_id", "total_dirty_value_pc", "total_value"]
 
     def finding(rows, severity, code, text, *columns):
@@ -288,7 +298,7 @@ def position_findings(
             "Missing duration, maturity or analysis date for a rate-sensitive type", "portfolio_id",
         ))
     parts.append(finding(
-        value_totals(positions, calc).filter(totals_differ()), CRITICAL, "CONTROL_TOTAL",
+        value_totals(positions, facts).filter(totals_differ()), CRITICAL, "CONTROL_TOTAL",
         "Total value is not within 1000000 of the control total", "total_dirty_value_pc", "total_value",
     ))
     report = parts[0]

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
+from shockwell.operators.holdings import HoldingRules
 from shockwell.operators.positions import PositionRules
 from shockwell.operators.skew import SkewPolicy
 from tests.conftest import D, holdings, positions, rows
@@ -97,9 +98,8 @@ def test_report(spark):
         {"portfolio_id": "S1", "dirty_value_pc": 5e6})
     h = holdings(spark, {"valuation_weight": 0.5})
     facts = hold.fund_facts(h)
-    calc = pos.module_frame(p, h, "asset")
     direct = pos.direct_rows(pos.unmatched_positions(p, facts), "asset")
-    validation, critical = pos.split_position_report(pos.position_findings(p, calc, direct))
+    validation, critical = pos.split_position_report(pos.position_findings(p, facts, direct))
     assert rows(validation, "error_code", "portfolio_id") == [("MISSING_IRR_INPUT", "b")]
     assert rows(critical, "error_code", "portfolio_id", "total_dirty_value_pc", "total_value") == [
         ("CONTROL_TOTAL", None, 5000100.0, 2500100.0), ("MISSING_MANDATORY", "a", None, None)]
@@ -108,14 +108,29 @@ def test_report(spark):
 def test_control_total_tolerance_is_strict(spark):
     p = positions(spark, {"dirty_value_pc": 2e6})
     for weight, found in ((0.5, 0), (0.499, 1)):
-        calc = pos.module_frame(p, holdings(spark, {"valuation_weight": weight}), "asset")
-        assert pos.value_totals(p, calc).filter(pos.totals_differ()).count() == found
+        facts = hold.fund_facts(holdings(spark, {"valuation_weight": weight}))
+        assert pos.value_totals(p, facts).filter(pos.totals_differ()).count() == found
+
+
+@pytest.mark.parametrize("rules", [HoldingRules(), HoldingRules(disabled=frozenset({"mandatory"}))])
+def test_totals_equal_those_of_the_full_frame(spark, rules):
+    p = positions(spark, *[
+        {"portfolio_id": None if i == 9 else f"S{i % 4}", "dirty_value_pc": None if i % 7 == 0 else 10.0 * i,
+         "asset_allocation": ["100", "995 x", "645 x", None][i % 3]} for i in range(20)])
+    h = holdings(spark, *[
+        {"portfolio_id": f"S{i % 3}", "valuation_weight": None if i == 5 else 0.25} for i in range(12)])
+    calc = pos.calc_frame(p, h, "asset", holding_rules=rules)
+    total = pos.value_totals(p, hold.fund_facts(h, rules)).first()
+    assert total.total_dirty_value_pc == p.agg(F.sum("dirty_value_pc")).first()[0]
+    assert total.total_value == pytest.approx(calc.agg(F.sum("value")).first()[0])
+    counted = calc.filter("NOT coalesce(startswith(asset_allocation, '995') OR startswith(asset_allocation, '645'), false)")
+    assert total.portfolio_total == pytest.approx(counted.agg(F.sum("value")).first()[0])
 
 
 def test_value_is_conserved_when_weights_sum_to_one(spark):
     p = positions(spark, *[{"portfolio_id": f"S{i % 4}", "dirty_value_pc": 10.0 * i} for i in range(20)])
     h = holdings(spark, *[{"portfolio_id": f"S{i % 3}", "valuation_weight": 0.25} for i in range(12)])
-    total = pos.value_totals(p, pos.calc_frame(p, h, "asset")).first()
+    total = pos.value_totals(p, hold.fund_facts(h)).first()
     assert total.total_value == pytest.approx(total.total_dirty_value_pc)
 
 
