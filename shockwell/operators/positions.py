@@ -99,11 +99,15 @@ def classify(kind: str, oecd_countries=PositionRules.oecd_countries) -> Column:
 
 # ------------------------------------------------------------- direct rows
 
+def hot_securities(positions: DataFrame, policy: SkewPolicy) -> DataFrame:
+    return hot_keys(row_counts(positions, "portfolio_id"), "portfolio_id", policy)
+
+
 def unmatched_positions(
     positions: DataFrame, facts: DataFrame, policy: SkewPolicy = SkewPolicy()
 ) -> DataFrame:
     """Positions whose security has no holdings, missing ids included."""
-    hot = hot_keys(row_counts(positions, "portfolio_id"), "portfolio_id", policy)
+    hot = hot_securities(positions, policy)
     return split_join(
         positions, facts.select("portfolio_id"), "portfolio_id", "left_anti",
         "position_ord", hot, policy,
@@ -170,16 +174,23 @@ def look_through(
     typed_holdings: DataFrame,
     facts: DataFrame,
     policy: SkewPolicy = SkewPolicy(),
+    folded: bool = False,
 ) -> DataFrame:
     """Positions joined to the holdings of their fund (matched positions only).
 
     ``typed_holdings`` carries ``row_type``; the fund's verdict travels with the
     position, so the holdings are shuffled once.  Holdings of a very large fund
-    are salted and the position repeated per salt.
+    are salted and the position repeated per salt.  Folded positions are few
+    per security; others may crowd one, which is then split as well.
     """
     flags = facts.select("portfolio_id", "fund_is_other_equity")
+    if folded:
+        flagged = positions.join(flags, "portfolio_id")
+    else:
+        crowded = hot_securities(positions, policy)
+        flagged = split_join(positions, flags, "portfolio_id", "inner", "position_ord", crowded, policy)
     hot = hot_funds(facts, policy)
-    left = per_salt(positions.join(flags, "portfolio_id"), "portfolio_id", hot)
+    left = per_salt(flagged, "portfolio_id", hot)
     right = with_salt(typed_holdings, "portfolio_id", "holding_ord", hot, policy)
     return (
         left.join(right, ["portfolio_id", SALT])
@@ -234,7 +245,7 @@ def module_frame(
     if only_types is not None and "3X" not in only_types:
         # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
         typed = typed.filter(F.col("row_type").isin(list(only_types)))
-    matched = look_through(folded, typed, facts, policy)
+    matched = look_through(folded, typed, facts, policy, folded=True)
     direct = direct_rows(unmatched_positions(positions, facts, policy), kind, position_rules)
     return matched.select(*MODULE_COLUMNS).unionByName(direct.select(*MODULE_COLUMNS))
 
