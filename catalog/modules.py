@@ -62,7 +62,7 @@ def _spread(kind, rejects=False):
 def _currency(kind):
     def query(spark, sf_dir):
         frame = _frame(spark, sf_dir, kind, "currency")
-        return _shown(currency.currency_risk(frame, P, M, _rates(spark, sf_dir)))
+        return _shown(currency.currency_risk(frame, P, M, _rates(spark, sf_dir)), 3)
 
     return query
 
@@ -350,14 +350,14 @@ def _currency_sql(kind):
         CASE WHEN qc_of_underlying = 'HUF' THEN 1.0::DOUBLE ELSE 1.25::DOUBLE END AS up
       FROM calc WHERE calculation_type IN {sql.types('currency')} AND calculation_type <> 'FX'
       GROUP BY portfolio_id, qc_of_underlying)
-    SELECT portfolio_group, portfolio_id, security_name, qc_of_underlying, {rs('value')},
-      {rs('value * down', 'down_shock_mv_value')}, {rs('value - value * down', 'down_shock_value')},
-      {rs('value * up', 'up_shock_mv_value')}, {rs('value - value * up', 'up_shock_value')} FROM g
+    SELECT portfolio_group, portfolio_id, security_name, qc_of_underlying, {rs('value', digits=3)},
+      {rs('value * down', 'down_shock_mv_value', 3)}, {rs('value - value * down', 'down_shock_value', 3)},
+      {rs('value * up', 'up_shock_mv_value', 3)}, {rs('value - value * up', 'up_shock_value', 3)} FROM g
     UNION ALL
-    SELECT portfolio_group, portfolio_id, security_name, qc_of_underlying, {rs('value')},
-      {rs('balance_nominal * coalesce(rate, value)', 'down_shock_mv_value')},
-      {rs('value - balance_nominal * coalesce(rate, value)', 'down_shock_value')},
-      0.0::DOUBLE, {rs('value', 'up_shock_value')}
+    SELECT portfolio_group, portfolio_id, security_name, qc_of_underlying, {rs('value', digits=3)},
+      {rs('balance_nominal * coalesce(rate, value)', 'down_shock_mv_value', 3)},
+      {rs('value - balance_nominal * coalesce(rate, value)', 'down_shock_value', 3)},
+      0.0::DOUBLE, {rs('value', 'up_shock_value', 3)}
     FROM calc LEFT JOIN (SELECT currency AS c, rate FROM fx_asof) ON c = qc_of_underlying
     WHERE calculation_type = 'FX'"""
 

@@ -2,10 +2,10 @@
 
 A key with very many rows is split: its rows get a salt, and the matching rows
 of the other side are repeated once per salt, so that several tasks share the
-key.  Only the largest keys are split, and their list is short by construction
-(``max_hot_keys``): a key outside the list holds less than one in
-``max_hot_keys`` of all rows and fits a task like any other.  Results do not
-depend on which keys are split.
+key.  The list of split keys is broadcast and therefore bounded
+(``max_hot_keys`` rows, some ten megabytes): a key that is not among the
+largest holds less than one in ``max_hot_keys`` of all rows, which is task
+size even for 10^12 rows.  Results do not depend on which keys are split.
 
 Salts are hashes of the row's own order key, never random numbers, so a task
 that is run again after an executor loss sends every row to the same place.
@@ -24,10 +24,14 @@ SPLITS = "_splits"
 
 @dataclass(frozen=True)
 class SkewPolicy:
+    """``rows_per_split``: rows of one key that a task should get.
+    ``max_splits`` only bounds the list of salts of one key; ``null_splits``
+    spreads rows without a key, which have no partners to repeat."""
+
     rows_per_split: int = 2_000_000
-    max_hot_keys: int = 1_000
-    max_splits: int = 2_000
-    null_splits: int = 1_000
+    max_hot_keys: int = 200_000
+    max_splits: int = 1_000_000
+    null_splits: int = 1_000_000
 
 
 def hot_keys(counts: DataFrame, key: str, policy: SkewPolicy) -> DataFrame:
