@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalog.common import calc_frame, fund_facts, module_frame, r, rs
 from fixtures import sql, views
-from shockwell import fixed_values as fv
 from shockwell.functions import aggregates
 from shockwell.functions.dates import years_between
 from shockwell.operators import concentration, currency, equity, interest, positions as pos

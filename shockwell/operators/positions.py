@@ -12,8 +12,9 @@ holdings x portfolio groups instead of holdings x positions.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -223,31 +224,39 @@ def calc_frame(
     )
 
 
-def module_frame(
-    positions: DataFrame,
+def module_frames(
+    lists: Mapping[str, DataFrame],
     holdings: DataFrame,
-    kind: str,
     facts: DataFrame | None = None,
     holding_rules: HoldingRules = HoldingRules(),
     position_rules: PositionRules = PositionRules(),
     policy: SkewPolicy = SkewPolicy(),
     only_types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The calc frame as the stress modules need it: positions folded before
-    the join, only the columns that modules read.
+    """The calc frames of several position lists as the stress modules need
+    them: positions folded before the join, only the columns that modules read,
+    and ``list`` naming the list.  The lists share one pass over the holdings.
 
     With ``only_types``, holdings that cannot get one of these types stay out
     of the join; other rows of the result may still have any type.
     """
     facts = fund_facts(holdings, holding_rules) if facts is None else facts
-    folded = fold_positions(positions)
     typed = with_row_type(holdings, holding_rules)
     if only_types is not None and "3X" not in only_types:
         # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
-        typed = typed.filter(F.col("row_type").isin(list(only_types)))
-    matched = look_through(folded, typed, facts, policy, folded=True)
-    direct = direct_rows(unmatched_positions(positions, facts, policy), kind, position_rules)
-    return matched.select(*MODULE_COLUMNS).unionByName(direct.select(*MODULE_COLUMNS))
+        typed = typed.filter(is_in("row_type", only_types))
+    folded, direct = [], []
+    for kind, positions in lists.items():
+        unmatched = unmatched_positions(positions, facts, policy)
+        direct.append(direct_rows(unmatched, kind, position_rules).withColumn("list", F.lit(kind)))
+        folded.append(fold_positions(positions).withColumn("list", F.lit(kind)))
+    matched = look_through(reduce(DataFrame.unionByName, folded), typed, facts, policy, folded=True)
+    return reduce(DataFrame.unionByName, [f.select("list", *MODULE_COLUMNS) for f in (matched, *direct)])
+
+
+def module_frame(positions: DataFrame, holdings: DataFrame, kind: str, *args, **options) -> DataFrame:
+    """`module_frames` of a single list."""
+    return module_frames({kind: positions}, holdings, *args, **options).drop("list")
 
 
 # ------------------------------------------------------------------ reports

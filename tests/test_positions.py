@@ -158,3 +158,13 @@ def test_fold_keeps_the_first_position(spark):
         {"portfolio_group": "G2", "dirty_value_pc": 3.0}, {"asset_allocation": "995 x", "dirty_value_pc": 4.0})
     got = rows(pos.fold_positions(p), "position_ord", "portfolio_group", "security_name", "dirty_value_pc")
     assert got == [(0, "G1", None, 2.0), (2, "G2", "SEC", 3.0), (3, "G1", "SEC", 4.0)]
+
+
+def test_lists_share_a_pass(spark):
+    p = positions(spark, {}, {"portfolio_id": "X"}, {"dirty_value_pc": 5.0})
+    q = positions(spark, {"portfolio_id": "X", "asset_allocation": "645 x", "dirty_value_pc": 7.0}, {"portfolio_group": "G9"})
+    h = holdings(spark, {"valuation_weight": 0.5}, {"valuation_weight": 0.5, "id_of_underlying": "U2"})
+    both = pos.module_frames({"asset": p, "ul": q}, h)
+    for kind, one in (("asset", p), ("ul", q)):
+        alone = pos.module_frame(one, h, kind)
+        assert rows(both.filter(F.col("list") == kind).drop("list")) == rows(alone)
