@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
-_local_folders: dict[str, str] = {}
-
 
 def work_folder(spark: SparkSession) -> str:
     """A new folder below the one the cluster shares for intermediate tables.
 
-    Only a local session without the setting gets a temporary folder; on a
-    cluster a folder of one machine would be lost to the others.
+    That is the setting, or the folder given to ``setCheckpointDir``; there is
+    no other choice, because a folder of one machine is lost to the others.
     """
-    shared = spark.conf.get(CHECKPOINT_SETTING, None)
+    shared = spark.conf.get(CHECKPOINT_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-        application = spark.sparkContext.applicationId
-        shared = _local_folders.setdefault(application, "") or tempfile.mkdtemp(prefix="shockwell-")
-        _local_folders[application] = shared
+        raise ValueError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
     return f"{shared.rstrip('/')}/shockwell-{uuid.uuid4().hex}"
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a table or folder of the work folder, in whatever store it lies."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write a table and read it back.
 
