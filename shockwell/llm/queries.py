@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shockwell.llm import exact_dedup, simhash
+from shockwell.llm import exact_dedup, packing, pii, simhash, toxicity
 from shockwell.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(table(spark, sf_dir, "documents")))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -27,6 +39,9 @@ FROM n WINDOW g AS (PARTITION BY t)
 """
 
 QUERIES = {
+    "op1_pii": op1_pii,
+    "op2_toxicity": op2_toxicity,
+    "op3_packing": op3_packing,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
