@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def work_folder(spark: SparkSession) -> str:
@@ -28,14 +29,21 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
+def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """Write a table and read it back.
 
     Later steps then depend on files in shared storage: an executor loss costs
-    its own tasks, not the steps before.
+    its own tasks, not the steps before.  Nothing reads the job's shuffle files
+    once it has ended, so they are freed then.
     """
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.mode("overwrite").partitionBy(*partition_by).options(**options).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    back = spark.read.schema(df.schema).parquet(path)
     return back.select(*df.columns)
 
 
