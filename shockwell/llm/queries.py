@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shockwell.llm import exact_dedup, packing, pii, simhash, toxicity
+from shockwell.llm import exact_dedup, packing, pii, quality, sharding, simhash, toxicity
 from shockwell.llm.common import table
 
 
@@ -20,6 +20,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +50,8 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
+    "op5_sharding": op5_sharding,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
