@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shockwell.llm import exact_dedup, packing, pii, quality, sharding, simhash, toxicity
+from shockwell.llm import ans, exact_dedup, packing, pii, quality, sharding, simhash, toxicity
 from shockwell.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ans.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op4_quality": op4_quality,
     "op5_sharding": op5_sharding,
+    "op6_token_files": op6_token_files,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
