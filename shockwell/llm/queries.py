@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shockwell.llm import ans, exact_dedup, packing, pii, quality, sharding, simhash, toxicity
+from shockwell.llm import ans, exact_dedup, packing, pii, quality, sampling, sharding, simhash, token_counts, toxicity
 from shockwell.llm.common import table
 
 
@@ -32,6 +32,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ans.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.counted_documents(table(spark, sf_dir, "documents"))
+
+
+def op8_sampled_segmentations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sample_segmentations(table(spark, sf_dir, "documents")).drop("ids")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -57,6 +65,8 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_sharding": op5_sharding,
     "op6_token_files": op6_token_files,
+    "op7_token_counts": op7_token_counts,
+    "op8_sampled_segmentations": op8_sampled_segmentations,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
 }
