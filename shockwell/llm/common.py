@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shockwell.plans.storage import settled
+
 #: A key is hot if it has more than one in HOT_SHARE of all rows, so there are
 #: fewer than HOT_SHARE hot keys whatever the data size.
 HOT_SHARE = 10_000
@@ -17,12 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def rows_of_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def rows_of_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """``(doc_id bigint, text string)``, null text as empty; other columns are
-    left behind, so their names cannot clash with the operator's own."""
+    left behind, so their names cannot clash with the operator's own.  With
+    ``row_col`` also ``row_id bigint``, a number the caller gave each row."""
+    row = [F.col(row_col).cast("bigint").alias("row_id")] if row_col else []
     return df.select(
         F.col(id_col).cast("bigint").alias("doc_id"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"), *row,
     )
 
 
@@ -35,6 +40,23 @@ def numbered(df: DataFrame) -> DataFrame:
     return df.withColumn("row_id", F.monotonically_increasing_id())
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``(row_key, source)``: every row whole, with a number of its own.
+
+    The number comes from the file and the place in it, so it is the same in
+    every job, unlike one that counts within partitions.  A table that is not
+    read from files is stored first.
+    """
+    try:
+        meta = docs.metadataColumn("_metadata")
+        docs.select(meta)
+    except AnalysisException:
+        docs = settled(docs, "rows")
+        meta = docs.metadataColumn("_metadata")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.select(F.xxhash64(meta["file_path"], meta["row_index"]).alias("row_key"), whole.alias("source"))
+
+
 def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 of a text column, without a detour over Python strings."""
     column = batch.column(name)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shockwell.llm import common
-from shockwell.plans.storage import work_folder, written
+from shockwell.plans.storage import delete, work_folder, written
 
 #: Bytes of distinct text that one trie may hold before it spills a subtree.
 TRIE_BYTES = 64 << 20
@@ -201,8 +201,9 @@ def met_owners(largest: bool, limit: int):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest",
-                trie_bytes: int = TRIE_BYTES) -> DataFrame:
-    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``.
+                trie_bytes: int = TRIE_BYTES, row_col: str | None = None) -> DataFrame:
+    """One row per input row: ``doc_id, keep_id, group_size, kept, text_sha256``,
+    and with ``row_col``, a number of each row, also ``row_id``.
 
     ``keep`` tells whether the row with the largest or the smallest identifier
     of a group of equal texts stays.
@@ -211,7 +212,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("keep is largest or smallest")
     largest = keep == "largest"
     folder = work_folder(docs.sparkSession)
-    rows = common.numbered(common.rows_of_text(docs, id_col, text_col))
+    rows = common.rows_of_text(docs, id_col, text_col, row_col)
+    rows = rows if row_col else common.numbered(rows)
     found = written(rows.mapInArrow(local_owners(largest, trie_bytes), FOUND_DDL), f"{folder}/found", ("part",))
     local = found.filter("part = 'owner'").withColumn("content_hash", F.xxhash64("content"))
     met = local.repartition("n_bytes", "content_hash").mapInArrow(met_owners(largest, trie_bytes), FOUND_DDL)
@@ -221,6 +223,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.expr(f"max({order})").alias("best"), F.sum("n_rows").alias("group_size")
     ).selectExpr("sha256", "n_bytes", "best.id AS keep_id", "-best.earlier AS keep_row", "group_size")
     owners = written(owners, f"{folder}/owners")
+    delete(docs.sparkSession, f"{folder}/found/part=owner")  # texts that are not read again
     members = found.filter("part = 'row'").select("row_id", "doc_id", "sha256", "n_bytes")
     joined = common.join_to_groups(members, owners, ["sha256", "n_bytes"], "group_size", members.count())
-    return joined.selectExpr("doc_id", "keep_id", "group_size", "row_id = keep_row AS kept", "sha256 AS text_sha256")
+    return joined.selectExpr("doc_id", "keep_id", "group_size", "row_id = keep_row AS kept", "sha256 AS text_sha256",
+                             *(["row_id"] if row_col else []))

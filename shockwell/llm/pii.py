@@ -164,12 +164,13 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     hits = common.join_to_groups(others, good, ["pattern"], "n", edges.count())
     best = hits.groupBy("row_id", "start", "end").agg(F.expr("max_by(kind, struct(score, -kind))").alias("kind"))
     per_row = best.groupBy("row_id").agg(F.expr(f"array_sort(collect_list(struct(start, kind + {len(KINDS)} AS rank, end)))").alias("found"))
-    # An empty array of the same type where a row has none.
-    out = stored.drop("mentions").join(per_row, "row_id", "left")
-    return out.selectExpr(
-        "doc_id", *(["source"] if carry else []),
-        "transform(base, s -> struct(s.start, s.rank, s.end)) AS base",
-        "coalesce(found, cast(array() AS array<struct<start: bigint, rank: int, end: bigint>>)) AS found")
+    # Rows without a candidate have nothing to join.
+    none = "cast(array() AS array<struct<start: bigint, rank: int, end: bigint>>)"
+    candidate = "exists(mentions, s -> s.rank < 0)"
+    joined = stored.filter(candidate).drop("mentions").join(per_row, "row_id", "left").withColumn("found", F.expr(f"coalesce(found, {none})"))
+    plain = stored.filter(f"NOT {candidate}").drop("mentions").withColumn("found", F.expr(none))
+    return plain.unionByName(joined).selectExpr(
+        "doc_id", *(["source"] if carry else []), "transform(base, s -> struct(s.start, s.rank, s.end)) AS base", "found")
 
 
 def digest(spans: DataFrame) -> DataFrame:

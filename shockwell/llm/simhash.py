@@ -57,15 +57,17 @@ def fingerprint(text: bytes, words_per_shingle: int = 3) -> int:
     return int(np.packbits(2 * votes > n).view(">u8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3) -> DataFrame:
-    """``(doc_id, fp)``, a row per input row; ``fp`` holds the 64 bits as a signed bigint."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
+                 row_col: str | None = None) -> DataFrame:
+    """``(doc_id, row_id, fp)``, a row per input row; ``fp`` holds the 64 bits as a signed bigint."""
+    texts = common.rows_of_text(docs, id_col, text_col, row_col)
 
     def rows(columns: dict[str, list]) -> dict[str, list]:
         found = np.array([fingerprint(t, words_per_shingle) for t in columns["text"]], dtype=np.uint64)
-        return {"doc_id": columns["doc_id"], "fp": found.view(np.int64)}
+        return {"doc_id": columns["doc_id"], "row_id": columns["row_id"], "fp": found.view(np.int64)}
 
-    arrow = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-    return common.map_texts(common.rows_of_text(docs, id_col, text_col), "doc_id bigint, fp bigint", arrow, rows)
+    arrow = pa.schema([("doc_id", pa.int64()), ("row_id", pa.int64()), ("fp", pa.int64())])
+    return common.map_texts(texts if row_col else common.numbered(texts), "doc_id bigint, row_id bigint, fp bigint", arrow, rows)
 
 
 # Half 0 is the upper one.  A key is the half's number, one more than the
@@ -170,20 +172,23 @@ def components(pairs: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 3,
-                    distance: int = 3, crowded: int = CROWDED) -> DataFrame:
-    """One row per input row: ``doc_id, fingerprint, component_id``.
+                    distance: int = 3, crowded: int = CROWDED, row_col: str | None = None) -> DataFrame:
+    """One row per input row: ``doc_id, fingerprint, component_id, kept``, and
+    with ``row_col``, a number of each row, also ``row_id``.
 
     ``component_id`` is the smallest identifier that chains of links reach, the
-    row's own included.
+    row's own included.  One row of each component is ``kept``: the one with
+    that identifier, of several the one with the smallest row number.
     """
     folder = work_folder(docs.sparkSession)
-    rows = written(fingerprints(docs, id_col, text_col, words_per_shingle), f"{folder}/fingerprints")
-    classes = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("n_rows")), f"{folder}/classes")
+    rows = written(fingerprints(docs, id_col, text_col, words_per_shingle, row_col), f"{folder}/fingerprints")
+    classes = written(rows.groupBy("fp").agg(F.expr("min(struct(doc_id IS NULL AS unnamed, doc_id, row_id))").alias("least"), F.count(F.lit(1)).alias("n_rows")), f"{folder}/classes")
     found = written(links(classes, distance, crowded), f"{folder}/pairs")
     roots = components(found)
-    in_component = classes.join(roots, classes.fp == roots.node, "left").selectExpr("fp", "n_rows", "least_id", "coalesce(root, fp) AS root")
-    named = in_component.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    groups = written(in_component.join(named, "root").select("fp", "n_rows", "component_id"), f"{folder}/groups")
+    in_component = classes.join(roots, classes.fp == roots.node, "left").selectExpr("fp", "n_rows", "least", "coalesce(root, fp) AS root")
+    named = in_component.groupBy("root").agg(F.min("least").alias("first"))
+    groups = written(in_component.join(named, "root").select("fp", "n_rows", "first"), f"{folder}/groups")
     total = groups.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     joined = common.join_to_groups(rows, groups, ["fp"], "n_rows", total)
-    return joined.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
+    return joined.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "first.doc_id AS component_id",
+                             "row_id = first.row_id AS kept", *(["row_id"] if row_col else []))

@@ -315,3 +315,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     rows = common.rows_of_text(docs, id_col, text_col)
     scored = evidence_of(rows, train(rows, labels, label_col, training))
     return scored.selectExpr("doc_id", f"coalesce({held_out()}, false) AS held_out", "score", "cast(score >= 0.5D AS INT) AS predicted")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, text_col: str = "text", id_col: str = "doc_id", label_col: str = "toxic",
+                  training: int = TRAINING_ROWS) -> DataFrame:
+    """The rows, with all of their columns, whose score is below 0.5."""
+    shared = docs.sparkSession.sparkContext.broadcast(train(common.rows_of_text(docs, id_col, text_col), labels, label_col, training))
+
+    def clean(batches):
+        match = matcher(shared.value)
+        for batch in batches:
+            scores = shared.value.score([match.features(t or "") for t in batch.column(text_col).to_pylist()])
+            yield batch.filter(pa.array(scores < 0.5, pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
