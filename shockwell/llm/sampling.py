@@ -40,8 +40,14 @@ from shockwell.llm import common
 
 MARK = "▁"
 UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
+#: Closes a unit in a row of units; no text holds it, and no piece.
+SENTINEL = 0x110000
+CHAR_BITS = 21
+# Odd steps of the counters that random streams run on.
+UNIT, STEP, ROUND, NOISE, OWN = (np.uint64(n) for n in (
+    0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xABC98388FB8FAC03, 0x8CB92BA72F3D8DD7, 0xDB4F0B9175AE2165))
 #: Lattice nodes that a worker remembers before it starts anew.
-MEMO_NODES = 1_000_000
+MEMO_NODES = 2_000_000
 
 
 def default_path() -> str:
@@ -81,9 +87,8 @@ class Pieces:
         unigram = bool((np.abs(scores - np.round(scores)) > 1e-6).any())
         self.bytes_of: list[bytes] = [b""] * n
         self.byte_id = [0] * 256
-        #: Of each text that is a piece or begins one: the piece's id, or -1.
-        self.prefixes: dict[str, int] = {}
         self.weight = np.zeros(n)
+        whole: dict[str, int] = {}
         for i in range(n):
             piece = model.id_to_piece(i)
             if model.is_byte(i):
@@ -93,11 +98,37 @@ class Pieces:
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.bytes_of[i] = piece.replace(MARK, " ").encode()
                 self.weight[i] = scores[i] if unigram else -math.log(min(n, max(1.0, 1 - scores[i])))
-                for k in range(1, len(piece)):
-                    self.prefixes.setdefault(piece[:k], -1)
-                self.prefixes[piece] = i
+                whole[piece] = i
                 if "\n" in piece or MARK in piece.lstrip(MARK):
                     raise ValueError("a piece crosses a unit's end")
+        state = {"": 0}
+        for piece in whole:
+            for k in range(1, len(piece) + 1):
+                state.setdefault(piece[:k], len(state))
+        #: The trie of pieces: sorted keys (state, character) and the state each leads to.
+        steps = sorted((state[t[:-1]] << CHAR_BITS | ord(t[-1]), number) for t, number in state.items() if t)
+        self.step_key = np.array([key for key, _ in steps], dtype=np.int64)
+        self.step_to = np.array([to for _, to in steps], dtype=np.int64)
+        self.piece_at = np.full(len(state), -1, dtype=np.int64)
+        for piece, i in whole.items():
+            self.piece_at[state[piece]] = i
+
+    def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All pieces in a text of code points: ``(first place, place behind, id)``; all places walk the trie together."""
+        at, state, depth = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), 0
+        out = []
+        while len(at):
+            key = state << CHAR_BITS | codes[at + depth]
+            where = np.searchsorted(self.step_key, key)
+            where[where == len(self.step_key)] = 0
+            goes = self.step_key[where] == key
+            at, state, depth = at[goes], self.step_to[where[goes]], depth + 1
+            ids = self.piece_at[state]
+            ends = ids >= 0
+            out.append((at[ends], at[ends] + depth, ids[ends]))
+            inside = at + depth < len(codes)
+            at, state = at[inside], state[inside]
+        return tuple(np.concatenate(c) for c in zip(*out))
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; the mark in front of the text is not part of it."""
@@ -107,9 +138,7 @@ class Pieces:
 class Lattices:
     """Lattices of units, end to end in flat arrays.
 
-    Nodes are places in a unit; edges are sorted by their first node.
-    ``key`` is the node plus the cumulative conditional probability of its
-    edges, so an edge is drawn by looking up node + uniform.
+    Nodes are places in a unit; a node's edges are next to each other.
     """
 
     def __init__(self, pieces: Pieces):
@@ -118,67 +147,71 @@ class Lattices:
 
     def forget(self) -> None:
         self.first_node: dict[str, int] = {}
-        self.at_end, self.key, self.log_p = Growing(bool), Growing(float), Growing(float)
-        self.target, self.id = Growing(np.int64), Growing(np.int64)
+        self.at_end, self.first_edge = Growing(bool), Growing(np.int64)
+        #: Of each edge: the probability of the node's edges up to it, and as logs its own and that of all others.
+        self.upto, self.log_p, self.log_others = Growing(float), Growing(float), Growing(float)
+        self.target, self.id = Growing(np.int32), Growing(np.int32)
         #: Ids of edges that stand for a character's bytes, by -1 - number.
         self.byte_ids: list[list[int]] = []
 
     def nodes(self, units: list[str]) -> np.ndarray:
-        new = [u for u in dict.fromkeys(units) if u not in self.first_node]
+        new = list(set(units).difference(self.first_node))
         if new:
             self.build(new)
-        return np.array([self.first_node[u] for u in units], dtype=np.int64)
+        return np.array(list(map(self.first_node.__getitem__, units)), dtype=np.int64)
 
     def build(self, units: list[str]) -> None:
-        prefixes, weight = self.pieces.prefixes, self.pieces.weight
-        base, source, target, ids, above = self.at_end.n, [], [], [], []
-        extra: list[float] = []
-        ends = []
-        for unit in units:
-            n = len(unit)
-            self.first_node[unit] = base
-            for i in range(n):
-                alone = True
-                for j in range(i + 1, n + 1):
-                    found = prefixes.get(unit[i:j])
-                    if found is None:
-                        break
-                    if found >= 0:
-                        alone = alone and j > i + 1
-                        source.append(base + i)
-                        target.append(base + j)
-                        ids.append(found)
-                if alone:  # no piece is this character: its bytes are
-                    spelt = [self.pieces.byte_id[b] for b in unit[i].encode()]
-                    self.byte_ids.append(spelt)
-                    source.append(base + i)
-                    target.append(base + i + 1)
-                    ids.append(-len(self.byte_ids))
-            above.append(np.arange(n, -1, -1))
-            ends.append(base + n)
-            base += n + 1
+        """Append the lattices of new units; a unit's nodes are its places and the one behind it."""
         first = self.at_end.n
-        at_end = np.zeros(base - first, dtype=bool)
-        at_end[np.array(ends) - first] = True
-        src, dst, edge = np.array(source) - first, np.array(target) - first, np.array(ids)
-        w = np.where(edge >= 0, weight[edge], 0.0)
-        for k in np.flatnonzero(edge < 0).tolist():
-            w[k] = weight[self.byte_ids[-1 - edge[k]]].sum()
+        lengths = np.array([len(u) for u in units])
+        starts = np.cumsum(lengths + 1) - lengths - 1
+        ends = starts + lengths
+        self.first_node.update(zip(units, (first + starts).tolist()))
+        codes = np.full(int(ends[-1]) + 1, SENTINEL, dtype=np.int64)
+        at_end = np.zeros(len(codes), dtype=bool)
+        at_end[ends] = True
+        codes[~at_end] = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
+        src, dst, edge = self.pieces.found(codes)
+        w = self.pieces.weight[edge]
+        alone = ~at_end  # places whose character is no piece: its bytes stand for it
+        alone[src[dst == src + 1]] = False
+        alone = np.flatnonzero(alone)
+        if len(alone):
+            spelt = [[self.pieces.byte_id[b] for b in chr(c).encode()] for c in codes[alone].tolist()]
+            numbers = np.array([x[0] if len(x) == 1 else self.spelling(x) for x in spelt])
+            src, dst, edge = np.concatenate((src, alone)), np.concatenate((dst, alone + 1)), np.concatenate((edge, numbers))
+            w = np.concatenate((w, [self.pieces.weight[x].sum() for x in spelt]))
+        above = np.repeat(ends, lengths + 1) - np.arange(len(codes))
         order = np.argsort(src, kind="stable")
         src, dst, edge, w = src[order], dst[order], edge[order], w[order]
-        beta = self.backward(src, dst, w, np.concatenate(above))
+        beta = self.backward(src, dst, w, above)
         log_p = w + beta[dst] - beta[src]
+        p = np.exp(log_p)
         begins = np.flatnonzero(np.diff(src, prepend=-1))
-        upto = np.cumsum(np.exp(log_p))
-        before = np.concatenate(([0.0], upto[begins[1:] - 1]))
-        cumulative = upto - np.repeat(before, np.diff(np.append(begins, len(src))))
-        cumulative[np.append(begins[1:], len(src)) - 1] = 1.0
+        sizes = np.diff(np.append(begins, len(src)))
+        cumulative = p.copy()  # node by node, so that a unit's numbers do not depend on the units around it
+        for k in range(1, int(sizes.max(initial=0))):
+            at = begins[sizes > k] + k
+            cumulative[at] += cumulative[at - 1]
+        cumulative[begins + sizes - 1] = 1.0
+        # Next to an almost certain edge the others are added up themselves: 1 - p would lose them.
+        sure = p > 0.999
+        small = np.repeat(np.add.reduceat(np.where(sure, 0.0, p), begins), sizes)
+        with np.errstate(divide="ignore"):
+            log_others = np.where(sure, np.log(small), np.log1p(-np.where(sure, 0.5, p)))
+        self.first_edge.extend(self.upto.n + np.searchsorted(src, np.arange(len(codes))))
         self.at_end.extend(at_end)
-        self.key.extend(src + first + np.minimum(cumulative, 1.0))
-        self.log_p.extend(np.minimum(log_p, 0.0))
+        self.upto.extend(cumulative)
+        self.log_p.extend(log_p)
+        self.log_others.extend(np.where(np.repeat(sizes, sizes) > 1, log_others, -np.inf))
         self.target.extend(dst + first)
         self.id.extend(edge)
 
+    def spelling(self, ids: list[int]) -> int:
+        """The number of an edge that stands for several byte ids."""
+        self.byte_ids.append(ids)
+        return -len(self.byte_ids)
+
     @staticmethod
     def backward(src: np.ndarray, dst: np.ndarray, w: np.ndarray, above: np.ndarray) -> np.ndarray:
         """Log total weight of all ways from each node to its unit's end, the nodes nearest to it first."""
@@ -192,105 +225,167 @@ class Lattices:
             beta[src[edges[begins]]] = np.logaddexp.reduceat(w[edges] + beta[dst[edges]], begins)
         return beta
 
-    def draw(self, nodes: np.ndarray, first_unit: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-        """Paths from given nodes to their units' ends: ``(unit, edge)``, in order of units and pieces."""
-        key, target, at_end = self.key.all, self.target.all, self.at_end.all
-        unit = np.arange(first_unit, first_unit + len(nodes))
-        units, edges = [], []
-        there = at_end[nodes]
-        if there.any():
-            nodes, unit = nodes[~there], unit[~there]
-        while len(nodes):
-            edge = np.searchsorted(key, nodes + rng.random(len(nodes)), side="right")
+    def draw(self, nodes: np.ndarray, streams: np.ndarray, round_: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Paths from given nodes to their units' ends, all units at once.
+
+        ``(unit, edge, noise)`` in order of units and pieces; ``unit`` counts the
+        given nodes, ``noise`` is an exponential variable for each piece.
+        """
+        upto, target, at_end, first_edge = self.upto.all, self.target.all, self.at_end.all, self.first_edge.all
+        unit = np.flatnonzero(~at_end[nodes])
+        nodes, step = nodes[unit], 0
+        units, edges, counters = [unit[:0]], [unit[:0]], [streams[:0]]
+        while len(unit):
+            counter = streams[unit] + offset(ROUND, round_) + offset(STEP, step)
+            chance, edge = uniform(counter), first_edge[nodes]
+            further = np.flatnonzero(upto[edge] <= chance)
+            while len(further):
+                edge[further] += 1
+                further = further[upto[edge[further]] <= chance[further]]
             units.append(unit)
             edges.append(edge)
+            counters.append(counter)
             nodes = target[edge]
-            going = ~at_end[nodes]
-            nodes, unit = nodes[going], unit[going]
-        if not units:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        unit, edge = np.concatenate(units), np.concatenate(edges)
+            going = np.flatnonzero(~at_end[nodes])
+            nodes, unit, step = nodes[going], unit[going], step + 1
+        unit = np.concatenate(units)
         order = np.argsort(unit, kind="stable")
-        return unit[order], edge[order]
+        return unit[order], np.concatenate(edges)[order], -np.log(uniform(np.concatenate(counters)[order] + NOISE))
 
-    def ids(self, edges: np.ndarray) -> list[int]:
-        out = self.id.all[edges].tolist()
-        if out and min(out) < 0:
-            out = [i for e in out for i in ((e,) if e >= 0 else self.byte_ids[-1 - e])]
-        return out
+    def ids(self, edges: np.ndarray) -> np.ndarray:
+        out = self.id.all[edges]
+        if len(out) and out.min() < 0:
+            out = np.array([i for e in out.tolist() for i in ((e,) if e >= 0 else self.byte_ids[-1 - e])])
+        return out.astype("<u4")
 
     def edges_of(self, node: int) -> tuple[int, int]:
-        a, b = np.searchsorted(self.key.all, [node, node + 1], side="right")
-        return int(a), int(b)
+        first = self.first_edge.all
+        return int(first[node]), int(first[node + 1]) if node + 1 < len(first) else self.upto.n
+
+
+def offset(step: np.uint64, times: int) -> np.uint64:
+    return np.uint64(int(step) * times % (1 << 64))
+
 
+def mixed(x: np.ndarray) -> np.ndarray:
+    """SplitMix64's output function: a random stream by counter, so no draw depends on the rows around it."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-def cut_gumbel(mass: np.ndarray, bound: float, rng: np.random.Generator) -> np.ndarray:
-    """Gumbel variables of given locations, conditioned to lie below ``bound``."""
-    with np.errstate(divide="ignore"):
-        value = mass - np.log(np.exp(np.minimum(mass - bound, 700.0)) + rng.standard_exponential(len(mass)))
-    return np.where(np.isneginf(mass), -np.inf, np.minimum(value, bound))
+
+def uniform(counters: np.ndarray) -> np.ndarray:
+    """Numbers strictly between 0 and 1."""
+    return ((mixed(counters) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
+
+
+def cut_gumbel(mass: np.ndarray, bound: float, noise: np.ndarray) -> np.ndarray:
+    """Gumbel variables of given locations, conditioned to lie below ``bound``, from exponential noise."""
+    return np.minimum(mass - np.log(np.exp(np.minimum(mass - bound, 700.0)) + noise), bound)
 
 
 class Leaf:
     """A sampled path and the sets that split off it from place ``since`` on."""
 
-    def __init__(self, lattices: Lattices, units: np.ndarray, edges: np.ndarray, value: float, since: int, rng):
-        self.units, self.edges, self.value = units, edges, value
+    def __init__(self, lattices: Lattices, units: np.ndarray, edges: np.ndarray, value: float, since: int, noise: np.ndarray):
+        self.units, self.edges, self.value, self.since = units, edges, value, since
         log_p = lattices.log_p.all[edges]
         upto = np.cumsum(log_p)
         self.log_prob = float(upto[-1]) if len(upto) else 0.0
-        self.since, self.before = since, upto - log_p
-        with np.errstate(divide="ignore"):
-            # a certain piece leaves nothing; rounding must not make something of it
-            rest = np.where(log_p[since:] > -1e-12, -np.inf, np.log(-np.expm1(np.minimum(log_p[since:], 0.0))))
-        self.sets = cut_gumbel(self.before[since:] + rest, value, rng)
+        self.before = upto - log_p
+        self.sets = cut_gumbel(self.before[since:] + lattices.log_others.all[edges[since:]], value, noise)
 
 
-def top_k(lattices: Lattices, starts: np.ndarray, k: int, rng: np.random.Generator) -> tuple[list[Leaf], float]:
-    """Up to ``k`` distinct paths in the order of their perturbed values, and the value of the next one."""
-    first = Leaf(lattices, *lattices.draw(starts, 0, rng), float(rng.gumbel()), 0, rng)
-    leaves, narrowed = [first], []
-    while True:
+class Search:
+    """The search of one text: its samples so far and the disjoint sets of all other paths."""
+
+    def __init__(self, lattices: Lattices, starts: np.ndarray, key: np.uint64):
+        self.lattices, self.starts = lattices, starts
+        with np.errstate(over="ignore"):
+            self.streams = mixed(key + UNIT * np.arange(1, len(starts) + 1, dtype=np.uint64))
+        self.key = key
+        self.leaves: list[Leaf] = []
+        #: (value, leaf, place, edges that are taken) of sets at a place where more than one piece is taken.
+        self.narrowed: list[tuple] = []
+
+    def scalar(self, number: int) -> float:
+        return float(uniform(np.array([int(self.key)], dtype=np.uint64) + offset(OWN, number))[0])
+
+    def first(self, edges: np.ndarray, units: np.ndarray, noise: np.ndarray) -> None:
+        self.leaves.append(Leaf(self.lattices, units, edges, -math.log(-math.log(self.scalar(0))), 0, noise))
+
+    def best(self) -> tuple[float, tuple | None]:
+        """The greatest value in any set, and where the set is."""
         best, where = -math.inf, None
-        for leaf in leaves:
+        for leaf in self.leaves:
             if len(leaf.sets):
                 at = int(leaf.sets.argmax())
                 if leaf.sets[at] > best:
                     best, where = float(leaf.sets[at]), (leaf, leaf.since + at, (int(leaf.edges[leaf.since + at]),), None)
-        for entry in narrowed:
+        for entry in self.narrowed:
             if entry[0] > best:
                 best, where = entry[0], (*entry[1:], entry)
-        if where is None or len(leaves) == k:
-            return leaves, best
+        return best, where
+
+    def branch(self, where: tuple) -> tuple:
+        """Take a set: draw its piece at the place of the split.  The rest of its path starts at the given node."""
         leaf, place, used, entry = where
         if entry is None:
             leaf.sets[place - leaf.since] = -math.inf
         else:
-            narrowed.remove(entry)
-        a, b = lattices.edges_of(node_of(lattices, starts, leaf, place))
+            self.narrowed.remove(entry)
+        lattices, unit = self.lattices, int(leaf.units[place])
+        inside = place and leaf.units[place - 1] == unit
+        a, b = lattices.edges_of(int(lattices.target.all[leaf.edges[place - 1]] if inside else self.starts[unit]))
         chance = np.exp(lattices.log_p.all[a:b])
         chance[[e - a for e in used]] = 0.0
         upto = np.cumsum(chance)
-        edge = a + int(np.searchsorted(upto, rng.random() * upto[-1], side="right").clip(0, b - a - 1))
-        unit = int(leaf.units[place])
-        nodes = starts[unit:].copy()
-        nodes[0] = lattices.target.all[edge]
-        units, edges = lattices.draw(nodes, unit, rng)
+        edge = a + int(np.searchsorted(upto, self.scalar(2 * len(self.leaves)) * upto[-1], side="right").clip(0, b - a - 1))
+        chance[edge - a] = 0.0
+        return leaf, place, (*used, edge), unit, edge, float(chance.sum())
+
+    def add(self, taken: tuple, value: float, units: np.ndarray, edges: np.ndarray, noise: np.ndarray) -> None:
+        """The path drawn from a set is the next sample; what is left of the set stays in the search."""
+        leaf, place, used, unit, edge, left = taken
         units = np.concatenate((leaf.units[:place], [unit], units))
         edges = np.concatenate((leaf.edges[:place], [edge], edges))
-        found = Leaf(lattices, units, edges, best, place + 1, rng)
-        leaves.append(found)
-        left = float(upto[-1]) - float(chance[edge - a])
-        if left > 1e-12:
-            value = float(cut_gumbel(np.array([leaf.before[place] + math.log(left)]), best, rng)[0])
-            narrowed.append((value, leaf, place, (*used, edge)))
+        number = len(self.leaves)
+        self.leaves.append(Leaf(self.lattices, units, edges, value, place + 1, noise))
+        if left > 0:
+            spare = -math.log(self.scalar(2 * number + 1))
+            self.narrowed.append((float(cut_gumbel(np.array(leaf.before[place] + math.log(left)), value, spare)), leaf, place, used))
 
 
-def node_of(lattices: Lattices, starts: np.ndarray, leaf: Leaf, place: int) -> int:
-    """The node that a path's edge leaves."""
-    if place and leaf.units[place - 1] == leaf.units[place]:
-        return int(lattices.target.all[leaf.edges[place - 1]])
-    return int(starts[leaf.units[place]])
+def top_k(lattices: Lattices, starts: list[np.ndarray], k: int, keys: list[np.uint64]) -> list[tuple[list[Leaf], float]]:
+    """Per text up to ``k`` distinct paths in the order of their perturbed values, and the value of the next one.
+
+    Each round draws one path for every text, all of them in one go.
+    """
+    searches = [Search(lattices, s, key) for s, key in zip(starts, keys)]
+    jobs = [(search, None, 0.0, 0, search.starts) for search in searches]
+    for round_ in range(k):
+        if round_:
+            jobs = []
+            for search in searches:
+                value, where = search.best()
+                if where is not None:
+                    taken = search.branch(where)
+                    nodes = search.starts[taken[3]:].copy()
+                    nodes[0] = lattices.target.all[taken[4]]
+                    jobs.append((search, taken, value, taken[3], nodes))
+        if not jobs:
+            break
+        drawn = lattices.draw(np.concatenate([j[4] for j in jobs]), np.concatenate([j[0].streams[j[3]:] for j in jobs]), round_)
+        ends = np.cumsum([len(j[4]) for j in jobs])
+        cuts = np.searchsorted(drawn[0], np.concatenate(([0], ends)))
+        for (search, taken, value, unit, nodes), end, a, b in zip(jobs, ends.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            units, edges, noise = (d[a:b] for d in drawn)
+            units = units - (end - len(nodes)) + unit
+            if taken is None:
+                search.first(edges, units, noise)
+            else:
+                search.add(taken, value, units, edges, noise)
+    return [(search.leaves, search.best()[0]) for search in searches]
 
 
 def log_inclusion(log_prob: float, threshold: float) -> float:
@@ -308,14 +403,17 @@ class Sampler:
         self.pieces = Pieces(path)
         self.lattices = Lattices(self.pieces)
 
-    def sample(self, text: str, k: int, seed: tuple[int, ...]) -> tuple[list[tuple[Leaf, list[int]]], float]:
-        units = UNITS.findall(MARK + text.replace(" ", MARK)) if text else []
+    def sample(self, texts: list[str], k: int, keys: list[int]) -> list[tuple[list[tuple[Leaf, np.ndarray]], float]]:
+        """Per text its samples with their ids, and the perturbed value of the next one."""
         lattices = self.lattices
         if lattices.at_end.n > MEMO_NODES:
             lattices.forget()
-        starts = lattices.nodes(units)
-        leaves, threshold = top_k(lattices, starts, k, np.random.Generator(np.random.PCG64(seed)))
-        return [(leaf, lattices.ids(leaf.edges)) for leaf in leaves], threshold
+        units = [UNITS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        nodes = lattices.nodes([u for own in units for u in own])
+        ends = np.cumsum([len(own) for own in units])
+        starts = np.split(nodes, ends[:-1]) if texts else []
+        found = top_k(lattices, starts, k, [mixed(np.array([key % (1 << 64)], dtype=np.uint64))[0] for key in keys])
+        return [([(leaf, lattices.ids(leaf.edges)) for leaf in leaves], threshold) for leaves, threshold in found]
 
 
 @lru_cache(maxsize=2)
@@ -347,14 +445,14 @@ def sample_segmentations(docs: DataFrame, k: int = 3, model: str | None = None,
         for batch in batches:
             for start in range(0, batch.num_rows, 200):
                 part, rows = batch.slice(start, 200), []
-                for doc_id, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
-                    key = (seed, 0 if doc_id is None else 1, (doc_id or 0) % (1 << 64))
-                    samples, threshold = draw.sample(text, k, key)
+                doc_ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
+                keys = [hash((seed, doc_id is None, doc_id or 0)) for doc_id in doc_ids]
+                for doc_id, text, (samples, threshold) in zip(doc_ids, texts, draw.sample(texts, k, keys)):
                     for number, (leaf, ids) in enumerate(samples, 1):
-                        raw = np.array(ids, dtype="<u4").tobytes()
+                        raw = ids.tobytes()
                         rows.append((doc_id, number, len(ids), zlib.crc32(raw), leaf.log_prob, leaf.value,
                                      log_inclusion(leaf.log_prob, threshold),
-                                     draw.pieces.decode(ids) == text.replace(MARK, " "), raw))
+                                     draw.pieces.decode(ids.tolist()) == text.replace(MARK, " "), raw))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SAMPLES)], schema=SAMPLES)
 
     return common.rows_of_text(docs, id_col, text_col).mapInArrow(run, SAMPLES_DDL)
