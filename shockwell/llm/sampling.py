@@ -9,10 +9,11 @@ variable of the set's total probability, cut off at the value of the path it
 was split from.  That value is an exact bound, so popping the best set and
 drawing its path is A-star search: every pop yields the next sample.
 
-Total probabilities come from the lattice's backward sums.  No piece of a
-SentencePiece model holds a word boundary in its middle, so the lattice falls
-into units (boundary marks and the word behind them); a worker builds a unit's
-lattice once and numpy steps through all units of a text together.
+Total probabilities come from the lattice's backward sums.  Where two
+characters stand next to each other in no piece, no piece crosses the place
+between them: there the lattice falls into units, words for the most part.  A
+worker builds a unit's lattice once and numpy steps through all units of many
+texts together.
 
 A unigram model's scores are log probabilities.  A BPE model has only ranks;
 its pieces get the log probabilities of Zipf's law by rank, bytes the least.
@@ -26,7 +27,6 @@ empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,15 +39,16 @@ from pyspark.sql import functions as F
 from shockwell.llm import common
 
 MARK = "▁"
-UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 #: Closes a unit in a row of units; no text holds it, and no piece.
 SENTINEL = 0x110000
 CHAR_BITS = 21
+#: Edges with a greater probability than this are almost certain.
+SURE = 0.999
 # Odd steps of the counters that random streams run on.
 UNIT, STEP, ROUND, NOISE, OWN = (np.uint64(n) for n in (
     0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0xABC98388FB8FAC03, 0x8CB92BA72F3D8DD7, 0xDB4F0B9175AE2165))
 #: Lattice nodes that a worker remembers before it starts anew.
-MEMO_NODES = 2_000_000
+MEMO_NODES = 4_000_000
 
 
 def default_path() -> str:
@@ -66,7 +67,9 @@ class Growing:
     def extend(self, values: np.ndarray) -> None:
         need = self.n + len(values)
         if need > len(self.room):
-            self.room = np.resize(self.room, max(need, 2 * len(self.room)))
+            larger = np.empty(max(need, len(self.room) * 3 // 2), dtype=self.room.dtype)
+            larger[:self.n] = self.room[:self.n]
+            self.room = larger
         self.room[self.n:need] = values
         self.n = need
 
@@ -99,8 +102,11 @@ class Pieces:
                 self.bytes_of[i] = piece.replace(MARK, " ").encode()
                 self.weight[i] = scores[i] if unigram else -math.log(min(n, max(1.0, 1 - scores[i])))
                 whole[piece] = i
-                if "\n" in piece or MARK in piece.lstrip(MARK):
-                    raise ValueError("a piece crosses a unit's end")
+        #: Pairs of characters that some piece holds next to each other, sorted.
+        self.pairs = np.array(sorted({ord(a) << CHAR_BITS | ord(b) for t in whole for a, b in zip(t, t[1:])}), dtype=np.int64)
+        low = self.pairs[(self.pairs >> CHAR_BITS < 256) & (self.pairs & (1 << CHAR_BITS) - 1 < 256)]
+        self.low_pairs = np.zeros(1 << 16, dtype=bool)
+        self.low_pairs[(low >> CHAR_BITS) << 8 | low & 255] = True
         state = {"": 0}
         for piece in whole:
             for k in range(1, len(piece) + 1):
@@ -113,6 +119,21 @@ class Pieces:
         for piece, i in whole.items():
             self.piece_at[state[piece]] = i
 
+    def units(self, text: str) -> list[str]:
+        """The text cut wherever no piece crosses."""
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        a, b = codes[:-1], codes[1:]
+        low = (a < 256) & (b < 256)
+        joined = self.low_pairs[(a << 8 | b) & 0xFFFF] & low
+        high = np.flatnonzero(~low)
+        if len(high):
+            key = a[high] << CHAR_BITS | b[high]
+            where = np.searchsorted(self.pairs, key)
+            where[where == len(self.pairs)] = 0
+            joined[high] = self.pairs[where] == key if len(self.pairs) else False
+        cuts = [0, *(np.flatnonzero(~joined) + 1).tolist(), len(text)]
+        return [text[i:j] for i, j in zip(cuts, cuts[1:])]
+
     def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pieces in a text of code points: ``(first place, place behind, id)``; all places walk the trie together."""
         at, state, depth = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), 0
@@ -147,9 +168,9 @@ class Lattices:
 
     def forget(self) -> None:
         self.first_node: dict[str, int] = {}
-        self.at_end, self.first_edge = Growing(bool), Growing(np.int64)
+        self.at_end, self.first_edge = Growing(bool), Growing(np.int32)
         #: Of each edge: the probability of the node's edges up to it, and as logs its own and that of all others.
-        self.upto, self.log_p, self.log_others = Growing(float), Growing(float), Growing(float)
+        self.upto, self.log_p, self.log_others = Growing(np.float32), Growing(np.float64), Growing(np.float32)
         self.target, self.id = Growing(np.int32), Growing(np.int32)
         #: Ids of edges that stand for a character's bytes, by -1 - number.
         self.byte_ids: list[list[int]] = []
@@ -195,10 +216,10 @@ class Lattices:
             cumulative[at] += cumulative[at - 1]
         cumulative[begins + sizes - 1] = 1.0
         # Next to an almost certain edge the others are added up themselves: 1 - p would lose them.
-        sure = p > 0.999
-        small = np.repeat(np.add.reduceat(np.where(sure, 0.0, p), begins), sizes)
+        sure = p > SURE
+        others = np.repeat(np.add.reduceat(np.where(sure, 0.0, p), begins), sizes)
         with np.errstate(divide="ignore"):
-            log_others = np.where(sure, np.log(small), np.log1p(-np.where(sure, 0.5, p)))
+            log_others = np.where(sure, np.log(others), np.log1p(-np.where(sure, 0.5, p)))
         self.first_edge.extend(self.upto.n + np.searchsorted(src, np.arange(len(codes))))
         self.at_end.extend(at_end)
         self.upto.extend(cumulative)
@@ -408,7 +429,7 @@ class Sampler:
         lattices = self.lattices
         if lattices.at_end.n > MEMO_NODES:
             lattices.forget()
-        units = [UNITS.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        units = [self.pieces.units(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         nodes = lattices.nodes([u for own in units for u in own])
         ends = np.cumsum([len(own) for own in units])
         starts = np.split(nodes, ends[:-1]) if texts else []
