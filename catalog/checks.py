@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.common import (
-    ORDER_SQL, calc_frame, direct_rows, fund_facts, order_columns, r, rs,
+    ORDER_SQL, calc_frame, direct_rows, flagged, fund_facts, order_columns, r, rs,
 )
 from fixtures import sql, views
+from shockwell import fixed_values as fv
 from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
 
@@ -57,8 +58,7 @@ def lookthrough_join(spark, sf_dir):
 
 
 def unmatched_positions(spark, sf_dir):
-    facts = fund_facts(spark, sf_dir)
-    return pos.unmatched_positions(views.positions(spark, sf_dir), facts).select(
+    return pos.unmatched_positions(flagged(spark, sf_dir)).select(
         "position_ord", "portfolio_id", "security_name"
     )
 
@@ -94,7 +94,7 @@ def position_value(spark, sf_dir):
 
 def _reconciliation(kind):
     def query(spark, sf_dir):
-        totals = pos.value_totals(views.positions(spark, sf_dir, kind), fund_facts(spark, sf_dir))
+        totals = pos.value_totals(flagged(spark, sf_dir, kind))
         return totals.select(
             r("total_dirty_value_pc", 1), r("total_value", 1), pos.totals_differ().alias("differs")
         )
@@ -110,15 +110,14 @@ def direct_irr_missing(spark, sf_dir):
 
 def position_mandatory_missing(spark, sf_dir):
     return _position_findings(spark, sf_dir, "asset").filter("error_code = 'MISSING_MANDATORY'").select(
-        "error_code", "portfolio_id"
+        "error_code", "Error", "portfolio_id"
     )
 
 
 def _position_findings(spark, sf_dir, kind, rules=pos.PositionRules(), facts=None):
     facts = facts or fund_facts(spark, sf_dir)
     return pos.position_findings(
-        views.positions(spark, sf_dir, kind),
-        facts,
+        flagged(spark, sf_dir, kind, facts),
         direct_rows(spark, sf_dir, kind, rules, facts),
         rules,
     )
@@ -227,10 +226,10 @@ def _position_report_sql(kind):
     return sql.with_(sql.POSITIONS, *_HELD, sql.calc(kind)) + f""", totals AS (
       SELECT (SELECT sum(dirty_value_pc) FROM all_positions WHERE kind = '{kind}') AS total_dirty_value_pc,
         (SELECT sum(value) FROM calc) AS total_value)
-    SELECT 'critical' AS severity, 'MISSING_MANDATORY' AS error_code,
-      'Missing value in mandatory column: dirty_value_pc' AS "Error", portfolio_id,
+    {" UNION ALL ".join(f"""SELECT 'critical' AS severity, 'MISSING_MANDATORY' AS error_code,
+      'Missing value in mandatory column: {c}' AS "Error", portfolio_id,
       NULL::DOUBLE AS total_dirty_value_pc, NULL::DOUBLE AS total_value
-    FROM all_positions WHERE kind = '{kind}' AND dirty_value_pc IS NULL
+    FROM all_positions WHERE kind = '{kind}' AND {c} IS NULL""" for c in fv.POSITION_MANDATORY)}
     UNION ALL SELECT 'validation', 'MISSING_IRR_INPUT',
       'Missing duration, maturity or analysis date for a rate-sensitive type', portfolio_id, NULL, NULL
     FROM direct WHERE missing_irr
@@ -268,8 +267,9 @@ ORACLES = {
     "direct_fill": sql.with_(*_ASSET) + """SELECT position_ord, portfolio_id, qc_of_underlying, maturity_date,
         valuation_date, mod_dur_of_underlying, cqs FROM calc WHERE is_direct""",
     "rating_to_cqs": sql.with_(sql.POSITIONS) + f"SELECT position_ord, rating, {sql.STEP} AS cqs FROM all_positions",
-    "position_mandatory_missing": sql.with_(sql.POSITIONS) + """SELECT 'MISSING_MANDATORY' AS error_code, portfolio_id
-        FROM all_positions WHERE kind = 'asset' AND dirty_value_pc IS NULL""",
+    "position_mandatory_missing": sql.with_(sql.POSITIONS) + " UNION ALL ".join(
+        f"""SELECT 'MISSING_MANDATORY' AS error_code, 'Missing value in mandatory column: {c}' AS "Error", portfolio_id
+        FROM all_positions WHERE kind = 'asset' AND {c} IS NULL""" for c in fv.POSITION_MANDATORY),
     **{f"classify_{k}": sql.with_(sql.POSITIONS) + f"""SELECT position_ord, cic_of_instrument, asset_allocation,
         {sql.classify(k)} AS calculation_type FROM all_positions""" for k in ("asset", "ul")},
     "position_value": sql.with_(*_ASSET) + f"""SELECT position_ord, {ORDER_SQL},

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
 
-from shockwell.plans.storage import settled
-
 from fixtures import views
 
 
@@ -39,8 +37,13 @@ ORDER_SQL = ("l_orderkey::BIGINT AS l_orderkey, l_linenumber::BIGINT AS l_linenu
 
 
 def fund_facts(spark, sf_dir):
-    """Facts per fund, stored because each query reads them several times."""
-    return settled(hold.fund_facts(views.holdings(spark, sf_dir)), "fund_facts")
+    """Facts per fund, stored once per session and folder: every query reads them."""
+    return views.stored(spark, sf_dir, "fund_facts", lambda *_: hold.fund_facts(views.holdings(spark, sf_dir)))
+
+
+def flagged(spark, sf_dir, kind=None, facts=None):
+    """Positions with the look-through flags of their security."""
+    return pos.flagged_positions(views.positions(spark, sf_dir, kind), facts or fund_facts(spark, sf_dir))
 
 
 def module_frame(spark, sf_dir, kind, facts=None, only_types=None):
@@ -60,7 +63,4 @@ def calc_frame(spark, sf_dir, kind, facts=None):
 
 
 def direct_rows(spark, sf_dir, kind, rules=pos.PositionRules(), facts=None):
-    facts = facts or fund_facts(spark, sf_dir)
-    return pos.direct_rows(
-        pos.unmatched_positions(views.positions(spark, sf_dir, kind), facts), kind, rules
-    )
+    return pos.direct_rows(pos.unmatched_positions(flagged(spark, sf_dir, kind, facts)), kind, rules)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from catalog.common import calc_frame, fund_facts, module_frame, r, rs
+from catalog.common import calc_frame, flagged, fund_facts, module_frame, r, rs
 from fixtures import sql, views
 from shockwell.functions import aggregates
 from shockwell.functions.dates import years_between
@@ -12,14 +15,18 @@ from shockwell.operators import concentration, currency, equity, interest, posit
 from shockwell.operators import property as prop
 from shockwell.operators import spread
 from shockwell.operators.securities import SECURITY, roll_up
+from shockwell.plans import market_risk as plan
+from shockwell.plans.storage import work_folder
 from shockwell.sources import market
 
 P, M = views.PARAMS, views.MATRIX
+# Digits that results are compared with, where not four.
+DIGITS = {"currency": 3, "concentration": 2}
 
 
 def _rates(spark, sf_dir):
-    month = market.fx_month(views.fx_table(spark, sf_dir), views.FX_PERIOD)
-    return market.fx_asof(month, views.fx_units(spark, sf_dir))
+    rates, units = market.fx_sheet(views.fx_sheet(spark, sf_dir), "rate_date")
+    return market.fx_asof(market.fx_month(rates, views.FX_PERIOD), units)
 
 
 def _shown(df, digits=4):
@@ -76,10 +83,36 @@ def _property(kind):
 def concentration_risk(spark, sf_dir):
     facts = fund_facts(spark, sf_dir)
     frame = module_frame(spark, sf_dir, "asset", facts, M.types_for("concentration"))
-    totals = pos.value_totals(views.positions(spark, sf_dir, "asset"), facts)
+    totals = pos.value_totals(flagged(spark, sf_dir, "asset", facts))
     return _shown(concentration.concentration_risk(frame, P, M, totals)[0], 2)
 
 
+def _whole_run(spark, sf_dir):
+    """Everything from stored inputs to sinks; the path that the result tables are in."""
+    market_data = plan.MarketData(views.curves(spark), _rates(spark, sf_dir), views.SYMMETRIC_ADJUSTMENT)
+    path = f"{work_folder(spark)}/out"
+    plan.run(
+        views.holdings(spark, sf_dir), views.positions(spark, sf_dir, "asset"), views.positions(spark, sf_dir, "ul"),
+        plan.Settings(P, M), market_data, path)
+    return path
+
+
+def market_risk_pipeline(spark, sf_dir):
+    """Rows and total value of every result table that a run stores."""
+    path, parts = _whole_run(spark, sf_dir), []
+    for kind, modules in (("asset", plan.ASSET_MODULES), ("ul", plan.UL_MODULES)):
+        for module in modules:
+            table = spark.read.parquet(f"{path}/results/list={kind}/module={module}")
+            parts.append(_shown(table, DIGITS.get(module, 4)).agg(
+                F.lit(kind).alias("list"), F.lit(module).alias("module"), F.count(F.lit(1)).alias("n_rows"),
+                F.expr("cast(sum(cast(value AS DECIMAL(30, 4))) AS STRING) AS value")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def ul_pipeline_equity(spark, sf_dir):
+    return _shown(spark.read.parquet(f"{_whole_run(spark, sf_dir)}/results/list=ul/module=equity"))
+
+
 def _by_country(spark, sf_dir):
     """Positions as direct rows of 25 large securities (one per country), so
     that exposures pass the thresholds."""
@@ -104,14 +137,8 @@ def concentration_by_country(spark, sf_dir):
 # ------------------------------------------------------- aggregates, scalars
 
 def group_first(spark, sf_dir):
-    return (
-        views.positions(spark, sf_dir)
-        .groupBy("portfolio_group", "country")
-        .agg(
-            aggregates.first_by("rating", "position_ord").alias("rating"),
-            aggregates.first_by("security_name", "position_ord").alias("security_name"),
-        )
-    )
+    rows = views.positions(spark, sf_dir)
+    return roll_up(rows, ["portfolio_group", "country"], ["rating", "security_name"], ["dirty_value_pc"]).drop("dirty_value_pc")
 
 
 def group_uniform(spark, sf_dir):
@@ -131,8 +158,8 @@ def group_dominant(spark, sf_dir):
 
 
 def weighted_cqs(spark, sf_dir):
-    rows = views.holdings(spark, sf_dir).filter(F.col("cqs").isNotNull())
-    step, w = F.col("cqs").cast("double"), F.col("mod_dur_of_underlying")
+    rows = views.holdings(spark, sf_dir)
+    step, w = F.expr(concentration.STEP_OR_WORST), F.col("mod_dur_of_underlying")
     return rows.groupBy("portfolio_id", "id_of_underlying").agg(
         aggregates.weighted_step(F.sum(step * w), F.sum(w), P.tolerance).alias("weighted_cqs")
     )
@@ -186,7 +213,7 @@ def spread_buckets(spark, sf_dir):
 def cqs_normalise(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem")
     p = F.col("l_partkey") % 11
-    cell = F.when(p == 8, "NR").when(p == 9, "1.5").when(p == 10, "-1").when(
+    cell = F.when(p == 8, "NR").when(p == 9, F.when(F.col("l_suppkey") % 2 == 0, "3D").otherwise("1.5")).when(p == 10, "-1").when(
         (p == 7) & (F.col("l_suppkey") % 2 == 0), "A"
     ).otherwise(p.cast("string"))
     return lines.select(
@@ -228,6 +255,8 @@ QUERIES = {
     "ul_spread_risk": _spread("ul"),
     "ul_currency_risk": _currency("ul"),
     "ul_property_risk": _property("ul"),
+    "market_risk_pipeline": market_risk_pipeline,
+    "ul_pipeline_equity": ul_pipeline_equity,
 }
 
 
@@ -354,8 +383,8 @@ def _currency_sql(kind):
       {rs('value * up', 'up_shock_mv_value', 3)}, {rs('value - value * up', 'up_shock_value', 3)} FROM g
     UNION ALL
     SELECT portfolio_group, portfolio_id, security_name, qc_of_underlying, {rs('value', digits=3)},
-      {rs('balance_nominal * coalesce(rate, value)', 'down_shock_mv_value', 3)},
-      {rs('value - balance_nominal * coalesce(rate, value)', 'down_shock_value', 3)},
+      {rs('balance_nominal * CASE WHEN c IS NULL THEN value ELSE rate END', 'down_shock_mv_value', 3)},
+      {rs('value - balance_nominal * CASE WHEN c IS NULL THEN value ELSE rate END', 'down_shock_value', 3)},
       0.0::DOUBLE, {rs('value', 'up_shock_value', 3)}
     FROM calc LEFT JOIN (SELECT currency AS c, rate FROM fx_asof) ON c = qc_of_underlying
     WHERE calculation_type = 'FX'"""
@@ -428,9 +457,9 @@ ORACLES = {
       {rs(_uniform('mod_dur_of_underlying'), 'mod_dur_of_underlying')} FROM calc GROUP BY 1, 2)
       JOIN {_dominant('calc', _SEC, 'qc_of_underlying')} USING (portfolio_id, portfolio_group)""",
     "weighted_cqs": sql.with_(sql.HOLDINGS) + """SELECT portfolio_id, id_of_underlying,
-      CASE WHEN sum(mod_dur_of_underlying) <> 0 THEN ceil(sum(cqs::DOUBLE * mod_dur_of_underlying)
+      CASE WHEN sum(mod_dur_of_underlying) <> 0 THEN ceil(sum(coalesce(cqs::DOUBLE, 6) * mod_dur_of_underlying)
         / sum(mod_dur_of_underlying) - 1e-5::DOUBLE)::BIGINT ELSE 0 END AS weighted_cqs
-      FROM holdings WHERE cqs IS NOT NULL GROUP BY 1, 2""",
+      FROM holdings GROUP BY 1, 2""",
     "years_to_maturity": f"""WITH l AS (SELECT *, l_shipdate::DATE AS e,
         l_shipdate::DATE - (l_partkey % 9000 - 500)::INT AS s FROM lineitem)
       SELECT {_LINE}, {rs(sql.years('s', 'e'), 'years', 8)} FROM l""",
@@ -468,3 +497,11 @@ ORACLES = {
     "ul_currency_risk": _currency_sql("ul"),
     "ul_property_risk": _property_sql("ul"),
 }
+
+_STORED = {"equity": "equity_risk", "interest": "interest_rate_risk", "spread": "spread_risk", "currency": "currency_risk",
+           "concentration": "concentration_risk", "property": "property_risk"}
+ORACLES["market_risk_pipeline"] = " UNION ALL ".join(
+    f"""SELECT '{kind}' AS list, '{module}' AS module, count(*) AS n_rows,
+      sum(value::DECIMAL(30, 4))::VARCHAR AS value FROM ({ORACLES[prefix + _STORED[module]]})"""
+    for kind, prefix, modules in (("asset", "", plan.ASSET_MODULES), ("ul", "ul_", plan.UL_MODULES)) for module in modules)
+ORACLES["ul_pipeline_equity"] = ORACLES["ul_equity_risk"]

@@ -23,12 +23,38 @@ def _raw_tpt(spark, sf_dir):
     return _raw(no_id, fv.TPT_HEADERS, "holding_ord").withColumn("2_Unused", F.lit("x"))
 
 
+def read_holdings(spark, sf_dir):
+    """``(typed holdings, rejects)`` of the fund file's two text parts."""
+    paths = [views.text_file(spark, sf_dir, f"tpt_{p}.csv", lambda s, d, p=p: views.tpt_text(s, d, p)) for p in (0, 1)]
+    return tables.type_holdings(tables.project_tpt(tables.read_tpt(spark, paths)))
+
+
+def read_positions(spark, sf_dir, kind):
+    """``(typed positions, rejects)`` of a list's text, broken records among the rejects."""
+    path = views.text_file(spark, sf_dir, f"{kind}.csv", lambda s, d: views.position_text(s, d, kind))
+    raw = tables.read_raw(spark, path, order="position_ord")
+    project = tables.project_asset_list if kind == "asset" else tables.project_ul_list
+    typed, rejects = tables.type_positions(project(raw))
+    return typed, rejects.unionByName(tables.corrupt_records(raw, "positions"))
+
+
 def tpt_scan(spark, sf_dir):
-    raw = tables.union_parts([_raw_tpt(spark, sf_dir)], tables.TPT_ID)
-    weight = "26_Valuation_weight"
-    return raw.select(
-        *order_columns(), *[F.col(f"`{h}`") for h in fv.TPT_HEADERS if h != weight], r(weight, 8)
-    )
+    """The fund file from text: scan, stack, project, clean, type."""
+    typed = read_holdings(spark, sf_dir)[0]
+    return typed.select(*[c for c in fv.TPT_HEADERS.values() if c != "valuation_weight"], r("valuation_weight", 8))
+
+
+def _list_scan(kind):
+    def query(spark, sf_dir):
+        return read_positions(spark, sf_dir, kind)[0].select(*fv.ASSET_HEADERS.values())
+
+    return query
+
+
+def position_cast_rejects(spark, sf_dir):
+    """Cells and records that typing sets aside; of broken records the beginning."""
+    both = [read_positions(spark, sf_dir, k)[1].withColumn("list", F.lit(k)) for k in ("asset", "ul")]
+    return both[0].unionByName(both[1]).withColumn("raw_value", F.substring("raw_value", 1, 11))
 
 
 def union_parts(spark, sf_dir):
@@ -109,12 +135,13 @@ def curve_long(spark, sf_dir):
 
 
 def fx_month_filter(spark, sf_dir):
-    return market.fx_month(views.fx_table(spark, sf_dir), views.FX_PERIOD)
+    rates, _ = market.fx_sheet(views.fx_sheet(spark, sf_dir), "rate_date")
+    return market.fx_month(rates, views.FX_PERIOD)
 
 
 def fx_asof(spark, sf_dir):
-    month = market.fx_month(views.fx_table(spark, sf_dir), views.FX_PERIOD)
-    return market.fx_asof(month, views.fx_units(spark, sf_dir))
+    rates, units = market.fx_sheet(views.fx_sheet(spark, sf_dir), "rate_date")
+    return market.fx_asof(market.fx_month(rates, views.FX_PERIOD), units)
 
 
 def _adjustments(spark, sf_dir):
@@ -158,7 +185,9 @@ def clean_text(spark, sf_dir):
 
 def _price_text(comma=True):
     text = F.col("l_extendedprice").cast("string")
-    return F.when(F.col("l_partkey") % 10 == 3, "n.a.").when(F.col("l_partkey") % 10 == 4, "1,2,3").otherwise(
+    return F.when(F.col("l_partkey") % 10 == 3, "n.a.").when(F.col("l_partkey") % 10 == 4, "1,2,3").when(
+        F.col("l_partkey") % 10 == 5, "12d"
+    ).otherwise(
         F.replace(text, F.lit("."), F.lit(",")) if comma else text
     )
 
@@ -196,6 +225,7 @@ def excel_serial_date(spark, sf_dir):
         F.when(F.col("l_partkey") % 4 == 0, serial)
         .when(F.col("l_partkey") % 4 == 1, F.concat(serial, F.lit(".75")))
         .when(F.col("l_partkey") % 4 == 2, F.date_format(day, "yyyy.MM.dd"))
+        .when(F.col("l_suppkey") % 2 == 0, F.concat(serial, F.lit("f")))
         .otherwise("soon")
     )
     return lines.select(*LINE_KEY, cleaning.serial_or_date(cell).alias("maturity_date"))
@@ -205,7 +235,9 @@ def int_coerce(spark, sf_dir):
     lines = views.table(spark, sf_dir, "lineitem")
     p, q = F.col("l_partkey") % 4, F.col("l_quantity").cast("int").cast("string")
     cell = (
-        F.when(p == 0, q).when(p == 1, F.concat(q, F.lit(".0"))).when(p == 2, F.concat(q, F.lit(".5"))).otherwise("EU")
+        F.when(p == 0, q).when(p == 1, F.concat(q, F.lit(".0"))).when(p == 2, F.concat(q, F.lit(".5"))).when(
+            F.col("l_suppkey") % 2 == 0, F.concat(q, F.lit("D"))
+        ).otherwise("EU")
     )
     return lines.select(*LINE_KEY, cleaning.to_whole_number(cell).cast("bigint").alias("zone"))
 
@@ -217,7 +249,9 @@ def cast_rejects(spark, sf_dir):
     )
     comma = {c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")) for c in tables.HOLDING_NUMBERS}
     comma["valuation_weight"] = F.when(F.col("p") % 7 == 0, "ten percent").otherwise(comma["valuation_weight"])
-    comma["mod_dur_of_underlying"] = F.when(F.col("p") % 11 == 0, "4,5 years").otherwise(comma["mod_dur_of_underlying"])
+    comma["mod_dur_of_underlying"] = F.when(F.col("p") % 11 == 0, "4,5 years").when(
+        F.col("p") % 11 == 1, F.concat(F.col("line").cast("string"), F.lit("d"))
+    ).otherwise(comma["mod_dur_of_underlying"])
     zone = (
         F.when(F.col("p") % 5 == 0, F.concat(F.col("line").cast("string"), F.lit(".5")))
         .when(F.col("p") % 5 == 1, "EEA")
@@ -232,6 +266,9 @@ def cast_rejects(spark, sf_dir):
 
 QUERIES = {
     "tpt_scan": tpt_scan,
+    "asset_scan": _list_scan("asset"),
+    "ul_scan": _list_scan("ul"),
+    "position_cast_rejects": position_cast_rejects,
     "union_parts": union_parts,
     "tpt_project": tpt_project,
     "asset_project": _position_project(fv.ASSET_HEADERS, tables.project_asset_list, "asset"),
@@ -267,11 +304,27 @@ def _position_columns(kind):
     return sql.with_(sql.POSITIONS) + f"SELECT {names} FROM all_positions WHERE kind = '{kind}'"
 
 
-_price_sql = ("CASE l_partkey % 10 WHEN 3 THEN 'n.a.' WHEN 4 THEN '1,2,3' "
+_price_sql = ("CASE l_partkey % 10 WHEN 3 THEN 'n.a.' WHEN 4 THEN '1,2,3' WHEN 5 THEN '12d' "
               "ELSE replace(l_extendedprice::VARCHAR, '.', ',') END")
 
 ORACLES = {
-    "tpt_scan": _tpt("raw", "WHERE cqs IS NOT NULL"),
+    "tpt_scan": sql.with_(sql.HOLDINGS) + f"""SELECT {', '.join(
+        'CASE WHEN l_partkey % 3 <> 0 THEN maturity_date END AS maturity_date' if c == 'maturity_date'
+        else rs(c, c, 8) if c == 'valuation_weight' else c for c in fv.TPT_HEADERS.values())}
+      FROM holdings WHERE cqs IS NOT NULL""",
+    **{f"{kind}_scan": sql.with_(sql.POSITIONS) + f"""SELECT {', '.join(
+        "CASE WHEN position_ord % 37 <> 0 AND position_ord % 41 <> 0 THEN modified_duration END AS modified_duration"
+        if c == 'modified_duration' else c for c in fv.ASSET_HEADERS.values())}
+      FROM all_positions WHERE kind = '{kind}' AND position_ord % 101 <> 0""" for kind in ("asset", "ul")},
+    "position_cast_rejects": sql.with_(sql.POSITIONS) + """, text AS (SELECT *,
+        CASE WHEN position_ord % 37 = 0 THEN '2,5' WHEN position_ord % 41 = 0 THEN '3d' END AS bad FROM all_positions),
+      cut AS (SELECT * FROM text WHERE position_ord % 101 = 0)
+      SELECT 'positions' AS module, 'cannot convert modified_duration' AS reason, portfolio_id,
+        NULL::VARCHAR AS id_of_underlying, bad AS raw_value, kind AS list
+      FROM text WHERE bad IS NOT NULL AND position_ord % 101 <> 0
+      UNION ALL SELECT 'positions', 'record does not have the columns of the header', NULL, NULL,
+        left(portfolio_group || ',' || portfolio_id || ',', 11), kind FROM cut
+      UNION ALL SELECT 'positions', 'record does not have the columns of the header', NULL, NULL, 'second line', kind FROM cut""",
     "union_parts": sql.with_(sql.HOLDINGS) + """SELECT portfolio_id, 2 * count(*) AS n_rows,
         count(maturity_date) AS n_maturities FROM holdings WHERE cqs IS NOT NULL GROUP BY 1""",
     "tpt_project": _tpt("new"),
@@ -317,5 +370,6 @@ ORACLES = {
         'cannot convert ' || c AS reason, portfolio_id, id_of_underlying, raw_value FROM (
           SELECT 'valuation_weight' AS c, 'ten percent' AS raw_value, * FROM holdings WHERE l_partkey % 7 = 0
           UNION ALL SELECT 'mod_dur_of_underlying', '4,5 years', * FROM holdings WHERE l_partkey % 11 = 0
+          UNION ALL SELECT 'mod_dur_of_underlying', l_linenumber || 'd', * FROM holdings WHERE l_partkey % 11 = 1
           UNION ALL SELECT 'economic_zone', l_linenumber || '.5', * FROM holdings WHERE l_partkey % 5 = 0)""",
 }

@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shockwell import CalculationMatrix, Parameters, ReportingPeriod
-from shockwell.plans.storage import settled
+from shockwell import fixed_values as fv
+from shockwell.plans.storage import settled, work_folder
+from shockwell.sources import tables
 
 ANALYSIS_DATE = datetime.date(2001, 12, 31)
 FX_PERIOD = ReportingPeriod(2001, 6)
@@ -61,13 +63,11 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """The derived table from the work folder, written on first use.
 
     The driver files may hold all rows in one block, so the rows are dealt out
-    to at least as many files as there are cores.
+    to a file per core.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        rows, cores = build(spark, sf_dir), spark.sparkContext.defaultParallelism
-        if len(table(spark, sf_dir, "lineitem").inputFiles()) < cores:
-            rows = rows.repartition(cores)
+        rows = build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
         _stored[key] = settled(rows, name)
     return _stored[key]
 
@@ -150,6 +150,51 @@ def derive_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("holding_ord", F.struct(*order)).drop(*order)
 
 
+_texts: dict[tuple[str, str, str], str] = {}
+
+
+def text_file(spark: SparkSession, sf_dir: str, name: str, build) -> str:
+    """Path of a derived table written as CSV text, once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _texts:
+        path = f"{work_folder(spark)}/{name}"
+        build(spark, sf_dir).write.options(header=True, encoding="ISO-8859-1", quote='"', escape='"').csv(path)
+        _texts[key] = path
+    return _texts[key]
+
+
+def tpt_text(spark: SparkSession, sf_dir: str, part: int):
+    """Fund file text: decimal commas, dotted dates, unused columns.  Rows
+    without a credit step lack the fund id.  Every third part key is in the
+    second part, which has no maturity column."""
+    rows = holdings(spark, sf_dir).filter(f"(holding_ord.l_partkey % 3 = 0) = {part == 1}")
+    cells = {
+        **{c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")) for c in tables.HOLDING_NUMBERS},
+        **{c: F.date_format(c, "dd.MM.yyyy") for c in tables.HOLDING_DATES},
+        "portfolio_id": F.when(F.col("cqs").isNotNull(), F.col("portfolio_id")),
+    }
+    text = rows.select(
+        F.lit("\u00e9").alias("0_Unused"),
+        *[cells.get(c, F.col(c)).cast("string").alias(h) for h, c in fv.TPT_HEADERS.items()])
+    return text.drop("39_Maturity_date") if part == 1 else text
+
+
+def position_text(spark: SparkSession, sf_dir: str, kind: str):
+    """Position list text: dates as text or day number, some cells that do not
+    parse, and names with a line break, which cut their record in two."""
+    k = F.col("position_ord")
+    serial = F.datediff("exp_maturity_date", F.lit("1899-12-30").cast("date")).cast("string")
+    cells = {
+        "analysis_date": F.date_format("analysis_date", "yyyy.MM.dd"),
+        "exp_maturity_date": F.when(k % 2 == 0, serial).otherwise(F.date_format("exp_maturity_date", "yyyy.MM.dd")),
+        "modified_duration": F.when(k % 37 == 0, "2,5").when(k % 41 == 0, "3d").otherwise(F.col("modified_duration").cast("string")),
+        "security_name": F.when(k % 101 == 0, F.concat(F.col("security_name"), F.lit("\nsecond line"))).otherwise(F.col("security_name")),
+    }
+    headers = fv.ASSET_HEADERS if kind == "asset" else fv.UL_HEADERS
+    return positions(spark, sf_dir, kind).select(
+        *[cells.get(c, F.col(c)).cast("string").alias(h) for h, c in headers.items()])
+
+
 def curves(spark: SparkSession) -> DataFrame:
     """Closed-form curves of the three sheets, 15 codes, terms 1..150."""
     names = ", ".join(map(repr, CURVE_NAMES))
@@ -175,8 +220,14 @@ def fx_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.selectExpr("rate_date", "currency", "if(m > 60, m, NULL) AS rate")
 
 
-def fx_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unit per currency: 100 for the yen, otherwise 1."""
-    customers = table(spark, sf_dir, "customer")
-    codes = customers.selectExpr(f"{code_at(CURRENCIES, 'c_nationkey')} AS currency").distinct()
-    return codes.selectExpr("currency", "if(currency = 'JPY', 100.0D, 1.0D) AS unit")
+FX_UNITS = {c: 100.0 if c == "JPY" else 1.0 for c in sorted(set(CURRENCIES)) if c != "CNY"}
+
+
+def fx_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rates as a sheet: units in a row without date (one currency lacks
+    its unit), then a row per day, a column per currency."""
+    codes = sorted(set(CURRENCIES))
+    days = fx_table(spark, sf_dir).groupBy("rate_date").pivot("currency", codes).agg(F.max("rate"))
+    units = spark.range(1).select(
+        F.lit(None).cast("date").alias("rate_date"), *[F.lit(FX_UNITS.get(c)).cast("double").alias(c) for c in codes])
+    return units.unionByName(days)

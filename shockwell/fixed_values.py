@@ -96,6 +96,12 @@ HOLDING_MANDATORY = [
     "id_of_underlying", "qc_of_underlying", "valuation_weight",
     "portfolio_mod_dur", "underlying_asset_category",
 ]
+# Columns that single checks read.
+HOLDING_SPECIFIC = [
+    "portfolio_id", "valuation_date", "portfolio_mod_dur", "scr_delivery",
+    "cic_of_underlying", "economic_zone", "valuation_weight", "cqs",
+    "mod_dur_of_underlying", "underlying_asset_category", "name_of_underlying",
+]
 POSITION_MANDATORY = ["portfolio_group", "portfolio_id", "dirty_value_pc"]
 
 # Rating (without + - and blanks) -> credit quality step.

@@ -15,11 +15,6 @@ def total(c: str) -> Column:
     return F.expr(f"coalesce(sum({c}), 0.0D)")
 
 
-def first_by(c: str, order: str) -> Column:
-    """Value on the row with the smallest order key, missing values included."""
-    return F.min_by(c, order)
-
-
 def uniform(c: str) -> Column:
     """The value when every row has it, NULL when rows differ or some lack it."""
     return F.expr(f"if(count({c}) = count(1) AND min({c}) = max({c}), min({c}), NULL)")

@@ -9,6 +9,9 @@ from shockwell import fixed_values as fv
 from shockwell.functions.lookups import sql_text, text_list
 
 CONTROL_CHARACTERS = r"[\x00-\x1F\x7F]"
+# Sign, digits with at most one point, exponent.  A cast alone would also take
+# the type suffixes of programming languages, as in 12d or 3F.
+NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
 def missing_to_null(c: Column) -> Column:
@@ -20,15 +23,24 @@ def strip_control(c: Column) -> Column:
     return F.regexp_replace(c, CONTROL_CHARACTERS, "")
 
 
+def parse_number(c: Column) -> Column:
+    """Number written with a decimal point; NULL for any other text."""
+    return F.when(c.rlike(NUMBER), c.try_cast("double"))
+
+
+def number_sql(c: str) -> str:
+    """`parse_number` as SQL text."""
+    return f"if({c} RLIKE {sql_text(NUMBER)}, try_cast({c} AS DOUBLE), NULL)"
+
+
 def to_number(c: Column) -> Column:
     """Number written with a decimal comma or point; NULL when it is neither."""
-    parsed = F.replace(c, F.lit(","), F.lit(".")).try_cast("double")
-    return F.when(~F.isnan(parsed), parsed)
+    return parse_number(F.replace(c, F.lit(","), F.lit(".")))
 
 
 def to_whole_number(c: Column) -> Column:
     """Integer text such as ``2`` or ``2.0``; NULL for fractions and words."""
-    parsed = c.try_cast("double")
+    parsed = parse_number(c)
     return F.when(parsed == F.floor(parsed), parsed).try_cast("int")
 
 
@@ -44,7 +56,7 @@ def year_first_date(c: Column) -> Column:
 
 def serial_or_date(c: Column) -> Column:
     """Spreadsheet day number (day 0 is 1899-12-30) or ``yyyy.MM.dd`` text."""
-    days = F.floor(c.try_cast("double")).try_cast("int")
+    days = F.floor(parse_number(c)).try_cast("int")
     return F.coalesce(F.date_add(F.lit("1899-12-30").cast("date"), days), year_first_date(c))
 
 

@@ -36,7 +36,8 @@ DUPLICATE_CHUNK = 100_000
 
 @dataclass(frozen=True)
 class HoldingRules:
-    """Switches and lists of the holding checks.
+    """Switches and lists of the holding checks; ``mandatory`` columns must be
+    there and filled, ``specific`` ones must be there.
 
     A check named in ``disabled`` neither reports nor changes a type; only the
     type a holding has by category, CIC and name is always assigned.
@@ -44,6 +45,7 @@ class HoldingRules:
 
     rate_types: tuple = tuple(fv.RATE_SENSITIVE_TYPES)
     mandatory: tuple = tuple(fv.HOLDING_MANDATORY)
+    specific: tuple = tuple(fv.HOLDING_SPECIFIC)
     duration_tolerance: float = 1e-9
     disabled: frozenset = field(default_factory=frozenset)
 
@@ -134,7 +136,7 @@ def weight_after_fill(rules: HoldingRules) -> str:
 
 def with_row_type(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> DataFrame:
     """Add ``row_type`` (every rule but the fund rules) and fill the weight."""
-    require_columns(holdings, rules.mandatory)
+    require_columns(holdings, (*rules.mandatory, *rules.specific))
     typed = F.when(row_overrides(holdings, rules), "3X").otherwise(own_type())
     return holdings.withColumn("row_type", typed).withColumn(
         "valuation_weight", F.expr(weight_after_fill(rules))

@@ -23,9 +23,11 @@ from shockwell import fixed_values as fv
 from shockwell.functions.cleaning import is_in, starts_with
 from shockwell.functions.lookups import sql_text, translate
 from shockwell.operators.holdings import (
-    CRITICAL, VALIDATION, HoldingRules, final_type, fund_facts, hot_funds, sovereign_like, with_row_type,
+    CRITICAL, VALIDATION, HoldingRules, final_type, fund_facts, hot_funds, require_columns, sovereign_like, with_row_type,
+)
+from shockwell.operators.skew import (
+    SALT, SkewPolicy, hot_keys, hot_products, per_salt, product_join, row_counts, split_join, with_salt,
 )
-from shockwell.operators.skew import SALT, SkewPolicy, hot_keys, per_salt, row_counts, split_join, with_salt
 
 ASSET = "asset"
 UL = "ul"
@@ -49,8 +51,10 @@ MODULE_COLUMNS = [
 
 @dataclass(frozen=True)
 class PositionRules:
-    """Switches of the position checks."""
+    """Switches and lists of the position checks; ``mandatory``: columns that
+    must be filled."""
 
+    mandatory: tuple = tuple(fv.POSITION_MANDATORY)
     rate_types: tuple = tuple(fv.RATE_SENSITIVE_TYPES)
     oecd_countries: tuple = tuple(fv.EEA_COUNTRIES + fv.OECD_NON_EEA_COUNTRIES)
     strict_missing_rating: bool = False
@@ -100,19 +104,25 @@ def classify(kind: str, oecd_countries=PositionRules.oecd_countries) -> Column:
 
 # ------------------------------------------------------------- direct rows
 
-def hot_securities(positions: DataFrame, policy: SkewPolicy) -> DataFrame:
-    return hot_keys(row_counts(positions, "portfolio_id"), "portfolio_id", policy)
+def flagged_positions(positions: DataFrame, facts: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    """Positions with what the look-through asks about their security:
+    ``has_holdings``, ``fund_is_other_equity`` and ``applied_weight``.
 
+    Missing ids have no holdings.  Everything below reads the positions through
+    this table, so it should be stored when more than one step does.
+    """
+    flags = facts.select("portfolio_id", "fund_is_other_equity", "applied_weight", F.lit(True).alias("has_holdings"))
+    crowded = hot_keys(row_counts(positions, "portfolio_id"), "portfolio_id", policy)
+    return split_join(positions, flags, "portfolio_id", "left", "position_ord", crowded, policy).withColumn(
+        "has_holdings", F.expr("coalesce(has_holdings, false)"))
 
-def unmatched_positions(
-    positions: DataFrame, facts: DataFrame, policy: SkewPolicy = SkewPolicy()
-) -> DataFrame:
+
+FLAGS = ("has_holdings", "fund_is_other_equity", "applied_weight")
+
+
+def unmatched_positions(flagged: DataFrame) -> DataFrame:
     """Positions whose security has no holdings, missing ids included."""
-    hot = hot_securities(positions, policy)
-    return split_join(
-        positions, facts.select("portfolio_id"), "portfolio_id", "left_anti",
-        "position_ord", hot, policy,
-    )
+    return flagged.filter("NOT has_holdings").drop(*FLAGS)
 
 
 def direct_rows(
@@ -148,30 +158,24 @@ def direct_rows(
 
 # -------------------------------------------------------------- look-through
 
-def fold_positions(positions: DataFrame) -> DataFrame:
+TEXTS = ["security_name", "country", "currency", "cic_of_instrument", "asset_allocation"]
+
+
+def fold_positions(flagged: DataFrame) -> DataFrame:
     """Add up positions that the stress modules cannot tell apart.
 
-    Same security, portfolio group and analysis date, and the same answer to
-    "counts in the portfolio total".  The texts are those of the first position.
+    Same security, portfolio group, analysis date and texts; of the order key
+    the first one stays.  The texts are grouping keys and the sums are numbers,
+    so this is one hash aggregation with map-side partial sums and no sort.
     """
-    outside = F.expr(starts_with("asset_allocation", *fv.ALLOCATIONS_OUTSIDE_TOTAL))
-    texts = ["security_name", "country", "currency", "cic_of_instrument", "asset_allocation"]
-    return (
-        positions.filter(F.col("portfolio_id").isNotNull())
-        .groupBy("portfolio_id", "portfolio_group", "analysis_date", outside.alias("_outside"))
-        .agg(
-            F.sum("dirty_value_pc").alias("dirty_value_pc"),
-            F.min(F.struct("position_ord", *texts)).alias("_first"),
-        )
-        .select(
-            "portfolio_id", "portfolio_group", "analysis_date", "dirty_value_pc",
-            "_first.*", F.lit(None).cast("double").alias("balance_nominal"),
-        )
-    )
+    keys = ["portfolio_id", "portfolio_group", "analysis_date", *TEXTS, "fund_is_other_equity"]
+    folded = flagged.filter("has_holdings").groupBy(*keys).agg(
+        F.sum("dirty_value_pc").alias("dirty_value_pc"), F.min("position_ord").alias("position_ord"))
+    return folded.withColumn("balance_nominal", F.lit(None).cast("double"))
 
 
 def look_through(
-    positions: DataFrame,
+    flagged: DataFrame,
     typed_holdings: DataFrame,
     facts: DataFrame,
     policy: SkewPolicy = SkewPolicy(),
@@ -180,28 +184,30 @@ def look_through(
     """Positions joined to the holdings of their fund (matched positions only).
 
     ``typed_holdings`` carries ``row_type``; the fund's verdict travels with the
-    position, so the holdings are shuffled once.  Holdings of a very large fund
-    are salted and the position repeated per salt.  Folded positions are few
-    per security; others may crowd one, which is then split as well.
+    position, so the holdings are shuffled once.  Folded positions are few per
+    security: the holdings of a very large fund are salted and the position
+    repeated per salt.  Other positions may crowd a security, too, so the
+    positions times holdings of a security are dealt out, each side salted and
+    repeated for the other's salts.
     """
-    flags = facts.select("portfolio_id", "fund_is_other_equity")
     if folded:
-        flagged = positions.join(flags, "portfolio_id")
+        hot = hot_funds(facts, policy)
+        left = per_salt(flagged, "portfolio_id", hot)
+        right = with_salt(typed_holdings, "portfolio_id", "holding_ord", hot, policy)
+        joined = left.join(right, ["portfolio_id", SALT]).drop(SALT)
     else:
-        crowded = hot_securities(positions, policy)
-        flagged = split_join(positions, flags, "portfolio_id", "inner", "position_ord", crowded, policy)
-    hot = hot_funds(facts, policy)
-    left = per_salt(flagged, "portfolio_id", hot)
-    right = with_salt(typed_holdings, "portfolio_id", "holding_ord", hot, policy)
+        matched = flagged.filter("has_holdings")
+        hot = hot_products(
+            row_counts(matched, "portfolio_id"), facts.select("portfolio_id", "n_rows"), "portfolio_id", policy)
+        joined = product_join(matched, typed_holdings, "portfolio_id", "position_ord", "holding_ord", hot)
     return (
-        left.join(right, ["portfolio_id", SALT])
-        .withColumns({
+        joined.withColumns({
             "calculation_type": final_type(),
             "valuation_weight": F.expr("coalesce(valuation_weight, 1.0D)"),
             "value": F.expr("coalesce(valuation_weight, 1.0D) * dirty_value_pc"),
             "is_direct": F.expr("false"),
         })
-        .drop(SALT, "row_type", "fund_is_other_equity")
+        .drop("row_type", *FLAGS)
     )
 
 
@@ -215,10 +221,11 @@ def calc_frame(
     policy: SkewPolicy = SkewPolicy(),
 ) -> DataFrame:
     """Left look-through join: one row per position and holding, one per direct
-    position, with type and value."""
+    position, with type and value.  ``positions`` may be flagged already."""
     facts = fund_facts(holdings, holding_rules) if facts is None else facts
-    matched = look_through(positions, with_row_type(holdings, holding_rules), facts, policy)
-    direct = direct_rows(unmatched_positions(positions, facts, policy), kind, position_rules)
+    flagged = positions if "has_holdings" in positions.columns else flagged_positions(positions, facts, policy)
+    matched = look_through(flagged, with_row_type(holdings, holding_rules), facts, policy)
+    direct = direct_rows(unmatched_positions(flagged), kind, position_rules)
     return matched.select(*CALC_COLUMNS).unionByName(
         direct.drop("classified_type", "missing_rating", "missing_irr"), allowMissingColumns=True
     )
@@ -237,6 +244,8 @@ def module_frames(
     them: positions folded before the join, only the columns that modules read,
     and ``list`` naming the list.  The lists share one pass over the holdings.
 
+    The positions may be flagged already (`flagged_positions`).
+
     With ``only_types``, holdings that cannot get one of these types stay out
     of the join; other rows of the result may still have any type.
     """
@@ -245,11 +254,17 @@ def module_frames(
     if only_types is not None and "3X" not in only_types:
         # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
         typed = typed.filter(is_in("row_type", only_types))
+    elif only_types is not None:
+        # Other types stay only where the fund's verdict turns them into 3X.
+        verdicts = facts.filter("fund_is_other_equity").select("portfolio_id")
+        listed = is_in("row_type", only_types)
+        typed = typed.filter(listed).unionByName(
+            split_join(typed.filter(f"NOT {listed}"), verdicts, "portfolio_id", "left_semi", "holding_ord", hot_funds(facts, policy), policy))
     folded, direct = [], []
     for kind, positions in lists.items():
-        unmatched = unmatched_positions(positions, facts, policy)
-        direct.append(direct_rows(unmatched, kind, position_rules).withColumn("list", F.lit(kind)))
-        folded.append(fold_positions(positions).withColumn("list", F.lit(kind)))
+        flagged = positions if "has_holdings" in positions.columns else flagged_positions(positions, facts, policy)
+        direct.append(direct_rows(unmatched_positions(flagged), kind, position_rules).withColumn("list", F.lit(kind)))
+        folded.append(fold_positions(flagged).withColumn("list", F.lit(kind)))
     matched = look_through(reduce(DataFrame.unionByName, folded), typed, facts, policy, folded=True)
     return reduce(DataFrame.unionByName, [f.select("list", *MODULE_COLUMNS) for f in (matched, *direct)])
 
@@ -261,25 +276,21 @@ def module_frame(positions: DataFrame, holdings: DataFrame, kind: str, *args, **
 
 # ------------------------------------------------------------------ reports
 
-def value_totals(positions: DataFrame, facts: DataFrame) -> DataFrame:
+def value_totals(flagged: DataFrame) -> DataFrame:
     """One row: value before (``total_dirty_value_pc``) and after (``total_value``)
     the look-through, and the part of the latter that counts in the portfolio
     total (``portfolio_total``).
 
     A fund's holdings share out the position's value by weight, so the sum over
     the look-through is the position's value times the fund's weight sum.  The
-    holdings themselves are not read, and both sides have one row per security.
+    holdings themselves are not read.
     """
     outside = starts_with("asset_allocation", *fv.ALLOCATIONS_OUTSIDE_TOTAL)
-    per_security = positions.groupBy("portfolio_id").agg(
-        F.expr("sum(dirty_value_pc) AS before"),
-        F.expr(f"sum(if({outside}, NULL, dirty_value_pc)) AS counted"),
-    )
-    weighted = per_security.join(facts.select("portfolio_id", "applied_weight"), "portfolio_id", "left")
-    return weighted.agg(
-        F.expr("coalesce(sum(before), 0.0D) AS total_dirty_value_pc"),
-        F.expr("coalesce(sum(before * coalesce(applied_weight, 1.0D)), 0.0D) AS total_value"),
-        F.expr("coalesce(sum(counted * coalesce(applied_weight, 1.0D)), 0.0D) AS portfolio_total"),
+    after = "dirty_value_pc * coalesce(applied_weight, 1.0D)"
+    return flagged.agg(
+        F.expr("coalesce(sum(dirty_value_pc), 0.0D) AS total_dirty_value_pc"),
+        F.expr(f"coalesce(sum({after}), 0.0D) AS total_value"),
+        F.expr(f"coalesce(sum(if({outside}, NULL, {after})), 0.0D) AS portfolio_total"),
     )
 
 
@@ -288,38 +299,39 @@ def totals_differ() -> Column:
     return gap > fv.CONTROL_TOTAL_TOLERANCE
 
 
-def position_findings(
-    positions: DataFrame, facts: DataFrame, direct: DataFrame, rules: PositionRules = PositionRules()
-) -> DataFrame:
-    """Report rows of one position list; ``direct`` comes from `direct_rows`."""
+def position_findings(flagged: DataFrame, direct: DataFrame, rules: PositionRules = PositionRules()) -> DataFrame:
+    """Report rows of one position list: ``flagged`` from `flagged_positions`,
+    ``direct`` from `direct_rows`."""
     shown = ["severity", "error_code", "Error", "portfolio_id", "total_dirty_value_pc", "total_value"]
 
     def finding(rows, severity, code, text, *columns):
+        """``text`` is an SQL expression."""
         empty = {"portfolio_id": "cast(NULL AS STRING)", "total_dirty_value_pc": "cast(NULL AS DOUBLE)",
                  "total_value": "cast(NULL AS DOUBLE)"}
-        values = {"severity": sql_text(severity), "error_code": sql_text(code), "Error": sql_text(text),
+        values = {"severity": sql_text(severity), "error_code": sql_text(code), "Error": text,
                   **empty, **{c: c for c in columns}}
         return rows.selectExpr(*[f"{values[c]} AS {c}" for c in shown])
 
     parts = []
     if rules.on("mandatory"):
-        parts.append(finding(
-            positions.filter("dirty_value_pc IS NULL"), CRITICAL,
-            "MISSING_MANDATORY", "Missing value in mandatory column: dirty_value_pc", "portfolio_id",
-        ))
+        require_columns(flagged, rules.mandatory)
+        cells = [f"struct({c} IS NULL AS missing, {sql_text(c)} AS name)" for c in rules.mandatory]
+        missing = flagged.selectExpr("portfolio_id", f"inline(filter(array({', '.join(cells)}), x -> x.missing))")
+        text = "Missing value in mandatory column: "
+        parts.append(finding(missing, CRITICAL, "MISSING_MANDATORY", f"concat({sql_text(text)}, name)", "portfolio_id"))
     if rules.strict_missing_rating:
         parts.append(finding(
             direct.filter("missing_rating"), VALIDATION,
-            "MISSING_RATING", "Missing rating for calculation type 1, 2 or 8", "portfolio_id",
+            "MISSING_RATING", sql_text("Missing rating for calculation type 1, 2 or 8"), "portfolio_id",
         ))
     if rules.on("irr"):
         parts.append(finding(
             direct.filter("missing_irr"), VALIDATION, "MISSING_IRR_INPUT",
-            "Missing duration, maturity or analysis date for a rate-sensitive type", "portfolio_id",
+            sql_text("Missing duration, maturity or analysis date for a rate-sensitive type"), "portfolio_id",
         ))
     parts.append(finding(
-        value_totals(positions, facts).filter(totals_differ()), CRITICAL, "CONTROL_TOTAL",
-        "Total value is not within 1000000 of the control total", "total_dirty_value_pc", "total_value",
+        value_totals(flagged).filter(totals_differ()), CRITICAL, "CONTROL_TOTAL",
+        sql_text("Total value is not within 1000000 of the control total"), "total_dirty_value_pc", "total_value",
     ))
     report = parts[0]
     for part in parts[1:]:

@@ -1,9 +1,10 @@
 """Roll-up of stressed rows to one row per security.
 
-The roll-up has two levels.  The first adds numbers per position (and category)
-with the position's texts among the grouping keys, so it is a hash aggregation
-with map-side partial sums, and a fund of any size leaves every task as a few
-rows.  The second picks texts and categories from what is left.
+The roll-up has two levels.  The first adds numbers per security, text and
+category, all of them grouping keys, so it is a hash aggregation with map-side
+partial sums, and a fund of any size leaves every task as a few rows.  The
+second brings what is left of a security together once, and picks texts and
+categories there.
 """
 
 from __future__ import annotations
@@ -45,12 +46,14 @@ def roll_up(
         for c in uniform
     ]
     categories = [category] if category else []
-    level = rows.groupBy(*keys, "position_ord", *texts, *categories).agg(
+    level = rows.groupBy(*keys, *texts, *categories).agg(
+        F.expr("min(position_ord) AS position_ord"),
         *[F.expr(f"coalesce(sum({c}), 0.0D) AS {c}") for c in sums],
         *[F.expr(f"min({c}) AS {c}_low") for c in uniform],
         *[F.expr(f"max({c}) AS {c}_high") for c in uniform],
         *[F.expr(f"max({c} IS NULL) AS {c}_gap") for c in uniform],
     )
+    level = level.repartition(*keys)  # serves both aggregations below
     if category is None:
         result = level.groupBy(*keys).agg(F.expr(first), *added, *common)
     else:

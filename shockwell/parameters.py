@@ -136,8 +136,3 @@ class ReportingPeriod:
     def __post_init__(self):
         if self.month not in fv.QUARTER_MONTHS:
             raise ValueError(f"reporting month must be one of {fv.QUARTER_MONTHS}: {self.month}")
-
-    @property
-    def month_text(self) -> str:
-        """``yyyy.MM``, zero padded in every month."""
-        return f"{self.year:04d}.{self.month:02d}"

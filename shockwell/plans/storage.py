@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,16 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+@contextmanager
+def work_area(spark: SparkSession) -> Iterator[str]:
+    """A work folder for the time of a run; its tables go at the end."""
+    folder = work_folder(spark)
+    try:
+        yield folder
+    finally:
+        delete(spark, folder)
+
+
 def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **options: str) -> DataFrame:
     """Write a table and read it back.
 

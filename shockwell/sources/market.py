@@ -12,17 +12,6 @@ from shockwell.functions.dates import quarter_end
 from shockwell.parameters import Parameters, ReportingPeriod
 
 SHOCKS = ("base", "up", "down")
-SMALL_TABLE_ROWS = 100_000
-
-
-def broadcast_if_small(table: DataFrame, max_rows: int = SMALL_TABLE_ROWS) -> DataFrame:
-    """Mark a reference table for broadcast after counting that it is small.
-
-    The count stops at the bound.  A larger table is left to a shuffled join,
-    for which the optimizer splits skewed partitions.
-    """
-    within = table.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(table) if within else table
 
 
 # ------------------------------------------------------------------- curves
@@ -109,6 +98,14 @@ def fx_long(wide: DataFrame, date: str) -> DataFrame:
     )
 
 
+def fx_sheet(sheet: DataFrame, date: str) -> tuple[DataFrame, DataFrame]:
+    """``(rates (rate_date, currency, rate), units (currency, unit))`` of a sheet
+    with a column per currency.  The row without a date holds the units in
+    which a currency is quoted; a currency may lack one."""
+    units = fx_long(sheet.filter(F.col(date).isNull()), date).select("currency", F.col("rate").alias("unit"))
+    return fx_long(sheet.filter(F.col(date).isNotNull()), date), units.filter("unit IS NOT NULL")
+
+
 def fx_month(rates: DataFrame, period: ReportingPeriod) -> DataFrame:
     """Rates of the reporting month with the date as ``yyyy.MM.dd`` text.
 
@@ -124,8 +121,9 @@ def fx_month(rates: DataFrame, period: ReportingPeriod) -> DataFrame:
 def fx_asof(month: DataFrame, units: DataFrame, base: str = fv.BASE_CURRENCY) -> DataFrame:
     """``(currency, rate)`` of the month's last day, times the currency's unit.
 
-    Currencies without a rate on that day and the base currency have no row.
-    Raises when the month has no rates.
+    Currencies without a rate on that day and the base currency have no row; a
+    currency with a rate but no unit has one without rate.  Raises when the
+    month has no rates.
     """
     last = month.agg(F.max("rate_date").alias("d")).select(
         F.when(F.col("d").isNull(), F.raise_error(F.lit("no exchange rates in the reporting month")))
@@ -135,7 +133,7 @@ def fx_asof(month: DataFrame, units: DataFrame, base: str = fv.BASE_CURRENCY) ->
     return (
         month.filter(F.col("rate_date") == last.scalar())
         .filter(F.col("rate").isNotNull() & (F.col("currency") != base))
-        .join(units, "currency")
+        .join(units, "currency", "left")
         .select("currency", (F.col("rate") * F.col("unit")).alias("rate"))
     )
 

@@ -6,7 +6,7 @@ from shockwell.operators.holdings import HoldingRules
 from shockwell.operators.skew import SkewPolicy
 from tests.conftest import holdings, rows
 
-TINY = SkewPolicy(rows_per_split=2, max_hot_keys=3, max_splits=4, null_splits=3)
+TINY = SkewPolicy(rows_per_split=2, key_share=1000, null_splits=3)
 
 
 def types(spark, *given, rules=HoldingRules()):
@@ -181,4 +181,4 @@ def test_splitting_hot_funds_changes_nothing(spark):
     assert rows(plain) == rows(split.select(*plain.columns))
     assert report(spark, *given) == report(spark, *given, policy=TINY)
     hot = hold.hot_funds(hold.fund_facts(df), TINY)
-    assert dict(rows(hot)) == {"hot": 4, "warm": 3}
+    assert dict(rows(hot)) == {"hot": 12, "warm": 3}

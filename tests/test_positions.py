@@ -5,10 +5,10 @@ from shockwell.operators import holdings as hold
 from shockwell.operators import positions as pos
 from shockwell.operators.holdings import HoldingRules
 from shockwell.operators.positions import PositionRules
-from shockwell.operators.skew import SkewPolicy
+from shockwell.operators.skew import LEFT_SALT, RIGHT_SALT, SkewPolicy, hot_products, product_join, row_counts
 from tests.conftest import D, holdings, positions, rows
 
-TINY = SkewPolicy(rows_per_split=2, max_hot_keys=4, max_splits=4, null_splits=3)
+TINY = SkewPolicy(rows_per_split=2, key_share=1000, null_splits=3)
 
 
 def classified(spark, kind, *given):
@@ -98,8 +98,8 @@ def test_report(spark):
         {"portfolio_id": "S1", "dirty_value_pc": 5e6})
     h = holdings(spark, {"valuation_weight": 0.5})
     facts = hold.fund_facts(h)
-    direct = pos.direct_rows(pos.unmatched_positions(p, facts), "asset")
-    validation, critical = pos.split_position_report(pos.position_findings(p, facts, direct))
+    direct = pos.direct_rows(pos.unmatched_positions(pos.flagged_positions(p, facts)), "asset")
+    validation, critical = pos.split_position_report(pos.position_findings(pos.flagged_positions(p, facts), direct))
     assert rows(validation, "error_code", "portfolio_id") == [("MISSING_IRR_INPUT", "b")]
     assert rows(critical, "error_code", "portfolio_id", "total_dirty_value_pc", "total_value") == [
         ("CONTROL_TOTAL", None, 5000100.0, 2500100.0), ("MISSING_MANDATORY", "a", None, None)]
@@ -109,7 +109,7 @@ def test_control_total_tolerance_is_strict(spark):
     p = positions(spark, {"dirty_value_pc": 2e6})
     for weight, found in ((0.5, 0), (0.499, 1)):
         facts = hold.fund_facts(holdings(spark, {"valuation_weight": weight}))
-        assert pos.value_totals(p, facts).filter(pos.totals_differ()).count() == found
+        assert pos.value_totals(pos.flagged_positions(p, facts)).filter(pos.totals_differ()).count() == found
 
 
 @pytest.mark.parametrize("rules", [HoldingRules(), HoldingRules(disabled=frozenset({"mandatory"}))])
@@ -120,7 +120,7 @@ def test_totals_equal_those_of_the_full_frame(spark, rules):
     h = holdings(spark, *[
         {"portfolio_id": f"S{i % 3}", "valuation_weight": None if i == 5 else 0.25} for i in range(12)])
     calc = pos.calc_frame(p, h, "asset", holding_rules=rules)
-    total = pos.value_totals(p, hold.fund_facts(h, rules)).first()
+    total = pos.value_totals(pos.flagged_positions(p, hold.fund_facts(h, rules))).first()
     assert total.total_dirty_value_pc == p.agg(F.sum("dirty_value_pc")).first()[0]
     assert total.total_value == pytest.approx(calc.agg(F.sum("value")).first()[0])
     counted = calc.filter("NOT coalesce(startswith(asset_allocation, '995') OR startswith(asset_allocation, '645'), false)")
@@ -130,7 +130,7 @@ def test_totals_equal_those_of_the_full_frame(spark, rules):
 def test_value_is_conserved_when_weights_sum_to_one(spark):
     p = positions(spark, *[{"portfolio_id": f"S{i % 4}", "dirty_value_pc": 10.0 * i} for i in range(20)])
     h = holdings(spark, *[{"portfolio_id": f"S{i % 3}", "valuation_weight": 0.25} for i in range(12)])
-    total = pos.value_totals(p, hold.fund_facts(h)).first()
+    total = pos.value_totals(pos.flagged_positions(p, hold.fund_facts(h))).first()
     assert total.total_value == pytest.approx(total.total_dirty_value_pc)
 
 
@@ -152,12 +152,34 @@ def test_hot_keys_on_both_sides(spark):
     assert pm.filter("NOT is_direct").count() == 2 * 31 + 2 * 3
 
 
-def test_fold_keeps_the_first_position(spark):
+def test_no_pair_of_salts_gets_too_much(spark):
+    """Both sides of a security are large: the joined rows are cut evenly, without adaptive help."""
+    policy = SkewPolicy(rows_per_split=20_000, key_share=1000)
+    left = spark.range(400).selectExpr("'hot' AS k", "id AS a").union(spark.range(50).selectExpr("concat('c', id % 5)", "id"))
+    right = spark.range(300).selectExpr("'hot' AS k", "id AS b").union(spark.range(5).selectExpr("concat('c', id)", "id"))
+    hot = hot_products(row_counts(left, "k"), row_counts(right, "k"), "k", policy)
+    assert [r.k for r in hot.collect()] == ["hot"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = product_join(left, right, "k", "a", "b", hot, keep_salts=True)
+        cells = joined.groupBy("k", LEFT_SALT, RIGHT_SALT).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(c["count"] for c in cells) == 400 * 300 + 50
+    assert max(c["count"] for c in cells) <= policy.rows_per_split
+    assert joined.select("k", "a", "b").distinct().count() == 400 * 300 + 50
+
+
+def test_fold_is_a_hash_aggregation_that_keeps_the_first_order_key(spark):
     p = positions(
-        spark, {"security_name": None, "dirty_value_pc": None}, {"security_name": "B", "dirty_value_pc": 2.0},
-        {"portfolio_group": "G2", "dirty_value_pc": 3.0}, {"asset_allocation": "995 x", "dirty_value_pc": 4.0})
-    got = rows(pos.fold_positions(p), "position_ord", "portfolio_group", "security_name", "dirty_value_pc")
-    assert got == [(0, "G1", None, 2.0), (2, "G2", "SEC", 3.0), (3, "G1", "SEC", 4.0)]
+        spark, {"dirty_value_pc": None}, {"dirty_value_pc": 2.0}, {"security_name": None, "dirty_value_pc": 5.0},
+        {"portfolio_group": "G2", "dirty_value_pc": 3.0}, {"asset_allocation": "995 x", "dirty_value_pc": 4.0},
+        {"portfolio_id": "unmatched"})
+    folded = pos.fold_positions(pos.flagged_positions(p, hold.fund_facts(holdings(spark, {}))))
+    got = rows(folded, "position_ord", "portfolio_group", "security_name", "dirty_value_pc")
+    assert got == [(0, "G1", "SEC", 2.0), (2, "G1", None, 5.0), (3, "G2", "SEC", 3.0), (4, "G1", "SEC", 4.0)]
+    plan = folded._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
 
 
 def test_lists_share_a_pass(spark):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from shockwell import Parameters, ReportingPeriod
 from shockwell import fixed_values as fv
+from shockwell.functions import cleaning
 from shockwell.sources import market, tables
 from tests.conftest import D, rows
 
@@ -75,6 +76,37 @@ def test_position_lists(spark, tmp_path):
         tables.project_asset_list(projected)
 
 
+def test_broken_csv_records_are_set_aside(spark, tmp_path):
+    lines = ['F1,"two\nlines",0.5', "F2,one line,0.25", "F3,short", 'F4,"a ""quoted"" word",1']
+    path = write_csv(tmp_path / "broken.csv", ["id", "name", "weight"], lines)
+    raw = tables.read_raw(spark, path)
+    good = tables.good_records(raw)
+    assert rows(good, "id", "name", "weight") == [("F2", "one line", "0.25"), ("F4", 'a "quoted" word', "1")]
+    assert [r[0] for r in good.orderBy("row_ord").select("id").collect()] == ["F2", "F4"]
+    assert rows(tables.corrupt_records(raw, "holdings"), "module", "raw_value") == [
+        ("holdings", 'F1,"two'), ("holdings", "F3,short"), ("holdings", 'lines",0.5')]
+    whole = tables.read_raw(spark, path, multiline=True)
+    assert ("F1", "two\nlines", "0.5") in rows(tables.good_records(whole), "id", "name", "weight")
+
+
+def test_numbers_have_no_type_suffix(spark):
+    cells = ["12d", "1f", "3D", "1F", "0x1", "1e3", " -2.5 ", ".5", "4.", "nan", "inf", "", "1e", None]
+    df = spark.createDataFrame([(c,) for c in cells], "c string")
+    got = [r[0] for r in df.select(cleaning.parse_number(F.col("c"))).collect()]
+    assert got == [None] * 5 + [1000.0, -2.5, 0.5, 4.0] + [None] * 5
+    assert [r[0] for r in df.select(F.expr(cleaning.number_sql("c"))).collect()] == got
+    assert df.select(cleaning.serial_or_date(F.col("c")).alias("d")).filter("c IN ('1f', '12d') AND d IS NOT NULL").count() == 0
+
+
+def test_fx_sheet_with_units_row(spark):
+    sheet = spark.createDataFrame(
+        [(None, 1.0, 100.0, None), (D(2001, 12, 31), 2.0, 3.0, 4.0)], "day date, USD double, JPY double, CNY double")
+    rates, units = market.fx_sheet(sheet, "day")
+    assert rows(units) == [("JPY", 100.0), ("USD", 1.0)]
+    asof = market.fx_asof(market.fx_month(rates, ReportingPeriod(2001, 12)), units)
+    assert rows(asof) == [("CNY", None), ("JPY", 300.0), ("USD", 2.0)]
+
+
 def test_clean_text_keeps_ids_that_become_empty(spark):
     df = spark.createDataFrame([("a\x02", "x"), ("", "y"), (None, "z"), ("\x03", "w")], "id string, t string")
     assert rows(tables.clean_text(df)) == [("", "w"), ("a", "x")]
@@ -124,10 +156,3 @@ def test_symmetric_adjustment(spark):
     table = spark.createDataFrame([(D(2001, 9, 30), -0.02), (D(2001, 12, 31), 0.0146)], "period_end date, value double")
     for day, want in ((D(2001, 12, 31), 0.0146), (D(2001, 12, 30), -0.02), (D(2001, 1, 1), None)):
         assert market.symmetric_adjustment(table, F.lit(day)).first()[0] == want
-
-
-def test_broadcast_only_when_small(spark):
-    df = spark.range(10)
-    hinted = market.broadcast_if_small(df, 10)._jdf.queryExecution().logical().toString()
-    plain = market.broadcast_if_small(df, 9)._jdf.queryExecution().logical().toString()
-    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
