@@ -187,7 +187,11 @@ def in_powers(items: list[tuple], least: int) -> Iterator[list[tuple]]:
             room -= len(item[3]) // 4
 
 
-def pack_documents(docs: DataFrame, limits: Limits = Limits(), tokenizer: str | None = None, end_id: int = 1,
+#: Pieces of documents need no count of their own but for the mask; short texts should not close a sequence early.
+DOCUMENT_LIMITS = Limits(segments=512)
+
+
+def pack_documents(docs: DataFrame, limits: Limits = DOCUMENT_LIMITS, tokenizer: str | None = None, end_id: int = 1,
                    id_col: str = "doc_id", text_col: str = "text", least_power: int = 16) -> DataFrame:
     """Texts, encoded and cut freely, in sequences: a row per piece with its ids.
 

@@ -43,6 +43,10 @@ STEM_LENGTHS = (4, 5, 6, 7)
 STEM_WORDS = 6
 #: Words shorter than this are only matched exactly.
 FUZZY_LENGTH = 5
+#: One edit in a word of this length or more is hardly chance: such hits count
+#: with the exact ones, at a discount.  Shorter ones are evidence of their own,
+#: which training weighs.
+LONG_LENGTH, LONG_DISCOUNT = 7, 0.5
 WINDOW = 6
 #: Distinct words a worker remembers before it starts anew.
 MEMO_WORDS = 400_000
@@ -171,6 +175,8 @@ class Matcher:
             if reported > addressed:
                 quotation += weight
                 continue
+            if kind == FUZZY and len(words[at]) >= LONG_LENGTH:
+                kind, weight = WORD, weight * LONG_DISCOUNT
             mass[kind] += weight
             abuse += weight * addressed
             close += near
@@ -190,8 +196,8 @@ class Model:
     bias: float = -math.inf
 
     def score(self, features: list[list[float]]) -> np.ndarray:
-        if not features:
-            return np.zeros(0)
+        if not features or self.bias == -math.inf:
+            return np.zeros(len(features))
         total = np.asarray(features, dtype=float) @ np.asarray(self.weights) + self.bias
         return 1.0 / (1.0 + np.exp(-np.clip(total, -700.0, 700.0)))
 
