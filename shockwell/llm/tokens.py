@@ -2,15 +2,18 @@
 
 The library splits a text by a fixed pattern and merges within each piece, so a
 piece has the same ids in every text.  A worker remembers the ids of pieces and
-asks the library only for new ones.  Texts with characters past U+00FF go to the
-library whole, because the split below states its character classes for the
-characters up to there.
+asks the library's model only for new ones, in the model's own alphabet of one
+character per byte.  Texts with characters past U+00FF go to the library whole,
+because the split below states its character classes for the characters up to
+there; so do all texts if the file is of another kind.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
@@ -24,8 +27,8 @@ PIECES = re.compile(
     f" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBERS}]+| ?[^{BLANKS}{LETTERS}{NUMBERS}]+"
     f"|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
 
-#: Pieces a worker remembers before it starts anew.
-MEMO_PIECES = 600_000
+#: Pieces that each of a worker's two generations of memory holds.
+MEMO_PIECES = 400_000
 
 
 def default_path() -> str:
@@ -35,6 +38,16 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def spelling() -> list[str]:
+    """The character of each byte: itself where it is visible, else the next free one past U+00FF."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    free = iter(range(0x100, 0x200))
+    return [chr(b if b in visible else next(free)) for b in range(256)]
+
+
+SPELT = spelling()
+
+
 class ByteBpe:
     """Encodes texts to little-endian unsigned 32-bit ids, special tokens as ordinary text."""
 
@@ -45,23 +58,47 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.raw = [i.to_bytes(4, "little") for i in range(max(self.library.get_vocab().values()) + 1)]
+        kind = json.loads(self.library.to_str())
+        split = kind["pre_tokenizer"] or {}
+        self.by_pieces = (
+            kind["normalizer"] is None and kind["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
+            and split.get("use_regex", True) and not split.get("add_prefix_space"))
+
+    def new_pieces(self, pieces: list[str]) -> Iterator[bytes]:
+        """Ids of pieces, by the library's model."""
+        tokenize, raw = self.library.model.tokenize, self.raw
+        for piece in pieces:
+            if piece.isascii() and piece.isprintable():  # of those only the blank is spelt differently
+                spelt = piece.replace(" ", SPELT[32])
+            else:
+                spelt = "".join(map(SPELT.__getitem__, piece.encode()))
+            yield b"".join([raw[t.id] for t in tokenize(spelt)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        plain = [t if t.isascii() or max(t) <= "\xff" else None for t in texts]
-        pieces = [PIECES.findall(t) if t else [] for t in plain]
-        memo = self.memo
-        new = list(set(chain.from_iterable(pieces)).difference(memo))
-        if len(memo) + len(new) > MEMO_PIECES:
-            memo.clear()
-            new = list(set(chain.from_iterable(pieces)))
-        if new:
-            found = self.library.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(found.ids, dtype="<u4").tobytes()
-            cuts = (np.searchsorted(np.array(found.word_ids, dtype=np.int64), np.arange(len(new) + 1)) * 4).tolist()
-            memo.update((w, ids[a:b]) for w, a, b in zip(new, cuts, cuts[1:]))
-        get = memo.__getitem__
-        out = [b"".join(map(get, p)) for p in pieces]
-        rest = [k for k, t in enumerate(plain) if t is None]
+        plain = [self.by_pieces and (t.isascii() or all_latin(t)) for t in texts]
+        pieces = [PIECES.findall(t) if ok else [] for t, ok in zip(texts, plain)]
+        flat = list(chain.from_iterable(pieces))
+        found = list(map(self.memo.get, flat))
+        unknown = [k for k, ids in enumerate(found) if ids is None]
+        if unknown:
+            new = {flat[k]: None for k in unknown}
+            for p in new:
+                new[p] = self.older.get(p)
+            unseen = [p for p, ids in new.items() if ids is None]
+            if unseen:
+                new.update(zip(unseen, self.new_pieces(unseen)))
+            for k in unknown:
+                found[k] = new[flat[k]]
+            if len(self.memo) + len(new) > MEMO_PIECES:
+                self.older, self.memo = self.memo, {}
+            self.memo.update(new)
+        out, at = [], 0
+        for p in pieces:
+            out.append(b"".join(found[at:at + len(p)]))
+            at += len(p)
+        rest = [k for k, ok in enumerate(plain) if not ok]
         if rest:
             whole = self.library.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)
             for k, e in zip(rest, whole):
@@ -69,13 +106,21 @@ class ByteBpe:
         return out
 
 
+def all_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ByteBpe:
     """The worker's encoder for a file."""
     return ByteBpe(path)
 
 
-def encode_slices(path: str, texts: list[str], step: int = 250):
+def encode_slices(path: str, texts: list[str], step: int = 32):
     """Ids of each text, encoded in slices so that memory follows the slice."""
     encode = encoder(path).encode
     for start in range(0, len(texts), step):
