@@ -36,10 +36,10 @@ from shockwell.plans.storage import delete, work_folder, written
 HEADER = struct.Struct("<4sHHIIIIQQI")
 MAGIC, VERSION = b"RANS", 1
 SCALE_BITS = 20
-LANES = 1024
+LANES = 4096
 STEPS_PER_CHECKPOINT = 128
 #: Ids after which a block is closed; the document that reaches the number is still in it.
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
 LOWEST = np.uint64(1 << 31)
 WORD_BITS = np.uint64(32)
 
@@ -86,22 +86,24 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, steps_per_checkpoi
     lanes = max(1, min(lanes, n))
     steps = -(-n // lanes)
     state = np.full(lanes, LOWEST, dtype=np.uint64)
-    f, start = table.f[ids], table.start[ids]
-    if n and not f.all():
+    if n and not table.f[ids].all():
         raise ValueError("an id that the table has no slot for")
     shift, bits = np.uint64(63 - table.bits), np.uint64(table.bits)
     words, counts = [], np.zeros(steps, dtype=np.int64)
     states = []
     for s in range(steps - 1, -1, -1):
-        fs, cs = f[s * lanes:(s + 1) * lanes], start[s * lanes:(s + 1) * lanes]
+        here = ids[s * lanes:(s + 1) * lanes]
+        fs = table.f[here]
         x = state[:len(fs)]
-        full = x >= (fs << shift)
+        full = np.flatnonzero(x >= (fs << shift))
         out = x[full]
         words.append(out.astype(np.uint32))
         counts[s] = len(out)
         x[full] = out >> WORD_BITS
-        q, r = np.divmod(x, fs)
-        x[:] = (q << bits) + r + cs
+        q = x // fs
+        # (q << bits) + x % fs + start, with one division
+        x += (q << bits) - q * fs
+        x += table.start[here]
         if s % steps_per_checkpoint == 0:
             states.append(state.copy())
     words.reverse()
@@ -146,9 +148,12 @@ class Block:
         for first in range(0, n, self.lanes):
             x = x_all[:min(self.lanes, n - first)]
             slot = x & mask
-            ids = slots[slot]
+            ids = slots.take(slot)
             out[first:first + len(x)] = ids
-            x[:] = f[ids] * (x >> bits) + slot - start[ids]
+            x >>= bits
+            x *= f.take(ids)
+            x += slot
+            x -= start.take(ids)
             short = np.flatnonzero(x < LOWEST)
             x[short] = (x[short] << WORD_BITS) | self.words[at:at + len(short)]
             at += len(short)
@@ -160,13 +165,16 @@ class Block:
         return np.concatenate([self.part(k) for k in range(self.checkpoints)]) if self.checkpoints else np.zeros(0, np.uint32)
 
 
-TOKENS = pa.schema([("part", pa.int32()), ("block", pa.int32()), ("first_place", pa.int64()),
+TOKENS = pa.schema([("kind", pa.string()), ("part", pa.int32()), ("block", pa.int32()), ("first_place", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("payload", pa.binary())])
-TOKENS_DDL = "part int, block int, first_place bigint, doc_ids array<bigint>, lengths array<bigint>, payload binary"
+TOKENS_DDL = ("kind string, part int, block int, first_place bigint, doc_ids array<bigint>, lengths array<bigint>, "
+              "payload binary")
 
 
 def token_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int) -> DataFrame:
-    """Blocks of raw ids in ascending order of identifiers.
+    """Blocks of raw ids (``kind = 'ids'``) in ascending order of identifiers,
+    and per task how often each id occurs in them (``kind = 'counts'``, the ids in
+    ``doc_ids`` and their numbers in ``lengths``).
 
     Identifiers are dealt out by range; text and row number come after them in
     the order, so rows of one identifier can be dealt to several tasks too.
@@ -175,16 +183,24 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int) -> Dat
     order = ["doc_id", "tie", "row_id"]
     ordered = common.numbered(docs).withColumn("tie", F.xxhash64("text")).repartitionByRange(*order).sortWithinPartitions(*order)
 
+    def row_of(*values) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, TOKENS)], schema=TOKENS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, block, place = TaskContext.get().partitionId(), 0, 0
         doc_ids, found, waiting = [], [], 0
+        seen = np.zeros(0, dtype=np.int64)
 
         def closed() -> pa.RecordBatch:
-            nonlocal block, place, doc_ids, found, waiting
+            nonlocal block, place, doc_ids, found, waiting, seen
             lengths = [len(f) // 4 for f in found]
-            row = (part, block, place, doc_ids, lengths, b"".join(found))
+            ids = np.frombuffer(b"".join(found), "<u4")
+            times = np.bincount(ids, minlength=len(seen))
+            times[:len(seen)] += seen
+            seen = times
+            row = row_of("ids", part, block, place, doc_ids, lengths, packed(ids))
             block, place, doc_ids, found, waiting = block + 1, place + waiting, [], [], 0
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, TOKENS)], schema=TOKENS)
+            return row
 
         for batch in batches:
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode_slices(path, batch.column("text").to_pylist())):
@@ -195,25 +211,28 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int) -> Dat
                     yield closed()
         if doc_ids:
             yield closed()
+        if len(seen):
+            there = np.flatnonzero(seen)
+            yield row_of("counts", part, None, None, there.tolist(), seen[there].tolist(), None)
 
     return ordered.select("doc_id", "text").mapInArrow(run, TOKENS_DDL)
 
 
-def counts_of(blocks: DataFrame) -> np.ndarray:
-    """How often each id occurs in all blocks; the driver sees a row per id of the vocabulary."""
+def packed(ids: np.ndarray) -> bytes:
+    """Raw ids between the passes: a width in bytes, then the ids."""
+    width = 2 if not len(ids) or ids.max() < 1 << 16 else 4
+    return bytes([width]) + ids.astype(f"<u{width}").tobytes()
 
-    def count(batches):
-        total = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for payload in batch.column("payload"):
-                seen = np.bincount(np.frombuffer(payload.as_buffer(), "<u4"))
-                if len(seen) > len(total):
-                    seen, total = total, seen.astype(np.int64)
-                total[:len(seen)] += seen
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], names=["id", "n"])
-
-    rows = blocks.select("payload").mapInArrow(count, "id bigint, n bigint").groupBy("id").agg(F.sum("n").alias("n")).collect()
+
+def unpacked(buffer) -> np.ndarray:
+    raw = memoryview(buffer)
+    return np.frombuffer(raw[1:], f"<u{raw[0]}")
+
+
+def counts_of(counted: DataFrame) -> np.ndarray:
+    """How often each id occurs in all blocks; the driver sees a row per id of the vocabulary."""
+    pairs = counted.selectExpr("inline(arrays_zip(doc_ids, lengths)) AS (id, n)")
+    rows = pairs.groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=-1) + 1, dtype=np.int64)
     for r in rows:
         out[r.id] = r.n
@@ -245,14 +264,15 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     spark = docs.sparkSession
     raw_path = f"{path}/raw"
     raw = written(token_blocks(common.rows_of_text(docs, id_col, text_col), tokenizer or tokens.default_path(), end_id, block_ids),
-                  raw_path, compression="zstd")
-    table = Table.of(counts_of(raw))
+                  raw_path, ("kind",), compression="zstd")
+    table = Table.of(counts_of(raw.filter("kind = 'counts'")))
+    raw = raw.filter("kind = 'ids'")
     write_table(spark, table, f"{path}/table")
     shared = spark.sparkContext.broadcast(table.frequency)  # as long as the vocabulary
     bits = table.bits
 
     def compress(buffer) -> bytes:
-        return encode(np.frombuffer(buffer, "<u4"), table_of(shared.value, bits))
+        return encode(unpacked(buffer), table_of(shared.value, bits))
 
     written(raw.mapInArrow(on_payload(compress), TOKENS_DDL), f"{path}/blocks", compression="uncompressed")
     delete(spark, raw_path)
