@@ -230,8 +230,23 @@ def unpacked(buffer) -> np.ndarray:
 
 
 def counts_of(counted: DataFrame) -> np.ndarray:
-    """How often each id occurs in all blocks; the driver sees a row per id of the vocabulary."""
-    pairs = counted.selectExpr("inline(arrays_zip(doc_ids, lengths)) AS (id, n)")
+    """How often each id occurs in all blocks; the driver sees a row per id of the vocabulary.
+
+    A task adds up the counts of all the writing tasks it reads before it hands them on.
+    """
+
+    def add(batches):
+        total = np.zeros(0, dtype=np.int64)
+        for batch in batches:
+            for ids, times in zip(batch.column("doc_ids"), batch.column("lengths")):
+                ids, times = ids.values.to_numpy(), times.values.to_numpy()
+                if len(ids) and ids[-1] >= len(total):
+                    total = np.concatenate((total, np.zeros(ids[-1] + 1 - len(total), dtype=np.int64)))
+                total[ids] += times
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there), pa.array(total[there])], names=["id", "n"])
+
+    pairs = counted.select("doc_ids", "lengths").mapInArrow(add, "id bigint, n bigint")
     rows = pairs.groupBy("id").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(max((r.id for r in rows), default=-1) + 1, dtype=np.int64)
     for r in rows:
