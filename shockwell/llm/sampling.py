@@ -118,6 +118,9 @@ class Pieces:
         self.piece_at = np.full(len(state), -1, dtype=np.int64)
         for piece, i in whole.items():
             self.piece_at[state[piece]] = i
+        self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
+        self.length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
 
     def units(self, text: str) -> list[str]:
         """The text cut wherever no piece crosses."""
@@ -151,9 +154,15 @@ class Pieces:
             at, state = at[inside], state[inside]
         return tuple(np.concatenate(c) for c in zip(*out))
 
-    def decode(self, ids: list[int]) -> str:
-        """The text of ids; the mark in front of the text is not part of it."""
-        return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode(errors="replace")
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The text of ids in UTF-8; the mark in front of the text is not part of it."""
+        length = self.length[ids]
+        ends = np.cumsum(length)
+        if not len(ids):
+            return b""
+        places = np.repeat(self.start[ids] - ends + length, length)
+        places += np.arange(len(places))
+        return self.flat[places][1:].tobytes()
 
 
 class Lattices:
@@ -176,10 +185,13 @@ class Lattices:
         self.byte_ids: list[list[int]] = []
 
     def nodes(self, units: list[str]) -> np.ndarray:
-        new = list(set(units).difference(self.first_node))
-        if new:
-            self.build(new)
-        return np.array(list(map(self.first_node.__getitem__, units)), dtype=np.int64)
+        found = list(map(self.first_node.get, units))
+        unknown = [k for k, node in enumerate(found) if node is None]
+        if unknown:
+            self.build(list({units[k]: None for k in unknown}))
+            for k in unknown:
+                found[k] = self.first_node[units[k]]
+        return np.array(found, dtype=np.int64)
 
     def build(self, units: list[str]) -> None:
         """Append the lattices of new units; a unit's nodes are its places and the one behind it."""
@@ -469,11 +481,12 @@ def sample_segmentations(docs: DataFrame, k: int = 3, model: str | None = None,
                 doc_ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
                 keys = [hash((seed, doc_id is None, doc_id or 0)) for doc_id in doc_ids]
                 for doc_id, text, (samples, threshold) in zip(doc_ids, texts, draw.sample(texts, k, keys)):
+                    wanted = text.replace(MARK, " ").encode()
                     for number, (leaf, ids) in enumerate(samples, 1):
                         raw = ids.tobytes()
                         rows.append((doc_id, number, len(ids), zlib.crc32(raw), leaf.log_prob, leaf.value,
                                      log_inclusion(leaf.log_prob, threshold),
-                                     draw.pieces.decode(ids.tolist()) == text.replace(MARK, " "), raw))
+                                     draw.pieces.decode(ids) == wanted, raw))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), SAMPLES)], schema=SAMPLES)
 
     return common.rows_of_text(docs, id_col, text_col).mapInArrow(run, SAMPLES_DDL)
@@ -486,6 +499,6 @@ def decode_ids(rows: DataFrame, ids_col: str = "ids", model: str | None = None)
     @F.pandas_udf("string")
     def decode(column):
         pieces = sampler(path).pieces
-        return column.map(lambda raw: None if raw is None else pieces.decode(np.frombuffer(raw, "<u4").tolist()))
+        return column.map(lambda raw: None if raw is None else pieces.decode(np.frombuffer(raw, "<u4")).decode(errors="replace"))
 
     return rows.withColumn("text", decode(F.col(ids_col)))
