@@ -33,6 +33,8 @@ from shockwell.llm import common, tokens
 #: Examples waiting in a task's pool before sequences are closed, and those
 #: kept waiting for the next rows.
 POOL, KEPT = 4096, 1024
+#: Demand of an example that is placed: more than any limit.
+PLACED = 1e18
 #: Bits of a sequence id below the partition's number.
 LOCAL_BITS = 36
 
@@ -70,29 +72,48 @@ class Pool:
         ``cut(item, n)`` splits an item of ``n`` tokens or more into the first
         ``n`` and the rest; with it, sequences are filled up exactly.
         """
-        alive = np.ones(len(self.items), dtype=bool)
+        if len(self.items) <= keep:
+            return
+        pull = self.weights() / self.limit ** 2  # both as shares of the limits
+        # A column per limit; an example that is placed asks for more than there can be.
+        columns = [np.ascontiguousarray(c) for c in self.demands.T]
+        tokens_, segments, loss = columns
         waiting = len(self.items)
-        pull = self.weights() / self.limit if waiting else None
         while waiting > keep:
-            room, chosen = self.limit.copy(), []
+            room, chosen = self.limit.tolist(), []
             while True:
-                score = np.where(alive & (self.demands <= room).all(axis=1), self.demands @ (pull * room / self.limit), -1.0)
+                score = self.scores(columns, pull, room)
+                score[(tokens_ > room[0]) | (segments > room[1]) | (loss > room[2])] = -1.0
                 best = int(score.argmax())
                 if score[best] < 0:
                     break
                 chosen.append(self.items[best])
-                room -= self.demands[best]
-                alive[best] = False
+                room = [r - float(c[best]) for r, c in zip(room, columns)]
+                tokens_[best] = PLACED
                 waiting -= 1
             gap = int(min(room[0], room[2]))
             if cut and waiting and gap >= 1 and room[1] >= 1:
-                best = int(np.where(alive, self.demands @ (pull * room / self.limit), -1.0).argmax())
+                best = int(np.where(tokens_ == PLACED, -1.0, self.scores(columns, pull, room)).argmax())
                 first, self.items[best] = cut(self.items[best], gap)
-                self.demands[best] -= (gap, 0, gap)
+                tokens_[best] -= gap
+                loss[best] -= gap
                 chosen.append(first)
             yield chosen
-        self.demands = self.demands[alive]
-        self.items = [item for item, there in zip(self.items, alive.tolist()) if there]
+            if 2 * waiting < len(tokens_):
+                there = tokens_ < PLACED
+                columns = tokens_, segments, loss = [c[there] for c in columns]
+                self.items = [self.items[k] for k in np.flatnonzero(there).tolist()]
+        there = tokens_ < PLACED
+        self.demands = np.column_stack(columns)[there]
+        self.items = [self.items[k] for k in np.flatnonzero(there).tolist()]
+
+    @staticmethod
+    def scores(columns: list[np.ndarray], pull: np.ndarray, room: list[float]) -> np.ndarray:
+        """Dot product of each demand with the remaining room."""
+        total = columns[0] * (pull[0] * room[0])
+        for c, p, r in zip(columns[1:], pull[1:], room[1:]):
+            total += c * (p * r)
+        return total
 
 
 def first_sequence() -> int:
