@@ -26,6 +26,13 @@ def test_pieces_give_the_librarys_ids(texts):
     assert tokens.encoder(tokens.default_path()).encode(texts) == [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.sampled_from(" \n\tab.'s1\xa0"), max_size=30))
+def test_blanks_of_all_kinds(text):
+    whole = library().encode(text, add_special_tokens=False)
+    assert tokens.encoder(tokens.default_path()).encode([text]) == [np.array(whole.ids, dtype="<u4").tobytes()]
+
+
 def test_memory_of_pieces_is_bounded(bpe, monkeypatch):
     monkeypatch.setattr(tokens, "MEMO_PIECES", 20)
     texts = [" ".join(f"w{k}{j}" for j in range(15)) for k in range(20)] + ["<|endoftext|> it's", ""]
