@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -122,7 +122,7 @@ def encode(ids: np.ndarray, table: Table, lanes: int = LANES, steps_per_checkpoi
 class Block:
     """A block's bytes, checked, with its parts ready to be decoded."""
 
-    def __init__(self, payload: bytes, table: Table):
+    def __init__(self, payload: bytes | memoryview, table: Table):
         magic, version, bits, table_id, self.lanes, self.steps, self.checkpoints, self.n, n_words, crc = HEADER.unpack_from(payload)
         if magic != MAGIC or version != VERSION:
             raise ValueError("not a block of this format")
@@ -279,7 +279,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     spark = docs.sparkSession
     raw_path = f"{path}/raw"
     raw = written(token_blocks(common.rows_of_text(docs, id_col, text_col), tokenizer or tokens.default_path(), end_id, block_ids),
-                  raw_path, ("kind",), compression="zstd")
+                  raw_path, ("kind",))
     table = Table.of(counts_of(raw.filter("kind = 'counts'")))
     raw = raw.filter("kind = 'ids'")
     write_table(spark, table, f"{path}/table")
@@ -316,40 +316,48 @@ def read_table(spark: SparkSession, path: str) -> Table:
     return Table(np.frombuffer(row.frequency, "<u4"), row.bits)
 
 
-def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """The blocks with their payload decoded to raw ids."""
+def decoder(spark: SparkSession, path: str) -> Callable[[pa.Buffer], np.ndarray]:
+    """A function that tasks can use: ids of a block's bytes."""
     table = read_table(spark, f"{path}/table")
     shared, bits = spark.sparkContext.broadcast(table.frequency), table.bits
+    return lambda buffer: Block(memoryview(buffer), table_of(shared.value, bits)).ids()
+
 
-    def expand(buffer) -> bytes:
-        return Block(buffer.to_pybytes(), table_of(shared.value, bits)).ids().astype("<u4", copy=False).tobytes()
+def stored_blocks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TOKENS_DDL).parquet(f"{path}/blocks")
 
-    return spark.read.schema(TOKENS_DDL).parquet(f"{path}/blocks").mapInArrow(on_payload(expand), TOKENS_DDL)
+
+def read_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The blocks with their payload decoded to raw ids, little-endian unsigned 32-bit."""
+    decode = decoder(spark, path)
+    expand = on_payload(lambda buffer: decode(buffer).astype("<u4", copy=False).tobytes())
+    return stored_blocks(spark, path).mapInArrow(expand, TOKENS_DDL)
 
 
-def documents_of(blocks: DataFrame, starts: DataFrame) -> DataFrame:
-    """``(doc_id, start, n_tokens, ids_crc32)`` from decoded blocks and the place where each part starts."""
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``(doc_id, start, n_tokens, ids_crc32)`` of every document, from the decoded blocks."""
+    decode = decoder(spark, path)
     schema = pa.schema([("part", pa.int32()), ("place", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 
     def run(batches):
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("part", "first_place", "doc_ids", "lengths")), batch.column("payload")):
                 part, first, doc_ids, lengths, payload = row
-                raw = memoryview(payload.as_buffer())
+                raw = memoryview(decode(payload.as_buffer()).astype("<u4", copy=False)).cast("B")
                 ends = np.cumsum(lengths)
                 begins = ends - lengths
                 sums = [zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(begins.tolist(), ends.tolist())]
                 columns = ([part] * len(doc_ids), begins + first, doc_ids, lengths, sums)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-    found = blocks.mapInArrow(run, "part int, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint")
-    return found.join(F.broadcast(starts), "part").selectExpr("doc_id", "part_start + place AS start", "n_tokens", "ids_crc32")
+    found = stored_blocks(spark, path).mapInArrow(run, "part int, place bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint")
+    return found.join(F.broadcast(part_starts(spark, path)), "part").selectExpr(
+        "doc_id", "part_start + place AS start", "n_tokens", "ids_crc32")
 
 
 def part_starts(spark: SparkSession, path: str) -> DataFrame:
     """Where each part starts among all ids: a row per part, of which a file set has as many as the writing job had tasks."""
-    blocks = spark.read.schema(TOKENS_DDL).parquet(f"{path}/blocks")
-    totals = blocks.groupBy("part").agg(F.expr("max_by(first_place + aggregate(lengths, 0L, (a, n) -> a + n), block)").alias("n"))
+    totals = stored_blocks(spark, path).groupBy("part").agg(F.expr("max_by(first_place + aggregate(lengths, 0L, (a, n) -> a + n), block)").alias("n"))
     rows, start = [], 0
     for r in sorted(totals.collect(), key=lambda r: r.part):
         rows.append((r.part, start))
@@ -362,4 +370,4 @@ def round_trip(docs: DataFrame, tokenizer: str | None = None, end_id: int = 0, i
     spark = docs.sparkSession
     path = f"{work_folder(spark)}/tokens"
     write_tokens(docs, path, tokenizer, end_id, id_col, text_col)
-    return documents_of(read_tokens(spark, path), part_starts(spark, path))
+    return read_documents(spark, path)
