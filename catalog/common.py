@@ -42,14 +42,18 @@ def fund_facts(spark, sf_dir):
 
 
 def flagged(spark, sf_dir, kind=None, facts=None):
-    """Positions with the look-through flags of their security."""
-    return pos.flagged_positions(views.positions(spark, sf_dir, kind), facts or fund_facts(spark, sf_dir))
+    """Positions with the look-through flags of their security, stored once as a run does."""
+
+    def build(*_):
+        return pos.flagged_positions(views.positions(spark, sf_dir, kind), facts or fund_facts(spark, sf_dir))
+
+    return views.stored(spark, sf_dir, f"flagged_{kind}", build)
 
 
 def module_frame(spark, sf_dir, kind, facts=None, only_types=None):
     """The frame the stress modules run on."""
     return pos.module_frame(
-        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind,
+        flagged(spark, sf_dir, kind, facts), views.holdings(spark, sf_dir), kind,
         facts or fund_facts(spark, sf_dir), only_types=only_types,
     )
 
@@ -57,7 +61,7 @@ def module_frame(spark, sf_dir, kind, facts=None, only_types=None):
 def calc_frame(spark, sf_dir, kind, facts=None):
     """The full look-through frame."""
     return pos.calc_frame(
-        views.positions(spark, sf_dir, kind), views.holdings(spark, sf_dir), kind,
+        flagged(spark, sf_dir, kind, facts), views.holdings(spark, sf_dir), kind,
         facts or fund_facts(spark, sf_dir),
     )
 

@@ -247,19 +247,15 @@ def module_frames(
     The positions may be flagged already (`flagged_positions`).
 
     With ``only_types``, holdings that cannot get one of these types stay out
-    of the join; other rows of the result may still have any type.
+    of the join; other rows of the result may still have any type.  With 3X
+    among them every holding goes in: a fund's verdict makes any type 3X, and
+    asking for it beforehand would shuffle the same holdings once more.
     """
     facts = fund_facts(holdings, holding_rules) if facts is None else facts
     typed = with_row_type(holdings, holding_rules)
     if only_types is not None and "3X" not in only_types:
         # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
         typed = typed.filter(is_in("row_type", only_types))
-    elif only_types is not None:
-        # Other types stay only where the fund's verdict turns them into 3X.
-        verdicts = facts.filter("fund_is_other_equity").select("portfolio_id")
-        listed = is_in("row_type", only_types)
-        typed = typed.filter(listed).unionByName(
-            split_join(typed.filter(f"NOT {listed}"), verdicts, "portfolio_id", "left_semi", "holding_ord", hot_funds(facts, policy), policy))
     folded, direct = [], []
     for kind, positions in lists.items():
         flagged = positions if "has_holdings" in positions.columns else flagged_positions(positions, facts, policy)
