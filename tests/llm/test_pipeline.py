@@ -4,7 +4,6 @@ import zlib
 from pathlib import Path
 
 import duckdb
-import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
