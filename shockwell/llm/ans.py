@@ -203,7 +203,8 @@ def token_blocks(docs: DataFrame, path: str, end_id: int, block_ids: int) -> Dat
             return row
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), tokens.encode_slices(path, batch.column("text").to_pylist())):
+            encoded = tokens.encode_slices(path, batch.column("text").to_pylist(), special_as_text=False)
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), encoded):
                 doc_ids.append(doc_id)
                 found.append(ids + end)
                 waiting += len(ids) // 4 + 1

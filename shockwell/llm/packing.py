@@ -244,7 +244,7 @@ def pack_documents(docs: DataFrame, limits: Limits = DOCUMENT_LIMITS, tokenizer:
         def add(doc_ids: list, texts: list[str]) -> Iterator[tuple]:
             """Full sequences from within long documents at once; remainders to the pool."""
             rest = []
-            for doc_id, ids in zip(doc_ids, tokens.encode_slices(path, texts)):
+            for doc_id, ids in zip(doc_ids, tokens.encode_slices(path, texts, special_as_text=False)):
                 item = (doc_id, len(ids) // 4 + 1, 0, ids + end)
                 while len(item[3]) // 4 >= most:
                     first, item = cut(item, most)

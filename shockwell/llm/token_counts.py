@@ -145,7 +145,8 @@ def write_flat(docs: DataFrame, path: str, end_id: int, tokenizer: str | None =
                 doc_ids = part.column("doc_id").to_pylist()
                 yield row("order", written_docs, None, doc_ids)
                 written_docs += len(doc_ids)
-                for ids in tokens.encode_slices(name, part.column("text").to_pylist()):
+                # The end id may be a special token's: its content within a text must not end the document.
+                for ids in tokens.encode_slices(name, part.column("text").to_pylist(), special_as_text=True):
                     whole = np.frombuffer(ids + end, "<u4")
                     if width == 2 and whole.max() > 65535:
                         raise ValueError("an id beyond two bytes; use a width of 4")

@@ -5,7 +5,8 @@ piece has the same ids in every text.  A worker remembers the ids of pieces and
 asks the library's model only for new ones, in the model's own alphabet of one
 character per byte.  Texts with characters past U+00FF go to the library whole,
 because the split below states its character classes for the characters up to
-there; so do all texts if the file is of another kind.
+there; so do all texts if the file is of another kind.  Added tokens are found
+by the library alone, so texts that hold one go to it whole as well.
 """
 
 from __future__ import annotations
@@ -49,14 +50,13 @@ SPELT = spelling()
 
 
 class ByteBpe:
-    """Encodes texts to little-endian unsigned 32-bit ids, special tokens as ordinary text."""
+    """Encodes texts to little-endian unsigned 32-bit ids."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the work
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.raw = [i.to_bytes(4, "little") for i in range(max(self.library.get_vocab().values()) + 1)]
@@ -65,6 +65,9 @@ class ByteBpe:
         self.by_pieces = (
             kind["normalizer"] is None and kind["model"]["type"] == "BPE" and split.get("type") == "ByteLevel"
             and split.get("use_regex", True) and not split.get("add_prefix_space"))
+        added = self.library.get_added_tokens_decoder().values()
+        #: Contents of the added tokens that the library looks for, by ``special_as_text``.
+        self.searched = {flag: [a.content for a in added if not (flag and a.special)] for flag in (False, True)}
 
     def new_pieces(self, pieces: list[str]) -> Iterator[bytes]:
         """Ids of pieces, by the library's model."""
@@ -76,8 +79,12 @@ class ByteBpe:
                 spelt = "".join(map(SPELT.__getitem__, piece.encode()))
             yield b"".join([raw[t.id] for t in tokenize(spelt)])
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], special_as_text: bool = True) -> list[bytes]:
+        """Ids of each text; with ``special_as_text`` a special token's content is
+        ordinary text, without it is that token's id, as the library has it by default."""
         plain = [self.by_pieces and (t.isascii() or all_latin(t)) for t in texts]
+        for content in self.searched[special_as_text]:
+            plain = [ok and content not in t for t, ok in zip(texts, plain)]
         pieces = [PIECES.findall(t) if ok else [] for t, ok in zip(texts, plain)]
         flat = list(chain.from_iterable(pieces))
         found = list(map(self.memo.get, flat))
@@ -100,6 +107,7 @@ class ByteBpe:
             at += len(p)
         rest = [k for k, ok in enumerate(plain) if not ok]
         if rest:
+            self.library.encode_special_tokens = special_as_text
             whole = self.library.encode_batch_fast([texts[k] for k in rest], add_special_tokens=False)
             for k, e in zip(rest, whole):
                 out[k] = np.array(e.ids, dtype="<u4").tobytes()
@@ -120,8 +128,8 @@ def encoder(path: str) -> ByteBpe:
     return ByteBpe(path)
 
 
-def encode_slices(path: str, texts: list[str], step: int = 32):
+def encode_slices(path: str, texts: list[str], special_as_text: bool, step: int = 32):
     """Ids of each text, encoded in slices so that memory follows the slice."""
     encode = encoder(path).encode
     for start in range(0, len(texts), step):
-        yield from encode(texts[start:start + step])
+        yield from encode(texts[start:start + step], special_as_text)

@@ -41,6 +41,51 @@ def test_memory_of_pieces_is_bounded(bpe, monkeypatch):
         assert len(bpe.memo) <= 20 + 30 and len(bpe.older) <= 20 + 30
 
 
+END = "<|endoftext|>"
+HOLDING_END = [(1, f"a {END} b"), (2, END), (3, f"é {END}{END}\n it's"), (4, f"日本 {END} €"), (5, "a <|endoftext b |>"), (6, "plain"), (7, None)]
+
+
+def unchanged_ids(texts, end):
+    """Ids by the library as it comes from the file, nothing set."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    found = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode_batch([t or "" for t in texts], add_special_tokens=False)
+    return [np.array(e.ids + [end], dtype="<u4").tobytes() for e in found]
+
+
+def test_special_tokens_in_texts_as_the_unchanged_library_has_them(spark):
+    docs = documents(spark, HOLDING_END).coalesce(1)
+    texts = [t for _, t in HOLDING_END]
+    assert unchanged_ids(["a <|endoftext|> b"], 0) == [np.array([64, 220, 50256, 275, 0], dtype="<u4").tobytes()]
+    want = dict(zip((i for i, _ in HOLDING_END), unchanged_ids(texts, 1)))
+    pieces = collections.defaultdict(bytes)
+    for r in sorted(packing.pack_documents(docs).collect(), key=lambda r: r.start):
+        assert r.doc_tokens == len(want[r.doc_id]) // 4 and r.ids_crc32 == zlib.crc32(bytes(r.ids))
+        assert r.start == len(pieces[r.doc_id]) // 4
+        pieces[r.doc_id] += bytes(r.ids)
+    assert pieces == want
+    files = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in ans.round_trip(docs).collect()}
+    assert files == {i: (len(x) // 4, zlib.crc32(x)) for (i, _), x in zip(HOLDING_END, unchanged_ids(texts, 0))}
+    # in flat files the same id separates documents, so there the content stays text
+    counted = {r.doc_id: r.n_tokens for r in token_counts.counted_documents(docs).collect()}
+    assert counted == {i: len(x) // 4 for (i, _), x in zip(HOLDING_END, ids_of(texts))}
+
+
+def test_added_tokens_that_are_not_special_are_always_found(tmp_path):
+    from tokenizers import AddedToken
+
+    changed = library()
+    changed.add_tokens([AddedToken("<tab>", normalized=False)])
+    path = str(tmp_path / "with_tab.json")
+    changed.save(path)
+    for flag in (False, True):
+        changed.encode_special_tokens = flag
+        texts = [f"a <tab> {END} b", "a<tab>", END, "a"]
+        whole = changed.encode_batch(texts, add_special_tokens=False)
+        assert tokens.ByteBpe(path).encode(texts, flag) == [np.array(e.ids, dtype="<u4").tobytes() for e in whole]
+
+
 # -------------------------------------------------------------------- packing
 
 def check_sequences(rows, limits):
