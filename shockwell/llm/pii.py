@@ -48,7 +48,9 @@ VALID = {
 #: What a mention of another kind can look like: a run of identifier characters with a digit or an at sign.
 #: A long run is one match, so the search stays linear.
 CANDIDATE_RUN = r"(?<![A-Za-z0-9_@./+-])[A-Za-z_./+-]*+[0-9@][A-Za-z0-9_@./+-]*+"
-CANDIDATE_TEXT = r"length(m) BETWEEN 5 AND 200 AND (m rlike '[0-9].*[0-9].*[0-9]' OR m rlike '.@.')"
+CANDIDATE_TEXT = r"length(m) >= 5 AND (m rlike '[0-9].*[0-9].*[0-9]' OR m rlike '.@.')"
+#: Instances longer than this are told apart in the graph by their hash, so rows stay small.
+LONG_INSTANCE = 200
 #: Characters of left context that are read, and the rounds, support and confidence of the scoring.
 CONTEXT_CHARS = 60
 ROUNDS = 3
@@ -102,8 +104,10 @@ def spans_of(rows: DataFrame) -> DataFrame:
         s -> struct(s.start, -1 AS rank, s.end, s.m)) AS others""")
     left = f"lower(substring(text, cast(greatest(1, s.start - {CONTEXT_CHARS - 1}) AS INT), cast(least({CONTEXT_CHARS}, s.start) AS INT)))"
     words = f"filter(split({left}, '[ \\\\t-\\\\r]+', -1), w -> w <> '')"
+    # no mention holds a colon, so a hash is never the text of another
+    instance = f"if(length(s.m) > {LONG_INSTANCE}, concat('sha256:', sha2(s.m, 256)), s.m)"
     return other.selectExpr("*", f"""transform(concat(base, others), s -> named_struct(
-        'start', s.start, 'rank', s.rank, 'end', s.end, 'instance', s.m, 'left', slice({words}, -2, 2))) AS mentions""").drop("others", "text")
+        'start', s.start, 'rank', s.rank, 'end', s.end, 'instance', {instance}, 'left', slice({words}, -2, 2))) AS mentions""").drop("others", "text")
 
 
 def graph(stored: DataFrame) -> DataFrame:

@@ -46,6 +46,28 @@ def test_contexts_find_identifiers_of_another_form(spark):
     assert spans[3].startswith("phone:")
 
 
+def test_long_runs_are_candidates(spark):
+    keys = ["key-" + "x9" * 98 + tail for tail in ("", "0", "01")]  # 200, 201 and 202 characters
+    keys += ["key-" + "7" + "x" * 30000 + "7" * 20, "key-77" + "x" * 30000]
+    rows = [(k, f"note {k} mail box: user{k}@example.org now") for k in range(20)]
+    rows += [(50 + k, f"some mail box: {key} end") for k, key in enumerate(keys)]
+    docs = documents(spark, rows)
+    spans = {r.doc_id: r.spans for r in pii.digest(pii.find_pii(docs)).collect()}
+    assert [spans[50 + k] for k in range(4)] == [f"context-email:15:{15 + len(key)}" for key in keys[:4]]
+    assert spans[54] == ""  # two digits are too few, whatever the length
+    found = pii.find_pii(docs, carry=True)
+    out = {r.doc_id: r.t for r in found.selectExpr("doc_id", f"{pii.redacted('source.text', 'array_sort(concat(base, found))')} AS t").collect()}
+    assert all(out[50 + k] == "some mail box: <EMAIL> end" for k in range(4))
+
+
+def test_long_instances_are_told_apart_and_met_again(spark):
+    rows = [(1, "first box: " + "a1" * 300), (2, "other box: " + "a1" * 300), (3, "third box: " + "a1" * 299 + "b1")]
+    docs = documents(spark, rows)
+    edges = pii.graph(pii.spans_of(docs.select("doc_id", "text"))).collect()
+    assert len(edges) == 5 and len({r.instance for r in edges}) == 2  # "box:" with two instances, the two words before with one each
+    assert all(len(r.instance) <= pii.LONG_INSTANCE for r in edges)
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de, ip 10.0.0.1. +4111 1111 1111 1111!"
     found = pii.find_pii(documents(spark, [(1, text), (2, None), (3, "plain")]), carry=True)
