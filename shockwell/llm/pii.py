@@ -3,10 +3,10 @@
 All expressions are SQL functions.  The fixed kinds (email, ip, card, phone)
 are found by their patterns.  They seed a graph between lexical patterns (the
 one or two words in front of a mention) and instances (the mention's own text;
-besides the fixed kinds any run that looks like an identifier).  A few rounds
+besides the fixed kinds any run that looks like an identifier).  Rounds
 score both sides in turn: a pattern by the share of its instances that are
-trusted, an instance by the patterns it occurs with.  Patterns that end with
-enough support and confidence mark the identifiers behind them as found spans
+trusted, an instance by the patterns it occurs with, until nothing changes any
+more.  Patterns that end with enough support and confidence mark the identifiers behind them as found spans
 of kind ``context-<kind>``.  Spans of the fixed kinds always stay.
 
 The graph holds distinct (pattern, instance) pairs, summed up before they are
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shockwell.llm import common
-from shockwell.plans.storage import work_folder, written
+from shockwell.plans.storage import delete, work_folder, written
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -51,11 +51,14 @@ CANDIDATE_RUN = r"(?<![A-Za-z0-9_@./+-])[A-Za-z_./+-]*+[0-9@][A-Za-z0-9_@./+-]*+
 CANDIDATE_TEXT = r"length(m) >= 5 AND (m rlike '[0-9].*[0-9].*[0-9]' OR m rlike '.@.')"
 #: Instances longer than this are told apart in the graph by their hash, so rows stay small.
 LONG_INSTANCE = 200
-#: Characters of left context that are read, and the rounds, support and confidence of the scoring.
+#: Characters of left context that are read, and the support and confidence of the scoring.
 CONTEXT_CHARS = 60
-ROUNDS = 3
 LEAST_SUPPORT = 3.0
 LEAST_CONFIDENCE = 0.7
+#: A score that moves by no more than this counts as unchanged.  Scoring takes a
+#: round per hop of a chain of contexts and some to settle; so many are an error.
+SETTLED = 1e-6
+MOST_ROUNDS = 1000
 
 
 def literal(pattern: str) -> str:
@@ -127,35 +130,49 @@ def scored(edges: DataFrame, folder: str, rounds: int, support: float, confidenc
 
     ``score = mass / (instances + 1)``, the mass being the trust in its distinct
     instances of a kind; only patterns with enough mass and score pass trust on.
+    Trust only grows from round to round.  The end is reached when the trusted
+    patterns and their scores stay as they are: while scores still grow, a round
+    without a new pattern can be followed by one with.  Without an end within
+    ``rounds`` an error is raised.
     """
+    spark = edges.sparkSession
     total = edges.count()
     by_pattern = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
     by_instance = written(edges.groupBy("instance").agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("seed")), f"{folder}/instances")
     by_pattern = written(by_pattern, f"{folder}/patterns")
     seeds = by_instance.filter("seed >= 0").selectExpr("instance", "n", "seed AS kind", "1.0D AS trust")
-    trusted = seeds
+    trusted, before = seeds, None
     pairs = edges.select("pattern", "instance")
-    good = None
     for r in range(rounds):
         reached = common.join_to_groups(pairs, trusted, ["instance"], "n", total)
         mass = reached.groupBy("pattern", "kind").agg(F.sum("trust").alias("mass"))
         good = mass.join(by_pattern, "pattern").selectExpr("pattern", "n", "kind", "mass", "mass / (n + 1) AS score")
         good = written(good.filter(f"mass >= {support} AND score >= {confidence}"), f"{folder}/trusted-{r}")
-        if r + 1 < rounds:
-            spread = common.join_to_groups(pairs, good.select("pattern", "n", "kind", "score"), ["pattern"], "n", total)
-            found_trust = spread.groupBy("instance", "kind").agg(F.expr("1 - exp(sum(ln(1 - score)))").alias("trust"))
-            others = found_trust.join(by_instance, "instance").filter("seed < 0").select("instance", "n", "kind", "trust")
-            trusted = written(seeds.unionByName(others), f"{folder}/instances-{r}")
-    return good.selectExpr("pattern", "n", "kind", "score")
-
-
-def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, rounds: int = ROUNDS,
+        if before is None:
+            changed = good
+        else:
+            old = before.selectExpr("pattern", "kind", "score AS old")
+            changed = good.join(old, ["pattern", "kind"], "left").filter(f"old IS NULL OR abs(score - old) > {SETTLED}")
+        if changed.isEmpty():
+            return good.selectExpr("pattern", "n", "kind", "score")
+        if before is not None:  # what the round before has left is not read again
+            delete(spark, f"{folder}/trusted-{r - 1}")
+            delete(spark, f"{folder}/instances-{r - 1}")
+        spread = common.join_to_groups(pairs, good.select("pattern", "n", "kind", "score"), ["pattern"], "n", total)
+        found_trust = spread.groupBy("instance", "kind").agg(F.expr("1 - exp(sum(ln(1 - score)))").alias("trust"))
+        others = found_trust.join(by_instance, "instance").filter("seed < 0").select("instance", "n", "kind", "trust")
+        trusted, before = written(seeds.unionByName(others), f"{folder}/instances-{r}"), good
+    raise RuntimeError(f"the trusted patterns still change after {rounds} rounds; allow more rounds")
+
+
+def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False, rounds: int = MOST_ROUNDS,
              support: float = LEAST_SUPPORT, confidence: float = LEAST_CONFIDENCE) -> DataFrame:
     """One row per input row: ``doc_id, base, found`` and, with ``carry``, the
     whole row in ``source``.
 
     ``base`` and ``found`` are arrays of (start, rank, end); ranks count
-    through the fixed kinds and then their context kinds.
+    through the fixed kinds and then their context kinds.  Scoring that has not
+    ended after ``rounds`` rounds is an error.
     """
     folder = work_folder(docs.sparkSession)
     whole = [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("source")] if carry else []

@@ -68,6 +68,35 @@ def test_long_instances_are_told_apart_and_met_again(spark):
     assert all(len(r.instance) <= pii.LONG_INSTANCE for r in edges)
 
 
+def chained(spark):
+    """Two chains.  Behind one..four: each word's identifiers are mostly those of the word before, so trust takes
+    four hops.  Behind pre and post: the second becomes trusted by growing scores, a round after nothing was new."""
+    behind = {"one": [f"a{k}@example.org" for k in range(900)]}
+    sizes = {"A": 200, "B": 45, "C": 10, "D": 2}
+    ids = {name: [f"{name}-{k:04d}" for k in range(n)] for name, n in sizes.items()}
+    behind["one"] += ids["A"]
+    behind["two"], behind["three"], behind["four"] = ids["A"] + ids["B"], ids["B"] + ids["C"], ids["C"] + ids["D"]
+    low, late = [f"P-{k:04d}" for k in range(20)], [f"Q-{k:04d}" for k in range(7)]
+    behind["pre"], behind["post"] = [f"p{k}@example.com" for k in range(70)] + low, low + late
+    rows = []
+    for word, instances in behind.items():
+        for k in range(0, len(instances), 40):
+            rows.append((len(rows), " ; ".join(f"the {word}: {i}" for i in instances[k:k + 40])))
+    return documents(spark, rows), {word: len(v) for word, v in behind.items()}
+
+
+def test_scoring_ends_when_nothing_changes(spark):
+    docs, sizes = chained(spark)
+    rows = pii.find_pii(docs, carry=True).selectExpr("source.text AS text", "base", "found").collect()
+    masked = {}
+    for r in rows:
+        word = r.text.split()[1].rstrip(":")
+        masked[word] = masked.get(word, 0) + len(r.base) + len(r.found)
+    assert masked == sizes  # every identifier behind every word
+    with pytest.raises(RuntimeError, match="still change after 3 rounds"):
+        pii.find_pii(docs, rounds=3)
+
+
 def test_redaction(spark):
     text = "é mail a.b@c.de, ip 10.0.0.1. +4111 1111 1111 1111!"
     found = pii.find_pii(documents(spark, [(1, text), (2, None), (3, "plain")]), carry=True)
