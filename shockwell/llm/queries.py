@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shockwell.llm import ans, exact_dedup, packing, pii, quality, sampling, sharding, simhash, token_counts, toxicity
+from shockwell.llm import (
+    ans, collocations, exact_dedup, packing, periodic_runs, pii, quality, sampling, sharding, simhash, token_counts, toxicity,
+)
 from shockwell.llm.common import table
 
 
@@ -48,6 +50,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted))
+
+
 OP10_SQL = """
 WITH n AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
@@ -58,6 +68,45 @@ SELECT doc_id::BIGINT AS doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g
 FROM n WINDOW g AS (PARTITION BY t)
 """
 
+OP11_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\x0B\f\r]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), words AS (
+    SELECT lang, p, unnest(w) AS w1, unnest(range(len(w))) AS i FROM (
+        SELECT lang, row_number() OVER () AS p, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w FROM pieces)
+), threes AS (
+    SELECT lang, w1, lead(w1) OVER s AS w2, lead(w1, 2) OVER s AS w3 FROM words WINDOW s AS (PARTITION BY p ORDER BY i)
+), phrases AS (
+    SELECT lang, 1 AS k, w1 AS phrase FROM threes
+    UNION ALL SELECT lang, 2, w1 || ' ' || w2 FROM threes WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM threes WHERE w3 IS NOT NULL
+), f AS (
+    SELECT lang, k, phrase, count(*) AS a FROM phrases GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS (
+    SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND a >= 10
+), cuts AS (
+    SELECT c.lang, c.phrase, c.a, c.k, j.j, x.a AS l, y.a AS r,
+        ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+    FROM c JOIN (VALUES (1), (2)) j(j) ON j.j < c.k
+    JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j.j], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j.j + 1:], ' ')
+), lowest AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), covers AS (
+    SELECT lang, phrase, max(a) AS longer FROM (
+        SELECT lang, a, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase FROM c WHERE k = 3) GROUP BY ALL
+), free AS (
+    SELECT lowest.* FROM lowest LEFT JOIN covers USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -69,5 +118,7 @@ QUERIES = {
     "op8_sampled_segmentations": op8_sampled_segmentations,
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_collocations": op11_collocations,
+    "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES = {"op10_exact_dedup": OP10_SQL}
+ORACLES = {"op10_exact_dedup": OP10_SQL, "op11_collocations": OP11_SQL}
