@@ -1,8 +1,9 @@
 """Phrases of words that stand together more often than their parts suggest.
 
 Counting is done by HAT-tries: a trie over word numbers whose leaves are hash
-containers.  A container that grows too large bursts into one container for
-each next word; so the trie is shallow and follows the frequent prefixes.  A
+containers.  A container that grows too large bursts: next words with many
+phrases get containers of their own, all others go on sharing one; so the trie
+is shallow and follows the frequent prefixes.  A
 task's trie is bounded: when it holds too many phrases, its largest subtrees
 leave it whole, each as a sorted run of phrases with their counts.  Runs are
 merged per prefix partition, the phrases of a first word, with large prefixes
@@ -37,11 +38,9 @@ from shockwell.llm import common
 from shockwell.plans.storage import work_folder, written
 
 #: Phrases and words that a task's tries hold at most, and entries of a container before it bursts.
-MOST_PHRASES, MOST_WORDS, CONTAINER = 1_000_000, 1 << 20, 1 << 14
+MOST_PHRASES, MOST_WORDS, CONTAINER = 1_000_000, 1 << 20, 1 << 16
 #: Words of a task that are counted together.
 BATCH_WORDS = 500_000
-#: Bits of the filter of frequent phrases: 8 MB, whatever the data.
-FILTER_BITS = 26
 #: Parts that the runs of one first word are cut into.
 CELLS = 64
 
@@ -50,7 +49,7 @@ ENDS = b".,;:!?\n\x0b\x0c\r"
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(ENDS))
 NO_WORD = b"."
 
-FACTOR, SPREAD = np.uint64(0x9E3779B97F4A7C15), (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 RUN_SQL = "lang string, phrase string, n bigint"
@@ -59,60 +58,82 @@ RUN_SQL = "lang string, phrase string, n bigint"
 # ----------------------------------------------------------------- the tries
 
 class Node:
-    """A hash container of phrases, or, once it has burst, a container per next word.
+    """Phrases below a prefix: containers of their own for the next words with
+    many phrases, and one container that all other next words share.
 
     A phrase is a number: one digit of ``bits`` bits for each of its words.
     """
 
-    __slots__ = ("digits", "table", "children")
+    __slots__ = ("digits", "table", "children", "limit", "first", "last")
 
     def __init__(self, digits: int):
-        self.digits, self.table, self.children = digits, Counter(), None
+        self.digits, self.table, self.children, self.limit = digits, Counter(), {}, CONTAINER
 
     def add(self, codes: np.ndarray, bits: int) -> None:
-        if self.children is None:
-            self.table.update(codes.tolist())
-            if len(self.table) > CONTAINER and self.digits > 1:
-                self.burst(bits)
-        else:
-            for word, part in split_by_first(codes, bits * (self.digits - 1)):
-                child = self.children.get(word)
-                if child is None:
-                    child = self.children[word] = Node(self.digits - 1)
-                child.add(part, bits)
+        if self.children:
+            codes = np.sort(codes)
+            shared = np.ones(len(codes), dtype=bool)
+            inner = (1 << bits * (self.digits - 1)) - 1
+            for child, a, b in zip(self.children.values(), np.searchsorted(codes, self.first), np.searchsorted(codes, self.last)):
+                if a < b:
+                    child.add(codes[a:b] & inner, bits)
+                    shared[a:b] = False
+            codes = codes[shared]
+        self.table.update(codes.tolist())
+        if len(self.table) > self.limit and self.digits > 1:
+            self.burst(bits)
 
     def burst(self, bits: int) -> None:
+        """Next words with a sixteenth of a full container leave for containers of their own."""
         shift = bits * (self.digits - 1)
-        self.children = {}
-        for code, n in self.table.items():
-            child = self.children.get(code >> shift)
-            if child is None:
-                child = self.children[code >> shift] = Node(self.digits - 1)
-            child.table[code & ((1 << shift) - 1)] = n
-        self.table = None
+        codes, counts = from_table(self.table)
+        first = codes >> shift
+        words, place, sizes = np.unique(first, return_inverse=True, return_counts=True)
+        leaves = (sizes >= CONTAINER // 16)[place]
+        by_word = np.flatnonzero(leaves)[np.argsort(first[leaves], kind="stable")]
+        starts = np.flatnonzero(np.diff(first[by_word], prepend=-1))
+        for part in np.split(by_word, starts[1:]) if len(by_word) else []:
+            child = self.children[int(first[part[0]])] = Node(self.digits - 1)
+            child.table = to_table(codes[part] & (1 << shift) - 1, counts[part])
+        self.table = to_table(codes[~leaves], counts[~leaves])
+        self.limit = max(CONTAINER, 2 * len(self.table))
+        self.bounds(shift)
+
+    def bounds(self, shift: int) -> None:
+        words = np.fromiter(self.children, np.int64, len(self.children))
+        self.first, self.last = words << shift, words + 1 << shift
+
+    def take(self, word: int | None, bits: int) -> "Node":
+        """A subtree, or the shared container (no word), leaves the node whole."""
+        if word is None:
+            shared = Node(self.digits)
+            shared.table, self.table = self.table, shared.table
+            return shared
+        child = self.children.pop(word)
+        self.bounds(bits * (self.digits - 1))
+        return child
 
     def size(self) -> int:
-        return len(self.table) if self.children is None else sum(c.size() for c in self.children.values())
+        return len(self.table) + sum(c.size() for c in self.children.values())
 
     def entries(self, bits: int) -> tuple[np.ndarray, np.ndarray]:
         """``(codes, counts)`` of everything below."""
-        if self.children is None:
-            n = len(self.table)
-            return np.fromiter(self.table.keys(), np.int64, n), np.fromiter(self.table.values(), np.int64, n)
         shift = bits * (self.digits - 1)
-        parts = [(word << shift, *child.entries(bits)) for word, child in self.children.items()]
-        return np.concatenate([codes | head for head, codes, _ in parts]), np.concatenate([n for _, _, n in parts])
+        parts = [from_table(self.table)]
+        for word, child in self.children.items():
+            codes, counts = child.entries(bits)
+            parts.append((codes | word << shift, counts))
+        return tuple(np.concatenate(column) for column in zip(*parts))
 
 
-def split_by_first(codes: np.ndarray, shift: int) -> Iterator[tuple[int, np.ndarray]]:
-    """The phrases' remaining words, by first word."""
-    codes = np.sort(codes)
-    first = codes >> shift
-    starts = np.flatnonzero(np.concatenate(([True], first[1:] != first[:-1])))
-    rest = codes & ((1 << shift) - 1)
-    stops = np.concatenate((starts[1:], [len(codes)]))
-    for word, a, b in zip(first[starts].tolist(), starts.tolist(), stops.tolist()):
-        yield word, rest[a:b]
+def from_table(table: Counter) -> tuple[np.ndarray, np.ndarray]:
+    return np.fromiter(table.keys(), np.int64, len(table)), np.fromiter(table.values(), np.int64, len(table))
+
+
+def to_table(codes: np.ndarray, counts: np.ndarray) -> Counter:
+    table = Counter()
+    dict.update(table, zip(codes.tolist(), counts.tolist()))
+    return table
 
 
 class Trie:
@@ -134,7 +155,8 @@ class Trie:
         new = [w for w in dict.fromkeys(tokens) if w not in self.words]
         if new:
             self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-            self.hashes = np.concatenate((self.hashes, word_hashes(self.lang, new)))
+            if self.frequent is not None:
+                self.hashes = np.concatenate((self.hashes, word_hashes(self.lang, new)))
         ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
         self.n_words += int(np.count_nonzero(ids[:starts]))
         self.root.add(self.phrases(ids), self.bits)
@@ -148,9 +170,10 @@ class Trie:
         at = np.flatnonzero(there)
         if k > 1 and self.frequent is not None:
             # Phrases one word shorter from ``at`` and from the next word on.
-            shorter = np.unique(np.concatenate((at, at + 1)))
             kept = np.zeros(len(ids) + 1, dtype=bool)
-            kept[shorter] = may_hold(self.frequent, phrase_hashes([self.hashes[ids[shorter + j]] for j in range(k - 1)]))
+            kept[at] = kept[at + 1] = True
+            shorter = np.flatnonzero(kept)
+            kept[shorter] = common.may_hold(self.frequent, phrase_hashes([self.hashes[ids[shorter + j]] for j in range(k - 1)]))
             at = at[kept[at] & kept[at + 1]]
         code = ids[at]
         for j in range(1, k):
@@ -158,22 +181,16 @@ class Trie:
         return code
 
     def subtrees(self) -> list[tuple[int, int | None]]:
-        """``(size, first word)`` of what can leave the trie whole."""
-        if self.root.children is None:
-            return [(self.root.size(), None)]
-        return [(child.size(), word) for word, child in self.root.children.items()]
+        """``(size, first word)`` of what can leave the trie whole; no word: the shared container."""
+        return [(len(self.root.table), None), *((child.size(), word) for word, child in self.root.children.items())]
 
     def spill(self, words: list[int | None]) -> Iterator[pa.RecordBatch]:
         """Take subtrees out of the trie, as one sorted run."""
-        if None in words:
-            codes, counts = self.root.entries(self.bits)
-            self.root = Node(self.length)
-        else:
-            shift = self.bits * (self.length - 1)
-            parts = [(w << shift, *self.root.children.pop(w).entries(self.bits)) for w in words]
-            codes = np.concatenate([c | head for head, c, _ in parts])
-            counts = np.concatenate([n for _, _, n in parts])
-        yield from self.sorted_run(codes, counts)
+        shift, parts = self.bits * (self.length - 1), []
+        for word in words:
+            codes, counts = self.root.take(word, self.bits).entries(self.bits)
+            parts.append((codes if word is None else codes | word << shift, counts))
+        yield from self.sorted_run(*(np.concatenate(column) for column in zip(*parts)))
 
     def sorted_run(self, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         known = pa.array(list(self.words), pa.binary())
@@ -255,40 +272,17 @@ def phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
     return reduce(lambda h, w: h * FACTOR + w, words)
 
 
-def filter_places(hashes: np.ndarray) -> list[np.ndarray]:
-    """The two bits of a phrase."""
-    return [(hashes * odd) >> np.uint64(64 - FILTER_BITS) for odd in SPREAD]
-
-
-def may_hold(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the filter, as 64-bit words, holds both bits."""
-    return reduce(np.logical_and, [
-        (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) for place in filter_places(hashes)])
-
-
 def filter_of(frequent: DataFrame) -> np.ndarray:
-    """The filter's 64-bit words: at most ``2 ** FILTER_BITS / 64`` rows come to the driver, whatever the table's size."""
-    arrow = pa.schema([("word", pa.int64()), ("mask", pa.int64())])
+    """The bit filter of a table of phrases."""
+    arrow = pa.schema([("hash", pa.int64())])
 
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), common.text_bytes(batch, "phrase")):
-                found.append(phrase_hashes(list(word_hashes(lang, phrase.split(b" "))[:, None]))[0])
-            place = np.concatenate(filter_places(np.array(found, dtype=np.uint64)))
-            mask = np.left_shift(np.uint64(1), place & np.uint64(63))
-            word = (place >> np.uint64(6)).astype(np.int64)
-            by_word = np.argsort(word, kind="stable")
-            word, mask = word[by_word], mask[by_word]
-            starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1]))) if len(word) else np.zeros(0, dtype=np.int64)
-            merged = np.bitwise_or.reduceat(mask, starts) if len(word) else mask
-            yield pa.RecordBatch.from_arrays([pa.array(word[starts]), pa.array(merged.view(np.int64))], schema=arrow)
-
-    bits = frequent.select("lang", "phrase").mapInArrow(places, "word bigint, mask bigint")
-    rows = bits.groupBy("word").agg(F.expr("bit_or(mask) AS mask")).toArrow()
-    words = np.zeros(1 << FILTER_BITS - 6, dtype=np.uint64)
-    words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
-    return words
+            found = [phrase_hashes(list(word_hashes(lang, phrase.split(b" "))[:, None]))[0]
+                     for lang, phrase in zip(batch.column("lang").to_pylist(), common.text_bytes(batch, "phrase"))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, dtype=np.uint64).view(np.int64))], schema=arrow)
+
+    return common.bit_filter(frequent.select("lang", "phrase").mapInArrow(hashes, "hash bigint"))
 
 
 # -------------------------------------------------------------------- tables
@@ -300,10 +294,13 @@ def merged_counts(texts: DataFrame, length: int, frequent: np.ndarray | None, **
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return count_phrases(batches, length, None if known is None else known.value, **limits)
 
-    runs = texts.mapInArrow(run, RUN_SQL).selectExpr(
-        "*", "substring_index(phrase, ' ', 1) AS prefix", f"pmod(xxhash64(phrase), {CELLS}) AS cell")
-    return runs.repartition("lang", "prefix", "cell").groupBy("lang", "prefix", "cell", "phrase").agg(
-        F.sum("n").alias("n")).select("lang", "phrase", "n")
+    # A number for language, prefix and cell.
+    runs = texts.mapInArrow(run, RUN_SQL).withColumn("part", F.expr(f"xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')})"))
+    return runs.repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
+
+
+def cell(phrase: str) -> str:
+    return f"pmod(xxhash64({phrase}), {CELLS})"
 
 
 def with_counts(cuts: DataFrame, counts: DataFrame, part: str, name: str, folder: str) -> DataFrame:
@@ -364,7 +361,10 @@ def collocations(
     covers = within.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     free = lowest.join(covers, ["lang", "phrase"], "left").filter(
         f"longer IS NULL OR cast(100 AS DECIMAL(3, 0)) * longer < cast({covered_percent} AS DECIMAL(3, 0)) * a")
-    # A row-number limit: every task hands on its own first rows alone.
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = free.withColumn("rank", F.row_number().over(order).cast("bigint")).filter(F.col("rank") <= most)
+    # Ranked in cells first, whose first rows are few: a language's last sort has CELLS * most rows at most.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    ranked = free.withColumn("cell", F.expr(cell("phrase")))
+    for keys in (["lang", "cell"], ["lang"]):
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
+        ranked = ranked.filter(F.col("rank") <= most)
     return ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

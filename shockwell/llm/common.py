@@ -3,18 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shockwell.plans.storage import settled
+from shockwell.plans.storage import settled, written
 
 #: A key is hot if it has more than one in HOT_SHARE of all rows, so there are
 #: fewer than HOT_SHARE hot keys whatever the data size.
 HOT_SHARE = 10_000
 
+#: Bits of a filter of hashes: 8 MB, whatever the data.
+FILTER_BITS = 26
+SPREAD = (np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -97,3 +103,52 @@ def join_to_groups(rows: DataFrame, groups: DataFrame, key: list[str], size: str
     cold = groups.filter(F.col(size) <= limit)
     spread = rows.join(hot.select(*key), key, "left_anti").join(cold, key)
     return rows.join(hot, key).unionByName(spread)
+
+
+def filter_places(hashes: np.ndarray) -> list[np.ndarray]:
+    """The two bits of each hash."""
+    return [(hashes * odd) >> np.uint64(64 - FILTER_BITS) for odd in SPREAD]
+
+
+def may_hold(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the filter, as 64-bit words, holds both bits of each hash.  A hash that went in is always held."""
+    return reduce(np.logical_and, [
+        (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) for place in filter_places(hashes)])
+
+
+def bit_filter(hashes: DataFrame) -> np.ndarray:
+    """A filter of a table ``(hash bigint)`` as 64-bit words.
+
+    At most ``2 ** FILTER_BITS / 64`` rows come to the driver, whatever the table's size.
+    """
+    arrow = pa.schema([("word", pa.int64()), ("mask", pa.int64())])
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.concatenate(filter_places(batch.column(0).to_numpy().view(np.uint64)))
+            mask = np.left_shift(np.uint64(1), place & np.uint64(63))
+            word = (place >> np.uint64(6)).astype(np.int64)
+            by_word = np.argsort(word, kind="stable")
+            word, mask = word[by_word], mask[by_word]
+            starts = np.flatnonzero(np.diff(word, prepend=-1))
+            merged = np.bitwise_or.reduceat(mask, starts) if len(starts) else mask
+            yield pa.RecordBatch.from_arrays([pa.array(word[starts]), pa.array(merged.view(np.int64))], schema=arrow)
+
+    bits = hashes.mapInArrow(places, "word bigint, mask bigint")
+    rows = bits.groupBy("word").agg(F.expr("bit_or(mask) AS mask")).toArrow()
+    words = np.zeros(1 << FILTER_BITS - 6, dtype=np.uint64)
+    words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
+    return words
+
+
+def component_names(classes: DataFrame, node: str, least: str, roots: DataFrame, folder: str) -> DataFrame:
+    """``classes`` with ``name``, the smallest ``least`` of the component.
+
+    ``roots(node, root)`` has the classes with links.  A component's classes are
+    added up before they meet, and a component of very many classes is dealt out.
+    """
+    found = classes.join(roots.withColumnRenamed("node", node), node, "left").withColumn("_root", F.expr(f"coalesce(root, {node})")).drop("root")
+    found = written(found, f"{folder}/rooted")
+    names = written(found.groupBy("_root").agg(F.min(least).alias("name"), F.count(F.lit(1)).alias("_size")), f"{folder}/names")
+    total = names.agg(F.coalesce(F.sum("_size"), F.lit(0))).first()[0]
+    return written(join_to_groups(found, names, ["_root"], "_size", total).drop("_root", "_size"), f"{folder}/classes")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shockwell.llm import (
-    ans, collocations, exact_dedup, packing, periodic_runs, pii, quality, sampling, sharding, simhash, token_counts, toxicity,
+    ans, collocations, exact_dedup, jaccard, packing, periodic_runs, pii, quality, sampling, sharding, simhash, token_counts, toxicity,
 )
 from shockwell.llm.common import table
 
@@ -54,6 +54,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digest(periodic_runs.periodic_runs(table(spark, sf_dir, "documents"), rewrite=periodic_runs.planted))
 
@@ -107,6 +111,37 @@ WITH pieces AS (
 SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
+OP12_SQL = r"""
+WITH RECURSIVE texts AS (
+    SELECT row_number() OVER () AS id, doc_id, list_filter(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[ \t\n\x0B\f\r]+'), lambda x: x <> '') AS w
+    FROM documents
+), classes AS (
+    SELECT min(id) AS c, w FROM texts WHERE len(w) > 0 GROUP BY w
+), words AS (
+    SELECT c, len(w) AS n, unnest(w) AS w1, unnest(range(len(w))) AS i FROM classes
+), shingles AS (
+    SELECT DISTINCT c, concat_ws(' ', w1, lead(w1) OVER s, lead(w1, 2) OVER s, lead(w1, 3) OVER s, lead(w1, 4) OVER s) AS g
+    FROM words WINDOW s AS (PARTITION BY c ORDER BY i) QUALIFY i = 0 OR i <= n - 5
+), sizes AS (
+    SELECT c, count(*) AS n FROM shingles GROUP BY c
+), links AS (
+    SELECT a, b FROM (
+        SELECT x.c AS a, y.c AS b, count(*) AS k FROM shingles x JOIN shingles y ON x.g = y.g AND x.c <> y.c GROUP BY ALL)
+    JOIN sizes p ON p.c = a JOIN sizes q ON q.c = b WHERE 100 * k >= 80 * (p.n + q.n - k)
+), reach(c, r) AS (
+    SELECT c, c FROM classes UNION SELECT reach.c, links.b FROM reach JOIN links ON links.a = reach.r
+), rows AS (
+    SELECT id, doc_id, c FROM texts LEFT JOIN classes USING (w)
+), least AS (
+    SELECT reach.c, min(doc_id) AS component_id FROM reach JOIN rows ON rows.c = reach.r GROUP BY reach.c
+)
+SELECT doc_id::BIGINT AS doc_id, coalesce(n, 0) AS n_shingles,
+    CASE WHEN c IS NULL THEN doc_id ELSE component_id END::BIGINT AS component_id
+FROM rows LEFT JOIN sizes USING (c) LEFT JOIN least USING (c)
+"""
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_toxicity": op2_toxicity,
@@ -119,6 +154,7 @@ QUERIES = {
     "op9_simhash": op9_simhash,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_collocations": op11_collocations,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_periodic_runs": op13_periodic_runs,
 }
-ORACLES = {"op10_exact_dedup": OP10_SQL, "op11_collocations": OP11_SQL}
+ORACLES = {"op10_exact_dedup": OP10_SQL, "op11_collocations": OP11_SQL, "op12_jaccard_join": OP12_SQL}
