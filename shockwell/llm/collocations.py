@@ -26,6 +26,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ from shockwell.llm import common
 from shockwell.plans.storage import work_folder, written
 
 #: Phrases and words that a task's tries hold at most, and entries of a container before it bursts.
-MOST_PHRASES, MOST_WORDS, CONTAINER = 1_000_000, 1 << 20, 1 << 16
+MOST_PHRASES, MOST_WORDS, CONTAINER = 500_000, 1 << 19, 1 << 16
 #: Words of a task that are counted together.
-BATCH_WORDS = 500_000
+BATCH_WORDS = 250_000
 #: Parts that the runs of one first word are cut into.
 CELLS = 64
 
@@ -137,10 +138,14 @@ def to_table(codes: np.ndarray, counts: np.ndarray) -> Counter:
 
 
 class Trie:
-    """The phrases of ``length`` words of one language that a task has met."""
+    """The phrases of ``length`` words of one language that a task has met.
 
-    def __init__(self, lang: str, length: int, frequent: np.ndarray | None):
-        self.lang, self.length, self.frequent = lang, length, frequent
+    ``filters``: of frequent words and, for three words and more, of frequent
+    phrases one word shorter; none to count everything.
+    """
+
+    def __init__(self, lang: str, length: int, filters: list[np.ndarray]):
+        self.lang, self.length, self.filters = lang, length, filters
         self.bits = 63 // length
         self.clear()
 
@@ -153,11 +158,14 @@ class Trie:
     def add(self, tokens: list[bytes], starts: int) -> None:
         """Count the phrases; of the words the first ``starts``, for the rest belongs to the next call."""
         new = [w for w in dict.fromkeys(tokens) if w not in self.words]
-        if new:
-            self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-            if self.frequent is not None:
-                self.hashes = np.concatenate((self.hashes, word_hashes(self.lang, new)))
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
+        if new and self.filters:
+            # A rare word ends a phrase as the end of a piece does.
+            hashes = word_hashes(self.lang, new)
+            known = common.may_hold(self.filters[0], hashes)
+            new = list(compress(new, known.tolist()))
+            self.hashes = np.concatenate((self.hashes, hashes[known]))
+        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
+        ids = np.fromiter(map(self.words.get, tokens, repeat(0)), np.int64, len(tokens))
         self.n_words += int(np.count_nonzero(ids[:starts]))
         self.root.add(self.phrases(ids), self.bits)
 
@@ -166,14 +174,13 @@ class Trie:
         k, n = self.length, len(ids) - self.length + 1
         if n <= 0:
             return np.zeros(0, dtype=np.int64)
-        there = reduce(np.logical_and, [ids[j:j + n] > 0 for j in range(k)])
-        at = np.flatnonzero(there)
-        if k > 1 and self.frequent is not None:
+        at = np.flatnonzero(reduce(np.logical_and, [ids[j:j + n] > 0 for j in range(k)]))
+        if len(self.filters) > 1:
             # Phrases one word shorter from ``at`` and from the next word on.
             kept = np.zeros(len(ids) + 1, dtype=bool)
             kept[at] = kept[at + 1] = True
             shorter = np.flatnonzero(kept)
-            kept[shorter] = common.may_hold(self.frequent, phrase_hashes([self.hashes[ids[shorter + j]] for j in range(k - 1)]))
+            kept[shorter] = common.may_hold(self.filters[-1], phrase_hashes([self.hashes[ids[shorter + j]] for j in range(k - 1)]))
             at = at[kept[at] & kept[at + 1]]
         code = ids[at]
         for j in range(1, k):
@@ -226,7 +233,7 @@ def spilled(tries: dict[str, Trie], most: int) -> Iterator[pa.RecordBatch]:
         yield from tries[lang].spill(words)
 
 
-def count_phrases(batches: Iterator[pa.RecordBatch], length: int, frequent: np.ndarray | None,
+def count_phrases(batches: Iterator[pa.RecordBatch], length: int, filters: list[np.ndarray],
                   most_phrases: int = MOST_PHRASES, batch_words: int = BATCH_WORDS) -> Iterator[pa.RecordBatch]:
     """Sorted runs of the phrases of ``length`` words of a task's texts."""
     tries: dict[str, Trie] = {}
@@ -234,7 +241,7 @@ def count_phrases(batches: Iterator[pa.RecordBatch], length: int, frequent: np.n
 
     def counted() -> Iterator[pa.RecordBatch]:
         for lang, tokens in waiting.items():
-            trie = tries.setdefault(lang, Trie(lang, length, frequent))
+            trie = tries.setdefault(lang, Trie(lang, length, filters))
             limit = min(MOST_WORDS, 1 << trie.bits)
             step = min(batch_words, limit // 2)
             for start in range(0, len(tokens), step):
@@ -287,12 +294,12 @@ def filter_of(frequent: DataFrame) -> np.ndarray:
 
 # -------------------------------------------------------------------- tables
 
-def merged_counts(texts: DataFrame, length: int, frequent: np.ndarray | None, **limits: int) -> DataFrame:
+def merged_counts(texts: DataFrame, length: int, filters: list[np.ndarray], **limits: int) -> DataFrame:
     """``(lang, phrase, n)``: counts of phrases of ``length`` words over all tasks; rare ones may be missing."""
-    known = texts.sparkSession.sparkContext.broadcast(frequent) if frequent is not None else None
+    known = texts.sparkSession.sparkContext.broadcast(filters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return count_phrases(batches, length, None if known is None else known.value, **limits)
+        return count_phrases(batches, length, known.value, **limits)
 
     # A number for language, prefix and cell.
     runs = texts.mapInArrow(run, RUN_SQL).withColumn("part", F.expr(f"xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')})"))
@@ -334,12 +341,12 @@ def collocations(
         raise ValueError("phrases have two words and one occurrence at least")
     folder = folder or work_folder(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    frequent, tables = None, []
+    filters, tables = [], []
     for length in range(1, longest + 1):
-        counts = merged_counts(texts, length, frequent, **limits).filter((F.col("n") >= least) | (F.col("phrase") == ""))
+        counts = merged_counts(texts, length, filters, **limits).filter((F.col("n") >= least) | (F.col("phrase") == ""))
         tables.append(written(counts, f"{folder}/words_{length}"))
         if length < longest:
-            frequent = filter_of(tables[-1].filter("phrase <> ''"))
+            filters = [*filters[:1], filter_of(tables[-1].filter("phrase <> ''"))]
     totals = tables[0].filter("phrase = ''").selectExpr("lang", "n")
     counts = reduce(DataFrame.unionByName, tables).filter("phrase <> ''")
     candidates = reduce(DataFrame.unionByName, tables[1:])

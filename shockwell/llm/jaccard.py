@@ -13,11 +13,11 @@ alone, both sets have more than t.  So linked sets share a signature.
 Sets of a signature are not compared in pairs at first: each is compared with
 the first of them, and the links found make components.  Only signatures whose
 sets are in different components are looked at again; there, sets of different
-components are compared.  A signature that would compare very many is cut
-again, by further signatures of its sets with another hash.  Comparing looks at
-counts of shingles per 256th of the hashes first, whose difference is a lower
-bound, and at the sets then, so links are exact (shingles are told apart by
-their 64-bit hashes).
+components are compared, a large signature block by block in many tasks.
+Comparing looks at sizes and at counts of shingles per 64th of the hashes
+first, whose difference is a lower bound, where the signature's sets lie; only
+pairs that pass become rows.  The sets themselves decide, so links are exact
+(shingles are told apart by their 64-bit hashes).
 
 Equal sets are one class from the start.  Nothing is dropped: no cap on a
 signature's sets, no sampling.
@@ -47,11 +47,11 @@ from shockwell.plans.storage import work_folder, written
 
 FACTOR = np.uint64(0x9E3779B97F4A7C17)
 MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-COUNTERS = 256
-#: Words whose hashes a task remembers.
-MOST_WORDS = 1 << 20
-#: A signature whose sets would on average meet more others than this is cut again.
-CROWDED = 200
+COUNTERS = 64
+#: Words whose hashes, and sets whose keys a task remembers.
+MOST_WORDS = 1 << 17
+#: Sets of one signature that a task compares with each other or with as many others.
+BLOCK = 2000
 PAIRS = SkewPolicy(rows_per_split=5_000, key_share=20_000)
 
 
@@ -128,14 +128,14 @@ class Bands:
                 return parts, spare
             spare += 1
 
-    def signatures(self, items: np.ndarray, seed: int = 0) -> np.ndarray:
+    def signatures(self, items: np.ndarray) -> np.ndarray:
         """A set's signatures; equal ones in linked sets.  None for the empty set."""
         if not len(items):
             return np.zeros(0, dtype=np.uint64)
         own, found = self.band(len(items)), []
         for band in {own, max(own - 1, 1)}:
             parts, spare = self.cuts(band)
-            salt = np.array([(band << 8) + seed], dtype=np.uint64)
+            salt = np.array([band], dtype=np.uint64)
             values = mixed(items + salt * FACTOR)
             part = ((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
             sums = np.zeros(parts, dtype=np.uint64)
@@ -238,50 +238,132 @@ def sets_of(texts: DataFrame, size: int, wanted: DataFrame, folder: str) -> Data
         for batch in batches:
             if len(seen) > MOST_WORDS:
                 seen = set()
-            rows = []
+            rows, waiting = [], 0
             for text in common.text_bytes(batch):
                 items = shingles(text)
                 if not len(items):
                     continue
+                if waiting > 1_000_000:
+                    yield set_batch(rows, arrow)
+                    rows, waiting = [], 0
                 key = set_key(items)
                 if key not in seen and common.may_hold(known.value, np.array(key[:1], dtype=np.int64).view(np.uint64))[0]:
                     seen.add(key)
                     rows.append((*key, len(items), counters(items), items.tobytes()))
-            columns = list(zip(*rows)) or [[] for _ in arrow]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+                    waiting += len(items)
+            yield set_batch(rows, arrow)
 
     found = texts.select("text").mapInArrow(run, "key bigint, key2 bigint, n bigint, counts binary, items binary")
     one_each = found.join(wanted, ["key", "key2"]).dropDuplicates(["node"])
     return written(one_each.select("node", "n", "counts", "items"), f"{folder}/sets")
 
 
+def set_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
 def counters(items: np.ndarray) -> bytes:
-    """Shingles per 256th of the hashes, 255 at most."""
-    return np.minimum(np.bincount((items >> np.uint64(56)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes()
+    """Shingles per 64th of the hashes, 255 at most."""
+    return np.minimum(np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes()
 
 
 # ------------------------------------------------------------------ comparing
 
-def attach(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
-    """Pairs ``(a, b)`` with columns of both sets; a set of very many pairs is repeated for parts of them."""
-    for side, other in (("a", "b"), ("b", "a")):
-        few = sets.selectExpr(f"node AS {side}", *(f"{c} AS {c}_{side}" for c in columns))
-        pairs = split_join(pairs, few, side, "inner", other, hot_keys(row_counts(pairs.select(side), side), side, PAIRS), PAIRS)
-    return pairs
+def may_link(n: np.ndarray, counts: np.ndarray, other_n: np.ndarray, other_counts: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and counts allow a link; rows against rows, or against one row."""
+    differ = np.abs(counts.astype(np.int16) - other_counts).sum(axis=1, dtype=np.int64)
+    differ = np.maximum(differ, np.abs(n - other_n))
+    return differ * (100 + percent) <= (n + other_n) * (100 - percent)
+
 
+def groups_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """The rows of each key, of rows that come in the order of the keys."""
+    rest = None
+    for batch in batches:
+        rest = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        columns = columns_of(rest)
+        changes = np.flatnonzero(np.any([columns[k][1:] != columns[k][:-1] for k in keys], axis=0)) + 1
+        for a, b in zip([0, *changes[:-1]], changes):
+            yield {name: c[a:b] for name, c in columns.items()}
+        rest = rest.slice(changes[-1]) if len(changes) else rest
+    if rest is not None and rest.num_rows:
+        yield columns_of(rest)
 
-def near_by_counts(percent: int):
+
+def columns_of(rows: pa.Table) -> dict[str, np.ndarray]:
+    out = {name: rows.column(name).to_numpy() for name in rows.column_names if name != "counts"}
+    if rows.num_rows:
+        out["counts"] = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.uint8).reshape(-1, COUNTERS)
+    return out
+
+
+def pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    a, b = (np.concatenate(c) if c else np.zeros(0, dtype=np.int64) for c in (list(zip(*pairs)) or ((), ())))
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
+
+
+def with_first(percent: int):
+    """Of rows by ``sig``, ``node``: pairs of a signature's first set and those that may link with it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sig = first = None
         for batch in batches:
-            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COUNTERS).astype(np.int16) for c in ("counts_a", "counts_b"))
-            differ = np.abs(a - b).sum(axis=1, dtype=np.int64)
-            near = differ * (100 + percent) <= total * (100 - percent)
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column(c).to_numpy()[near]) for c in "ab"], names=["a", "b"])
+            if not batch.num_rows:
+                continue
+            rows = columns_of(pa.Table.from_batches([batch]))
+            at = np.arange(batch.num_rows)
+            new = np.concatenate(([True], rows["sig"][1:] != rows["sig"][:-1]))
+            head = np.maximum.accumulate(np.where(new, at, 0))
+            heads = {c: rows[c][head] for c in ("node", "n", "counts")}
+            if sig == rows["sig"][0]:  # the group began in a batch before
+                old = head == 0
+                for c, value in first.items():
+                    heads[c] = heads[c].copy()
+                    heads[c][old] = value
+            near = may_link(rows["n"], rows["counts"], heads["n"], heads["counts"], percent) & (rows["node"] != heads["node"])
+            yield pair_batch([(heads["node"][near], rows["node"][near])])
+            sig, first = rows["sig"][-1], {c: heads[c][-1].copy() for c in heads}
 
     return run
 
 
+def across_roots(percent: int):
+    """Of rows by ``sig, cell``: pairs with different roots that may link; in a
+    cell of two blocks, pairs of both."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs, waiting = [], 0
+        for g in groups_of(batches, ["sig", "cell"]):
+            # Along the sizes: a set's partners are not much larger than itself.
+            order = np.argsort(g["n"], kind="stable")
+            g = {c: v[order] for c, v in g.items()}
+            end = np.searchsorted(g["n"], g["n"] * 100 // percent, side="right")
+            for i in range(len(order) - 1):
+                rest = slice(i + 1, end[i])
+                other = g["root"][rest] != g["root"][i]
+                if g["mixed"][0]:
+                    other &= g["block"][rest] != g["block"][i]
+                if other.any():
+                    near = other & may_link(g["n"][rest], g["counts"][rest], g["n"][i], g["counts"][i], percent)
+                    found = g["node"][rest][near]
+                    if len(found):
+                        pairs.append((np.full(len(found), g["node"][i]), found))
+                        waiting += len(found)
+            if waiting > 50_000:
+                yield pair_batch(pairs)
+                pairs, waiting = [], 0
+        yield pair_batch(pairs)
+
+    return run
+
+
+def attach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs ``(a, b)`` with both sets; a set of very many pairs is repeated for parts of them."""
+    for side, other in (("a", "b"), ("b", "a")):
+        few = sets.selectExpr(f"node AS {side}", f"items AS items_{side}")
+        pairs = split_join(pairs, few, side, "inner", other, hot_keys(row_counts(pairs.select(side), side), side, PAIRS), PAIRS)
+    return pairs
+
+
 def near_by_sets(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -298,47 +380,29 @@ def near_by_sets(percent: int):
 def linked(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
     """The pairs ``(a, b)`` of classes that link."""
     pairs = written(pairs.distinct(), f"{folder}/pairs")
-    maybe = attach(pairs, sets, ["n", "counts"]).mapInArrow(near_by_counts(percent), "a bigint, b bigint")
-    maybe = written(maybe, f"{folder}/maybe")
-    return written(attach(maybe, sets, ["items"]).mapInArrow(near_by_sets(percent), "a bigint, b bigint"), f"{folder}/linked")
+    return written(attach(pairs, sets).mapInArrow(near_by_sets(percent), "a bigint, b bigint"), f"{folder}/linked")
 
 
 # -------------------------------------------------------------------- the join
 
-def cut_again(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``(sig, node, root)`` with further signatures, under which the sets of a crowded one that link meet again."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for batch in batches:
-            for sig, node, root, items in zip(*(batch.column(c) for c in ("sig", "node", "root", "items"))):
-                further = bands.signatures(np.frombuffer(items.as_buffer(), np.uint64), seed=1)
-                outer = np.array([sig.as_py()], dtype=np.int64).view(np.uint64)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array((mixed(further) + outer * FACTOR).view(np.int64)), pa.array([node.as_py()] * len(further), pa.int64()),
-                    pa.array([root.as_py()] * len(further), pa.int64())], names=["sig", "node", "root"])
-
-    hot = hot_keys(row_counts(members.select("node"), "node"), "node", PAIRS)
-    with_items = split_join(members, sets.select("node", "items"), "node", "inner", "sig", hot, PAIRS)
-    return with_items.select("sig", "node", "root", "items").mapInArrow(run, "sig bigint, node bigint, root bigint")
-
-
-def later_pairs(members: DataFrame, roots: DataFrame, sets: DataFrame, percent: int, crowded: int, folder: str) -> DataFrame:
-    """Pairs of one signature whose classes are in different components as yet."""
-    rooted = written(members.join(roots, "node", "left").selectExpr("sig", "node", "coalesce(root, node) AS root"), f"{folder}/rooted")
-    per_root = rooted.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n"))
-    open_sigs = per_root.groupBy("sig").agg(F.expr("sum(n) AS n"), F.expr("sum(cast(n AS DOUBLE) * n) AS same"), F.expr("count(1) AS n_roots")).filter(
-        "n_roots > 1").selectExpr("sig", "n", f"cast(n AS DOUBLE) * n - same > {2 * crowded}D * n AS crowded")
+def later_pairs(members: DataFrame, roots: DataFrame, percent: int, block: int, folder: str) -> DataFrame:
+    """Pairs of one signature whose classes are in different components as yet, and may link."""
+    rooted = written(members.join(roots, "node", "left").withColumn("root", F.expr("coalesce(root, node)")), f"{folder}/rooted")
+    open_sigs = rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
+        "low <> high").selectExpr("sig", "size", f"cast(ceil(size / {block}) AS INT) AS blocks")
     open_sigs = written(open_sigs, f"{folder}/open")
-    total = open_sigs.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rows = written(common.join_to_groups(rooted, open_sigs, ["sig"], "n", total), f"{folder}/rows")
-    rows = rows.filter("NOT crowded").select("sig", "node", "root").unionByName(cut_again(rows.filter("crowded"), sets, percent))
-    left, right = (rows.selectExpr("sig", f"node AS {s}", f"root AS root_{s}") for s in "ab")
-    return left.join(right, "sig").filter("root_a < root_b").selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
+    total = open_sigs.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    rows = common.join_to_groups(rooted, open_sigs, ["sig"], "size", total)
+    # A set of a large signature goes to the cells of its block and each other one.
+    rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS INT)")).selectExpr(
+        "sig", "node", "root", "n", "counts", "block", "explode(sequence(0, blocks - 1)) AS met", "blocks").selectExpr(
+        "sig", "node", "root", "n", "counts", "block", "block <> met AS mixed", "least(block, met) * blocks + greatest(block, met) AS cell")
+    rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell")
+    return rows.mapInArrow(across_roots(percent), "a bigint, b bigint")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words_per_shingle: int = 5,
-                       percent: int = 80, crowded: int = CROWDED, folder: str | None = None) -> DataFrame:
+                       percent: int = 80, block: int = BLOCK, folder: str | None = None) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id``, the smallest
     identifier that chains of links reach, the row's own included.  The work
     tables go below ``folder``."""
@@ -354,17 +418,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = written(signatures.mapInArrow(shared_only, "sig bigint, key bigint"), f"{folder}/shared")
     keys = classes.select("key", "node")
     total = classes.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    members = written(split_join(shared, keys, "key", "inner", "sig", hot_keys(row_counts(shared.select("key"), "key"), "key", PAIRS), PAIRS).select(
-        "sig", "node"), f"{folder}/members")
-    wanted = classes.select("node", "key", "key2").join(members.select("node").distinct(), "node", "left_semi")
+    shared = split_join(shared, keys, "key", "inner", "sig", hot_keys(row_counts(shared.select("key"), "key"), "key", PAIRS), PAIRS)
+    shared = written(shared.select("sig", "node"), f"{folder}/shared_nodes")
+    wanted = classes.select("node", "key", "key2").join(shared.select("node").distinct(), "node", "left_semi")
     sets = sets_of(texts, words_per_shingle, written(wanted, f"{folder}/wanted"), folder)
+    members = written(split_join(shared, sets.select("node", "n", "counts"), "node", "inner", "sig", hot_keys(
+        row_counts(shared.select("node"), "node"), "node", PAIRS), PAIRS), f"{folder}/members")
 
-    firsts = written(members.groupBy("sig").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")), f"{folder}/firsts")
-    n_members = firsts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    stars = common.join_to_groups(members, firsts, ["sig"], "n", n_members).filter("a <> node").selectExpr("a", "node AS b")
+    stars = members.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(with_first(percent), "a bigint, b bigint")
     links = linked(stars, sets, percent, f"{folder}/stars")
     roots = written(components(links), f"{folder}/roots")
-    later = later_pairs(members, roots, sets, percent, crowded, f"{folder}/later")
+    later = later_pairs(members, roots, percent, block, f"{folder}/later")
     links = links.unionByName(linked(later, sets, percent, f"{folder}/later"))
     roots = written(components(links), f"{folder}/all_roots")
 
