@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from catalog.common import calc_frame, flagged, fund_facts, module_frame, r, rs
+from catalog.scans import read_holdings, read_positions
 from fixtures import sql, views
 from shockwell.functions import aggregates
 from shockwell.functions.dates import years_between
@@ -16,6 +17,7 @@ from shockwell.operators import property as prop
 from shockwell.operators import spread
 from shockwell.operators.securities import SECURITY, roll_up
 from shockwell.plans import market_risk as plan
+from shockwell.plans.publication import published
 from shockwell.plans.storage import work_folder
 from shockwell.sources import market
 
@@ -94,12 +96,12 @@ def _whole_run(spark, sf_dir):
     plan.run(
         views.holdings(spark, sf_dir), views.positions(spark, sf_dir, "asset"), views.positions(spark, sf_dir, "ul"),
         plan.Settings(P, M), market_data, path)
-    return path
+    return published(spark, path)
 
 
-def market_risk_pipeline(spark, sf_dir):
-    """Rows and total value of every result table that a run stores."""
-    path, parts = _whole_run(spark, sf_dir), []
+def _stored_totals(spark, path):
+    """Rows and total value of every result table that a run has stored."""
+    parts = []
     for kind, modules in (("asset", plan.ASSET_MODULES), ("ul", plan.UL_MODULES)):
         for module in modules:
             table = spark.read.parquet(f"{path}/results/list={kind}/module={module}")
@@ -109,6 +111,40 @@ def market_risk_pipeline(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+def market_risk_pipeline(spark, sf_dir):
+    """The whole calculation from typed tables."""
+    return _stored_totals(spark, _whole_run(spark, sf_dir))
+
+
+_text_runs: dict[tuple[str, str], str] = {}
+
+
+def _text_run(spark, sf_dir):
+    """The whole calculation from the text files: scan, number, look through,
+    stress, publish; once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _text_runs:
+        _text_runs[key] = _run_from_text(spark, sf_dir)
+    return _text_runs[key]
+
+
+def _run_from_text(spark, sf_dir):
+    market_data = plan.MarketData(views.curves(spark), _rates(spark, sf_dir), views.SYMMETRIC_ADJUSTMENT)
+    tables = [read_holdings(spark, sf_dir), *(read_positions(spark, sf_dir, kind) for kind in ("asset", "ul"))]
+    path = f"{work_folder(spark)}/out"
+    plan.run(*(typed for typed, _ in tables), plan.Settings(P, M), market_data, path, cast_rejects=[rejects for _, rejects in tables])
+    return published(spark, path)
+
+
+def text_pipeline(spark, sf_dir):
+    return _stored_totals(spark, _text_run(spark, sf_dir))
+
+
+def text_pipeline_equity(spark, sf_dir):
+    """A table with first texts, which depend on the order of the text's rows."""
+    return _shown(spark.read.parquet(f"{_text_run(spark, sf_dir)}/results/list=asset/module=equity"))
+
+
 def ul_pipeline_equity(spark, sf_dir):
     return _shown(spark.read.parquet(f"{_whole_run(spark, sf_dir)}/results/list=ul/module=equity"))
 
@@ -257,6 +293,8 @@ QUERIES = {
     "ul_property_risk": _property("ul"),
     "market_risk_pipeline": market_risk_pipeline,
     "ul_pipeline_equity": ul_pipeline_equity,
+    "text_pipeline": text_pipeline,
+    "text_pipeline_equity": text_pipeline_equity,
 }
 
 
@@ -505,3 +543,12 @@ ORACLES["market_risk_pipeline"] = " UNION ALL ".join(
       sum(value::DECIMAL(30, 4))::VARCHAR AS value FROM ({ORACLES[prefix + _STORED[module]]})"""
     for kind, prefix, modules in (("asset", "", plan.ASSET_MODULES), ("ul", "ul_", plan.UL_MODULES)) for module in modules)
 ORACLES["ul_pipeline_equity"] = ORACLES["ul_equity_risk"]
+
+
+def _from_text(oracle):
+    """The same SQL over what the text files hold."""
+    return ORACLES[oracle].replace(sql.POSITIONS, sql.POSITIONS_TEXT).replace(sql.HOLDINGS, sql.HOLDINGS_TEXT)
+
+
+ORACLES["text_pipeline"] = _from_text("market_risk_pipeline")
+ORACLES["text_pipeline_equity"] = _from_text("equity_risk")

@@ -24,9 +24,11 @@ def _raw_tpt(spark, sf_dir):
 
 
 def read_holdings(spark, sf_dir):
-    """``(typed holdings, rejects)`` of the fund file's two text parts."""
+    """``(typed holdings, rejects)`` of the fund file's two text parts, broken records among the rejects."""
     paths = [views.text_file(spark, sf_dir, f"tpt_{p}.csv", lambda s, d, p=p: views.tpt_text(s, d, p)) for p in (0, 1)]
-    return tables.type_holdings(tables.project_tpt(tables.read_tpt(spark, paths)))
+    raw = tables.read_tpt(spark, paths)
+    typed, rejects = tables.type_holdings(tables.project_tpt(raw))
+    return typed, rejects.unionByName(tables.corrupt_records(raw, "holdings"))
 
 
 def read_positions(spark, sf_dir, kind):
@@ -39,22 +41,22 @@ def read_positions(spark, sf_dir, kind):
 
 
 def tpt_scan(spark, sf_dir):
-    """The fund file from text: scan, stack, project, clean, type."""
+    """The fund file from text: scan, number, stack, project, clean, type."""
     typed = read_holdings(spark, sf_dir)[0]
-    return typed.select(*[c for c in fv.TPT_HEADERS.values() if c != "valuation_weight"], r("valuation_weight", 8))
+    return typed.select(*[c for c in fv.TPT_HEADERS.values() if c != "valuation_weight"], r("valuation_weight", 8), "holding_ord")
 
 
 def _list_scan(kind):
     def query(spark, sf_dir):
-        return read_positions(spark, sf_dir, kind)[0].select(*fv.ASSET_HEADERS.values())
+        return read_positions(spark, sf_dir, kind)[0].select(*fv.ASSET_HEADERS.values(), "position_ord")
 
     return query
 
 
 def position_cast_rejects(spark, sf_dir):
-    """Cells and records that typing sets aside; of broken records the beginning."""
+    """Cells and records that typing sets aside; of broken records the whole text."""
     both = [read_positions(spark, sf_dir, k)[1].withColumn("list", F.lit(k)) for k in ("asset", "ul")]
-    return both[0].unionByName(both[1]).withColumn("raw_value", F.substring("raw_value", 1, 11))
+    return both[0].unionByName(both[1])
 
 
 def union_parts(spark, sf_dir):
@@ -308,14 +310,10 @@ _price_sql = ("CASE l_partkey % 10 WHEN 3 THEN 'n.a.' WHEN 4 THEN '1,2,3' WHEN 5
               "ELSE replace(l_extendedprice::VARCHAR, '.', ',') END")
 
 ORACLES = {
-    "tpt_scan": sql.with_(sql.HOLDINGS) + f"""SELECT {', '.join(
-        'CASE WHEN l_partkey % 3 <> 0 THEN maturity_date END AS maturity_date' if c == 'maturity_date'
-        else rs(c, c, 8) if c == 'valuation_weight' else c for c in fv.TPT_HEADERS.values())}
-      FROM holdings WHERE cqs IS NOT NULL""",
-    **{f"{kind}_scan": sql.with_(sql.POSITIONS) + f"""SELECT {', '.join(
-        "CASE WHEN position_ord % 37 <> 0 AND position_ord % 41 <> 0 THEN modified_duration END AS modified_duration"
-        if c == 'modified_duration' else c for c in fv.ASSET_HEADERS.values())}
-      FROM all_positions WHERE kind = '{kind}' AND position_ord % 101 <> 0""" for kind in ("asset", "ul")},
+    "tpt_scan": sql.with_(sql.HOLDINGS_TEXT) + f"""SELECT {', '.join(
+        rs(c, c, 8) if c == 'valuation_weight' else c for c in fv.TPT_HEADERS.values())}, holding_ord FROM holdings""",
+    **{f"{kind}_scan": sql.with_(sql.POSITIONS_TEXT) + f"""SELECT {', '.join(fv.ASSET_HEADERS.values())}, position_ord
+      FROM all_positions WHERE kind = '{kind}'""" for kind in ("asset", "ul")},
     "position_cast_rejects": sql.with_(sql.POSITIONS) + """, text AS (SELECT *,
         CASE WHEN position_ord % 37 = 0 THEN '2,5' WHEN position_ord % 41 = 0 THEN '3d' END AS bad FROM all_positions),
       cut AS (SELECT * FROM text WHERE position_ord % 101 = 0)
@@ -323,8 +321,13 @@ ORACLES = {
         NULL::VARCHAR AS id_of_underlying, bad AS raw_value, kind AS list
       FROM text WHERE bad IS NOT NULL AND position_ord % 101 <> 0
       UNION ALL SELECT 'positions', 'record does not have the columns of the header', NULL, NULL,
-        left(portfolio_group || ',' || portfolio_id || ',', 11), kind FROM cut
-      UNION ALL SELECT 'positions', 'record does not have the columns of the header', NULL, NULL, 'second line', kind FROM cut""",
+        portfolio_group || ',' || portfolio_id || ',2001.12.31,"' || security_name, kind FROM cut
+      UNION ALL SELECT 'positions', 'record does not have the columns of the header', NULL, NULL, 'second line",' || concat_ws(',',
+        country, coalesce(rating, ''), cic_of_instrument, asset_allocation, currency,
+        coalesce(CASE WHEN position_ord % 2 = 0 THEN (exp_maturity_date - DATE '1899-12-30')::VARCHAR
+          ELSE strftime(exp_maturity_date, '%Y.%m.%d') END, ''),
+        coalesce(balance_nominal::VARCHAR, ''),
+        CASE bad WHEN '2,5' THEN '"2,5"' ELSE coalesce(bad, modified_duration::VARCHAR, '') END, ''), kind FROM cut""",
     "union_parts": sql.with_(sql.HOLDINGS) + """SELECT portfolio_id, 2 * count(*) AS n_rows,
         count(maturity_date) AS n_maturities FROM holdings WHERE cqs IS NOT NULL GROUP BY 1""",
     "tpt_project": _tpt("new"),

@@ -166,8 +166,8 @@ def text_file(spark: SparkSession, sf_dir: str, name: str, build) -> str:
 def tpt_text(spark: SparkSession, sf_dir: str, part: int):
     """Fund file text: decimal commas, dotted dates, unused columns.  Rows
     without a credit step lack the fund id.  Every third part key is in the
-    second part, which has no maturity column."""
-    rows = holdings(spark, sf_dir).filter(f"(holding_ord.l_partkey % 3 = 0) = {part == 1}")
+    second part, which has no maturity column.  Rows stand in key order."""
+    rows = holdings(spark, sf_dir).filter(f"(holding_ord.l_partkey % 3 = 0) = {part == 1}").orderBy("holding_ord")
     cells = {
         **{c: F.replace(F.col(c).cast("string"), F.lit("."), F.lit(",")) for c in tables.HOLDING_NUMBERS},
         **{c: F.date_format(c, "dd.MM.yyyy") for c in tables.HOLDING_DATES},
@@ -191,7 +191,7 @@ def position_text(spark: SparkSession, sf_dir: str, kind: str):
         "security_name": F.when(k % 101 == 0, F.concat(F.col("security_name"), F.lit("\nsecond line"))).otherwise(F.col("security_name")),
     }
     headers = fv.ASSET_HEADERS if kind == "asset" else fv.UL_HEADERS
-    return positions(spark, sf_dir, kind).select(
+    return positions(spark, sf_dir, kind).orderBy("position_ord").select(
         *[cells.get(c, F.col(c)).cast("string").alias(h) for h, c in headers.items()])
 
 

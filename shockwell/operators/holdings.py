@@ -30,6 +30,9 @@ REPORT_COLUMNS = [
 ]
 CRITICAL_COLUMNS = ["error_code", "Error", "portfolio_id", "id_of_underlying"]
 
+# Funds with findings that are broadcast; more are joined by shuffle.
+MOST_BROADCAST_FUNDS = 200_000
+
 # Rows that one task emits for a single group of duplicates.
 DUPLICATE_CHUNK = 100_000
 
@@ -295,6 +298,21 @@ def duplicate_findings(holdings: DataFrame, rules: HoldingRules = HoldingRules()
     )
 
 
+def with_flagged_facts(holdings: DataFrame, facts: DataFrame, policy: SkewPolicy = SkewPolicy()) -> DataFrame:
+    """Holdings of funds whose weights or duration have a finding, with the fund's verdicts."""
+    flagged = facts.filter("weight_sum_outside OR duration_differs")
+    verdicts = flagged.select("portfolio_id", "weight_sum_outside", "duration_differs")
+    if verdicts.limit(MOST_BROADCAST_FUNDS + 1).count() <= MOST_BROADCAST_FUNDS:
+        return holdings.join(F.broadcast(verdicts), "portfolio_id")
+    return split_join(holdings, verdicts, "portfolio_id", "inner", "holding_ord", hot_funds(flagged, policy), policy)
+
+
+def _unrolled(rows: DataFrame, findings: list[str]) -> DataFrame:
+    found = f"inline(filter(array({', '.join(findings)}), x -> x.found))"
+    return rows.selectExpr("portfolio_id", "id_of_underlying", found).select(
+        "severity", "error_code", "Error", "portfolio_id", "id_of_underlying", "cic_code", "type_from_cic_code", "original_type")
+
+
 def holding_findings(
     holdings: DataFrame,
     facts: DataFrame | None = None,
@@ -304,25 +322,20 @@ def holding_findings(
 ) -> DataFrame:
     """Report rows of the chosen checks (default all), with their severity.
 
-    All checks that look at a holding or its fund share one pass: each holding
-    carries its possible findings and unrolls those that apply.
+    Checks that look at a holding need no join: each holding carries its
+    possible findings and unrolls those that apply.  Checks that look at a fund
+    join the funds that have a finding only; if they are few, which is checked,
+    they are broadcast and the holdings stay where they are.
     """
     chosen = HoldingRules.CHECKS if checks is None else checks
     by_row = [f for c, fs in row_findings(holdings, rules).items() if c in chosen for f in fs]
     by_fund = [f for c, fs in fund_findings(rules).items() if c in chosen for f in fs]
     parts = []
-    if by_row or by_fund:
-        rows = holdings
-        if by_fund:
-            facts = fund_facts(holdings, rules) if facts is None else facts
-            rows = with_fund_facts(holdings, facts, policy)
-        found = f"inline(filter(array({', '.join(by_row + by_fund)}), x -> x.found))"
-        parts.append(
-            rows.selectExpr("portfolio_id", "id_of_underlying", found).select(
-                "severity", "error_code", "Error", "portfolio_id", "id_of_underlying",
-                "cic_code", "type_from_cic_code", "original_type",
-            )
-        )
+    if by_row:
+        parts.append(_unrolled(holdings, by_row))
+    if by_fund:
+        facts = fund_facts(holdings, rules) if facts is None else facts
+        parts.append(_unrolled(with_flagged_facts(holdings, facts, policy), by_fund))
     if "duplicates" in chosen and rules.on("duplicates"):
         parts.append(duplicate_findings(holdings, rules))
     if not parts:

@@ -24,11 +24,16 @@ def work_folder(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/shockwell-{uuid.uuid4().hex}"
 
 
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """``(file system, path)`` in whatever store it lies, as Hadoop objects."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def delete(spark: SparkSession, path: str) -> None:
-    """Remove a table or folder of the work folder, in whatever store it lies."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    """Remove a table or folder of the work folder."""
+    fs, target = file_system(spark, path)
+    fs.delete(target, True)
 
 
 @contextmanager
@@ -56,7 +61,7 @@ def written(df: DataFrame, path: str, partition_by: tuple[str, ...] = (), **opti
     finally:
         spark.conf.set(FREE_SHUFFLES, before)
     back = spark.read.schema(df.schema).parquet(path)
-    return back.select(*df.columns)
+    return back.select(*(f"`{c.replace('`', '``')}`" for c in df.columns))
 
 
 def settled(df: DataFrame, name: str = "table") -> DataFrame:
