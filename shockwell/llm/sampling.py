@@ -26,6 +26,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections.abc import Iterator
@@ -462,6 +463,13 @@ SAMPLES_DDL = ("doc_id bigint, sample int, n_pieces bigint, ids_crc32 bigint, lo
                "log_inclusion double, restored boolean, ids binary")
 
 
+def row_key(seed: int, doc_id: int | None) -> int:
+    """64 bits for a row's random stream, the same in every run; different
+    identifiers have different ones."""
+    named = hashlib.blake2b(f"{seed} {doc_id is None}".encode(), digest_size=8).digest()
+    return ((doc_id or 0) ^ int.from_bytes(named, "big")) % (1 << 64)
+
+
 def sample_segmentations(docs: DataFrame, k: int = 3, model: str | None = None, seed: int = 0, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """``k`` distinct segmentations of every text, a row each.
@@ -479,7 +487,7 @@ def sample_segmentations(docs: DataFrame, k: int = 3, model: str | None = None,
             for start in range(0, batch.num_rows, 200):
                 part, rows = batch.slice(start, 200), []
                 doc_ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
-                keys = [hash((seed, doc_id is None, doc_id or 0)) for doc_id in doc_ids]
+                keys = [row_key(seed, doc_id) for doc_id in doc_ids]
                 for doc_id, text, (samples, threshold) in zip(doc_ids, texts, draw.sample(texts, k, keys)):
                     wanted = text.replace(MARK, " ").encode()
                     for number, (leaf, ids) in enumerate(samples, 1):
