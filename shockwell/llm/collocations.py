@@ -38,10 +38,10 @@ from pyspark.sql import functions as F
 from shockwell.llm import common
 from shockwell.plans.storage import work_folder, written
 
-#: Phrases and words that a task's tries hold at most, and entries of a container before it bursts.
-MOST_PHRASES, MOST_WORDS, CONTAINER = 500_000, 1 << 19, 1 << 16
+#: Phrases and words that all of a task's tries hold at most, and entries of a container before it bursts.
+MOST_PHRASES, MOST_WORDS, CONTAINER = 400_000, 1 << 18, 1 << 16
 #: Words of a task that are counted together.
-BATCH_WORDS = 250_000
+BATCH_WORDS = 120_000
 #: Parts that the runs of one first word are cut into.
 CELLS = 64
 
@@ -250,6 +250,9 @@ def count_phrases(batches: Iterator[pa.RecordBatch], length: int, filters: list[
                     yield from trie.everything()
                 trie.add(part, step)
         waiting.clear()
+        if sum(len(trie.words) for trie in tries.values()) > MOST_WORDS:
+            for trie in tries.values():
+                yield from trie.everything()
         yield from spilled(tries, most_phrases)
 
     n_waiting = 0
