@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shockwell import fixed_values as fv
+from shockwell.functions.aggregates import exact_total
 from shockwell.functions.cleaning import is_in, matches, starts_with
 from shockwell.functions.lookups import sql_text
 from shockwell.operators.skew import SkewPolicy, hot_keys, split_join
@@ -153,18 +154,19 @@ def fund_facts(holdings: DataFrame, rules: HoldingRules = HoldingRules()) -> Dat
 
     ``applied_weight`` is the sum of the weights that positions are valued with.
     All buffers are numbers, so this is a hash aggregation with map-side
-    partial results: a fund of any size shuffles one row per task.
+    partial results: a fund of any size shuffles one row per task.  Sums are
+    exact, so a verdict at a limit does not depend on how the rows are dealt.
     """
     undelivered = f"""coalesce(scr_delivery = 'N' AND portfolio_mod_dur IS NULL
         AND {category_in(rules.rate_types)}, false)"""
     structured = category_in(fv.STRUCTURED_CATEGORIES)
     sums = holdings.groupBy("portfolio_id").agg(
         F.expr("count(1) AS n_rows"),
-        F.expr("coalesce(sum(valuation_weight), 0.0D) AS weight_sum"),
-        F.expr(f"sum(coalesce({weight_after_fill(rules)}, 1.0D)) AS applied_weight"),
-        F.expr(f"coalesce(sum(if({structured}, valuation_weight, NULL)), 0.0D) AS structured_sum"),
+        F.expr(f"{exact_total('valuation_weight')} AS weight_sum"),
+        F.expr(f"{exact_total(f'coalesce({weight_after_fill(rules)}, 1.0D)')} AS applied_weight"),
+        F.expr(f"{exact_total(f'if({structured}, valuation_weight, NULL)')} AS structured_sum"),
         F.expr(f"max({undelivered}) AS undelivered"),
-        F.expr(f"coalesce(sum({weight_after_fill(rules)} * mod_dur_of_underlying), 0.0D) AS weighted_duration"),
+        F.expr(f"{exact_total(f'{weight_after_fill(rules)} * mod_dur_of_underlying')} AS weighted_duration"),
         F.expr("min(portfolio_mod_dur) AS stated_low"),
         F.expr("max(portfolio_mod_dur) AS stated_high"),
     )

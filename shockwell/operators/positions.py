@@ -158,6 +158,9 @@ def direct_rows(
 
 # -------------------------------------------------------------- look-through
 
+#: Words of 64 bits in the filter of held funds: 16 MB of words and places.
+HELD_WORDS = 1 << 20
+
 TEXTS = ["security_name", "country", "currency", "cic_of_instrument", "asset_allocation"]
 
 
@@ -174,6 +177,21 @@ def fold_positions(flagged: DataFrame) -> DataFrame:
     return folded.withColumn("balance_nominal", F.lit(None).cast("double"))
 
 
+def held_only(holdings: DataFrame, held: DataFrame) -> DataFrame:
+    """The holdings of funds in ``held(portfolio_id)``, and a few others.
+
+    Funds nobody holds are most of the data and would be shuffled for nothing.
+    The held funds' hashes set bits in words that are broadcast: at most
+    ``HELD_WORDS`` rows, whatever the number of funds.  Funds that share a bit
+    with a held one stay in, so the join behind still decides.
+    """
+    place = f"pmod(xxhash64(portfolio_id), {64 * HELD_WORDS}L)"
+    words = held.selectExpr(f"{place} AS place").groupBy(F.expr("place div 64 AS _word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(place % 64 AS INT))) AS _mask"))
+    known = holdings.withColumn("_word", F.expr(f"{place} div 64")).join(F.broadcast(words), "_word")
+    return known.filter(f"getbit(_mask, cast({place} % 64 AS INT)) = 1").drop("_word", "_mask")
+
+
 def look_through(
     flagged: DataFrame,
     typed_holdings: DataFrame,
@@ -197,6 +215,7 @@ def look_through(
         joined = left.join(right, ["portfolio_id", SALT]).drop(SALT)
     else:
         matched = flagged.filter("has_holdings")
+        typed_holdings = held_only(typed_holdings, matched.select("portfolio_id"))
         hot = hot_products(
             row_counts(matched, "portfolio_id"), facts.select("portfolio_id", "n_rows"), "portfolio_id", policy)
         joined = product_join(matched, typed_holdings, "portfolio_id", "position_ord", "holding_ord", hot)
@@ -256,11 +275,13 @@ def module_frames(
     if only_types is not None and "3X" not in only_types:
         # A fund's verdict can only turn a type into 3X, so the rest keep theirs.
         typed = typed.filter(is_in("row_type", only_types))
-    folded, direct = [], []
+    folded, direct, held = [], [], []
     for kind, positions in lists.items():
         flagged = positions if "has_holdings" in positions.columns else flagged_positions(positions, facts, policy)
+        held.append(flagged.filter("has_holdings").select("portfolio_id"))
         direct.append(direct_rows(unmatched_positions(flagged), kind, position_rules).withColumn("list", F.lit(kind)))
         folded.append(fold_positions(flagged).withColumn("list", F.lit(kind)))
+    typed = held_only(typed, reduce(DataFrame.unionByName, held))
     matched = look_through(reduce(DataFrame.unionByName, folded), typed, facts, policy, folded=True)
     return reduce(DataFrame.unionByName, [f.select("list", *MODULE_COLUMNS) for f in (matched, *direct)])
 
