@@ -33,6 +33,8 @@ from shockwell.llm import common, tokens
 #: Examples waiting in a task's pool before sequences are closed, and those
 #: kept waiting for the next rows.
 POOL, KEPT = 4096, 1024
+#: Ids of the pieces that a task hands on together.
+BATCH_IDS = 1 << 18
 #: Demand of an example that is placed: more than any limit.
 PLACED = 1e18
 #: Bits of a sequence id below the partition's number.
@@ -183,10 +185,22 @@ def batches_of(rows: list[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def in_batches(pieces: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+    """Rows of PIECES as they come, some at a time."""
+    waiting, n = [], 0
+    for row in pieces:
+        waiting.append(row)
+        n += row[2]
+        if n >= BATCH_IDS:
+            yield from batches_of(waiting, PIECES)
+            waiting, n = [], 0
+    yield from batches_of(waiting, PIECES)
+
+
 def piece(item: tuple, sequence: int, offset: int) -> tuple:
     """A row of PIECES from an item ``(doc_id, doc_tokens, start, ids)``."""
     doc_id, n, start, ids = item
-    return doc_id, start, len(ids) // 4, zlib.crc32(ids), n, sequence, offset, ids
+    return doc_id, start, len(ids) // 4, zlib.crc32(ids), n, sequence, offset, bytes(ids)
 
 
 def cut(item: tuple, n: int) -> tuple[tuple, tuple]:
@@ -208,12 +222,12 @@ def in_powers(items: list[tuple], least: int) -> Iterator[list[tuple]]:
             room -= len(item[3]) // 4
 
 
-#: Pieces of documents need no count of their own but for the mask; short texts should not close a sequence early.
-DOCUMENT_LIMITS = Limits(segments=512)
+#: A piece has one token at least, so short texts never close a sequence of documents early.
+DOCUMENT_LIMITS = Limits(segments=Limits.tokens)
 
 
 def pack_documents(docs: DataFrame, limits: Limits = DOCUMENT_LIMITS, tokenizer: str | None = None, end_id: int = 1,
-                   id_col: str = "doc_id", text_col: str = "text", least_power: int = 16) -> DataFrame:
+                   id_col: str = "doc_id", text_col: str = "text", least_power: int = 1) -> DataFrame:
     """Texts, encoded and cut freely, in sequences: a row per piece with its ids.
 
     Every token of a document bears loss, its end id included.  Null text is
@@ -245,20 +259,20 @@ def pack_documents(docs: DataFrame, limits: Limits = DOCUMENT_LIMITS, tokenizer:
             """Full sequences from within long documents at once; remainders to the pool."""
             rest = []
             for doc_id, ids in zip(doc_ids, tokens.encode_slices(path, texts, special_as_text=False)):
-                item = (doc_id, len(ids) // 4 + 1, 0, ids + end)
+                item = (doc_id, len(ids) // 4 + 1, 0, memoryview(ids + end))  # cut without copying the rest
                 while len(item[3]) // 4 >= most:
                     first, item = cut(item, most)
                     yield from pieces([[first]])
                 if item[3]:
-                    rest.append(item)
+                    rest.append((*item[:3], bytes(item[3])))
             lengths = np.array([len(i[3]) // 4 for i in rest], dtype=float)
             pool.add(np.column_stack([lengths, np.ones(len(rest)), lengths]), rest)
 
         for batch in batches:
             for start in range(0, batch.num_rows, POOL):
                 part = batch.slice(start, POOL)
-                yield from batches_of(list(add(part.column("doc_id").to_pylist(), part.column("text").to_pylist())), PIECES)
-                yield from batches_of(list(pieces(pool.sequences(KEPT, cut))), PIECES)
+                yield from in_batches(add(part.column("doc_id").to_pylist(), part.column("text").to_pylist()))
+                yield from in_batches(pieces(pool.sequences(KEPT, cut)))
         for chosen in pool.sequences(0, cut):
             full = sum(len(i[3]) // 4 for i in chosen) == most
             yield from batches_of(list(pieces([chosen] if full else in_powers(chosen, least_power))), PIECES)
