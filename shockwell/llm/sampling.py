@@ -119,6 +119,10 @@ class Pieces:
         self.piece_at = np.full(len(state), -1, dtype=np.int64)
         for piece, i in whole.items():
             self.piece_at[state[piece]] = i
+        #: The state after one character, 0 where no piece begins with it.
+        self.after_first = np.zeros(SENTINEL + 1, dtype=np.int32)
+        one = self.step_key <= SENTINEL  # keys of the first state
+        self.after_first[self.step_key[one]] = self.step_to[one]
         self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
         self.start = np.cumsum(self.length) - self.length
@@ -140,19 +144,22 @@ class Pieces:
 
     def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pieces in a text of code points: ``(first place, place behind, id)``; all places walk the trie together."""
-        at, state, depth = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), 0
-        out = []
-        while len(at):
-            key = state << CHAR_BITS | codes[at + depth]
-            where = np.searchsorted(self.step_key, key)
-            where[where == len(self.step_key)] = 0
-            goes = self.step_key[where] == key
-            at, state, depth = at[goes], self.step_to[where[goes]], depth + 1
+        state = self.after_first[codes]
+        at, depth = np.flatnonzero(state), 1
+        state, out = state[at].astype(np.int64), []
+        while True:
             ids = self.piece_at[state]
             ends = ids >= 0
             out.append((at[ends], at[ends] + depth, ids[ends]))
             inside = at + depth < len(codes)
             at, state = at[inside], state[inside]
+            if not len(at):
+                break
+            key = state << CHAR_BITS | codes[at + depth]
+            where = np.searchsorted(self.step_key, key)
+            where[where == len(self.step_key)] = 0
+            goes = self.step_key[where] == key
+            at, state, depth = at[goes], self.step_to[where[goes]], depth + 1
         return tuple(np.concatenate(c) for c in zip(*out))
 
     def decode(self, ids: np.ndarray) -> bytes:
@@ -166,6 +173,20 @@ class Pieces:
         return self.flat[places][1:].tobytes()
 
 
+class FirstNodes(dict):
+    """The first node of each unit; a new unit gets the next free ones and waits for its lattice."""
+
+    def __init__(self):
+        super().__init__()
+        self.free, self.waiting = 0, []
+
+    def __missing__(self, unit: str) -> int:
+        node = self[unit] = self.free
+        self.free += len(unit) + 1
+        self.waiting.append(unit)
+        return node
+
+
 class Lattices:
     """Lattices of units, end to end in flat arrays.
 
@@ -177,7 +198,7 @@ class Lattices:
         self.forget()
 
     def forget(self) -> None:
-        self.first_node: dict[str, int] = {}
+        self.first_node = FirstNodes()
         self.at_end, self.first_edge = Growing(bool), Growing(np.int32)
         #: Of each edge: the probability of the node's edges up to it, and as logs its own and that of all others.
         self.upto, self.log_p, self.log_others = Growing(np.float32), Growing(np.float64), Growing(np.float32)
@@ -186,21 +207,18 @@ class Lattices:
         self.byte_ids: list[list[int]] = []
 
     def nodes(self, units: list[str]) -> np.ndarray:
-        found = list(map(self.first_node.get, units))
-        unknown = [k for k, node in enumerate(found) if node is None]
-        if unknown:
-            self.build(list({units[k]: None for k in unknown}))
-            for k in unknown:
-                found[k] = self.first_node[units[k]]
-        return np.array(found, dtype=np.int64)
+        found = np.fromiter(map(self.first_node.__getitem__, units), np.int64, len(units))
+        if self.first_node.waiting:
+            self.build(self.first_node.waiting)
+            self.first_node.waiting = []
+        return found
 
     def build(self, units: list[str]) -> None:
-        """Append the lattices of new units; a unit's nodes are its places and the one behind it."""
+        """Append the lattices of new units, whose nodes are free; a unit's nodes are its places and the one behind it."""
         first = self.at_end.n
         lengths = np.array([len(u) for u in units])
         starts = np.cumsum(lengths + 1) - lengths - 1
         ends = starts + lengths
-        self.first_node.update(zip(units, (first + starts).tolist()))
         codes = np.full(int(ends[-1]) + 1, SENTINEL, dtype=np.int64)
         at_end = np.zeros(len(codes), dtype=bool)
         at_end[ends] = True
@@ -233,7 +251,8 @@ class Lattices:
         others = np.repeat(np.add.reduceat(np.where(sure, 0.0, p), begins), sizes)
         with np.errstate(divide="ignore"):
             log_others = np.where(sure, np.log(others), np.log1p(-np.where(sure, 0.5, p)))
-        self.first_edge.extend(self.upto.n + np.searchsorted(src, np.arange(len(codes))))
+        per_node = np.bincount(src, minlength=len(codes))
+        self.first_edge.extend(self.upto.n + np.cumsum(per_node) - per_node)
         self.at_end.extend(at_end)
         self.upto.extend(cumulative)
         self.log_p.extend(log_p)
@@ -282,9 +301,14 @@ class Lattices:
             nodes = target[edge]
             going = np.flatnonzero(~at_end[nodes])
             nodes, unit, step = nodes[going], unit[going], step + 1
-        unit = np.concatenate(units)
-        order = np.argsort(unit, kind="stable")
-        return unit[order], np.concatenate(edges)[order], -np.log(uniform(np.concatenate(counters)[order] + NOISE))
+        # A unit's pieces stand next to each other, one per step it went.
+        steps = np.bincount(np.concatenate(units), minlength=len(streams))
+        begins = np.cumsum(steps) - steps
+        path, counter = np.empty(int(steps.sum()), dtype=edges[-1].dtype), np.empty(int(steps.sum()), dtype=np.uint64)
+        for k, (unit, edge, drawn) in enumerate(zip(units[1:], edges[1:], counters[1:])):
+            places = begins[unit] + k
+            path[places], counter[places] = edge, drawn
+        return np.repeat(np.arange(len(steps)), steps), path, -np.log(uniform(counter + NOISE))
 
     def ids(self, edges: np.ndarray) -> np.ndarray:
         out = self.id.all[edges]
