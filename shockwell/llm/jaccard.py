@@ -11,14 +11,19 @@ only sets with more than t such parts use them: if a pair agrees in empty parts
 alone, both sets have more than t.  So linked sets share a signature.
 
 Sets of a signature are not compared in pairs at first: each is compared with
-the first of them, and the links found make components.  Only signatures whose
-sets are in different components are looked at again; there, sets of different
-components are compared, a large signature block by block in many tasks.
-Comparing looks at sizes and at counts of shingles per 64th of the hashes
-first, whose difference is a lower bound, where the signature's sets lie; only
-pairs that pass become rows.  The sets themselves decide, so links are exact
+the first of them, and the links found make components.  Many signatures name
+the same pair, so pairs are told apart before anything is compared.  Only
+signatures of three sets and more that lie in different components are looked
+at again, one of those with the same sets; there, sets of different components
+are compared, a large signature block by block in many tasks.  Comparing looks
+at sizes and at counts of shingles per 64th of the hashes first, whose
+difference is a lower bound.  The sets themselves decide, so links are exact
 (shingles are told apart by their 64-bit hashes).
 
+Texts are cut into shingles once; whole sets are made again for those alone
+that have a pair to decide about.  Signatures travel with 64 bits of their set's
+key; two different sets with the same 64 bits make a pair.
+
 Equal sets are one class from the start.  Nothing is dropped: no cap on a
 signature's sets, no sampling.
 
@@ -155,83 +160,80 @@ class Bands:
         return known[band]
 
 
-def shared_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows ``(sig, key)`` in order, repeats once, those whose signature has several keys."""
-    last, done = None, False  # the row before, and whether it is handed on already
+def star_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows ``(sig, key)`` in order, with repeats: ``(sig, first, key, several)``, a row for
+    each key of a signature but its first; ``several`` if there are three keys and more."""
+    sig = key = np.zeros(0, dtype=np.int64)  # of the last group: two rows at most
+    out = False  # whether those have been handed on
+
+    def stars(end: int, head: np.ndarray, several: np.ndarray) -> pa.RecordBatch:
+        rows = np.flatnonzero(head[:end] != np.arange(end))
+        rows = rows[rows >= len(held) * out]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig[rows], key[head[rows]], key[rows], several[rows])],
+                                          names=["sig", "first", "key", "several"])
+
     for batch in batches:
-        sig, key = batch.column("sig").to_numpy(), batch.column("key").to_numpy()
-        if last is not None:
-            sig, key = np.concatenate(([last[0]], sig)), np.concatenate(([last[1]], key))
+        held = sig
+        sig, key = (np.concatenate((old, batch.column(c).to_numpy())) for c, old in (("sig", sig), ("key", key)))
         if not len(sig):
             continue
         new = np.concatenate(([True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])))
         sig, key = sig[new], key[new]
-        follows = sig[1:] == sig[:-1]
-        shared = np.concatenate(([False], follows)) | np.concatenate((follows, [False]))
-        rows = shared.copy()
-        if last is not None and done:
-            rows[0] = False
-        done = bool(shared[-1]) or (len(sig) == 1 and done)
-        last = (sig[-1], key[-1])
-        yield pa.RecordBatch.from_arrays([pa.array(sig[rows]), pa.array(key[rows])], names=["sig", "key"])
+        starts = np.flatnonzero(np.concatenate(([True], sig[1:] != sig[:-1])))
+        sizes = np.diff(np.append(starts, len(sig)))
+        several = sizes > 2
+        several[0] |= out
+        yield stars(len(sig) if several[-1] else starts[-1], np.repeat(starts, sizes), np.repeat(several, sizes))
+        rest = [starts[-1], len(sig) - 1][:sizes[-1]]
+        sig, key, out = sig[rest], key[rest], bool(several[-1])
+    held = sig[:0]
+    if len(sig) == 2 and not out:
+        yield stars(2, np.zeros(2, dtype=np.int64), np.zeros(2, dtype=bool))
 
 
 # ------------------------------------------------------------- passes of text
 
-def set_keys(texts: DataFrame, size: int) -> DataFrame:
-    """``(doc_id, row_id, n_shingles, key, key2)``, a row per input row; the empty set has no keys."""
-    arrow = pa.schema([(c, pa.int64()) for c in ("doc_id", "row_id", "n_shingles", "key", "key2")])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingler(size)
-        for batch in batches:
-            sets = [shingles(t) for t in common.text_bytes(batch)]
-            keys = [set_key(s) if len(s) else (None, None) for s in sets]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), batch.column("row_id"), pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([k for k, _ in keys], pa.int64()), pa.array([k for _, k in keys], pa.int64())], schema=arrow)
-
-    return texts.mapInArrow(run, "doc_id bigint, row_id bigint, n_shingles bigint, key bigint, key2 bigint")
-
+def set_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``(doc_id, row_id, n_shingles, key, key2, text_key, counts, sigs)``, a row per input row.
 
-def signature_rows(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``(sig, key)`` of all sets; copies that a task has met just before are skipped."""
+    The empty set has no keys; ``sigs`` is null for copies of a set that the task has met just before.
+    """
+    arrow = pa.schema([*((c, pa.int64()) for c in ("doc_id", "row_id", "n_shingles", "key", "key2", "text_key")),
+                       ("counts", pa.binary()), ("sigs", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, bands, seen = Shingler(size), Bands(percent), set()
         for batch in batches:
             if len(seen) > MOST_WORDS:
                 seen = set()
-            sigs, keys, waiting = [], [], 0
-            for text in common.text_bytes(batch):
+            rows, waiting, start = [], 0, 0
+            for i, text in enumerate(common.text_bytes(batch), 1):
                 items = shingles(text)
-                if not len(items):
-                    continue
-                key = set_key(items)[0]
-                if key not in seen:
-                    seen.add(key)
-                    sigs.append(bands.signatures(items))
-                    keys.append(key)
-                    waiting += len(sigs[-1])
-                if waiting > 100_000:
-                    yield signature_batch(sigs, keys)
-                    sigs, keys, waiting = [], [], 0
-            if sigs:
-                yield signature_batch(sigs, keys)
-
-    return texts.select("text").mapInArrow(run, "sig bigint, key bigint")
-
-
-def signature_batch(sigs: list[np.ndarray], keys: list[int]) -> pa.RecordBatch:
-    lengths = [len(s) for s in sigs]
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(keys, dtype=np.int64), lengths))], names=["sig", "key"])
+                key, counts, sigs = (None, None), None, None
+                if len(items):
+                    key, counts = set_key(items), counters(items)
+                    if key not in seen:
+                        seen.add(key)
+                        sigs = bands.signatures(items).view(np.int64)
+                        waiting += len(sigs)
+                rows.append((len(items), *key, counts, sigs))
+                if waiting > 200_000 or i == batch.num_rows:
+                    n, high, low, counts, sigs = zip(*rows)
+                    part = batch.slice(start, len(rows))
+                    yield pa.RecordBatch.from_arrays([
+                        part.column("doc_id"), part.column("row_id"), pa.array(n, pa.int64()), pa.array(high, pa.int64()),
+                        pa.array(low, pa.int64()), part.column("text_key"), pa.array(counts, pa.binary()),
+                        pa.array(sigs, pa.list_(pa.int64()))], schema=arrow)
+                    rows, waiting, start = [], 0, i
+
+    return texts.withColumn("text_key", F.xxhash64("text")).mapInArrow(
+        run, "doc_id bigint, row_id bigint, n_shingles bigint, key bigint, key2 bigint, text_key bigint, counts binary, sigs array<bigint>")
 
 
 def sets_of(texts: DataFrame, size: int, wanted: DataFrame, folder: str) -> DataFrame:
-    """``(node, n, counts, items)`` of the wanted classes ``(node, key, key2)``."""
-    known = texts.sparkSession.sparkContext.broadcast(common.bit_filter(wanted.select("key")))
-    arrow = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("n", pa.int64()), ("counts", pa.binary()), ("items", pa.binary())])
+    """``(node, items)`` of the wanted classes ``(node, key, key2, text_key)``; other texts are passed over by their hash."""
+    known = texts.sparkSession.sparkContext.broadcast(common.bit_filter(wanted.select("text_key")))
+    arrow = pa.schema([("key", pa.int64()), ("key2", pa.int64()), ("items", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingler(size), set()
@@ -239,23 +241,24 @@ def sets_of(texts: DataFrame, size: int, wanted: DataFrame, folder: str) -> Data
             if len(seen) > MOST_WORDS:
                 seen = set()
             rows, waiting = [], 0
-            for text in common.text_bytes(batch):
-                items = shingles(text)
-                if not len(items):
+            hashes = batch.column("text_key").to_numpy()
+            at = np.flatnonzero(common.may_hold(known.value, hashes.view(np.uint64)))
+            for text_key, text in zip(hashes[at].tolist(), common.text_bytes(batch.take(pa.array(at)))):
+                if text_key in seen:
                     continue
+                seen.add(text_key)
+                items = shingles(text)
+                if len(items):
+                    rows.append((*set_key(items), items.tobytes()))
+                    waiting += len(items)
                 if waiting > 1_000_000:
                     yield set_batch(rows, arrow)
                     rows, waiting = [], 0
-                key = set_key(items)
-                if key not in seen and common.may_hold(known.value, np.array(key[:1], dtype=np.int64).view(np.uint64))[0]:
-                    seen.add(key)
-                    rows.append((*key, len(items), counters(items), items.tobytes()))
-                    waiting += len(items)
             yield set_batch(rows, arrow)
 
-    found = texts.select("text").mapInArrow(run, "key bigint, key2 bigint, n bigint, counts binary, items binary")
-    one_each = found.join(wanted, ["key", "key2"]).dropDuplicates(["node"])
-    return written(one_each.select("node", "n", "counts", "items"), f"{folder}/sets")
+    found = texts.select("text", F.xxhash64("text").alias("text_key")).mapInArrow(run, "key bigint, key2 bigint, items binary")
+    one_each = found.join(wanted, ["key", "key2"]).dropDuplicates(["key", "key2"])
+    return written(one_each.select("node", "items"), folder)
 
 
 def set_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -303,26 +306,15 @@ def pair_batch(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b), pa.int64()), pa.array(np.maximum(a, b), pa.int64())], names=["a", "b"])
 
 
-def with_first(percent: int):
-    """Of rows by ``sig``, ``node``: pairs of a signature's first set and those that may link with it."""
+def near_by_counts(percent: int):
+    """Of pairs with sizes and counts, those that may link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sig = first = None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = columns_of(pa.Table.from_batches([batch]))
-            at = np.arange(batch.num_rows)
-            new = np.concatenate(([True], rows["sig"][1:] != rows["sig"][:-1]))
-            head = np.maximum.accumulate(np.where(new, at, 0))
-            heads = {c: rows[c][head] for c in ("node", "n", "counts")}
-            if sig == rows["sig"][0]:  # the group began in a batch before
-                old = head == 0
-                for c, value in first.items():
-                    heads[c] = heads[c].copy()
-                    heads[c][old] = value
-            near = may_link(rows["n"], rows["counts"], heads["n"], heads["counts"], percent) & (rows["node"] != heads["node"])
-            yield pair_batch([(heads["node"][near], rows["node"][near])])
-            sig, first = rows["sig"][-1], {c: heads[c][-1].copy() for c in heads}
+            if batch.num_rows:
+                a, b = (columns_of(pa.Table.from_arrays([batch.column(f"{c}_{side}") for c in ("node", "n", "counts")],
+                                                        names=["node", "n", "counts"])) for side in "ab")
+                near = may_link(a["n"], a["counts"], b["n"], b["counts"], percent)
+                yield pair_batch([(a["node"][near], b["node"][near])])
 
     return run
 
@@ -356,10 +348,10 @@ def across_roots(percent: int):
     return run
 
 
-def attach(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` with both sets; a set of very many pairs is repeated for parts of them."""
+def attach(pairs: DataFrame, rows: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Pairs ``(a, b)`` of keys with both sides' columns; a key of very many pairs is repeated for parts of them."""
     for side, other in (("a", "b"), ("b", "a")):
-        few = sets.selectExpr(f"node AS {side}", f"items AS items_{side}")
+        few = rows.selectExpr(f"{key} AS {side}", *(f"{c} AS {c}_{side}" for c in columns))
         pairs = split_join(pairs, few, side, "inner", other, hot_keys(row_counts(pairs.select(side), side), side, PAIRS), PAIRS)
     return pairs
 
@@ -377,22 +369,42 @@ def near_by_sets(percent: int):
     return run
 
 
-def linked(pairs: DataFrame, sets: DataFrame, percent: int, folder: str) -> DataFrame:
+def linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, percent: int, folder: str) -> DataFrame:
     """The pairs ``(a, b)`` of classes that link."""
-    pairs = written(pairs.distinct(), f"{folder}/pairs")
-    return written(attach(pairs, sets).mapInArrow(near_by_sets(percent), "a bigint, b bigint"), f"{folder}/linked")
+    pairs = written(pairs.distinct(), f"{folder}/near")
+    nodes = pairs.selectExpr("explode(array(a, b)) AS node").distinct()
+    wanted = written(classes.select("node", "key", "key2", "text_key").join(nodes, "node", "left_semi"), f"{folder}/wanted")
+    sets = sets_of(texts, size, wanted, f"{folder}/sets")
+    near = attach(pairs, sets, "node", ["items"]).select("a", "b", "items_a", "items_b")
+    return written(near.mapInArrow(near_by_sets(percent), "a bigint, b bigint"), f"{folder}/linked")
 
 
 # -------------------------------------------------------------------- the join
 
-def later_pairs(members: DataFrame, roots: DataFrame, percent: int, block: int, folder: str) -> DataFrame:
+def star_pairs(stars: DataFrame, classes: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs ``(a, b)`` of a signature's first class and another of its classes that may link."""
+    alike = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    pairs = written(stars.selectExpr("first AS a", "key AS b").distinct().unionByName(alike.selectExpr("key AS a", "key AS b")), f"{folder}/pairs")
+    both = attach(pairs, classes, "key", ["node", "n", "counts"]).filter("node_a <> node_b")
+    return both.mapInArrow(near_by_counts(percent), "a bigint, b bigint")
+
+
+def later_pairs(stars: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, block: int, folder: str) -> DataFrame:
     """Pairs of one signature whose classes are in different components as yet, and may link."""
-    rooted = written(members.join(roots, "node", "left").withColumn("root", F.expr("coalesce(root, node)")), f"{folder}/rooted")
-    open_sigs = rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high")).filter(
-        "low <> high").selectExpr("sig", "size", f"cast(ceil(size / {block}) AS INT) AS blocks")
+    several = stars.filter("several")
+    members = written(several.select("sig", "key").unionByName(several.selectExpr("sig", "first AS key").distinct()), f"{folder}/several")
+    places = written(classes.select("key", "node").join(roots, "node", "left").selectExpr("key", "node", "coalesce(root, node) AS root"), f"{folder}/places")
+    rooted = written(split_join(members, places, "key", "inner", "sig", hot_keys(row_counts(members, "key"), "key", PAIRS), PAIRS).drop("key"), f"{folder}/rooted")
+    open_sigs = rooted.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
+        F.expr("bit_xor(xxhash64(node, 1))").alias("hash"), F.expr("bit_xor(xxhash64(node, 2))").alias("hash2")).filter("low <> high")
+    # Signatures with the same classes have the same pairs.
+    open_sigs = open_sigs.groupBy("size", "hash", "hash2").agg(F.min("sig").alias("sig")).selectExpr(
+        "sig", "size", f"cast(ceil(size / {block}) AS INT) AS blocks")
     open_sigs = written(open_sigs, f"{folder}/open")
     total = open_sigs.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    rows = common.join_to_groups(rooted, open_sigs, ["sig"], "size", total)
+    rows = written(common.join_to_groups(rooted, open_sigs, ["sig"], "size", total).select("sig", "node", "root", "blocks"), f"{folder}/members")
+    rows = split_join(rows, classes.select("node", "n", "counts"), "node", "inner", "sig", hot_keys(row_counts(rows, "node"), "node", PAIRS), PAIRS)
     # A set of a large signature goes to the cells of its block and each other one.
     rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS INT)")).selectExpr(
         "sig", "node", "root", "n", "counts", "block", "explode(sequence(0, blocks - 1)) AS met", "blocks").selectExpr(
@@ -409,30 +421,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     folder = folder or work_folder(spark)
     texts = common.rows_of_text(docs, id_col, text_col)
-    rows = written(set_keys(common.numbered(texts), words_per_shingle), f"{folder}/keys")
+    rows = written(set_rows(common.numbered(texts), words_per_shingle, percent), f"{folder}/keys")
     # Repeated rows first, so that a class of very many rows leaves each task as one.
     classes = written(rows.filter("key IS NOT NULL").groupBy("key", "key2").agg(
-        F.min("row_id").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_rows")), f"{folder}/classes")
-
-    signatures = signature_rows(texts, words_per_shingle, percent).repartition("sig").sortWithinPartitions("sig", "key")
-    shared = written(signatures.mapInArrow(shared_only, "sig bigint, key bigint"), f"{folder}/shared")
-    keys = classes.select("key", "node")
+        F.min("row_id").alias("node"), F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_rows"),
+        F.min("n_shingles").alias("n"), F.min("text_key").alias("text_key"), F.min("counts").alias("counts")), f"{folder}/classes")
     total = classes.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-    shared = split_join(shared, keys, "key", "inner", "sig", hot_keys(row_counts(shared.select("key"), "key"), "key", PAIRS), PAIRS)
-    shared = written(shared.select("sig", "node"), f"{folder}/shared_nodes")
-    wanted = classes.select("node", "key", "key2").join(shared.select("node").distinct(), "node", "left_semi")
-    sets = sets_of(texts, words_per_shingle, written(wanted, f"{folder}/wanted"), folder)
-    members = written(split_join(shared, sets.select("node", "n", "counts"), "node", "inner", "sig", hot_keys(
-        row_counts(shared.select("node"), "node"), "node", PAIRS), PAIRS), f"{folder}/members")
-
-    stars = members.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(with_first(percent), "a bigint, b bigint")
-    links = linked(stars, sets, percent, f"{folder}/stars")
+
+    signatures = rows.selectExpr("explode(sigs) AS sig", "key").repartition("sig").sortWithinPartitions("sig", "key")
+    stars = written(signatures.mapInArrow(star_rows, "sig bigint, first bigint, key bigint, several boolean"), f"{folder}/stars")
+    near = star_pairs(stars, classes, percent, f"{folder}/star_pairs")
+    links = linked(near, texts, classes, words_per_shingle, percent, f"{folder}/star_links")
     roots = written(components(links), f"{folder}/roots")
-    later = later_pairs(members, roots, percent, block, f"{folder}/later")
-    links = links.unionByName(linked(later, sets, percent, f"{folder}/later"))
+    later = later_pairs(stars, classes, roots, percent, block, f"{folder}/later_pairs")
+    links = links.unionByName(linked(later, texts, classes, words_per_shingle, percent, f"{folder}/later_links"))
     roots = written(components(links), f"{folder}/all_roots")
 
-    named = common.component_names(classes, "node", "least", roots, f"{folder}/named")
+    named = common.component_names(classes.select("key", "key2", "node", "least", "n_rows"), "node", "least", roots, f"{folder}/named")
+    rows = rows.select("doc_id", "n_shingles", "key", "key2")
     joined = common.join_to_groups(rows.filter("key IS NOT NULL"), named, ["key", "key2"], "n_rows", total)
     return joined.selectExpr("doc_id", "n_shingles", "name AS component_id").unionByName(
         rows.filter("key IS NULL").selectExpr("doc_id", "n_shingles", "doc_id AS component_id"))

@@ -224,16 +224,16 @@ def test_linked_sets_share_a_signature():
 
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 3)), max_size=14), st.lists(st.integers(0, 14), max_size=4))
-def test_shared_rows_whatever_the_batches(rows, cuts):
+def test_stars_whatever_the_batches(rows, cuts):
     rows = sorted(rows)
     edges = [0, *sorted(min(c, len(rows)) for c in cuts), len(rows)]
     batches = [pa.RecordBatch.from_pydict({"sig": pa.array([s for s, _ in rows[a:b]], pa.int64()), "key": pa.array([k for _, k in rows[a:b]], pa.int64())})
                for a, b in zip(edges, edges[1:])]
-    got = [(s, k) for out in jaccard.shared_only(iter(batches)) for s, k in zip(out.column(0).to_pylist(), out.column(1).to_pylist())]
+    got = [row for out in jaccard.star_rows(iter(batches)) for row in zip(*(c.to_pylist() for c in out.columns))]
     keys = collections.defaultdict(set)
     for s, k in rows:
         keys[s].add(k)
-    assert got == sorted((s, k) for s, ks in keys.items() if len(ks) > 1 for k in ks)
+    assert got == [(s, min(ks), k, len(ks) > 2) for s, ks in sorted(keys.items()) for k in sorted(ks)[1:]]
 
 
 def test_identifiers_have_streams_of_their_own():
