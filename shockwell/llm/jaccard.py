@@ -11,12 +11,13 @@ only sets with more than t such parts use them: if a pair agrees in empty parts
 alone, both sets have more than t.  So linked sets share a signature.
 
 Sets of a signature are not compared in pairs at first: each is compared with
-the first of them, and the links found make components.  Many signatures name
-the same pair, so pairs are told apart before anything is compared.  Only
-signatures of three sets and more that lie in different components are looked
-at again, one of those with the same sets; there, sets of different components
-are compared, a large signature block by block in many tasks.  Comparing looks
-at sizes and at counts of shingles per 64th of the hashes first, whose
+the one of the earliest row, and the links found make components.  Many
+signatures have the same sets, so one of those is kept, and pairs are told
+apart before anything is compared.  Only signatures of three sets and more that
+lie in different components are looked at again: with another center, a
+few for all signatures of a group of copies, then all sets of different
+components, a large signature block by block in many tasks.  Comparing looks
+at sizes and at counts of shingles per 256th of the hashes first, whose
 difference is a lower bound.  The sets themselves decide, so links are exact
 (shingles are told apart by their 64-bit hashes).
 
@@ -47,17 +48,22 @@ from pyspark.sql import functions as F
 
 from shockwell.llm import common
 from shockwell.llm.simhash import components
-from shockwell.operators.skew import SkewPolicy, hot_keys, row_counts, split_join
+from shockwell.operators.skew import SALT, SkewPolicy, hot_keys, row_counts, split_join, with_salt
 from shockwell.plans.storage import work_folder, written
 
 FACTOR = np.uint64(0x9E3779B97F4A7C17)
 MIXERS = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-COUNTERS = 64
+COUNTERS = 256
 #: Words whose hashes, and sets whose keys a task remembers.
 MOST_WORDS = 1 << 17
 #: Sets of one signature that a task compares with each other or with as many others.
 BLOCK = 2000
+#: Turns of further stars, and how many centers a group of copies should have in a turn.
+TURNS, STARS = 1, 8
+#: Pairs that a task holds back to tell them apart.
+MOST_PAIRS = 500_000
 PAIRS = SkewPolicy(rows_per_split=5_000, key_share=20_000)
+CENTERS = SkewPolicy(rows_per_split=200_000, key_share=20_000)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -161,13 +167,13 @@ class Bands:
 
 
 def star_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows ``(sig, key)`` in order, with repeats: ``(sig, first, key, several)``, a row for
-    each key of a signature but its first; ``several`` if there are three keys and more."""
+    """Of rows ``(sig, key)`` in order, with repeats: ``(sig, first, key, several)``.  A signature
+    of two keys has a row with both; one of three and more has a row for each key, ``several``."""
     sig = key = np.zeros(0, dtype=np.int64)  # of the last group: two rows at most
     out = False  # whether those have been handed on
 
     def stars(end: int, head: np.ndarray, several: np.ndarray) -> pa.RecordBatch:
-        rows = np.flatnonzero(head[:end] != np.arange(end))
+        rows = np.flatnonzero(several[:end] | (head[:end] != np.arange(end)))
         rows = rows[rows >= len(held) * out]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in (sig[rows], key[head[rows]], key[rows], several[rows])],
                                           names=["sig", "first", "key", "several"])
@@ -267,8 +273,8 @@ def set_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def counters(items: np.ndarray) -> bytes:
-    """Shingles per 64th of the hashes, 255 at most."""
-    return np.minimum(np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes()
+    """Shingles per 256th of the hashes, 255 at most."""
+    return np.minimum(np.bincount((items >> np.uint64(56)).astype(np.int64), minlength=COUNTERS), 255).astype(np.uint8).tobytes()
 
 
 # ------------------------------------------------------------------ comparing
@@ -319,12 +325,30 @@ def near_by_counts(percent: int):
     return run
 
 
+def told_apart(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The pairs, each once."""
+    if not pairs:
+        return []
+    both = np.sort(np.stack([np.concatenate(c) for c in zip(*pairs)]), axis=0)
+    both = both[:, np.lexsort(both)]
+    new = np.concatenate(([True], np.any(both[:, 1:] != both[:, :-1], axis=0)))
+    return [(both[0, new], both[1, new])]
+
+
 def across_roots(percent: int):
-    """Of rows by ``sig, cell``: pairs with different roots that may link; in a
-    cell of two blocks, pairs of both."""
+    """Of rows by ``center, sig, cell``: pairs with different roots that may
+    link; in a cell of two blocks, pairs of both.  Signatures with one center
+    name much the same pairs, which are told apart before they leave the task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs, waiting = [], 0
-        for g in groups_of(batches, ["sig", "cell"]):
+        pairs, waiting, center = [], 0, None
+        for g in groups_of(batches, ["center", "sig", "cell"]):
+            if waiting > MOST_PAIRS or (waiting > MOST_PAIRS // 10 and center != g["center"][0]):
+                pairs = told_apart(pairs)
+                waiting = sum(len(a) for a, _ in pairs)
+                if waiting > MOST_PAIRS // 2 or center != g["center"][0]:
+                    yield pair_batch(pairs)
+                    pairs, waiting = [], 0
+            center = g["center"][0]
             # Along the sizes: a set's partners are not much larger than itself.
             order = np.argsort(g["n"], kind="stable")
             g = {c: v[order] for c, v in g.items()}
@@ -340,10 +364,7 @@ def across_roots(percent: int):
                     if len(found):
                         pairs.append((np.full(len(found), g["node"][i]), found))
                         waiting += len(found)
-            if waiting > 50_000:
-                yield pair_batch(pairs)
-                pairs, waiting = [], 0
-        yield pair_batch(pairs)
+        yield pair_batch(told_apart(pairs))
 
     return run
 
@@ -381,35 +402,64 @@ def linked(pairs: DataFrame, texts: DataFrame, classes: DataFrame, size: int, pe
 
 # -------------------------------------------------------------------- the join
 
-def star_pairs(stars: DataFrame, classes: DataFrame, percent: int, folder: str) -> DataFrame:
-    """Pairs ``(a, b)`` of a signature's first class and another of its classes that may link."""
+def several_rows(stars: DataFrame, classes: DataFrame, folder: str) -> DataFrame:
+    """``(sig, node, center)`` of signatures of three classes and more, one of those with the same classes."""
+    members = stars.filter("several").select("sig", "key")
+    hot = hot_keys(row_counts(members, "key"), "key", PAIRS)
+    members = written(split_join(members, classes.select("key", "node"), "key", "inner", "sig", hot, PAIRS).select("sig", "node"), f"{folder}/all")
+    groups = members.groupBy("sig").agg(
+        F.count(F.lit(1)).alias("size"), F.min("node").alias("center"),
+        F.expr("bit_xor(xxhash64(node, 1))").alias("hash"), F.expr("bit_xor(xxhash64(node, 2))").alias("hash2"))
+    groups = written(groups.groupBy("size", "center", "hash", "hash2").agg(F.min("sig").alias("sig")).select("sig", "size", "center"), f"{folder}/groups")
+    total = groups.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    return written(common.join_to_groups(members, groups, ["sig"], "size", total).select("sig", "node", "center"), f"{folder}/members")
+
+
+def star_pairs(stars: DataFrame, members: DataFrame, classes: DataFrame, percent: int, folder: str) -> DataFrame:
+    """Pairs ``(a, b)`` of a signature's center and another of its classes that may link."""
     alike = classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    pairs = written(stars.selectExpr("first AS a", "key AS b").distinct().unionByName(alike.selectExpr("key AS a", "key AS b")), f"{folder}/pairs")
-    both = attach(pairs, classes, "key", ["node", "n", "counts"]).filter("node_a <> node_b")
+    twos = stars.filter("NOT several").selectExpr("first AS a", "key AS b").distinct()
+    twos = written(twos.unionByName(alike.selectExpr("key AS a", "key AS b")), f"{folder}/twos")
+    twos = attach(twos, classes, "key", ["node", "n", "counts"])
+    others = written(members.filter("node <> center").selectExpr("center AS a", "node AS b").distinct(), f"{folder}/others")
+    others = attach(others, classes, "node", ["n", "counts"]).withColumns({"node_a": F.col("a"), "node_b": F.col("b")})
+    both = twos.unionByName(others).filter("node_a <> node_b")
     return both.mapInArrow(near_by_counts(percent), "a bigint, b bigint")
 
 
-def later_pairs(stars: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, block: int, folder: str) -> DataFrame:
-    """Pairs of one signature whose classes are in different components as yet, and may link."""
-    several = stars.filter("several")
-    members = written(several.select("sig", "key").unionByName(several.selectExpr("sig", "first AS key").distinct()), f"{folder}/several")
-    places = written(classes.select("key", "node").join(roots, "node", "left").selectExpr("key", "node", "coalesce(root, node) AS root"), f"{folder}/places")
-    rooted = written(split_join(members, places, "key", "inner", "sig", hot_keys(row_counts(members, "key"), "key", PAIRS), PAIRS).drop("key"), f"{folder}/rooted")
-    open_sigs = rooted.groupBy("sig").agg(
-        F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"),
-        F.expr("bit_xor(xxhash64(node, 1))").alias("hash"), F.expr("bit_xor(xxhash64(node, 2))").alias("hash2")).filter("low <> high")
-    # Signatures with the same classes have the same pairs.
-    open_sigs = open_sigs.groupBy("size", "hash", "hash2").agg(F.min("sig").alias("sig")).selectExpr(
-        "sig", "size", f"cast(ceil(size / {block}) AS INT) AS blocks")
-    open_sigs = written(open_sigs, f"{folder}/open")
+def open_rows(members: DataFrame, roots: DataFrame, folder: str) -> tuple[DataFrame, int]:
+    """``(sig, node, center, root, size)`` of signatures with classes of different components, and the number of rows."""
+    rooted = written(members.join(roots, "node", "left").selectExpr("sig", "node", "center", "coalesce(root, node) AS root"), f"{folder}/rooted")
+    open_sigs = rooted.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+    open_sigs = written(open_sigs.filter("low <> high").select("sig", "size"), f"{folder}/open")
     total = open_sigs.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    rows = written(common.join_to_groups(rooted, open_sigs, ["sig"], "size", total).select("sig", "node", "root", "blocks"), f"{folder}/members")
+    rows = common.join_to_groups(rooted, open_sigs, ["sig"], "size", total)
+    return written(rows.select("sig", "node", "center", "root", "size"), f"{folder}/members"), total
+
+
+def other_star_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, turn: int, folder: str) -> DataFrame:
+    """As ``star_pairs`` of what is open yet, with a few other centers that many signatures have in common."""
+    rows, total = open_rows(members, roots, folder)
+    order = f"xxhash64(node, pmod(sig, {STARS}), {turn})"
+    stars = written(rows.groupBy("sig", "size").agg(F.expr(f"max(struct({order} AS place, node AS other, root AS other_root))").alias("star"))
+                    .select("sig", "size", "star.other", "star.other_root"), f"{folder}/stars")
+    met = common.join_to_groups(rows.drop("size"), stars, ["sig"], "size", total).filter("root <> other_root")
+    pairs = written(met.selectExpr("least(node, other) AS a", "greatest(node, other) AS b").distinct(), f"{folder}/pairs")
+    both = attach(pairs, classes, "node", ["n", "counts"]).withColumns({"node_a": F.col("a"), "node_b": F.col("b")})
+    return both.mapInArrow(near_by_counts(percent), "a bigint, b bigint")
+
+
+def later_pairs(members: DataFrame, classes: DataFrame, roots: DataFrame, percent: int, block: int, folder: str) -> DataFrame:
+    """Pairs of one signature whose classes are in different components as yet, and may link."""
+    rows, _ = open_rows(members, roots, folder)
+    rows = rows.withColumn("blocks", F.expr(f"cast(ceil(size / {block}) AS INT)")).drop("size")
+    rows = with_salt(rows, "center", "sig", hot_keys(row_counts(rows, "center"), "center", CENTERS), CENTERS).withColumnRenamed(SALT, "part")
     rows = split_join(rows, classes.select("node", "n", "counts"), "node", "inner", "sig", hot_keys(row_counts(rows, "node"), "node", PAIRS), PAIRS)
     # A set of a large signature goes to the cells of its block and each other one.
     rows = rows.withColumn("block", F.expr("cast(pmod(xxhash64(node), blocks) AS INT)")).selectExpr(
-        "sig", "node", "root", "n", "counts", "block", "explode(sequence(0, blocks - 1)) AS met", "blocks").selectExpr(
-        "sig", "node", "root", "n", "counts", "block", "block <> met AS mixed", "least(block, met) * blocks + greatest(block, met) AS cell")
-    rows = rows.repartition("sig", "cell").sortWithinPartitions("sig", "cell")
+        "center", "part", "sig", "node", "root", "n", "counts", "block", "explode(sequence(0, blocks - 1)) AS met", "blocks").selectExpr(
+        "center", "part", "sig", "node", "root", "n", "counts", "block", "block <> met AS mixed", "least(block, met) * blocks + greatest(block, met) AS cell")
+    rows = rows.repartition("center", "part", "cell").sortWithinPartitions("center", "sig", "cell").drop("part")
     return rows.mapInArrow(across_roots(percent), "a bigint, b bigint")
 
 
@@ -430,10 +480,15 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     signatures = rows.selectExpr("explode(sigs) AS sig", "key").repartition("sig").sortWithinPartitions("sig", "key")
     stars = written(signatures.mapInArrow(star_rows, "sig bigint, first bigint, key bigint, several boolean"), f"{folder}/stars")
-    near = star_pairs(stars, classes, percent, f"{folder}/star_pairs")
+    members = several_rows(stars, classes, f"{folder}/several")
+    near = star_pairs(stars, members, classes, percent, f"{folder}/star_pairs")
     links = linked(near, texts, classes, words_per_shingle, percent, f"{folder}/star_links")
     roots = written(components(links), f"{folder}/roots")
-    later = later_pairs(stars, classes, roots, percent, block, f"{folder}/later_pairs")
+    for turn in range(TURNS):
+        again = other_star_pairs(members, classes, roots, percent, turn, f"{folder}/other_pairs-{turn}")
+        links = links.unionByName(linked(again, texts, classes, words_per_shingle, percent, f"{folder}/other_links-{turn}"))
+        roots = written(components(links), f"{folder}/other_roots-{turn}")
+    later = later_pairs(members, classes, roots, percent, block, f"{folder}/later_pairs")
     links = links.unionByName(linked(later, texts, classes, words_per_shingle, percent, f"{folder}/later_links"))
     roots = written(components(links), f"{folder}/all_roots")
 
