@@ -62,13 +62,12 @@ _stored: dict[tuple[str, str, str], DataFrame] = {}
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """The derived table from the work folder, written on first use.
 
-    The driver files may hold all rows in one block, so the rows are dealt out
-    to a file per core.
+    The driver files may hold all rows in one block; the derivations' joins deal
+    their narrow rows out, so the wide ones are written where they are made.
     """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        rows = build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism)
-        _stored[key] = settled(rows, name)
+        _stored[key] = settled(build(spark, sf_dir), name)
     return _stored[key]
 
 
@@ -84,7 +83,7 @@ def holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derive_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One position per order; the UL list is the orders with status P."""
-    rows = table(spark, sf_dir, "orders").join(
+    rows = table(spark, sf_dir, "orders").hint("merge").join(
         table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")
     ).withColumnsRenamed({"o_orderkey": "k", "c_nationkey": "n"})
     return rows.selectExpr(
@@ -113,13 +112,14 @@ def derive_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One holding per lineitem, some of them twice.
 
     Fourteen orders in a row make seven securities and share five funds, so
-    that two securities in seven have no holdings.
+    that two securities in seven have no holdings.  The join leaves a fund's
+    holdings together, so sums per fund are nearly whole before they are shuffled.
     """
     lines = table(spark, sf_dir, "lineitem").selectExpr(
         "*", f"7 * (l_orderkey div 14) + {code_at([0, 1, 3, 4, 6], 'l_orderkey % 5')} AS f"
     )
     sums = lines.groupBy("f").agg(F.sum("l_extendedprice").alias("fund_sum"))
-    coded = lines.join(sums, "f").withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"}).selectExpr(
+    coded = lines.hint("merge").join(sums, "f").withColumnsRenamed({"l_partkey": "p", "l_suppkey": "s"}).selectExpr(
         "*",
         f"""CASE WHEN p % 60 = 7 THEN {letter_at('ABCDEF', 's % 6')}
             WHEN p % 61 = 5 THEN 'L' WHEN p % 67 = 5 THEN '0'
