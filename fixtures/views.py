@@ -154,11 +154,14 @@ _texts: dict[tuple[str, str, str], str] = {}
 
 
 def text_file(spark: SparkSession, sf_dir: str, name: str, build) -> str:
-    """Path of a derived table written as CSV text, once per session and folder."""
+    """Path of a derived table written as CSV text, once per session and folder.
+
+    The ordering shuffle bounds the files' sizes, so none needs to be split when it is read.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _texts:
         path = f"{work_folder(spark)}/{name}"
-        build(spark, sf_dir).write.options(header=True, encoding="ISO-8859-1", quote='"', escape='"').csv(path)
+        build(spark, sf_dir).write.options(header=True, encoding="ISO-8859-1", quote='"', escape='"', compression="gzip").csv(path)
         _texts[key] = path
     return _texts[key]
 

@@ -1,4 +1,5 @@
 import datetime
+import glob
 
 import pytest
 from pyspark.sql import functions as F
@@ -42,3 +43,10 @@ def test_holdings_of_a_fund_stand_together(spark, folder):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     placed = views.holdings(spark, folder).select("portfolio_id", F.input_file_name().alias("file")).distinct().collect()
     assert len({r.portfolio_id for r in placed}) == len(placed) > 5 and len({r.file for r in placed}) > 1
+
+
+def test_text_parts_are_compressed_and_read_back_whole(spark, folder):
+    path = views.text_file(spark, folder, "tpt_0.csv", lambda s, d: views.tpt_text(s, d, 0))
+    assert glob.glob(f"{path}/*") and all(p.endswith(".csv.gz") for p in glob.glob(f"{path}/*.csv*"))
+    want = views.holdings(spark, folder).filter("holding_ord.l_partkey % 3 <> 0").count()
+    assert spark.read.csv(path, header=True).count() == want
