@@ -19,7 +19,7 @@ def test_one_query_per_operator_and_the_pipeline():
     names = [n for n in contract.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and len(corpus_pipeline.STAGES) == 5
-    assert {"op10_exact_dedup"} == {n for n in contract.oracle_sql() if n.startswith("op")}
+    assert {"op10_exact_dedup", "op11_collocations", "op12_jaccard_join"} == {n for n in contract.oracle_sql() if n.startswith("op")}
 
 
 def test_the_rest_works_without_the_subpackage():
