@@ -15,6 +15,12 @@ with a rare one among them.  What is frequent goes to the tasks as a bit filter
 of fixed size: it may let rare phrases through, which costs counting them, and
 never stops a frequent one, so counts are exact at any size.
 
+Most phrases of the lengths between are rare, so these lengths are counted by
+the phrases' 64-bit hashes first: rows of two numbers, whose sums only make the
+filter.  Phrases that share a hash are at least as frequent by it as each of
+them is.  The phrases that the filter lets through are then counted themselves,
+in the same pass as those one word longer.
+
 Defined results: null, empty or blank text has no words; a missing ``lang`` is
 ``und``; repeated rows count each time; an empty table gives an empty result;
 identifiers are not used and may be missing; other columns are left behind,
@@ -26,7 +32,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
-from itertools import compress, repeat
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +60,8 @@ FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 RUN_SQL = "lang string, phrase string, n bigint"
+HASHES = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
+HASHES_SQL = "hash bigint, n bigint"
 
 
 # ----------------------------------------------------------------- the tries
@@ -137,71 +145,122 @@ def to_table(codes: np.ndarray, counts: np.ndarray) -> Counter:
     return table
 
 
+class Numbers(dict):
+    """The number of each word; a new word gets the next free one and waits to be looked at."""
+
+    def __init__(self):
+        super().__init__({NO_WORD: 0})
+        self.free, self.waiting = 1, []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = self.free
+        self.free += 1
+        self.waiting.append(word)
+        return number
+
+    def taken(self) -> list[bytes]:
+        new, self.waiting = self.waiting, []
+        return new
+
+
 class Trie:
     """The phrases of ``length`` words of one language that a task has met.
 
     ``filters``: of frequent words and, for three words and more, of frequent
-    phrases one word shorter; none to count everything.
+    phrases one word shorter; none to count everything.  ``with_shorter``: the
+    phrases one word shorter that the last filter holds are counted, too.
+    ``hashed``: runs have the phrases' hashes instead of the phrases.
     """
 
-    def __init__(self, lang: str, length: int, filters: list[np.ndarray]):
-        self.lang, self.length, self.filters = lang, length, filters
+    def __init__(self, lang: str, length: int, filters: list[np.ndarray], with_shorter: bool = False, hashed: bool = False):
+        self.lang, self.length, self.filters, self.hashed = lang, length, filters, hashed
+        self.lengths = [length, length - 1] if with_shorter else [length]
         self.bits = 63 // length
         self.clear()
 
     def clear(self) -> None:
-        self.words: dict[bytes, int] = {NO_WORD: 0}
+        self.words = Numbers()
+        #: The words that may be frequent, by number.
+        self.spelt = [NO_WORD]
         self.hashes = np.zeros(1, dtype=np.uint64)
-        self.root = Node(self.length)
+        self.roots = {length: Node(length) for length in self.lengths}
         self.n_words = 0
 
     def add(self, tokens: list[bytes], starts: int) -> None:
         """Count the phrases; of the words the first ``starts``, for the rest belongs to the next call."""
-        new = [w for w in dict.fromkeys(tokens) if w not in self.words]
+        first = len(self.spelt)
+        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
+        new = self.words.taken()
         if new and self.filters:
             # A rare word ends a phrase as the end of a piece does.
             hashes = word_hashes(self.lang, new)
             known = common.may_hold(self.filters[0], hashes)
+            numbers = np.where(known, first - 1 + np.cumsum(known), 0)
+            unsettled = ids >= first
+            ids[unsettled] = numbers[ids[unsettled] - first]
+            self.words.update(zip(new, numbers.tolist()))
             new = list(compress(new, known.tolist()))
             self.hashes = np.concatenate((self.hashes, hashes[known]))
-        self.words.update(zip(new, range(len(self.words), len(self.words) + len(new))))
-        ids = np.fromiter(map(self.words.get, tokens, repeat(0)), np.int64, len(tokens))
+        self.spelt += new
+        self.words.free = len(self.spelt)
         self.n_words += int(np.count_nonzero(ids[:starts]))
-        self.root.add(self.phrases(ids), self.bits)
-
-    def phrases(self, ids: np.ndarray) -> np.ndarray:
-        """The phrases within pieces, without those that hold a rare shorter one."""
-        k, n = self.length, len(ids) - self.length + 1
-        if n <= 0:
-            return np.zeros(0, dtype=np.int64)
-        at = np.flatnonzero(reduce(np.logical_and, [ids[j:j + n] > 0 for j in range(k)]))
-        if len(self.filters) > 1:
-            # Phrases one word shorter from ``at`` and from the next word on.
-            kept = np.zeros(len(ids) + 1, dtype=bool)
-            kept[at] = kept[at + 1] = True
-            shorter = np.flatnonzero(kept)
-            kept[shorter] = common.may_hold(self.filters[-1], phrase_hashes([self.hashes[ids[shorter + j]] for j in range(k - 1)]))
-            at = at[kept[at] & kept[at + 1]]
-        code = ids[at]
-        for j in range(1, k):
-            code = code << self.bits | ids[at + j]
-        return code
-
-    def subtrees(self) -> list[tuple[int, int | None]]:
-        """``(size, first word)`` of what can leave the trie whole; no word: the shared container."""
-        return [(len(self.root.table), None), *((child.size(), word) for word, child in self.root.children.items())]
-
-    def spill(self, words: list[int | None]) -> Iterator[pa.RecordBatch]:
-        """Take subtrees out of the trie, as one sorted run."""
-        shift, parts = self.bits * (self.length - 1), []
-        for word in words:
-            codes, counts = self.root.take(word, self.bits).entries(self.bits)
-            parts.append((codes if word is None else codes | word << shift, counts))
-        yield from self.sorted_run(*(np.concatenate(column) for column in zip(*parts)))
-
-    def sorted_run(self, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        known = pa.array(list(self.words), pa.binary())
-        columns = [known.take(pa.array(codes >> self.bits * j & (1 << self.bits) - 1)) for j in range(self.length - 1, -1, -1)]
+        for length, places in zip(self.lengths, self.places(ids, starts)):
+            code = ids[places]
+            for j in range(1, length):
+                code = code << self.bits | ids[places + j]
+            self.roots[length].add(code, self.bits)
+
+    def places(self, ids: np.ndarray, starts: int) -> Iterator[np.ndarray]:
+        """Where the phrases within pieces start that hold no rare shorter one, and then those shorter ones."""
+        whole = np.append(ids > 0, np.zeros(self.length, dtype=bool))
+        if len(self.filters) < 2:
+            yield np.flatnonzero(reduce(np.logical_and, [whole[j:j + len(ids)] for j in range(self.length)]))
+            return
+        shorter = np.flatnonzero(reduce(np.logical_and, [whole[j:j + len(ids)] for j in range(self.length - 1)]))
+        shorter = shorter[common.may_hold(self.filters[-1], phrase_hashes([self.hashes[ids[shorter + j]] for j in range(self.length - 1)]))]
+        kept = np.zeros(len(ids) + 1, dtype=bool)
+        kept[shorter] = True
+        yield shorter[kept[shorter + 1]]
+        yield shorter[shorter < starts]
+
+    def forget_rare(self) -> None:
+        """Rare words are remembered as number 0; they are looked up anew when they come again."""
+        if len(self.words) > len(self.spelt):
+            self.words.clear()
+            self.words.update(zip(self.spelt, range(len(self.spelt))))
+
+    def subtrees(self) -> list[tuple[int, tuple[int, int | None]]]:
+        """``(size, (length, first word))`` of what can leave the trie whole; no word: the shared container."""
+        return [(size, (length, word)) for length, root in self.roots.items()
+                for size, word in [(len(root.table), None), *((child.size(), word) for word, child in root.children.items())]]
+
+    def spill(self, trees: list[tuple[int, int | None]]) -> Iterator[pa.RecordBatch]:
+        """Take subtrees out of the trie, as one sorted run for each length."""
+        for length, root in self.roots.items():
+            shift, parts = self.bits * (length - 1), []
+            for word in [word for of, word in trees if of == length]:
+                codes, counts = root.take(word, self.bits).entries(self.bits)
+                parts.append((codes if word is None else codes | word << shift, counts))
+            if parts:
+                yield from self.run(length, *(np.concatenate(column) for column in zip(*parts)))
+
+    def run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        return self.hashed_run(length, codes, counts) if self.hashed else self.sorted_run(length, codes, counts)
+
+    def words_of(self, length: int, codes: np.ndarray) -> Iterator[np.ndarray]:
+        """The numbers of the first words, the second ones and so on."""
+        return (codes >> self.bits * j & (1 << self.bits) - 1 for j in range(length - 1, -1, -1))
+
+    def hashed_run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        hashes = phrase_hashes([self.hashes[words] for words in self.words_of(length, codes)])
+        order = np.argsort(hashes)
+        run = pa.RecordBatch.from_arrays([pa.array(hashes[order].view(np.int64)), pa.array(counts[order])], schema=HASHES)
+        for start in range(0, len(codes), 20_000):
+            yield run.slice(start, 20_000)
+
+    def sorted_run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        known = pa.array(self.spelt, pa.binary())
+        columns = [known.take(pa.array(words)) for words in self.words_of(length, codes)]
         phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
         order = pc.sort_indices(phrase)
         run = pa.RecordBatch.from_arrays([
@@ -214,49 +273,64 @@ class Trie:
         """All that is left, and the number of words under the empty phrase."""
         if self.length == 1 and self.n_words:
             yield pa.RecordBatch.from_arrays([pa.array([self.lang]), pa.array([""]), pa.array([self.n_words])], schema=RUN)
-        yield from self.sorted_run(*self.root.entries(self.bits))
+        for length, root in self.roots.items():
+            yield from self.run(length, *root.entries(self.bits))
         self.clear()
 
 
 def spilled(tries: dict[str, Trie], most: int) -> Iterator[pa.RecordBatch]:
     """If the tries hold more than ``most`` phrases, their largest subtrees leave until half of that is left."""
-    trees = [(size, lang, word) for lang, trie in tries.items() for size, word in trie.subtrees()]
+    trees = [(size, lang, tree) for lang, trie in tries.items() for size, tree in trie.subtrees()]
     left, leaving = sum(t[0] for t in trees), {}
     if left <= most:
         return
-    for size, lang, word in sorted(trees, key=lambda t: -t[0]):
+    for size, lang, tree in sorted(trees, key=lambda t: -t[0]):
         if 2 * left <= most:
             break
-        leaving.setdefault(lang, []).append(word)
+        leaving.setdefault(lang, []).append(tree)
         left -= size
-    for lang, words in leaving.items():
-        yield from tries[lang].spill(words)
+    for lang, leave in leaving.items():
+        yield from tries[lang].spill(leave)
+
+
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices, so that copies of its texts are few at a time."""
+    for start in range(0, batch.num_rows, 500):
+        yield batch.slice(start, 500)
 
 
 def count_phrases(batches: Iterator[pa.RecordBatch], length: int, filters: list[np.ndarray],
-                  most_phrases: int = MOST_PHRASES, batch_words: int = BATCH_WORDS) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of the phrases of ``length`` words of a task's texts."""
+                  most_phrases: int = MOST_PHRASES, batch_words: int = BATCH_WORDS, **kind: bool) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of the phrases of ``length`` words of a task's texts; ``kind`` as in ``Trie``."""
     tries: dict[str, Trie] = {}
     waiting: dict[str, list[bytes]] = {}
 
+    def n_known() -> int:
+        return sum(len(trie.words) for trie in tries.values())
+
     def counted() -> Iterator[pa.RecordBatch]:
         for lang, tokens in waiting.items():
-            trie = tries.setdefault(lang, Trie(lang, length, filters))
+            trie = tries.setdefault(lang, Trie(lang, length, filters, **kind))
             limit = min(MOST_WORDS, 1 << trie.bits)
             step = min(batch_words, limit // 2)
             for start in range(0, len(tokens), step):
                 part = tokens[start:start + step + length - 1]
+                if len(trie.words) + len(part) >= limit:
+                    trie.forget_rare()
                 if len(trie.words) + len(part) >= limit:
                     yield from trie.everything()
                 trie.add(part, step)
         waiting.clear()
-        if sum(len(trie.words) for trie in tries.values()) > MOST_WORDS:
+        if n_known() > MOST_WORDS:
+            for trie in tries.values():
+                trie.forget_rare()
+        if n_known() > MOST_WORDS:
             for trie in tries.values():
                 yield from trie.everything()
         yield from spilled(tries, most_phrases)
 
     n_waiting = 0
-    for batch in batches:
+    for batch in (part for whole in batches for part in slices(whole)):
         for lang, text in zip(batch.column("lang").to_pylist(), common.text_bytes(batch)):
             tokens = text.translate(PLAIN).replace(NO_WORD, b" . ").split()
             if tokens:
@@ -284,28 +358,36 @@ def phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
 
 def filter_of(frequent: DataFrame) -> np.ndarray:
     """The bit filter of a table of phrases."""
-    arrow = pa.schema([("hash", pa.int64())])
 
-    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [phrase_hashes(list(word_hashes(lang, phrase.split(b" "))[:, None]))[0]
-                     for lang, phrase in zip(batch.column("lang").to_pylist(), common.text_bytes(batch, "phrase"))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, dtype=np.uint64).view(np.int64))], schema=arrow)
+    def hashes(batch: pa.RecordBatch) -> np.ndarray:
+        found = [phrase_hashes(list(word_hashes(lang, phrase.split(b" "))[:, None]))[0]
+                 for lang, phrase in zip(batch.column("lang").to_pylist(), common.text_bytes(batch, "phrase"))]
+        return np.array(found, dtype=np.uint64)
 
-    return common.bit_filter(frequent.select("lang", "phrase").mapInArrow(hashes, "hash bigint"))
+    # One pass over a batch: a second function behind the first would keep a second worker per core.
+    return common.bit_filter(frequent.select("lang", "phrase"), hashes)
 
 
 # -------------------------------------------------------------------- tables
 
-def merged_counts(texts: DataFrame, length: int, filters: list[np.ndarray], **limits: int) -> DataFrame:
-    """``(lang, phrase, n)``: counts of phrases of ``length`` words over all tasks; rare ones may be missing."""
-    known = texts.sparkSession.sparkContext.broadcast(filters)
+def counted_runs(texts: DataFrame, schema: str, length: int, filters: list[np.ndarray], **options) -> DataFrame:
+    """The runs of all tasks; ``filters`` of phrases of 1, 2 ... words."""
+    wanted = filters[:1] + filters[length - 2:length - 1] if length > 2 else filters[:1]
+    known = texts.sparkSession.sparkContext.broadcast(wanted)
+    return texts.mapInArrow(lambda batches: count_phrases(batches, length, known.value, **options), schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return count_phrases(batches, length, known.value, **limits)
 
+def frequent_filter(texts: DataFrame, length: int, filters: list[np.ndarray], least: int, folder: str, **limits: int) -> np.ndarray:
+    """A bit filter of the phrases of ``length`` words whose hash occurs ``least`` times at least."""
+    runs = counted_runs(texts, HASHES_SQL, length, filters, hashed=True, **limits)
+    sums = runs.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
+    return common.bit_filter(written(sums.filter(F.col("n") >= least).select("hash"), f"{folder}/hashes_{length}"))
+
+
+def merged_counts(texts: DataFrame, length: int, filters: list[np.ndarray], **options) -> DataFrame:
+    """``(lang, phrase, n)``: counts of phrases of ``length`` words over all tasks; rare ones may be missing."""
     # A number for language, prefix and cell.
-    runs = texts.mapInArrow(run, RUN_SQL).withColumn("part", F.expr(f"xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')})"))
+    runs = counted_runs(texts, RUN_SQL, length, filters, **options).withColumn("part", F.expr(f"xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')})"))
     return runs.repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
 
 
@@ -344,12 +426,19 @@ def collocations(
         raise ValueError("phrases have two words and one occurrence at least")
     folder = folder or work_folder(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text")).filter("text IS NOT NULL")
-    filters, tables = [], []
-    for length in range(1, longest + 1):
-        counts = merged_counts(texts, length, filters, **limits).filter((F.col("n") >= least) | (F.col("phrase") == ""))
-        tables.append(written(counts, f"{folder}/words_{length}"))
-        if length < longest:
-            filters = [*filters[:1], filter_of(tables[-1].filter("phrase <> ''"))]
+
+    def frequent(length: int, **options) -> DataFrame:
+        counts = merged_counts(texts, length, filters, **options, **limits).filter((F.col("n") >= least) | (F.col("phrase") == ""))
+        return written(counts, f"{folder}/words_{length}")
+
+    filters: list[np.ndarray] = []
+    tables = [frequent(1)]
+    filters.append(filter_of(tables[0].filter("phrase <> ''")))
+    for length in range(2, longest):
+        filters.append(frequent_filter(texts, length, filters, least, folder, **limits))
+    # Two lengths in a pass, from the longest down.
+    for length in range(longest, 1, -2):
+        tables.append(frequent(length, with_shorter=length > 2))
     totals = tables[0].filter("phrase = ''").selectExpr("lang", "n")
     counts = reduce(DataFrame.unionByName, tables).filter("phrase <> ''")
     candidates = reduce(DataFrame.unionByName, tables[1:])

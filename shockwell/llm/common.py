@@ -116,8 +116,8 @@ def may_hold(words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         (words[place >> np.uint64(6)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool) for place in filter_places(hashes)])
 
 
-def bit_filter(hashes: DataFrame) -> np.ndarray:
-    """A filter of a table ``(hash bigint)`` as 64-bit words.
+def bit_filter(rows: DataFrame, hashes: Callable[[pa.RecordBatch], np.ndarray] = lambda batch: batch.column(0).to_numpy().view(np.uint64)) -> np.ndarray:
+    """A filter, as 64-bit words, of the ``hashes`` of a table's batches; by default its first column is ``hash bigint``.
 
     At most ``2 ** FILTER_BITS / 64`` rows come to the driver, whatever the table's size.
     """
@@ -125,7 +125,7 @@ def bit_filter(hashes: DataFrame) -> np.ndarray:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            place = np.concatenate(filter_places(batch.column(0).to_numpy().view(np.uint64)))
+            place = np.concatenate(filter_places(hashes(batch)))
             mask = np.left_shift(np.uint64(1), place & np.uint64(63))
             word = (place >> np.uint64(6)).astype(np.int64)
             by_word = np.argsort(word, kind="stable")
@@ -134,7 +134,7 @@ def bit_filter(hashes: DataFrame) -> np.ndarray:
             merged = np.bitwise_or.reduceat(mask, starts) if len(starts) else mask
             yield pa.RecordBatch.from_arrays([pa.array(word[starts]), pa.array(merged.view(np.int64))], schema=arrow)
 
-    bits = hashes.mapInArrow(places, "word bigint, mask bigint")
+    bits = rows.mapInArrow(places, "word bigint, mask bigint")
     rows = bits.groupBy("word").agg(F.expr("bit_or(mask) AS mask")).toArrow()
     words = np.zeros(1 << FILTER_BITS - 6, dtype=np.uint64)
     words[rows.column("word").to_numpy()] = rows.column("mask").to_numpy().view(np.uint64)
