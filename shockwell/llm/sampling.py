@@ -123,24 +123,49 @@ class Pieces:
         self.after_first = np.zeros(SENTINEL + 1, dtype=np.int32)
         one = self.step_key <= SENTINEL  # keys of the first state
         self.after_first[self.step_key[one]] = self.step_to[one]
-        self.flat = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
-        self.length = np.array([len(b) for b in self.bytes_of], dtype=np.int64)
-        self.start = np.cumsum(self.length) - self.length
-
-    def units(self, text: str) -> list[str]:
-        """The text cut wherever no piece crosses."""
-        codes = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+        self.spelt = np.empty(n, dtype=object)
+        self.spelt[:] = self.bytes_of
+        #: Where each step's key is found: its number at the first free slot from its hash on, and -1 at the slots left.
+        self.shift = np.uint64(64 - 3 - max(1, len(steps)).bit_length())
+        self.slots = np.full((8 << max(1, len(steps)).bit_length()) + len(steps) + 1, -1, dtype=np.int32)
+        for number, slot in enumerate(self.slot(self.step_key).tolist()):
+            while self.slots[slot] >= 0:
+                slot += 1
+            self.slots[slot] = number
+
+    def slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key.view(np.uint64) * UNIT) >> self.shift).astype(np.int64)
+
+    def step(self, key: np.ndarray) -> np.ndarray:
+        """The number of each key among the steps, -1 where there is no such step."""
+        slot = self.slot(key)
+        number = self.slots[slot]
+        other = np.flatnonzero((number >= 0) & (self.step_key[number] != key))
+        while len(other):
+            slot[other] += 1
+            number[other] = self.slots[slot[other]]
+            other = other[(number[other] >= 0) & (self.step_key[number[other]] != key[other])]
+        return number
+
+    def units(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
+        """The texts cut wherever no piece crosses, one after the other, and each text's number of units."""
+        lengths = np.array([len(t) for t in texts], dtype=np.int64)
+        text, behind = "".join(texts), np.cumsum(lengths)
+        codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
         a, b = codes[:-1], codes[1:]
         low = (a < 256) & (b < 256)
         joined = self.low_pairs[(a << 8 | b) & 0xFFFF] & low
         high = np.flatnonzero(~low)
         if len(high):
-            key = a[high] << CHAR_BITS | b[high]
+            key = a[high].astype(np.int64) << CHAR_BITS | b[high]
             where = np.searchsorted(self.pairs, key)
             where[where == len(self.pairs)] = 0
             joined[high] = self.pairs[where] == key if len(self.pairs) else False
-        cuts = [0, *(np.flatnonzero(~joined) + 1).tolist(), len(text)]
-        return [text[i:j] for i, j in zip(cuts, cuts[1:])]
+        joined[behind[(behind > 0) & (behind < len(text))] - 1] = False
+        cuts = np.concatenate(([0], np.flatnonzero(~joined) + 1, [len(text)])) if text else np.zeros(1, dtype=np.int64)
+        counts = np.diff(np.searchsorted(cuts, behind), prepend=0)
+        cuts = cuts.tolist()
+        return [text[i:j] for i, j in zip(cuts, cuts[1:])], counts
 
     def found(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All pieces in a text of code points: ``(first place, place behind, id)``; all places walk the trie together."""
@@ -156,21 +181,14 @@ class Pieces:
             if not len(at):
                 break
             key = state << CHAR_BITS | codes[at + depth]
-            where = np.searchsorted(self.step_key, key)
-            where[where == len(self.step_key)] = 0
-            goes = self.step_key[where] == key
-            at, state, depth = at[goes], self.step_to[where[goes]], depth + 1
+            number = self.step(key)
+            goes = number >= 0
+            at, state, depth = at[goes], self.step_to[number[goes]], depth + 1
         return tuple(np.concatenate(c) for c in zip(*out))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The text of ids in UTF-8; the mark in front of the text is not part of it."""
-        length = self.length[ids]
-        ends = np.cumsum(length)
-        if not len(ids):
-            return b""
-        places = np.repeat(self.start[ids] - ends + length, length)
-        places += np.arange(len(places))
-        return self.flat[places][1:].tobytes()
+        return b"".join(self.spelt[ids].tolist())[1:]
 
 
 class FirstNodes(dict):
@@ -199,10 +217,12 @@ class Lattices:
 
     def forget(self) -> None:
         self.first_node = FirstNodes()
-        self.at_end, self.first_edge = Growing(bool), Growing(np.int32)
+        self.first_edge = Growing(np.int32)
         #: Of each edge: the probability of the node's edges up to it, and as logs its own and that of all others.
         self.upto, self.log_p, self.log_others = Growing(np.float32), Growing(np.float64), Growing(np.float32)
         self.target, self.id = Growing(np.int32), Growing(np.int32)
+        #: Of each edge, the first edge of its target; -1 at the unit's end.
+        self.next = Growing(np.int32)
         #: Ids of edges that stand for a character's bytes, by -1 - number.
         self.byte_ids: list[list[int]] = []
 
@@ -215,7 +235,7 @@ class Lattices:
 
     def build(self, units: list[str]) -> None:
         """Append the lattices of new units, whose nodes are free; a unit's nodes are its places and the one behind it."""
-        first = self.at_end.n
+        first = self.first_edge.n
         lengths = np.array([len(u) for u in units])
         starts = np.cumsum(lengths + 1) - lengths - 1
         ends = starts + lengths
@@ -252,8 +272,9 @@ class Lattices:
         with np.errstate(divide="ignore"):
             log_others = np.where(sure, np.log(others), np.log1p(-np.where(sure, 0.5, p)))
         per_node = np.bincount(src, minlength=len(codes))
-        self.first_edge.extend(self.upto.n + np.cumsum(per_node) - per_node)
-        self.at_end.extend(at_end)
+        first_edge = self.upto.n + np.cumsum(per_node) - per_node
+        self.first_edge.extend(first_edge)
+        self.next.extend(np.where(at_end[dst], -1, first_edge[dst]))
         self.upto.extend(cumulative)
         self.log_p.extend(log_p)
         self.log_others.extend(np.where(np.repeat(sizes, sizes) > 1, log_others, -np.inf))
@@ -278,19 +299,20 @@ class Lattices:
             beta[src[edges[begins]]] = np.logaddexp.reduceat(w[edges] + beta[dst[edges]], begins)
         return beta
 
-    def draw(self, nodes: np.ndarray, streams: np.ndarray, round_: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Paths from given nodes to their units' ends, all units at once.
+    def draw(self, begin: np.ndarray, streams: np.ndarray, round_: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Paths from given nodes, by their first edges (-1: the unit's end), to their units' ends, all units at once.
 
         ``(unit, edge, noise)`` in order of units and pieces; ``unit`` counts the
         given nodes, ``noise`` is an exponential variable for each piece.
         """
-        upto, target, at_end, first_edge = self.upto.all, self.target.all, self.at_end.all, self.first_edge.all
-        unit = np.flatnonzero(~at_end[nodes])
-        nodes, step = nodes[unit], 0
-        units, edges, counters = [unit[:0]], [unit[:0]], [streams[:0]]
+        upto, next_ = self.upto.all, self.next.all
+        unit, step = np.flatnonzero(begin >= 0), 0
+        edge = begin[unit]
+        units, edges, counters = [unit[:0]], [edge[:0]], [streams[:0]]
         while len(unit):
-            counter = streams[unit] + offset(ROUND, round_) + offset(STEP, step)
-            chance, edge = uniform(counter), first_edge[nodes]
+            counter = streams[unit]
+            counter += np.uint64((int(offset(ROUND, round_)) + int(offset(STEP, step))) % (1 << 64))
+            chance = uniform(counter)
             further = np.flatnonzero(upto[edge] <= chance)
             while len(further):
                 edge[further] += 1
@@ -298,9 +320,9 @@ class Lattices:
             units.append(unit)
             edges.append(edge)
             counters.append(counter)
-            nodes = target[edge]
-            going = np.flatnonzero(~at_end[nodes])
-            nodes, unit, step = nodes[going], unit[going], step + 1
+            after = next_[edge]
+            going = np.flatnonzero(after >= 0)
+            edge, unit, step = after[going], unit[going], step + 1
         # A unit's pieces stand next to each other, one per step it went.
         steps = np.bincount(np.concatenate(units), minlength=len(streams))
         begins = np.cumsum(steps) - steps
@@ -308,10 +330,13 @@ class Lattices:
         for k, (unit, edge, drawn) in enumerate(zip(units[1:], edges[1:], counters[1:])):
             places = begins[unit] + k
             path[places], counter[places] = edge, drawn
-        return np.repeat(np.arange(len(steps)), steps), path, -np.log(uniform(counter + NOISE))
+        counter += NOISE
+        noise = uniform(counter)
+        np.log(noise, out=noise)
+        return np.repeat(np.arange(len(steps)), steps), path, np.negative(noise, out=noise)
 
-    def ids(self, edges: np.ndarray) -> np.ndarray:
-        out = self.id.all[edges]
+    def ids(self, out: np.ndarray) -> np.ndarray:
+        """The ids of edges, given the edges' numbers in ``id``."""
         if len(out) and out.min() < 0:
             out = np.array([i for e in out.tolist() for i in ((e,) if e >= 0 else self.byte_ids[-1 - e])])
         return out.astype("<u4")
@@ -327,31 +352,47 @@ def offset(step: np.uint64, times: int) -> np.uint64:
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """SplitMix64's output function: a random stream by counter, so no draw depends on the rows around it."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    y = x >> np.uint64(30)
+    y ^= x
+    y *= np.uint64(0xBF58476D1CE4E5B9)
+    y ^= y >> np.uint64(27)
+    y *= np.uint64(0x94D049BB133111EB)
+    y ^= y >> np.uint64(31)
+    return y
 
 
 def uniform(counters: np.ndarray) -> np.ndarray:
     """Numbers strictly between 0 and 1."""
-    return ((mixed(counters) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0 ** -52
+    bits = mixed(counters)
+    bits >>= np.uint64(12)
+    out = bits.astype(np.float64)
+    out += 0.5
+    out *= 2.0 ** -52
+    return out
 
 
-def cut_gumbel(mass: np.ndarray, bound: float, noise: np.ndarray) -> np.ndarray:
+def cut_gumbel(mass: np.ndarray, bound: np.ndarray | float, noise: np.ndarray) -> np.ndarray:
     """Gumbel variables of given locations, conditioned to lie below ``bound``, from exponential noise."""
-    return np.minimum(mass - np.log(np.exp(np.minimum(mass - bound, 700.0)) + noise), bound)
+    spread = mass - bound
+    np.minimum(spread, 700.0, out=spread)
+    np.exp(spread, out=spread)
+    spread += noise
+    np.log(spread, out=spread)
+    np.subtract(mass, spread, out=spread)
+    return np.minimum(spread, bound, out=spread)
 
 
 class Leaf:
-    """A sampled path and the sets that split off it from place ``since`` on."""
+    """A sampled path and the sets that split off it from place ``since`` on.
+
+    ``upto`` is the log probability of the path up to and with each piece;
+    ``before``, from ``since`` on, that of the path in front of each piece.
+    """
 
-    def __init__(self, lattices: Lattices, units: np.ndarray, edges: np.ndarray, value: float, since: int, noise: np.ndarray):
-        self.units, self.edges, self.value, self.since = units, edges, value, since
-        log_p = lattices.log_p.all[edges]
-        upto = np.cumsum(log_p)
+    def __init__(self, value: float, since: int, units: np.ndarray, edges: np.ndarray, ids: np.ndarray, upto: np.ndarray):
+        self.value, self.since, self.units, self.edges, self.ids, self.upto = value, since, units, edges, ids, upto
         self.log_prob = float(upto[-1]) if len(upto) else 0.0
-        self.before = upto - log_p
-        self.sets = cut_gumbel(self.before[since:] + lattices.log_others.all[edges[since:]], value, noise)
+        self.before = self.sets = upto[:0]
 
 
 class Search:
@@ -359,6 +400,7 @@ class Search:
 
     def __init__(self, lattices: Lattices, starts: np.ndarray, key: np.uint64):
         self.lattices, self.starts = lattices, starts
+        self.begin = lattices.first_edge.all[starts]
         with np.errstate(over="ignore"):
             self.streams = mixed(key + UNIT * np.arange(1, len(starts) + 1, dtype=np.uint64))
         self.key = key
@@ -367,10 +409,17 @@ class Search:
         self.narrowed: list[tuple] = []
 
     def scalar(self, number: int) -> float:
-        return float(uniform(np.array([int(self.key)], dtype=np.uint64) + offset(OWN, number))[0])
+        """``uniform`` of a single counter."""
+        x = (int(self.key) + int(OWN) * number) % (1 << 64)
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 % (1 << 64)
+        x = (x ^ x >> 27) * 0x94D049BB133111EB % (1 << 64)
+        return ((x ^ x >> 31) // 4096 + 0.5) * 2.0 ** -52
+
+    def first(self, value: float, units: np.ndarray, edges: np.ndarray, ids: np.ndarray, log_p: np.ndarray) -> None:
+        self.leaves.append(Leaf(value, 0, units, edges, ids, np.cumsum(log_p)))
 
-    def first(self, edges: np.ndarray, units: np.ndarray, noise: np.ndarray) -> None:
-        self.leaves.append(Leaf(self.lattices, units, edges, -math.log(-math.log(self.scalar(0))), 0, noise))
+    def first_value(self) -> float:
+        return -math.log(-math.log(self.scalar(0)))
 
     def best(self) -> tuple[float, tuple | None]:
         """The greatest value in any set, and where the set is."""
@@ -402,16 +451,20 @@ class Search:
         chance[edge - a] = 0.0
         return leaf, place, (*used, edge), unit, edge, float(chance.sum())
 
-    def add(self, taken: tuple, value: float, units: np.ndarray, edges: np.ndarray, noise: np.ndarray) -> None:
+    def add(self, taken: tuple, value: float, units: np.ndarray, edges: np.ndarray, ids: np.ndarray, log_p: np.ndarray) -> None:
         """The path drawn from a set is the next sample; what is left of the set stays in the search."""
         leaf, place, used, unit, edge, left = taken
-        units = np.concatenate((leaf.units[:place], [unit], units))
-        edges = np.concatenate((leaf.edges[:place], [edge], edges))
         number = len(self.leaves)
-        self.leaves.append(Leaf(self.lattices, units, edges, value, place + 1, noise))
+        # Added up from the path's first piece on, as a path of its own would be.
+        own = [float(self.lattices.log_p.all[edge])]
+        upto = np.cumsum(np.concatenate((leaf.upto[place - 1:place], own, log_p)))[min(place, 1):]
+        self.leaves.append(Leaf(
+            value, place + 1, np.concatenate((leaf.units[:place], [unit], units)), np.concatenate((leaf.edges[:place], [edge], edges)),
+            np.concatenate((leaf.ids[:place], [self.lattices.id.all[edge]], ids)), np.concatenate((leaf.upto[:place], upto))))
         if left > 0:
             spare = -math.log(self.scalar(2 * number + 1))
-            self.narrowed.append((float(cut_gumbel(np.array(leaf.before[place] + math.log(left)), value, spare)), leaf, place, used))
+            mass = np.array([leaf.before[place - leaf.since] + math.log(left)])
+            self.narrowed.append((float(cut_gumbel(mass, value, np.array([spare]))[0]), leaf, place, used))
 
 
 def top_k(lattices: Lattices, starts: list[np.ndarray], k: int, keys: list[np.uint64]) -> list[tuple[list[Leaf], float]]:
@@ -420,7 +473,7 @@ def top_k(lattices: Lattices, starts: list[np.ndarray], k: int, keys: list[np.ui
     Each round draws one path for every text, all of them in one go.
     """
     searches = [Search(lattices, s, key) for s, key in zip(starts, keys)]
-    jobs = [(search, None, 0.0, 0, search.starts) for search in searches]
+    jobs = [(search, None, search.first_value(), 0, search.begin) for search in searches]
     for round_ in range(k):
         if round_:
             jobs = []
@@ -428,21 +481,30 @@ def top_k(lattices: Lattices, starts: list[np.ndarray], k: int, keys: list[np.ui
                 value, where = search.best()
                 if where is not None:
                     taken = search.branch(where)
-                    nodes = search.starts[taken[3]:].copy()
-                    nodes[0] = lattices.target.all[taken[4]]
-                    jobs.append((search, taken, value, taken[3], nodes))
+                    begin = search.begin[taken[3]:].copy()
+                    begin[0] = lattices.next.all[taken[4]]
+                    jobs.append((search, taken, value, taken[3], begin))
         if not jobs:
             break
-        drawn = lattices.draw(np.concatenate([j[4] for j in jobs]), np.concatenate([j[0].streams[j[3]:] for j in jobs]), round_)
+        unit_of, path, noise = lattices.draw(
+            np.concatenate([j[4] for j in jobs]), np.concatenate([j[0].streams[j[3]:] for j in jobs]), round_)
+        drawn = path, lattices.id.all[path], lattices.log_p.all[path]
         ends = np.cumsum([len(j[4]) for j in jobs])
-        cuts = np.searchsorted(drawn[0], np.concatenate(([0], ends)))
-        for (search, taken, value, unit, nodes), end, a, b in zip(jobs, ends.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
-            units, edges, noise = (d[a:b] for d in drawn)
-            units = units - (end - len(nodes)) + unit
+        cuts = np.searchsorted(unit_of, np.concatenate(([0], ends)))
+        before = np.empty(len(path))
+        for (search, taken, value, unit, begin), end, a, b in zip(jobs, ends.tolist(), cuts[:-1].tolist(), cuts[1:].tolist()):
+            units = unit_of[a:b] + (unit - (end - len(begin)))
             if taken is None:
-                search.first(edges, units, noise)
+                search.first(value, units, *(d[a:b] for d in drawn))
             else:
-                search.add(taken, value, units, edges, noise)
+                search.add(taken, value, units, *(d[a:b] for d in drawn))
+            leaf = search.leaves[-1]
+            leaf.before = np.subtract(leaf.upto[leaf.since:], drawn[2][a:b], out=before[a:b])
+        # The sets that split off the new pieces, of all texts at once.
+        values = np.repeat(np.array([j[2] for j in jobs]), np.diff(cuts))
+        sets = cut_gumbel(before + lattices.log_others.all[path], values, noise)
+        for (search, *_), a, b in zip(jobs, cuts[:-1].tolist(), cuts[1:].tolist()):
+            search.leaves[-1].sets = sets[a:b]
     return [(search.leaves, search.best()[0]) for search in searches]
 
 
@@ -464,14 +526,14 @@ class Sampler:
     def sample(self, texts: list[str], k: int, keys: list[int]) -> list[tuple[list[tuple[Leaf, np.ndarray]], float]]:
         """Per text its samples with their ids, and the perturbed value of the next one."""
         lattices = self.lattices
-        if lattices.at_end.n > MEMO_NODES:
+        if lattices.first_edge.n > MEMO_NODES:
             lattices.forget()
-        units = [self.pieces.units(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        nodes = lattices.nodes([u for own in units for u in own])
-        ends = np.cumsum([len(own) for own in units])
+        units, counts = self.pieces.units([MARK + t.replace(" ", MARK) if t else "" for t in texts])
+        nodes = lattices.nodes(units)
+        ends = np.cumsum(counts)
         starts = np.split(nodes, ends[:-1]) if texts else []
         found = top_k(lattices, starts, k, [mixed(np.array([key % (1 << 64)], dtype=np.uint64))[0] for key in keys])
-        return [([(leaf, lattices.ids(leaf.edges)) for leaf in leaves], threshold) for leaves, threshold in found]
+        return [([(leaf, lattices.ids(leaf.ids)) for leaf in leaves], threshold) for leaves, threshold in found]
 
 
 @lru_cache(maxsize=2)

@@ -5,7 +5,7 @@ import collections
 import numpy as np
 import pyarrow as pa
 
-from shockwell.llm import collocations
+from shockwell.llm import collocations, sampling
 
 WORDS = [b"a", b"b", b"c", b"dd", b"e"]
 
@@ -40,3 +40,23 @@ def test_pairs_go_as_hashes_first_and_are_counted_with_triples(spark):
                 found[phrase.encode()] += n
         triples = {p: n for p, n in grams[3].items() if p.rsplit(b" ", 1)[0] in kept and p.split(b" ", 1)[1] in kept}
         assert found == {**triples, **{p: grams[2][p] for p in kept}}
+
+
+def test_single_draws_are_those_of_arrays():
+    search = sampling.Search.__new__(sampling.Search)
+    for key in (np.uint64(0), np.uint64(2**64 - 1), np.uint64(0x123456789ABCDEF)):
+        search.key = key
+        for number in (0, 1, 7, 1000):
+            counter = np.array([int(key)], dtype=np.uint64) + sampling.offset(sampling.OWN, number)
+            assert search.scalar(number) == float(sampling.uniform(counter)[0])
+
+
+def test_units_of_many_texts_are_those_of_each():
+    pieces = sampling.sampler(sampling.default_path()).pieces
+    texts = ["▁the▁cat", "", "▁", "▁日本▁x", "", "a" * 50, "▁é\n\n▁b"]
+    units, counts = pieces.units(texts)
+    assert "".join(units) == "".join(texts) and all(units)
+    at = 0
+    for text, n in zip(texts, counts.tolist()):
+        assert units[at:at + n] == pieces.units([text])[0] and "".join(units[at:at + n]) == text
+        at += n
