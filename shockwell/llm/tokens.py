@@ -11,6 +11,7 @@ by the library alone, so texts that hold one go to it whole as well.
 
 from __future__ import annotations
 
+import codecs
 import json
 import os
 import re
@@ -25,8 +26,8 @@ LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ÿ"
 NUMBERS = "0-9²³¹¼-¾"
 BLANKS = "\\t-\\r \\x85\\xa0"
 PIECES = re.compile(
-    f" ?[{LETTERS}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBERS}]+| ?[^{BLANKS}{LETTERS}{NUMBERS}]+"
-    f"|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]+")
+    f" ?+[{LETTERS}]++|'s|'t|'re|'ve|'m|'ll|'d| ?[{NUMBERS}]++| ?[^{BLANKS}{LETTERS}{NUMBERS}]++"
+    f"|[{BLANKS}]+(?![^{BLANKS}])|[{BLANKS}]++")
 
 #: Pieces that each of a worker's two generations of memory holds.
 MEMO_PIECES = 400_000
@@ -47,6 +48,10 @@ def spelling() -> list[str]:
 
 
 SPELT = spelling()
+ALPHABET = "".join(SPELT)
+#: Stands between pieces that are spelt together.  Its first byte is in no character up to U+00FF.
+BETWEEN = "\u0100"
+SPELT_BETWEEN = "".join(map(SPELT.__getitem__, BETWEEN.encode()))
 
 
 class ByteBpe:
@@ -70,14 +75,11 @@ class ByteBpe:
         self.searched = {flag: [a.content for a in added if not (flag and a.special)] for flag in (False, True)}
 
     def new_pieces(self, pieces: list[str]) -> Iterator[bytes]:
-        """Ids of pieces, by the library's model."""
+        """Ids of pieces, one at least, by the library's model."""
         tokenize, raw = self.library.model.tokenize, self.raw
-        for piece in pieces:
-            if piece.isascii() and piece.isprintable():  # of those only the blank is spelt differently
-                spelt = piece.replace(" ", SPELT[32])
-            else:
-                spelt = "".join(map(SPELT.__getitem__, piece.encode()))
-            yield b"".join([raw[t.id] for t in tokenize(spelt)])
+        spelt, _ = codecs.charmap_decode(BETWEEN.join(pieces).encode(), "strict", ALPHABET)
+        for piece in spelt.split(SPELT_BETWEEN):
+            yield b"".join([raw[t.id] for t in tokenize(piece)])
 
     def encode(self, texts: list[str], special_as_text: bool = True) -> list[bytes]:
         """Ids of each text; with ``special_as_text`` a special token's content is
@@ -90,9 +92,8 @@ class ByteBpe:
         found = list(map(self.memo.get, flat))
         unknown = [k for k, ids in enumerate(found) if ids is None]
         if unknown:
-            new = {flat[k]: None for k in unknown}
-            for p in new:
-                new[p] = self.older.get(p)
+            names = list(dict.fromkeys([flat[k] for k in unknown]))
+            new = dict(zip(names, map(self.older.get, names)))
             unseen = [p for p, ids in new.items() if ids is None]
             if unseen:
                 new.update(zip(unseen, self.new_pieces(unseen)))

@@ -5,7 +5,7 @@ import collections
 import numpy as np
 import pyarrow as pa
 
-from shockwell.llm import collocations, sampling
+from shockwell.llm import collocations, sampling, tokens
 
 WORDS = [b"a", b"b", b"c", b"dd", b"e"]
 
@@ -60,3 +60,13 @@ def test_units_of_many_texts_are_those_of_each():
     for text, n in zip(texts, counts.tolist()):
         assert units[at:at + n] == pieces.units([text])[0] and "".join(units[at:at + n]) == text
         at += n
+
+
+def test_pieces_are_spelt_together():
+    assert tokens.SPELT_BETWEEN not in "".join(tokens.SPELT[b] for c in range(256) for b in chr(c).encode())
+    bpe = tokens.ByteBpe(tokens.default_path())
+    pieces = [" a", "é", "\n\n", "x\0y", "ÄĊ"[:1], "..", " ²"]
+    assert list(bpe.new_pieces(pieces)) == [next(iter(bpe.new_pieces([p]))) for p in pieces]
+    texts = [" a  b\n c", "it's  'S 's\x85\xa0", "²³ 1²a", " \t x ", "\r\n\x0b\x0c .,;"]
+    whole = bpe.library.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in bpe.encode(texts)] == [e.ids for e in whole]
