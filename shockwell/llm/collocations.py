@@ -16,10 +16,14 @@ of fixed size: it may let rare phrases through, which costs counting them, and
 never stops a frequent one, so counts are exact at any size.
 
 Most phrases of the lengths between are rare, so these lengths are counted by
-the phrases' 64-bit hashes first: rows of two numbers, whose sums only make the
-filter.  Phrases that share a hash are at least as frequent by it as each of
-them is.  The phrases that the filter lets through are then counted themselves,
-in the same pass as those one word longer.
+the phrases' 64-bit hashes first, which only makes the filter: a task sends
+sorted runs of hashes and counts, a row for each range of hashes, and each
+range is added up by itself.  Phrases that share a hash are at least as
+frequent by it as each of them is.  The phrases that the filter lets through
+are then counted themselves, in the same pass as those one word longer.
+
+A word's hash is taken from the text's bytes, for all words of a batch at once;
+only words of phrases that pass the filters get a number and meet a trie.
 
 Defined results: null, empty or blank text has no words; a missing ``lang`` is
 ``und``; repeated rows count each time; an empty table gives an empty result;
@@ -31,8 +35,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from functools import reduce
-from itertools import compress
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -50,18 +53,28 @@ MOST_PHRASES, MOST_WORDS, CONTAINER = 400_000, 1 << 18, 1 << 16
 BATCH_WORDS = 120_000
 #: Parts that the runs of one first word are cut into.
 CELLS = 64
-
-# A-Z to a-z, blanks to space, and all that ends a piece to a full stop.
+#: Numbers for language, prefix and cell; two bytes.
+PARTS = 1 << 16
+#: Words that start in as many bytes (a power of two) are hashed together; longer ones than ``LONG_WORD`` by themselves.
+HASHED_BITS, LONG_WORD = 17, 4096
+#: Bits of a phrase's hash that tell its range.
+RANGE_BITS = 11
+
+# A-Z to a-z, and all that ends a piece to a full stop.
 ENDS = b".,;:!?\n\x0b\x0c\r"
 PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ" + ENDS, b"abcdefghijklmnopqrstuvwxyz" + b"." * len(ENDS))
-NO_WORD = b"."
+END = b"."
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+#: Base of the words' hashes; odd, so its powers have inverses.
+BASE = 0xD6E8FEB86659FD93
+INVERSE = pow(BASE, -1, 1 << 64)
 
 RUN = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 RUN_SQL = "lang string, phrase string, n bigint"
 HASHES = pa.schema([("hash", pa.int64()), ("n", pa.int64())])
-HASHES_SQL = "hash bigint, n bigint"
+RANGES = pa.schema([("part", pa.int32()), ("hashes", pa.binary()), ("counts", pa.binary())])
+RANGES_SQL = "part int, hashes binary, counts binary"
 
 
 # ----------------------------------------------------------------- the tries
@@ -146,22 +159,12 @@ def to_table(codes: np.ndarray, counts: np.ndarray) -> Counter:
 
 
 class Numbers(dict):
-    """The number of each word; a new word gets the next free one and waits to be looked at."""
-
-    def __init__(self):
-        super().__init__({NO_WORD: 0})
-        self.free, self.waiting = 1, []
+    """The number of each word; a new word gets the next one."""
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = self.free
-        self.free += 1
-        self.waiting.append(word)
+        number = self[word] = len(self)
         return number
 
-    def taken(self) -> list[bytes]:
-        new, self.waiting = self.waiting, []
-        return new
-
 
 class Trie:
     """The phrases of ``length`` words of one language that a task has met.
@@ -169,66 +172,39 @@ class Trie:
     ``filters``: of frequent words and, for three words and more, of frequent
     phrases one word shorter; none to count everything.  ``with_shorter``: the
     phrases one word shorter that the last filter holds are counted, too.
-    ``hashed``: runs have the phrases' hashes instead of the phrases.
     """
 
-    def __init__(self, lang: str, length: int, filters: list[np.ndarray], with_shorter: bool = False, hashed: bool = False):
-        self.lang, self.length, self.filters, self.hashed = lang, length, filters, hashed
+    def __init__(self, lang: str, length: int, filters: list[np.ndarray], with_shorter: bool = False):
+        self.lang, self.length, self.filters = lang, length, filters
         self.lengths = [length, length - 1] if with_shorter else [length]
         self.bits = 63 // length
         self.clear()
 
     def clear(self) -> None:
         self.words = Numbers()
-        #: The words that may be frequent, by number.
-        self.spelt = [NO_WORD]
-        self.hashes = np.zeros(1, dtype=np.uint64)
         self.roots = {length: Node(length) for length in self.lengths}
         self.n_words = 0
 
-    def add(self, tokens: list[bytes], starts: int) -> None:
+    def add(self, tokens: list[bytes], pieces: np.ndarray, hashes: np.ndarray | None, starts: int) -> None:
         """Count the phrases; of the words the first ``starts``, for the rest belongs to the next call."""
-        first = len(self.spelt)
-        ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-        new = self.words.taken()
-        if new and self.filters:
-            # A rare word ends a phrase as the end of a piece does.
-            hashes = word_hashes(self.lang, new)
-            known = common.may_hold(self.filters[0], hashes)
-            numbers = np.where(known, first - 1 + np.cumsum(known), 0)
-            unsettled = ids >= first
-            ids[unsettled] = numbers[ids[unsettled] - first]
-            self.words.update(zip(new, numbers.tolist()))
-            new = list(compress(new, known.tolist()))
-            self.hashes = np.concatenate((self.hashes, hashes[known]))
-        self.spelt += new
-        self.words.free = len(self.spelt)
-        self.n_words += int(np.count_nonzero(ids[:starts]))
-        for length, places in zip(self.lengths, self.places(ids, starts)):
-            code = ids[places]
+        self.n_words += min(starts, len(tokens))
+        found = list(zip(self.lengths, places(self.length, pieces, hashes, self.filters, starts)))
+        if self.filters:
+            used = np.zeros(len(tokens), dtype=bool)
+            for length, at in found:
+                for j in range(length):
+                    used[at + j] = True
+            used = np.flatnonzero(used)
+            ids = np.zeros(len(tokens), dtype=np.int64)
+            ids[used] = np.fromiter(map(self.words.__getitem__, map(tokens.__getitem__, used.tolist())), np.int64, len(used))
+        else:
+            ids = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
+        for length, at in found:
+            code = ids[at]
             for j in range(1, length):
-                code = code << self.bits | ids[places + j]
+                code = code << self.bits | ids[at + j]
             self.roots[length].add(code, self.bits)
 
-    def places(self, ids: np.ndarray, starts: int) -> Iterator[np.ndarray]:
-        """Where the phrases within pieces start that hold no rare shorter one, and then those shorter ones."""
-        whole = np.append(ids > 0, np.zeros(self.length, dtype=bool))
-        if len(self.filters) < 2:
-            yield np.flatnonzero(reduce(np.logical_and, [whole[j:j + len(ids)] for j in range(self.length)]))
-            return
-        shorter = np.flatnonzero(reduce(np.logical_and, [whole[j:j + len(ids)] for j in range(self.length - 1)]))
-        shorter = shorter[common.may_hold(self.filters[-1], phrase_hashes([self.hashes[ids[shorter + j]] for j in range(self.length - 1)]))]
-        kept = np.zeros(len(ids) + 1, dtype=bool)
-        kept[shorter] = True
-        yield shorter[kept[shorter + 1]]
-        yield shorter[shorter < starts]
-
-    def forget_rare(self) -> None:
-        """Rare words are remembered as number 0; they are looked up anew when they come again."""
-        if len(self.words) > len(self.spelt):
-            self.words.clear()
-            self.words.update(zip(self.spelt, range(len(self.spelt))))
-
     def subtrees(self) -> list[tuple[int, tuple[int, int | None]]]:
         """``(size, (length, first word))`` of what can leave the trie whole; no word: the shared container."""
         return [(size, (length, word)) for length, root in self.roots.items()
@@ -242,25 +218,11 @@ class Trie:
                 codes, counts = root.take(word, self.bits).entries(self.bits)
                 parts.append((codes if word is None else codes | word << shift, counts))
             if parts:
-                yield from self.run(length, *(np.concatenate(column) for column in zip(*parts)))
-
-    def run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        return self.hashed_run(length, codes, counts) if self.hashed else self.sorted_run(length, codes, counts)
-
-    def words_of(self, length: int, codes: np.ndarray) -> Iterator[np.ndarray]:
-        """The numbers of the first words, the second ones and so on."""
-        return (codes >> self.bits * j & (1 << self.bits) - 1 for j in range(length - 1, -1, -1))
-
-    def hashed_run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        hashes = phrase_hashes([self.hashes[words] for words in self.words_of(length, codes)])
-        order = np.argsort(hashes)
-        run = pa.RecordBatch.from_arrays([pa.array(hashes[order].view(np.int64)), pa.array(counts[order])], schema=HASHES)
-        for start in range(0, len(codes), 20_000):
-            yield run.slice(start, 20_000)
+                yield from self.sorted_run(length, *(np.concatenate(column) for column in zip(*parts)))
 
     def sorted_run(self, length: int, codes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        known = pa.array(self.spelt, pa.binary())
-        columns = [known.take(pa.array(words)) for words in self.words_of(length, codes)]
+        known = pa.array(list(self.words), pa.binary())
+        columns = [known.take(pa.array(codes >> self.bits * j & (1 << self.bits) - 1)) for j in range(length - 1, -1, -1)]
         phrase = columns[0] if len(columns) == 1 else pc.binary_join_element_wise(*columns, b" ")
         order = pc.sort_indices(phrase)
         run = pa.RecordBatch.from_arrays([
@@ -274,7 +236,7 @@ class Trie:
         if self.length == 1 and self.n_words:
             yield pa.RecordBatch.from_arrays([pa.array([self.lang]), pa.array([""]), pa.array([self.n_words])], schema=RUN)
         for length, root in self.roots.items():
-            yield from self.run(length, *root.entries(self.bits))
+            yield from self.sorted_run(length, *root.entries(self.bits))
         self.clear()
 
 
@@ -299,57 +261,150 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, 500)
 
 
-def count_phrases(batches: Iterator[pa.RecordBatch], length: int, filters: list[np.ndarray],
-                  most_phrases: int = MOST_PHRASES, batch_words: int = BATCH_WORDS, **kind: bool) -> Iterator[pa.RecordBatch]:
-    """Sorted runs of the phrases of ``length`` words of a task's texts; ``kind`` as in ``Trie``."""
-    tries: dict[str, Trie] = {}
+def joined_texts(batches: Iterator[pa.RecordBatch], batch_words: int) -> Iterator[dict[str, bytes]]:
+    """The texts of each language, lower-cased, with an end after each; of about ``batch_words`` words together."""
     waiting: dict[str, list[bytes]] = {}
-
-    def n_known() -> int:
-        return sum(len(trie.words) for trie in tries.values())
-
-    def counted() -> Iterator[pa.RecordBatch]:
-        for lang, tokens in waiting.items():
-            trie = tries.setdefault(lang, Trie(lang, length, filters, **kind))
+    n_waiting = 0
+    for batch in (part for whole in batches for part in slices(whole)):
+        for lang, text in zip(batch.column("lang").to_pylist(), common.text_bytes(batch)):
+            waiting.setdefault(lang, []).append(text.translate(PLAIN) + END)
+            n_waiting += len(text) // 6 + 1
+            if n_waiting >= batch_words:
+                yield {lang: b"".join(texts) for lang, texts in waiting.items()}
+                waiting, n_waiting = {}, 0
+    yield {lang: b"".join(texts) for lang, texts in waiting.items()}
+
+
+def count_phrases(batches: Iterator[pa.RecordBatch], length: int, filters: list[np.ndarray], most_phrases: int = MOST_PHRASES,
+                  batch_words: int = BATCH_WORDS, with_shorter: bool = False, hashed: bool = False) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of the phrases of ``length`` words of a task's texts, or of their hashes; ``with_shorter`` as in ``Trie``."""
+    if hashed:
+        yield from count_hashes(batches, length, filters, most_phrases, batch_words)
+        return
+    tries: dict[str, Trie] = {}
+    for texts in joined_texts(batches, batch_words):
+        for lang, text in texts.items():
+            trie = tries.setdefault(lang, Trie(lang, length, filters, with_shorter))
             limit = min(MOST_WORDS, 1 << trie.bits)
             step = min(batch_words, limit // 2)
+            tokens = text.replace(END, b" ").split()
+            pieces, hashes = np.zeros(len(tokens), dtype=np.int64), None
+            if length > 1:
+                firsts, lasts, pieces = word_places(text)
+            if filters:
+                hashes = hashes_at(text, firsts, lasts, language_seed(lang))
             for start in range(0, len(tokens), step):
-                part = tokens[start:start + step + length - 1]
-                if len(trie.words) + len(part) >= limit:
-                    trie.forget_rare()
-                if len(trie.words) + len(part) >= limit:
+                part = slice(start, start + step + length - 1)
+                if len(trie.words) + len(tokens[part]) >= limit:
                     yield from trie.everything()
-                trie.add(part, step)
-        waiting.clear()
-        if n_known() > MOST_WORDS:
-            for trie in tries.values():
-                trie.forget_rare()
-        if n_known() > MOST_WORDS:
+                trie.add(tokens[part], pieces[part], None if hashes is None else hashes[part], step)
+        if sum(len(trie.words) for trie in tries.values()) > MOST_WORDS:
             for trie in tries.values():
                 yield from trie.everything()
         yield from spilled(tries, most_phrases)
-
-    n_waiting = 0
-    for batch in (part for whole in batches for part in slices(whole)):
-        for lang, text in zip(batch.column("lang").to_pylist(), common.text_bytes(batch)):
-            tokens = text.translate(PLAIN).replace(NO_WORD, b" . ").split()
-            if tokens:
-                waiting.setdefault(lang, []).extend(tokens)
-                waiting[lang].append(NO_WORD)
-                n_waiting += len(tokens) + 1
-                if n_waiting >= batch_words:
-                    yield from counted()
-                    n_waiting = 0
-    yield from counted()
     for trie in tries.values():
         yield from trie.everything()
 
 
+def count_hashes(batches: Iterator[pa.RecordBatch], length: int, filters: list[np.ndarray],
+                 most_phrases: int, batch_words: int) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of the hashes of the phrases, each of some times ``most_phrases`` occurrences."""
+    waiting, n_waiting = [], 0
+    for texts in joined_texts(batches, batch_words):
+        for lang, text in texts.items():
+            firsts, lasts, pieces = word_places(text)
+            hashes = hashes_at(text, firsts, lasts, language_seed(lang))
+            at = next(places(length, pieces, hashes, filters, len(pieces)))
+            waiting.append(phrase_hashes([hashes[at + j] for j in range(length)]))
+            n_waiting += len(at)
+        if n_waiting >= 4 * most_phrases:
+            yield hashed_run(waiting)
+            waiting, n_waiting = [], 0
+    if n_waiting:
+        yield hashed_run(waiting)
+
+
+def hashed_run(parts: list[np.ndarray]) -> pa.RecordBatch:
+    hashes = np.sort(np.concatenate(parts))
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    counts = np.diff(starts, append=len(hashes))
+    return pa.RecordBatch.from_arrays([pa.array(hashes[starts].view(np.int64)), pa.array(counts)], schema=HASHES)
+
+
+# ----------------------------------------------------------- words of a text
+
+def word_places(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a plain text begin and end, and the number of the piece that each is in."""
+    codes = np.frombuffer(text, dtype=np.uint8)
+    ends = codes == END[0]
+    inside = np.zeros(len(codes) + 2, dtype=np.int8)
+    inside[1:-1] = ~(ends | (codes == 32) | (codes == 9))
+    edges = np.flatnonzero(np.diff(inside))
+    firsts = edges[::2]
+    return firsts, edges[1::2], np.searchsorted(np.flatnonzero(ends), firsts)
+
+
+def places(length: int, pieces: np.ndarray, hashes: np.ndarray | None, filters: list[np.ndarray], starts: int) -> Iterator[np.ndarray]:
+    """Where the phrases within pieces start that hold no rare word or shorter phrase, and then those shorter ones."""
+    size = length if len(filters) < 2 else length - 1
+    found = pieces[size - 1:] == pieces[:max(len(pieces) - size + 1, 0)]
+    if filters:
+        known = common.may_hold(filters[0], hashes)
+        for j in range(size):
+            found &= known[j:j + len(found)]
+    found = np.flatnonzero(found)
+    if size == length:
+        yield found
+        return
+    found = found[common.may_hold(filters[-1], phrase_hashes([hashes[found + j] for j in range(size)]))]
+    kept = np.zeros(len(pieces) + 1, dtype=bool)
+    kept[found] = True
+    yield found[kept[found + 1]]
+    yield found[found < starts]
+
+
+@lru_cache
+def powers(base: int) -> np.ndarray:
+    out = np.full((1 << HASHED_BITS) + LONG_WORD, base, dtype=np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+@lru_cache(maxsize=1000)
+def language_seed(lang: str) -> np.uint64:
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
+
+
+def hashes_at(text: bytes, firsts: np.ndarray, lasts: np.ndarray, seeds: np.ndarray | np.uint64) -> np.ndarray:
+    """The hash of each word: its bytes as the digits of a number, seeded by its language and mixed."""
+    codes, hashes = np.frombuffer(text, dtype=np.uint8), np.empty(len(firsts), dtype=np.uint64)
+    blocks = np.flatnonzero(np.diff(firsts >> HASHED_BITS, prepend=-1)).tolist()
+    for start, stop in zip(blocks, [*blocks[1:], len(firsts)]):
+        first = firsts[start:stop]
+        last, base = np.minimum(lasts[start:stop], first + LONG_WORD), first[0]
+        block = codes[base:last[-1]] + np.uint64(1)
+        sums = np.zeros(len(block) + 1, dtype=np.uint64)
+        np.cumsum(block * powers(BASE)[:len(block)], out=sums[1:])
+        hashes[start:stop] = (sums[last - base] - sums[first - base]) * powers(INVERSE)[first - base]
+    for i in np.flatnonzero(lasts - firsts > LONG_WORD).tolist():
+        hashes[i] = xxhash.xxh64_intdigest(text[firsts[i]:lasts[i]])
+    hashes += seeds
+    for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+        hashes ^= hashes >> np.uint64(33)
+        hashes *= np.uint64(factor)
+    return hashes ^ hashes >> np.uint64(33)
+
+
 # ---------------------------------------------------------------- the filter
 
 def word_hashes(lang: str, words: list[bytes]) -> np.ndarray:
-    head = lang.encode() + b"\0"
-    return np.fromiter((xxhash.xxh64_intdigest(head + w) for w in words), np.uint64, len(words))
+    return hashes_of([lang] * len(words), words)
+
+
+def hashes_of(langs: list[str], words: list[bytes]) -> np.ndarray:
+    lasts = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    firsts = np.append(0, lasts[:-1])[:len(words)]
+    return hashes_at(b"".join(words), firsts, lasts, np.fromiter(map(language_seed, langs), np.uint64, len(langs)))
 
 
 def phrase_hashes(words: list[np.ndarray]) -> np.ndarray:
@@ -360,34 +415,61 @@ def filter_of(frequent: DataFrame) -> np.ndarray:
     """The bit filter of a table of phrases."""
 
     def hashes(batch: pa.RecordBatch) -> np.ndarray:
-        found = [phrase_hashes(list(word_hashes(lang, phrase.split(b" "))[:, None]))[0]
-                 for lang, phrase in zip(batch.column("lang").to_pylist(), common.text_bytes(batch, "phrase"))]
-        return np.array(found, dtype=np.uint64)
+        phrases = [phrase.split(b" ") for phrase in common.text_bytes(batch, "phrase")]
+        sizes = np.fromiter(map(len, phrases), np.int64, len(phrases))
+        langs = [lang for lang, words in zip(batch.column("lang").to_pylist(), phrases) for _ in words]
+        words = hashes_of(langs, [word for phrase in phrases for word in phrase])
+        firsts = np.cumsum(sizes) - sizes
+        return np.concatenate([np.empty(0, np.uint64), *(
+            phrase_hashes([words[firsts[sizes == size] + j] for j in range(size)]) for size in np.unique(sizes))])
 
     # One pass over a batch: a second function behind the first would keep a second worker per core.
     return common.bit_filter(frequent.select("lang", "phrase"), hashes)
 
 
+def ranges(run: pa.RecordBatch) -> pa.RecordBatch:
+    """A run of hashes with a row for each range of them that it meets."""
+    hashes, counts = (run.column(name).to_numpy() for name in ("hash", "n"))
+    part = hashes.view(np.uint64) >> np.uint64(64 - RANGE_BITS)
+    starts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    bounds = np.append(starts, len(hashes)).astype(np.int32)
+    packed = [pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(bounds * np.int32(8)), pa.py_buffer(column)])
+              for column in (hashes, counts)]
+    return pa.RecordBatch.from_arrays([pa.array(part[starts].astype(np.int32)), *packed], schema=RANGES)
+
+
+def frequent_hashes(rows: pa.Table, least: int) -> pa.Table:
+    """The hashes of a range whose counts add up to ``least``."""
+    hashes, counts = (np.frombuffer(b"".join(rows.column(name).to_pylist()), dtype=np.int64) for name in ("hashes", "counts"))
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    starts = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    return pa.table({"hash": hashes[starts][np.add.reduceat(counts[order], starts) >= least]})
+
+
 # -------------------------------------------------------------------- tables
 
-def counted_runs(texts: DataFrame, schema: str, length: int, filters: list[np.ndarray], **options) -> DataFrame:
+def counted_runs(texts: DataFrame, length: int, filters: list[np.ndarray], hashed: bool = False, **options) -> DataFrame:
     """The runs of all tasks; ``filters`` of phrases of 1, 2 ... words."""
     wanted = filters[:1] + filters[length - 2:length - 1] if length > 2 else filters[:1]
     known = texts.sparkSession.sparkContext.broadcast(wanted)
-    return texts.mapInArrow(lambda batches: count_phrases(batches, length, known.value, **options), schema)
+    if hashed:
+        return texts.mapInArrow(lambda batches: map(ranges, count_phrases(batches, length, known.value, hashed=True, **options)), RANGES_SQL)
+    return texts.mapInArrow(lambda batches: count_phrases(batches, length, known.value, **options), RUN_SQL)
 
 
 def frequent_filter(texts: DataFrame, length: int, filters: list[np.ndarray], least: int, folder: str, **limits: int) -> np.ndarray:
     """A bit filter of the phrases of ``length`` words whose hash occurs ``least`` times at least."""
-    runs = counted_runs(texts, HASHES_SQL, length, filters, hashed=True, **limits)
-    sums = runs.repartition("hash").groupBy("hash").agg(F.sum("n").alias("n"))
-    return common.bit_filter(written(sums.filter(F.col("n") >= least).select("hash"), f"{folder}/hashes_{length}"))
+    runs = counted_runs(texts, length, filters, hashed=True, **limits)
+    found = runs.groupBy("part").applyInArrow(lambda rows: frequent_hashes(rows, least), "hash bigint")
+    return common.bit_filter(written(found, f"{folder}/hashes_{length}"))
 
 
 def merged_counts(texts: DataFrame, length: int, filters: list[np.ndarray], **options) -> DataFrame:
     """``(lang, phrase, n)``: counts of phrases of ``length`` words over all tasks; rare ones may be missing."""
-    # A number for language, prefix and cell.
-    runs = counted_runs(texts, RUN_SQL, length, filters, **options).withColumn("part", F.expr(f"xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')})"))
+    # A small number for language, prefix and cell: it is in every row of the shuffle.
+    prefix = f"cast(pmod(xxhash64(lang, substring_index(phrase, ' ', 1), {cell('phrase')}), {PARTS}) AS INT)"
+    runs = counted_runs(texts, length, filters, **options).withColumn("part", F.expr(prefix))
     return runs.repartition("part").groupBy("part", "lang", "phrase").agg(F.sum("n").alias("n")).select("lang", "phrase", "n")
 
 

@@ -4,6 +4,7 @@ import collections
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 
 from shockwell.llm import collocations, sampling, tokens
 
@@ -42,6 +43,50 @@ def test_pairs_go_as_hashes_first_and_are_counted_with_triples(spark):
         assert found == {**triples, **{p: grams[2][p] for p in kept}}
 
 
+def test_words_are_hashed_where_they_stand_in_the_text():
+    words = [b"a", "é".encode(), b"\0", b"\0\0", b"x" * 4096, b"x" * 4097, b"x" * 300_000, b"y", "日本".encode()] + [b"w%d" % i for i in range(50_000)]
+    text = b" .\t" + b" . ".join(b"  ".join(words[i:i + 3]) for i in range(0, len(words), 3)) + b"."
+    firsts, lasts, pieces = collocations.word_places(text)
+    assert [text[a:b] for a, b in zip(firsts, lasts)] == words
+    assert (np.diff(pieces) > 0).tolist() == [i % 3 == 0 for i in range(1, len(words))]
+    hashes = collocations.hashes_at(text, firsts, lasts, collocations.language_seed("en"))
+    assert hashes.tolist() == collocations.word_hashes("en", words).tolist()
+    assert len(set(hashes.tolist()) | set(collocations.word_hashes("de", words).tolist())) == 2 * len(words)
+
+
+def test_pair_hashes_leave_a_task_as_a_row_for_each_range(spark):
+    texts = [" ".join(f"w{(i * j) % 97}" for i in range(300)) for j in range(1, 60)]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    run, = collocations.count_phrases(iter([batch]), 2, [], hashed=True)
+    assert run.num_rows > 2 << collocations.RANGE_BITS
+    packed = collocations.ranges(run)
+    assert packed.num_rows <= 1 << collocations.RANGE_BITS
+    both = pa.Table.from_batches([packed, packed])
+    n = dict(zip(run.column("hash").to_pylist(), run.column("n").to_pylist()))
+    assert sum(n.values()) == 299 * 59
+    for least in (1, 7):
+        found = []
+        for part in set(packed.column("part").to_pylist()):
+            rows = both.filter(pa.compute.equal(both.column("part"), part))
+            found += collocations.frequent_hashes(rows, least).column("hash").to_pylist()
+        assert sorted(found) == sorted(h for h in n if 2 * n[h] >= least)
+    docs = spark.createDataFrame([("en", t) for t in texts], "lang string, text string").repartition(4)
+    rows = collocations.counted_runs(docs, 2, [], hashed=True).collect()
+    assert len(rows) <= 4 << collocations.RANGE_BITS
+
+
+def test_only_words_of_phrases_that_may_be_frequent_get_numbers(spark):
+    rows = [spark.createDataFrame([("en", p) for p in phrases], "lang string, phrase string") for phrases in (["a", "b", "c", "d"], ["a b"])]
+    trie = collocations.Trie("en", 3, [collocations.filter_of(r) for r in rows], with_shorter=True)
+    text = b"a b c rare a b d . a . b ."
+    firsts, lasts, pieces = collocations.word_places(text)
+    tokens = text.replace(b".", b" ").split()
+    trie.add(tokens, pieces, collocations.hashes_at(text, firsts, lasts, collocations.language_seed("en")), len(tokens))
+    assert list(trie.words) == [b"a", b"b"]
+    found = [(p, n) for run in trie.everything() for p, n in zip(run.column("phrase").to_pylist(), run.column("n").to_pylist())]
+    assert found == [("a b", 2)]
+
+
 def test_single_draws_are_those_of_arrays():
     search = sampling.Search.__new__(sampling.Search)
     for key in (np.uint64(0), np.uint64(2**64 - 1), np.uint64(0x123456789ABCDEF)):
