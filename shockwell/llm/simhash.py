@@ -89,7 +89,11 @@ def wildcard_keys(h: int, bit: int | None = None) -> str:
 
 
 def keyed(classes: DataFrame, bit: int) -> DataFrame:
-    """``(key, fp)``: both halves as they are, and the variants with the deleted bit at ``bit``."""
+    """``(key, fp)``: both halves as they are, and the variants with the deleted bit at ``bit``.
+
+    Some 34 rows for each class, while Spark sizes what leaves an explode like
+    what goes in: a join of two such tables has to say that it is no broadcast.
+    """
     parts = [k for h in (0, 1) for k in (plain_keys(h), wildcard_keys(h, bit))]
     return classes.selectExpr("fp", f"explode(concat({', '.join(parts)})) AS key")
 
@@ -131,11 +135,11 @@ def links(classes: DataFrame, distance: int = 3, crowded: int = CROWDED) -> Data
     if is_crowded:
         low, high = low.join(many, "key", "left_anti"), high.join(many, "key", "left_anti")
     pair = ("least(l.fp, r.fp) AS a", "greatest(l.fp, r.fp) AS b")
-    found = low.alias("l").join(high.alias("r"), F.expr(f"l.key = r.key AND {near}")).selectExpr(*pair)
+    found = low.alias("l").hint("merge").join(high.alias("r"), F.expr(f"l.key = r.key AND {near}")).selectExpr(*pair)
     if is_crowded:
         cut = [keyed(classes, bit).join(many, "key", "left_semi").selectExpr("fp", "key", f"inline({quarter_keys()})")
                for bit in (0, 1)]
-        again = cut[0].alias("l").join(cut[1].alias("r"), F.expr(
+        again = cut[0].alias("l").hint("merge").join(cut[1].alias("r"), F.expr(
             f"l.key = r.key AND l.quarter = r.quarter AND (l.bit = -1 OR l.bit <> r.bit) AND {near}"))
         found = found.unionByName(again.selectExpr(*pair))
     return found.distinct()

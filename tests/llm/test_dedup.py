@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from shockwell.llm import exact_dedup, simhash
+from shockwell.plans.storage import settled
 from tests.llm.helpers import ODD, components, documents, lower_az, simhash as plain_simhash
 
 
@@ -92,6 +93,18 @@ def test_all_links_are_found_crowded_or_not(spark):
             assert {tuple(r) for r in simhash.links(classes, distance, crowded).collect()} == want
 
 
+def inner_joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line.split("Join")[0].strip("+-: ") for line in plan.splitlines() if "Join " in line and ", Inner," in line]
+
+
+def test_keys_of_classes_are_never_broadcast(spark):
+    # Every class has 34 keys, which Spark sizes as one row: the driver's memory is no place for them.
+    classes = settled(spark.createDataFrame([(signed(v),) for v in dense_values(1, 250)], "fp bigint"))
+    assert inner_joins(simhash.links(classes)) == ["SortMerge"]
+    assert inner_joins(simhash.links(classes, crowded=20)) == ["SortMerge", "SortMerge"]
+
+
 def test_components_of_chains_and_stars(spark):
     pairs = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 130)] + [(200, 201), (203, 202), (202, 201)]
     random.seed(2)
