@@ -7,8 +7,8 @@ import duckdb
 
 import __spark_entry__ as contract
 import corpus_pipeline
-from shockwell.llm import toxicity
-from shockwell.plans.storage import settled
+from shockwell.llm import simhash as simhash_module, toxicity
+from shockwell.plans.storage import settled, written
 from tests.llm.helpers import ODD, components, documents, ids_of, lower_az, pii_spans, simhash
 
 SF = "/root/testdata/sf0.001"
@@ -36,6 +36,20 @@ def test_exact_dedup_equals_its_sql(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
 
 
+def test_near_copies_of_the_pipeline_broadcast_no_keys(spark, monkeypatch):
+    plans = {}
+
+    def recorded(df, path, *rest, **options):
+        plans[path.rsplit("/", 1)[-1]] = df._jdf.queryExecution().executedPlan().toString()
+        return written(df, path, *rest, **options)
+
+    monkeypatch.setattr(simhash_module, "written", recorded)
+    docs = documents(spark, [(k, f"some words of document {k * k} and {k}") for k in range(30)])
+    assert corpus_pipeline.drop_near_copies(spark, docs, SF).count() > 0
+    joins = [line for line in plans["pairs"].splitlines() if "Join " in line and ", Inner," in line]
+    assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_stages_against_brute_force(spark):
     docs = [corpus_pipeline.common.table(spark, SF, "documents")]
     for _, stage in corpus_pipeline.STAGES:
