@@ -38,6 +38,17 @@ def test_dates(spark):
                   cleaning.serial_or_date) == [D(2001, 12, 31)] * 3 + [None, None]
 
 
+def test_plain_dates_are_cast_and_equal_the_parser(spark):
+    day_first = ["31.12.2001", "29.02.2000", "29.02.2001", "00.01.2001", "31.04.1999", "01.01.0000", "01.01.0999", "1.02.2001", "01.2.2001",
+                 " 01.02.2001", "01.02.2001 ", "01.02.2001\n", "01.02.20011", "01-02-2001", "01.02.2001.", "", "x", None, "28.02.1582", "10.10.1582"]
+    year_first = [None if c is None else ".".join(c.split(".")[::-1]) for c in day_first]
+    for cells, parse, pattern in ((day_first, cleaning.day_first_date, "d.M.yyyy"), (year_first, cleaning.year_first_date, "yyyy.M.d")):
+        want = column(spark, cells, "string", lambda c, p=pattern: F.try_to_date(c, p).cast("string"))
+        assert column(spark, cells, "string", lambda c, f=parse: f(c).cast("string")) == want
+    table = spark.createDataFrame([("31.12.2001",)], "c string").select(cleaning.day_first_date(F.col("c")))
+    assert "cast(" in table._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_missing_tokens_and_control_characters(spark):
     assert column(spark, ["", "NA", "nan", "NR", "None", "x"], "string", cleaning.missing_to_null) == [
         None, None, None, "NR", None, "x"]

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shockwell import Parameters, ReportingPeriod
 from shockwell import fixed_values as fv
 from shockwell.functions import cleaning
+from shockwell.plans.storage import settled
 from shockwell.sources import market, tables
 from tests.conftest import D, rows
 
@@ -156,3 +157,10 @@ def test_symmetric_adjustment(spark):
     table = spark.createDataFrame([(D(2001, 9, 30), -0.02), (D(2001, 12, 31), 0.0146)], "period_end date, value double")
     for day, want in ((D(2001, 12, 31), 0.0146), (D(2001, 12, 30), -0.02), (D(2001, 1, 1), None)):
         assert market.symmetric_adjustment(table, F.lit(day)).first()[0] == want
+
+
+def test_text_without_control_characters_is_not_rewritten(spark):
+    stored = settled(spark.createDataFrame([("a", "b\x01", 1), ("c", None, 2), ("d", "e", 3), ("", "x", 4), (None, "x", 5)], "p string, q string, n int"))
+    cleaned = tables.clean_text(stored)
+    assert [tuple(r) for r in cleaned.orderBy("n").collect()] == [("a", "b", 1), ("c", None, 2), ("d", "e", 3)]
+    assert "CASE WHEN _control" in cleaned._jdf.queryExecution().optimizedPlan().toString()
